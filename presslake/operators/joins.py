@@ -1,0 +1,20 @@
+"""Join helpers with explicit size checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest number of rows shipped to every executor by `broadcast_if_small`.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows per partition; beyond the
+    bound the plain DataFrame is returned and the planner (AQE) chooses a
+    shuffle join from runtime statistics.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
