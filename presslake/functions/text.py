@@ -24,6 +24,11 @@ TAG_RE = r"<[^>]+>"
 DROP_RE = r"[^\p{L}\p{N}_" + WS + KEEP_EXTRA + r"]"
 WS_RUN_RE = "[" + WS + "]+"
 EDGE_WS_RE = "^[" + WS + "]+|[" + WS + "]+$"
+# Steps C2 and C3 fused: a maximal run of dropped characters and whitespace
+# becomes one space either way (C2 maps each dropped character to a space,
+# C3 collapses the run), so one pass over the complement of the
+# non-whitespace kept set gives the same text.
+DROP_OR_WS_RUN_RE = r"[^\p{L}\p{N}_" + KEEP_EXTRA + r"]+"
 
 # The five basic HTML entities decoded in extracted text
 # (ampersand last so "&amp;lt;" becomes "&lt;", not "<").
@@ -42,8 +47,7 @@ def strip_tags(c) -> Column:
 def clean_text(c) -> Column:
     """The silver cleaning of one string column."""
     out = F.regexp_replace(_c(c), TAG_RE, "")
-    out = F.regexp_replace(out, DROP_RE, " ")
-    out = F.regexp_replace(out, WS_RUN_RE, " ")
+    out = F.regexp_replace(out, DROP_OR_WS_RUN_RE, " ")
     return F.coalesce(F.trim(out), F.lit(""))
 
 

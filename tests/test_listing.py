@@ -1,0 +1,97 @@
+"""S1/S2 sitemap reading and F2-F4, T3, T4 listing selection."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from presslake.operators.listing import drop_media, first_n, newer_than, newest_first, valid_entries
+from presslake.sources.sitemap import read_sitemap
+
+SITEMAP = """<?xml version="1.0" encoding="UTF-8"?>
+<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"
+        xmlns:news="http://www.google.com/schemas/sitemap-news/0.9"
+        xmlns:image="http://www.google.com/schemas/sitemap-image/1.1">
+  <url><loc> https://n.example/a </loc>
+       <news:news><news:publication_date>2026-05-19T10:00:00+00:00</news:publication_date></news:news></url>
+  <url><loc>https://n.example/b</loc><lastmod>2026-05-18T00:00:00Z</lastmod>
+       <news:news><news:publication_date>2026-05-19T11:00:00+00:00</news:publication_date></news:news></url>
+  <url><loc>https://n.example/c</loc>
+       <news:news><news:publication_date>2026-05-19T12:00:00+00:00</news:publication_date></news:news>
+       <lastmod>2026-01-01T00:00:00Z</lastmod></url>
+  <url><loc>https://n.example/d</loc><lastmod>2026-05-17T00:00:00Z</lastmod>
+       <image:image><image:loc>https://media.example/d.jpg</image:loc></image:image></url>
+  <url><loc>https://n.example/e</loc></url>
+  <url><lastmod>2026-05-16T00:00:00Z</lastmod></url>
+  <url><loc></loc><lastmod>2026-05-15T00:00:00Z</lastmod></url>
+</urlset>
+"""
+
+
+def _write(scratch, name, text):
+    path = os.path.join(scratch, name)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_read_sitemap(spark, scratch):
+    path = _write(scratch, "news.xml", SITEMAP)
+    df = read_sitemap(spark, path, source="s1").orderBy("position")
+    rows = [(r.loc, r.pub_date) for r in df.collect()]
+    assert rows == [
+        ("https://n.example/a", "2026-05-19T10:00:00+00:00"),
+        ("https://n.example/b", "2026-05-19T11:00:00+00:00"),   # publication date wins over lastmod
+        ("https://n.example/c", "2026-05-19T12:00:00+00:00"),
+        ("https://n.example/d", "2026-05-17T00:00:00Z"),         # nested image:loc does not replace loc
+        ("https://n.example/e", None),
+        (None, "2026-05-16T00:00:00Z"),
+        (None if rows[6][0] is None else "", "2026-05-15T00:00:00Z"),
+    ]
+    valid = valid_entries(df).orderBy("position").select("loc").collect()
+    assert [r.loc for r in valid] == ["https://n.example/a", "https://n.example/b", "https://n.example/c",
+                                      "https://n.example/d"]
+
+
+def test_read_sitemap_streaming(spark, scratch):
+    d = os.path.join(scratch, "in")
+    os.makedirs(d)
+    _write(d, "one.xml", SITEMAP)
+    sdf = read_sitemap(spark, d, source="s1", streaming=True)
+    q = sdf.writeStream.format("memory").queryName("sitemap_stream").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.sql("select count(*) from sitemap_stream").first()[0] == 7
+
+
+def _listing(spark, rows):
+    return spark.createDataFrame(rows, "position long, loc string, pub_date string, source string")
+
+
+def test_media_filter(spark):
+    df = _listing(spark, [(1, "https://a/x.JPG", "d", "s"), (2, "https://a/x.jpeg?x", "d", "s"),
+                          (3, "https://media.cnn.com/x", "d", "s"), (4, "https://a/png-story", "d", "s"),
+                          (5, "https://a/x.png", "d", "s"), (6, None, "d", "s")])
+    assert [r.position for r in drop_media(df).orderBy("position").collect()] == [4, 6]
+
+
+def test_newer_than_modes(spark):
+    df = _listing(spark, [
+        (1, "u1", "2026-05-19T15:43:28+00:00", "s"),   # equal to the mark: skipped
+        (2, "u2", "2026-05-19T23:43:28-04:00", "s"),   # later instant, smaller text
+        (3, "u3", "2026-05-19T16:00:00+02:00", "s"),   # earlier instant, larger text
+        (4, "u4", "2026-05-20", "s"),
+        (5, "u5", "not a date", "s"),                  # falls back to text comparison
+        (6, "u6", "2020-01-01T00:00:00Z", "other"),    # no mark for the source: new
+    ])
+    state = spark.createDataFrame([("s", "2026-05-19T15:43:28+00:00")], "source string, last_date string")
+    ts = sorted(r.position for r in newer_than(df, state, "timestamp").collect())
+    txt = sorted(r.position for r in newer_than(df, state, "string").collect())
+    assert ts == [2, 4, 5, 6]
+    assert txt == [2, 3, 4, 5, 6]
+
+
+def test_order_and_first_n(spark):
+    df = _listing(spark, [(i, f"u{i}", f"2026-05-{10 + i % 3:02d}", "s") for i in range(10)])
+    newest = [r.position for r in newest_first(df).collect()]
+    assert newest == [2, 5, 8, 1, 4, 7, 0, 3, 6, 9]
+    assert [r.position for r in first_n(df, 4).collect()] == [0, 1, 2, 3]
+    assert F is not None
