@@ -1,0 +1,113 @@
+"""W1-W5, A8, A11, A12, C19, C20 against brute force on small series."""
+
+import datetime as dt
+import random
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from presslake.functions.scalars import scale, status
+from presslake.operators import metrics as M
+
+T0 = dt.datetime(2026, 5, 19, 12, 0, 0)
+
+
+def _samples(spark, rows):
+    return spark.createDataFrame(
+        [(m, {"job": j, "instance": i}, ts, v, sid) for sid, (m, j, i, ts, v) in enumerate(rows)],
+        "metric string, labels map<string,string>, ts timestamp, value double, sample_id long")
+
+
+def _brute_increase(rows, frame_s):
+    df = pd.DataFrame(rows, columns=["metric", "job", "instance", "ts", "value"])
+    df["sid"] = range(len(df))
+    out = {}
+    for _, g in df.groupby(["metric", "job", "instance"]):
+        g = g.sort_values(["ts", "sid"])
+        prev = None
+        deltas = []
+        for v in g["value"]:
+            deltas.append(0.0 if prev is None else (v - prev if v >= prev else v))
+            prev = v
+        g = g.assign(delta=deltas)
+        for _, r in g.iterrows():
+            lo = r["ts"] - pd.Timedelta(seconds=frame_s)
+            out[r["sid"]] = round(g[(g["ts"] > lo) & (g["ts"] <= r["ts"])]["delta"].sum(), 6)
+    return out
+
+
+def _random_rows(seed=7, n=400):
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(n):
+        j = rnd.choice(["a", "b"])
+        i = "hot" if rnd.random() < 0.6 else rnd.choice(["x", "y"])
+        ts = T0 + dt.timedelta(seconds=rnd.choice([rnd.randint(0, 7200), rnd.randint(0, 600)]),
+                               microseconds=rnd.randint(0, 999999))
+        rows.append(("c", j, i, ts, float(rnd.randint(0, 50))))
+    return rows
+
+
+def test_increase_matches_brute_force_with_halos(spark):
+    rows = _random_rows()
+    expect = _brute_increase(rows, 300)
+    for bucket in ("5 minutes", "7 minutes", "1 hour", "2 minutes"):
+        got = {r.sample_id: round(r.increase, 6)
+               for r in M.increase(_samples(spark, rows), "5 minutes", bucket).collect()}
+        assert got == expect, bucket
+
+
+def test_counter_edge_cases(spark):
+    rows = [
+        ("c", "j", "i", T0, 5.0),
+        ("c", "j", "i", T0 + dt.timedelta(seconds=30), 8.0),
+        ("c", "j", "i", T0 + dt.timedelta(seconds=60), 0.0),       # reset to 0
+        ("c", "j", "i", T0 + dt.timedelta(seconds=90), 4.0),
+        ("c", "j", "i", T0 + dt.timedelta(minutes=30), 10.0),      # gap longer than the frame
+        ("c", "j", "k", T0, 1.0),                                  # single-sample series
+    ]
+    got = {r.sample_id: r.increase for r in M.increase(_samples(spark, rows), "5 minutes", "1 hour").collect()}
+    assert got == {0: 0.0, 1: 3.0, 2: 3.0, 3: 7.0, 4: 6.0, 5: 0.0}
+    rate = {r.sample_id: r.rate for r in M.rate(_samples(spark, rows), "1 minute").collect()}
+    assert rate[1] == 3.0 / 60 and rate[3] == 4.0 / 60
+
+
+def test_latest_and_sums(spark):
+    rows = [("up", "w", "a", T0, 1.0), ("up", "w", "a", T0 + dt.timedelta(seconds=5), 0.0),
+            ("up", "w", "b", T0, 1.0), ("up", "m", "c", T0, 1.0), ("mem", "m", "c", T0, 2.0 ** 31)]
+    s = _samples(spark, rows)
+    latest = {(r.labels["instance"], r.metric): r.value for r in M.latest(s).collect()}
+    assert latest == {("a", "up"): 0.0, ("b", "up"): 1.0, ("c", "up"): 1.0, ("c", "mem"): 2.0 ** 31}
+    sums = {r.metric: r.value for r in M.sum_latest(s).collect()}
+    assert sums == {"up": 2.0, "mem": 2.0 ** 31}
+    by = {(r.metric, r.job): r.value for r in M.sum_latest(s, by=("job",)).collect()}
+    assert by == {("up", "w"): 1.0, ("up", "m"): 1.0, ("mem", "m"): 2.0 ** 31}
+    sel = M.sum_latest(M.select_series(s, "up", job="w")).first()
+    assert sel.value == 1.0
+    gib = M.sum_latest(M.select_series(s, "mem")).select(scale(F.col("value"), 1 / 1073741824).alias("g")).first()
+    assert gib.g == 2.0
+
+
+def test_instant_rate_sum(spark):
+    rows = [("cpu", "j", "a", T0 + dt.timedelta(seconds=10), 1.0), ("cpu", "j", "a", T0 + dt.timedelta(seconds=50), 7.0),
+            ("cpu", "j", "b", T0 + dt.timedelta(seconds=20), 2.0), ("cpu", "j", "b", T0 + dt.timedelta(seconds=60), 5.0),
+            ("cpu", "j", "b", T0 + dt.timedelta(seconds=61), 6.0)]
+    got = {r.eval_ts: r.value for r in M.instant_rate_sum(_samples(spark, rows), "1 minute", 100.0).collect()}
+    assert got == {T0 + dt.timedelta(minutes=1): (6.0 + 3.0) / 60 * 100, T0 + dt.timedelta(minutes=2): 1.0 / 60 * 100}
+
+
+def test_running_total_and_status(spark):
+    b = spark.createDataFrame([("bronze", 1, 5), ("bronze", 2, 0), ("bronze", 3, 2), ("silver", 1, 4)],
+                              "layer string, batch_id long, n long")
+    got = {(r.layer, r.batch_id): r.running_total for r in M.running_total(b).collect()}
+    assert got == {("bronze", 1): 5, ("bronze", 2): 5, ("bronze", 3): 7, ("silver", 1): 4}
+    v = spark.createDataFrame([(0.0,), (69.9,), (70.0,), (95.0,), (None,)], "v double")
+    assert [r[0] for r in v.select(status(F.col("v"), M.STEPS_CPU)).collect()] == ["green", "green", "orange", "red", None]
+    up = spark.createDataFrame([(0.0,), (1.0,)], "v double")
+    assert [r[0] for r in up.select(status(F.col("v"), M.STEPS_UP)).collect()] == ["red", "green"]
+
+
+def test_range_windows_partition_by_series_and_bucket(spark):
+    s = _samples(spark, _random_rows(n=20))
+    plan = M.increase(s, "5 minutes")._jdf.queryExecution().executedPlan().toString()
+    assert "_b" in plan and "Window" in plan
