@@ -53,3 +53,8 @@ def status(c, steps: Sequence[tuple[float | None, str]]) -> Column:
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     out = F.lit(base) if expr is None else expr.otherwise(F.lit(base))
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(out)
+
+
+def strip_ns(c) -> Column:
+    """C11: ``{namespace}tag`` -> ``tag``."""
+    return F.regexp_replace(_c(c), r"^.*\}", "")
