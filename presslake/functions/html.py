@@ -235,39 +235,39 @@ def body_text(html, container: Column | None = None) -> Column:
 
 # Balanced-<div> scan for the content container: regular expressions cannot
 # match nested divs, so this one step runs as an Arrow-batched helper and only
-# on pages that mention the container class (others pass NULL through).
-_DIV_TOKEN = re.compile(r"<(/?)div(?=[\s/>])[^>]*>", re.I)
-
-
-def _containers_of(html: str | None, start_re: re.Pattern) -> str | None:
-    if html is None:
-        return None
-    out = []
-    pos = 0
-    while True:
-        m = start_re.search(html, pos)
-        if not m:
-            break
-        depth = 1
-        inner_start = m.end()
-        end = len(html)
-        for t in _DIV_TOKEN.finditer(html, inner_start):
-            depth += -1 if t.group(1) else 1
-            if depth == 0:
-                end = t.start()
-                break
-        out.append(html[inner_start:end])
-        pos = end
-    return "".join(out) if out else None
-
-
+# on pages that mention the container class (others pass NULL through). The
+# helper is fully nested so it is shipped by value: executors need nothing
+# but the standard library and pandas.
 def container_html(html, class_token: str) -> Column:
     """Inner html of every ``<div class~=class_token>`` (outermost, balanced)."""
-    start_re = re.compile(start_tag("div", class_has(class_token))[len("(?is)"):], re.I | re.S)
+    start_pattern = start_tag("div", class_has(class_token))[len("(?is)"):]
 
     @F.pandas_udf(T.StringType())
     def _containers(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: _containers_of(h, start_re))
+        import re as _re
+
+        start_re = _re.compile(start_pattern, _re.I | _re.S)
+        div_token = _re.compile(r"<(/?)div(?:[\s/][^>]*)?>", _re.I)
+
+        def inner_of(h):
+            if h is None:
+                return None
+            out, pos = [], 0
+            while True:
+                m = start_re.search(h, pos)
+                if not m:
+                    break
+                depth, end = 1, len(h)
+                for t in div_token.finditer(h, m.end()):
+                    depth += -1 if t.group(1) else 1
+                    if depth == 0:
+                        end = t.start()
+                        break
+                out.append(h[m.end():end])
+                pos = end
+            return "".join(out) if out else None
+
+        return s.map(inner_of)
 
     html = _c(html)
     return _containers(F.when(F.instr(html, class_token) > 0, html))

@@ -127,9 +127,11 @@ def range_sum(d: DataFrame, frame: str | int, bucket: str | int = "1 hour",
         b_us = f_us
         d = d.withColumn("_b", floor_div(F.col("_t"), b_us))
     cols = d.columns
-    halo = (d.filter(F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us))
-            .withColumn("_b", F.col("_b") + 1).withColumn("_halo", F.lit(1)))
-    u = d.withColumn("_halo", F.lit(0)).unionByName(halo)
+    # one pass: every row is emitted for its own bucket and, when it lies in
+    # the last `frame` of that bucket, once more as a halo row of the next.
+    in_tail = F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us)
+    u = (d.withColumn("_halo", F.explode(F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+         .withColumn("_b", F.col("_b") + F.col("_halo")))
     w = (Window.partitionBy("metric", "_series", "_b").orderBy("_t")
          .rangeBetween(-(f_us - 1), 0))
     return (u.withColumn(out_col, F.sum(value_col).over(w))

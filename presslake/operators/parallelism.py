@@ -1,0 +1,43 @@
+"""Keep CPU-heavy expression stages as wide as the cluster.
+
+Regex extraction and cleaning are CPU-bound, narrow stages: their
+parallelism is the scan's split count. A large input already yields far
+more splits than cores (one per ``maxPartitionBytes``), and then nothing
+is done. A small input (one file, one row group) can yield a single busy
+task; only then are rows spread round-robin over the cores first. The
+decision uses the optimizer's size estimate (file metadata), no job runs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def _bytes(conf_value: str) -> int:
+    v = conf_value.strip().lower()
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if v.endswith("b"):
+        v = v[:-1]
+    if v and v[-1] in mult:
+        return int(float(v[:-1]) * mult[v[-1]])
+    return int(v)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
+    default parallelism) when its estimated size is below one split per
+    core; otherwise return it unchanged (no shuffle is added at scale)."""
+    spark = df.sparkSession
+    cores = min_partitions or spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    try:
+        size = estimated_bytes(df)
+    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
+        return df
+    if size < split * cores:
+        return df.repartition(cores)
+    return df

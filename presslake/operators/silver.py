@@ -11,18 +11,29 @@ from presslake.functions.dates import parse_date
 from presslake.functions.text import clean_text
 
 
-def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], where=None) -> DataFrame:
     """One row per key, the first by ``order`` (a unique tiebreak
-    should end ``order``).
+    should end ``order``); with ``where``, only rows satisfying it compete
+    and keys without such a row disappear.
 
-    Expressed as ``min_by`` in a hash/sort aggregate, not a window: the
-    partial aggregate collapses each key map-side before the shuffle, so a
-    key holding a large share of all rows never lands whole on one task.
+    Expressed as ``min_by`` in an aggregate, not a window: the partial
+    aggregate collapses each key map-side before the shuffle, so a key
+    holding a large share of all rows never lands whole on one task.
+    ``where`` is applied inside the aggregate (rows failing it get a NULL
+    ordering, which ``min_by`` ignores) rather than as a Filter, so the
+    optimizer cannot push it below an expensive projection such as a JSON
+    decode and evaluate that projection twice.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    winner = F.min_by(F.struct(*rest), F.struct(*order)).alias("_w")
-    return df.groupBy(*keys).agg(winner).select(*keys, "_w.*").select(*df.columns)
+    ordering = F.struct(*order)
+    if where is not None:
+        ordering = F.when(where, ordering)
+    winner = F.min_by(F.struct(*rest), ordering).alias("_w")
+    out = df.groupBy(*keys).agg(winner)
+    if where is not None:
+        out = out.filter(F.col("_w").isNotNull())
+    return out.select(*keys, "_w.*").select(*df.columns)
 
 
 def silver_columns(bronze: DataFrame) -> dict:
@@ -37,9 +48,14 @@ def silver_columns(bronze: DataFrame) -> dict:
     }
 
 
-def valid_articles(bronze: DataFrame) -> DataFrame:
+def is_valid_article():
     """raw title and url present (empty strings pass)."""
-    return bronze.filter(F.col("titre").isNotNull() & F.col("url").isNotNull())
+    return F.col("titre").isNotNull() & F.col("url").isNotNull()
+
+
+def valid_articles(bronze: DataFrame) -> DataFrame:
+    """F1 as a filter (streaming path, where dedup is stateful)."""
+    return bronze.filter(is_valid_article())
 
 
 def project_silver(df: DataFrame, with_ingestion: bool = True) -> DataFrame:
@@ -55,5 +71,5 @@ def to_silver(bronze: DataFrame, order: Sequence[str] = ("kafka_timestamp", "off
     """Batch silver: filter, de-duplicate on url (first arrival wins), then
     clean. Dedup runs before cleaning because cleaning never touches url."""
     order = [c for c in order if c in bronze.columns]
-    deduped = dedup_first(valid_articles(bronze), "url", order)
+    deduped = dedup_first(bronze, "url", order, where=is_valid_article())
     return project_silver(deduped, with_ingestion)

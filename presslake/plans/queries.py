@@ -33,12 +33,12 @@ def _derive(df: DataFrame, cols: dict[str, str]) -> DataFrame:
 # ---------------------------------------------------------------- fixtures as DataFrames
 
 def pages_with_head(spark, sf):
-    return _derive(table(spark, sf, "pages"), FX.pages_with_head_cols())
+    return _derive(table(spark, sf, "pages", cpu_heavy=True), FX.pages_with_head_cols())
 
 
 def article_messages(spark, sf) -> DataFrame:
     """Documents -> article records -> encoded messages (value, timestamp, offset)."""
-    arts = _derive(table(spark, sf, "documents"), FX.article_cols())
+    arts = _derive(table(spark, sf, "documents", cpu_heavy=True), FX.article_cols())
     arts = (arts.withColumnRenamed("msg_offset", "offset")
             .withColumn("timestamp", F.timestamp_seconds(F.lit(1704067200) + F.col("offset"))))
     return encode_messages(arts, timestamp_col="timestamp", keep=("offset",))
@@ -65,11 +65,11 @@ def _series_out(df: DataFrame) -> list:
 # ---------------------------------------------------------------- text / dates
 
 def q_clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
+    return table(spark, sf, "documents", cpu_heavy=True).select("doc_id", clean_text("text").alias("text_clean"))
 
 
 def q_clean_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", clean_text("html").alias("html_clean"))
+    return table(spark, sf, "pages", cpu_heavy=True).select("page_id", clean_text("html").alias("html_clean"))
 
 
 def q_title_preview(spark, sf):
@@ -89,7 +89,7 @@ def q_date_normalize(spark, sf):
 # ---------------------------------------------------------------- extraction
 
 def q_extract_title(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", cpu_heavy=True)
     return p.select("page_id", X.title_expr(F.col("html"), X.PROFILE_SEG3).alias("titre"),
                     X.title_expr(F.col("html"), X.PROFILE_SEG6).alias("titre_seg6"))
 
@@ -105,7 +105,7 @@ def q_extract_source(spark, sf):
 
 
 def q_extract_body(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", cpu_heavy=True)
     return p.select("page_id", X.body_expr(F.col("html"), X.PROFILE_SEG3).alias("contenu"))
 
 
@@ -185,7 +185,7 @@ def q_gold_top_categories(spark, sf):
 
 def q_top_categories_pages(spark, sf):
     """Flagship: top categories of cleaned, de-duplicated articles from pages."""
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", cpu_heavy=True)
     arts = X.extract_articles(p, X.PROFILE_SEG3, source="pages", as_of=FX.AS_OF)
     arts = arts.withColumn("kafka_timestamp", F.lit(None).cast("timestamp")).withColumnRenamed("page_id", "offset")
     silver = to_silver(arts.filter(F.col("error").isNull()), with_ingestion=False)
