@@ -69,6 +69,7 @@ class Selector:
     tag: str | None
     cond: str
     within: str | None = None
+    guard: str | None = None     # literal that must occur in the page for a match
 
     def pattern(self) -> tuple[str, int]:
         """(regex, group number of the element's tag name)."""
@@ -89,6 +90,10 @@ def element(html, sel: Selector) -> tuple[Column, Column]:
     html = _c(html)
     pat, name_group = sel.pattern()
     exists = html.rlike(pat)
+    if sel.guard:
+        # a byte search on the UTF-8 page skips the regex on pages that
+        # cannot match (And short-circuits)
+        exists = (F.instr(html, sel.guard) > 0) & exists
     full = pat + r"(.*?)</\%d\s*>" % name_group
     inner = F.regexp_extract(html, full, name_group + 1)
     return exists, html_text(inner)
@@ -103,6 +108,75 @@ def first_tag_inner(html, tag: str) -> tuple[Column, Column]:
     return exists, inner
 
 
+# ---------------------------------------------------------------- page parts
+
+META_TAG_RE = r"(?is)<meta(?:\s[^>]*)?>"
+H1_RE = r"(?is)<h1(?:\s[^>]*)?>(.*?)(?:</h1\s*>|\z)"
+TIME_TAG_RE = r"(?is)<time(?:[\s/][^>]*)?>"
+
+
+@dataclass(frozen=True)
+class Parts:
+    """The few page fragments the field rules read, each found by one pass
+    over the page: all ``<meta>`` tags, the first ``<h1>`` element, the
+    first ``<time>`` tag and all JSON-LD script bodies. Rules then run on
+    these short strings instead of rescanning the page per rule."""
+    html: Column
+    metas: Column
+    h1: Column
+    time_tag: Column
+    ld: Column
+
+
+PART_COLUMNS = ("_p_metas", "_p_h1", "_p_time", "_p_ld")
+
+
+def part_exprs(html) -> dict[str, Column]:
+    html = _c(html)
+    return {
+        "_p_metas": F.regexp_extract_all(html, F.lit(META_TAG_RE), 0),
+        "_p_h1": F.regexp_extract(html, H1_RE, 0),
+        "_p_time": F.regexp_extract(html, TIME_TAG_RE, 0),
+        "_p_ld": F.regexp_extract_all(html, F.lit(LD_SCRIPT_RE), 1),
+    }
+
+
+def inline_parts(html) -> Parts:
+    """Parts as expressions over ``html`` (for a single rule on its own)."""
+    e = part_exprs(html)
+    return Parts(_c(html), e["_p_metas"], e["_p_h1"], e["_p_time"], e["_p_ld"])
+
+
+def column_parts(html: str = "html") -> Parts:
+    """Parts read from columns materialised by a previous ``select``."""
+    return Parts(F.col(html), F.col("_p_metas"), F.col("_p_h1"), F.col("_p_time"), F.col("_p_ld"))
+
+
+def title_of(parts: Parts) -> tuple[Column, Column]:
+    """(exists, inner html) of the first ``<h1>``; unclosed runs to the end."""
+    return parts.h1 != "", F.regexp_extract(parts.h1, H1_RE, 1)
+
+
+def meta_of(parts: Parts, attr: str, value: str, content_attr: str = "content") -> tuple[Column, Column]:
+    """(exists, content) of the first ``<meta attr="value">``."""
+    cond = "(?is)" + attr_eq(attr, value)
+    tag = F.get(F.filter(parts.metas, lambda m: m.rlike(cond)), 0)
+    return tag.isNotNull(), _attr_of(F.coalesce(tag, F.lit("")), content_attr)
+
+
+def time_of(parts: Parts, attr: str = "datetime") -> tuple[Column, Column]:
+    return parts.time_tag != "", _attr_of(parts.time_tag, attr)
+
+
+def ld_first_of(parts: Parts) -> tuple[Column, Column]:
+    return F.size(parts.ld) > 0, strip_ws(F.get(parts.ld, 0))
+
+
+def ld_first_date_of(parts: Parts) -> Column:
+    dates = F.transform(parts.ld, ld_date)
+    return F.get(F.filter(dates, lambda d: d.isNotNull() & (d != "")), 0)
+
+
 def _attr_of(tag_text: Column, attr: str) -> Column:
     """Value of ``attr`` in one start tag ('' when absent), entities decoded."""
     a = re.escape(attr)
@@ -271,3 +345,9 @@ def container_html(html, class_token: str) -> Column:
 
     html = _c(html)
     return _containers(F.when(F.instr(html, class_token) > 0, html))
+
+
+def with_parts(df, html: str = "html"):
+    """``df`` plus the page-part columns (one pass per fragment), for rules
+    applied through :func:`column_parts`."""
+    return df.select("*", *[v.alias(k) for k, v in part_exprs(F.col(html)).items()])

@@ -61,11 +61,11 @@ PROFILE_SEG3 = Profile(
     category_index=3,
     title_default="",
     author_selectors=(
-        H.Selector(None, H.class_has("article-author-name")),
-        H.Selector(None, H.class_has("author-link")),
-        H.Selector(None, H.class_has("article__author-name")),
-        H.Selector(None, H.class_contains("ArticleAuthor")),
-        H.Selector(None, H.attr_eq("data-testid", "article-author")),
+        H.Selector(None, H.class_has("article-author-name"), guard="article-author-name"),
+        H.Selector(None, H.class_has("author-link"), guard="author-link"),
+        H.Selector(None, H.class_has("article__author-name"), guard="article__author-name"),
+        H.Selector(None, H.class_contains("ArticleAuthor"), guard="ArticleAuthor"),
+        H.Selector(None, H.attr_eq("data-testid", "article-author"), guard="article-author"),
     ),
     author_from_jsonld=True,
     date_metas=(
@@ -87,12 +87,13 @@ PROFILE_SEG6 = Profile(
     category_index=6,
     title_default="Sans titre",
     author_selectors=(
-        H.Selector(None, H.class_has("byline__name"), within=H.attr_eq("data-component-name", "byline")),
-        H.Selector(None, H.class_has("byline__name")),
-        H.Selector(None, H.class_has("headline__sub-description")),
-        H.Selector(None, H.class_contains("byline")),
+        H.Selector(None, H.class_has("byline__name"), within=H.attr_eq("data-component-name", "byline"),
+                   guard="byline__name"),
+        H.Selector(None, H.class_has("byline__name"), guard="byline__name"),
+        H.Selector(None, H.class_has("headline__sub-description"), guard="headline__sub-description"),
+        H.Selector(None, H.class_contains("byline"), guard="byline"),
         H.Selector("span", H.class_contains("author", case_insensitive=True)),
-        H.Selector(None, H.attr_eq("data-testid", "byline")),
+        H.Selector(None, H.attr_eq("data-testid", "byline"), guard="byline"),
     ),
     author_from_jsonld=False,
     date_metas=(
@@ -109,44 +110,50 @@ PROFILE_SEG6 = Profile(
 PROFILES = {p.name: p for p in (PROFILE_SEG3, PROFILE_SEG6)}
 
 
-def title_expr(html: Column, profile: Profile) -> Column:
+def _parts(html: Column, parts: H.Parts | None) -> H.Parts:
+    return parts if parts is not None else H.inline_parts(html)
+
+
+def title_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
     """Text of the first ``<h1>``; the profile default without one."""
-    exists, inner = H.first_tag_inner(html, "h1")
+    exists, inner = H.title_of(_parts(html, parts))
     return F.when(exists, html_text(inner)).otherwise(F.lit(profile.title_default))
 
 
-def author_expr(html: Column, profile: Profile) -> Column:
+def author_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
     """Non-empty author meta -> first existing selector element ->
     first JSON-LD script (seg3) -> default."""
-    m_exists, m_content = H.meta(html, "name", "author")
+    p = _parts(html, parts)
+    m_exists, m_content = H.meta_of(p, "name", "author")
     stages = [(m_exists & (m_content != ""), m_content)]
-    stages += [H.element(html, sel) for sel in profile.author_selectors]
+    stages += [H.element(p.html, sel) for sel in profile.author_selectors]
     if profile.author_from_jsonld:
-        ld_exists, ld_body = H.ld_first(html)
+        ld_exists, ld_body = H.ld_first_of(p)
         stages.append((ld_exists, H.ld_author(ld_body, profile.author_default)))
     return H.first_existing(stages, F.lit(profile.author_default))
 
 
-def raw_date_expr(html: Column, profile: Profile) -> Column:
+def raw_date_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
     """Raw date text or NULL.
 
     Meta stage: the first existing meta of the profile's list; its content
     if non-empty (an empty one falls through to the next stage). Then the
     first ``<time>``'s ``datetime``; then JSON-LD ``datePublished``.
     """
-    metas = [H.meta(html, a, v) for a, v in profile.date_metas]
+    p = _parts(html, parts)
+    metas = [H.meta_of(p, a, v) for a, v in profile.date_metas]
     meta_content = H.first_existing(metas)
     stage_values = [F.nullif(meta_content, F.lit(""))]
     if profile.date_from_time_tag:
-        t_exists, t_value = H.first_tag_attr(html, "time", "datetime")
+        t_exists, t_value = H.time_of(p)
         stage_values.append(F.when(t_exists & (t_value != ""), t_value))
     if profile.date_from_jsonld:
-        stage_values.append(H.ld_first_date(html))
+        stage_values.append(H.ld_first_date_of(p))
     return F.coalesce(*stage_values) if len(stage_values) > 1 else stage_values[0]
 
 
-def date_expr(html: Column, profile: Profile, as_of: str | None) -> Column:
-    raw = raw_date_expr(html, profile)
+def date_expr(html: Column, profile: Profile, as_of: str | None, parts: H.Parts | None = None) -> Column:
+    raw = raw_date_expr(html, profile, parts)
     if profile.normalize_date:
         raw = normalize_date(raw)
     return F.coalesce(raw, now_text(profile.now_format, as_of))
@@ -175,12 +182,20 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     rerun gives identical rows. A page whose ``html`` is NULL (not
     captured) is a failed extraction: all fields NULL and ``error`` set.
     """
-    html, url = F.col("html"), F.col("url")
+    url = F.col("url")
     src = F.lit(source) if source is not None else url_host(url)
+    keep_cols = [k for k in keep if k in pages.columns]
+    # stage 1: one pass per page fragment; stage 2: the rules on fragments.
+    # The fragments are referenced by several rules, so Catalyst keeps the
+    # two projections apart and each fragment is computed once per page.
+    staged = pages.select(*keep_cols, "url", "html",
+                          *[v.alias(k) for k, v in H.part_exprs(F.col("html")).items()])
+    html = F.col("html")
+    parts = H.column_parts("html")
     fields = {
-        "titre": title_expr(html, profile),
-        "auteur": author_expr(html, profile),
-        "date_publication": date_expr(html, profile, as_of),
+        "titre": title_expr(html, profile, parts),
+        "auteur": author_expr(html, profile, parts),
+        "date_publication": date_expr(html, profile, as_of, parts),
         "categorie": category_expr(url, profile),
         "contenu": body_expr(html, profile, with_container),
         "source": src,
@@ -189,7 +204,7 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     if "scraped_at" in profile.extra_fields:
         fields["scraped_at"] = now_text(profile.now_format, as_of)
     failed = html.isNull()
-    cols = [F.col(k) for k in keep if k in pages.columns]
+    cols = [F.col(k) for k in keep_cols]
     cols += [F.when(~failed, v).alias(k) if k != "url" else url.alias("url") for k, v in fields.items()]
     cols.append(F.when(failed, F.lit("page not captured")).alias("error"))
-    return pages.select(*cols)
+    return staged.select(*cols)

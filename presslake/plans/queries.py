@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from presslake.functions.dates import normalize_date, parse_date
 from presslake.functions.scalars import scale, url_host
 from presslake.functions.text import clean_text, preview
+from presslake.functions import html as H
 from presslake.operators import extract as X
 from presslake.operators import gold as G
 from presslake.operators import incremental as I
@@ -89,9 +90,10 @@ def q_date_normalize(spark, sf):
 # ---------------------------------------------------------------- extraction
 
 def q_extract_title(spark, sf):
-    p = table(spark, sf, "pages", cpu_heavy=True)
-    return p.select("page_id", X.title_expr(F.col("html"), X.PROFILE_SEG3).alias("titre"),
-                    X.title_expr(F.col("html"), X.PROFILE_SEG6).alias("titre_seg6"))
+    p = H.with_parts(table(spark, sf, "pages", cpu_heavy=True))
+    parts = H.column_parts()
+    return p.select("page_id", X.title_expr(F.col("html"), X.PROFILE_SEG3, parts).alias("titre"),
+                    X.title_expr(F.col("html"), X.PROFILE_SEG6, parts).alias("titre_seg6"))
 
 
 def q_extract_category(spark, sf):
@@ -110,13 +112,14 @@ def q_extract_body(spark, sf):
 
 
 def q_extract_author(spark, sf):
-    p = pages_with_head(spark, sf)
-    return p.select("page_id", X.author_expr(F.col("html"), X.PROFILE_SEG3).alias("auteur"))
+    p = H.with_parts(pages_with_head(spark, sf))
+    return p.select("page_id", X.author_expr(F.col("html"), X.PROFILE_SEG3, H.column_parts()).alias("auteur"))
 
 
 def q_extract_date(spark, sf):
-    p = pages_with_head(spark, sf)
-    return p.select("page_id", X.date_expr(F.col("html"), X.PROFILE_SEG3, FX.AS_OF).alias("date_publication"))
+    p = H.with_parts(pages_with_head(spark, sf))
+    return p.select("page_id", X.date_expr(F.col("html"), X.PROFILE_SEG3, FX.AS_OF, H.column_parts())
+                    .alias("date_publication"))
 
 
 def q_extract_articles(spark, sf):
