@@ -19,6 +19,9 @@ def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], w
     Expressed as ``min_by`` in an aggregate, not a window: the partial
     aggregate collapses each key map-side before the shuffle, so a key
     holding a large share of all rows never lands whole on one task.
+    One ``min_by`` per column (all with the same ordering) rather than one
+    over a struct of the row: Catalyst drops the aggregates nobody reads,
+    so unused columns are neither computed upstream nor shuffled.
     ``where`` is applied inside the aggregate (rows failing it get a NULL
     ordering, which ``min_by`` ignores) rather than as a Filter, so the
     optimizer cannot push it below an expensive projection such as a JSON
@@ -29,11 +32,12 @@ def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], w
     ordering = F.struct(*order)
     if where is not None:
         ordering = F.when(where, ordering)
-    winner = F.min_by(F.struct(*rest), ordering).alias("_w")
-    out = df.groupBy(*keys).agg(winner)
+    aggs = [F.min_by(F.col(c), ordering).alias(c) for c in rest]
+    aggs.append(F.min(ordering).alias("_winner"))
+    out = df.groupBy(*keys).agg(*aggs)
     if where is not None:
-        out = out.filter(F.col("_w").isNotNull())
-    return out.select(*keys, "_w.*").select(*df.columns)
+        out = out.filter(F.col("_winner").isNotNull())
+    return out.select(*df.columns)
 
 
 def silver_columns(bronze: DataFrame) -> dict:

@@ -260,6 +260,15 @@ def oracle_sql() -> dict[str, str]:
                              f"{d_author('html', P3)} AS auteur, {d_date('html', P3, FX.AS_OF)} AS date_publication, "
                              f"{seg3_cat} AS categorie, {d_body('html')} AS contenu, {d_host('url')} AS source, url "
                              f"FROM {PAGES_HEAD} p")
+    P6 = X.PROFILE_SEG6
+    q["extract_author_seg6"] = f"SELECT page_id, {d_author('html', P6)} AS auteur FROM {PAGES_HEAD} p"
+    now6 = FX.AS_OF.replace(" ", "T") + ".000000"   # the seg6 clock format
+    q["extract_date_seg6"] = (f"SELECT page_id, {d_date('html', P6, now6)} AS date_publication "
+                              f"FROM {PAGES_HEAD} p")
+    q["extract_articles_seg6"] = (f"SELECT page_id, {d_title('html', P6.title_default)} AS titre, "
+                                  f"{d_author('html', P6)} AS auteur, {d_date('html', P6, now6)} AS date_publication, "
+                                  f"{d_category('url', 6)} AS categorie, {d_body('html')} AS contenu, "
+                                  f"'seg6' AS source, url, {lit(now6)} AS scraped_at FROM {PAGES_HEAD} p")
     q["message_decode"] = "SELECT event_id, props->>'k' AS k, ts AS kafka_timestamp FROM events"
     q["message_roundtrip"] = (f"SELECT msg_offset AS doc_id, titre, auteur, date_publication, categorie, contenu, "
                               f"source, url FROM {ARTICLES} a")

@@ -122,6 +122,22 @@ def q_extract_date(spark, sf):
                     .alias("date_publication"))
 
 
+def q_extract_author_seg6(spark, sf):
+    p = H.with_parts(pages_with_head(spark, sf))
+    return p.select("page_id", X.author_expr(F.col("html"), X.PROFILE_SEG6, H.column_parts()).alias("auteur"))
+
+
+def q_extract_date_seg6(spark, sf):
+    p = H.with_parts(pages_with_head(spark, sf))
+    return p.select("page_id", X.date_expr(F.col("html"), X.PROFILE_SEG6, FX.AS_OF, H.column_parts())
+                    .alias("date_publication"))
+
+
+def q_extract_articles_seg6(spark, sf):
+    arts = X.extract_articles(pages_with_head(spark, sf), X.PROFILE_SEG6, source="seg6", as_of=FX.AS_OF)
+    return arts.drop("error")
+
+
 def q_extract_articles(spark, sf):
     arts = X.extract_articles(pages_with_head(spark, sf), X.PROFILE_SEG3, as_of=FX.AS_OF)
     return arts.drop("error")
@@ -330,6 +346,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_author": q_extract_author,
     "extract_date": q_extract_date,
     "extract_articles": q_extract_articles,
+    "extract_author_seg6": q_extract_author_seg6,
+    "extract_date_seg6": q_extract_date_seg6,
+    "extract_articles_seg6": q_extract_articles_seg6,
     "message_decode": q_message_decode,
     "message_roundtrip": q_message_roundtrip,
     "silver_articles": q_silver_articles,
