@@ -32,9 +32,10 @@ def dedup_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str], w
     ordering = F.struct(*order)
     if where is not None:
         ordering = F.when(where, ordering)
-    aggs = [F.min_by(F.col(c), ordering).alias(c) for c in rest]
-    aggs.append(F.min(ordering).alias("_winner"))
-    out = df.groupBy(*keys).agg(*aggs)
+    # the ordering is materialised once per row, not once per aggregate
+    aggs = [F.min_by(F.col(c), F.col("_ord")).alias(c) for c in rest]
+    aggs.append(F.min("_ord").alias("_winner"))
+    out = df.withColumn("_ord", ordering).groupBy(*keys).agg(*aggs)
     if where is not None:
         out = out.filter(F.col("_winner").isNotNull())
     return out.select(*df.columns)

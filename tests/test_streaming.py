@@ -96,3 +96,28 @@ def test_start_bronze_processing_time_trigger_and_stop(spark, scratch):
                       trigger="available_now", partition_by="date_parsed")
     qs.awaitTermination()
     assert os.path.isdir(f"{scratch}/s/date_parsed=2026-05-20")
+
+
+def test_batch_count_listener(spark, scratch):
+    import time
+
+    from presslake.streaming.feeds import BatchCountListener, batches_to_samples
+
+    listener = BatchCountListener()
+    spark.streams.addListener(listener)
+    try:
+        msgs = f"{scratch}/lm"
+        _write_batch(spark, msgs, [_article(0, "u1"), _article(1, "u2")], 0)
+        _write_batch(spark, msgs, [_article(2, "u3")], 10)
+        q = start_bronze(read_messages(spark, msgs, max_files_per_trigger=1), f"{scratch}/lb", f"{scratch}/lck",
+                         trigger="available_now", query_name="bronze")
+        q.awaitTermination()
+        deadline = time.time() + 30
+        while sum(r[3] for r in listener.rows) < 3 and time.time() < deadline:
+            time.sleep(0.2)
+        b = listener.to_df(spark)
+        assert sorted(r.n for r in b.collect()) == [1, 2]
+        samples = batches_to_samples(b).collect()
+        assert max(r.value for r in samples) == 3.0
+    finally:
+        spark.streams.removeListener(listener)
