@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 from presslake.functions.dates import parse_timestamp
 from presslake.operators.extract import PROFILE_SEG3, Profile, extract_articles
+from presslake.operators.joins import restrict_to_keys
 from presslake.operators.listing import drop_media, newer_than, valid_entries
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, key: str = "url") -> DataFrame:
     """Candidates whose key was never ingested (left anti join).
 
-    The seen keys are de-duplicated first: the partial aggregate collapses
-    repeated keys map-side, and the join then reuses that hash
-    partitioning. No broadcast hint: the seen set grows without bound, AQE
-    broadcasts it only when runtime statistics show it is small.
+    The seen set grows without bound and is never broadcast. It is first
+    cut down to the candidates' keys (broadcast semi join when the
+    candidates are provably few), then de-duplicated (map-side partial
+    aggregate, so a repeated key never piles up in one task); the anti
+    join then only sees that small remainder.
     """
-    return candidates.join(seen.select(key).distinct(), key, "left_anti")
+    relevant = restrict_to_keys(seen.select(key), candidates, key).distinct()
+    return candidates.join(relevant, key, "left_anti")
 
 
 def newest_by_source(articles: DataFrame, mode: str = "timestamp") -> DataFrame:
@@ -78,7 +81,9 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
     cand = cand.withColumnRenamed("loc", "url")
     if seen is not None:
         cand = unseen(cand, seen, "url")
-    joined = cand.join(pages.select("url", "html"), "url", "left")
+    # only the captured pages of the candidates are read into the join
+    captured = restrict_to_keys(pages.select("url", "html"), cand, "url")
+    joined = cand.join(captured, "url", "left")
     arts = extract_articles(joined.withColumnRenamed("source", "_listing_source"), profile,
                             source=source, as_of=as_of, keep=("position", "pub_date", "_listing_source"))
     if source is None:

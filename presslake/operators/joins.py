@@ -18,3 +18,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``big`` whose ``key`` occurs in ``keys``.
+
+    An increment (new listing entries, candidate URLs) is usually tiny next
+    to the store it is matched against (all captured pages, all URLs ever
+    seen). Outer and anti joins can only broadcast their right side, so the
+    big store would be shuffled on every run; a left-semi join against the
+    candidate keys instead broadcasts the keys (after the size check) and
+    reads the store once, narrow. Beyond the bound it is a regular
+    shuffle semi join.
+    """
+    k = keys.select(key).distinct()
+    return big.join(broadcast_if_small(k, max_rows), key, "left_semi")
