@@ -2,8 +2,8 @@
 
 from presslake.streaming.layers import (
     bronze_stream, dedup_stream, progress_rows, run_available_now, silver_stream,
-    start_bronze, start_silver, trigger_kwargs,
+    start_bronze, start_gold_stream, start_silver, trigger_kwargs,
 )
 
 __all__ = ["bronze_stream", "dedup_stream", "progress_rows", "run_available_now", "silver_stream",
-           "start_bronze", "start_silver", "trigger_kwargs"]
+           "start_bronze", "start_gold_stream", "start_silver", "trigger_kwargs"]

@@ -110,3 +110,20 @@ def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
         rows.append((query.name, int(p.batchId), int(p.numInputRows),
                      obs.get("bronze_rows", obs.get("silver_rows"))))
     return spark.createDataFrame(rows, "query string, batch_id long, num_input_rows long, observed_rows long")
+
+
+def start_gold_stream(silver: DataFrame, target, checkpoint: str, trigger: str | None = "5 minutes",
+                      query_name: str = "gold") -> StreamingQuery:
+    """R11 streaming form of the gold job: the one-pass GROUPING SETS count
+    kept as complete-mode streaming state (one row per group), and each
+    epoch's result split into the four tables and overwritten through
+    ``foreachBatch`` (the gold tables are small: one row per group)."""
+    from presslake.operators.gold import gold_one_pass, split_gold
+    from presslake.sinks.writers import write_gold
+
+    def publish(batch: DataFrame, epoch_id: int) -> None:
+        write_gold(split_gold(batch), target)
+
+    return (gold_one_pass(silver).writeStream.queryName(query_name).outputMode("complete")
+            .option("checkpointLocation", checkpoint).foreachBatch(publish)
+            .trigger(**trigger_kwargs(trigger)).start())

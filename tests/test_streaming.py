@@ -121,3 +121,22 @@ def test_batch_count_listener(spark, scratch):
         assert max(r.value for r in samples) == 3.0
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_gold_stream_complete_mode(spark, scratch):
+    from presslake.sinks import GoldTarget
+    from presslake.streaming import start_gold_stream
+
+    silver_dir = f"{scratch}/silver_in"
+    schema = "url string, date_parsed date, source string, categorie_clean string"
+    spark.createDataFrame([("u1", dt.date(2026, 1, 1), "S1", "a"), ("u2", dt.date(2026, 1, 2), "S2", "a")],
+                          schema).write.parquet(silver_dir)
+    target = GoldTarget(kind="parquet", path=f"{scratch}/gold")
+    sdf = spark.readStream.schema(schema).parquet(silver_dir)
+    start_gold_stream(sdf, target, f"{scratch}/gck", trigger="available_now").awaitTermination()
+    spark.createDataFrame([("u3", None, "S1", "b")], schema).write.mode("append").parquet(silver_dir)
+    start_gold_stream(spark.readStream.schema(schema).parquet(silver_dir), target, f"{scratch}/gck",
+                      trigger="available_now").awaitTermination()
+    top = {r.categorie_clean: r.total for r in spark.read.parquet(f"{scratch}/gold/top_categories").collect()}
+    src = {r.source: r.nombre_articles for r in spark.read.parquet(f"{scratch}/gold/articles_par_source").collect()}
+    assert top == {"a": 2, "b": 1} and src == {"S1": 2, "S2": 1}
