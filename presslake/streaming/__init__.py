@@ -2,8 +2,9 @@
 
 from presslake.streaming.layers import (
     bronze_stream, dedup_stream, progress_rows, run_available_now, silver_stream,
-    start_bronze, start_gold_stream, start_silver, trigger_kwargs,
+    start_bronze, start_gold_stream, start_silver, start_silver_table_dedup, trigger_kwargs,
 )
 
 __all__ = ["bronze_stream", "dedup_stream", "progress_rows", "run_available_now", "silver_stream",
-           "start_bronze", "start_gold_stream", "start_silver", "trigger_kwargs"]
+           "start_bronze", "start_gold_stream", "start_silver",
+           "start_silver_table_dedup", "trigger_kwargs"]

@@ -127,3 +127,46 @@ def start_gold_stream(silver: DataFrame, target, checkpoint: str, trigger: str |
     return (gold_one_pass(silver).writeStream.queryName(query_name).outputMode("complete")
             .option("checkpointLocation", checkpoint).foreachBatch(publish)
             .trigger(**trigger_kwargs(trigger)).start())
+
+
+def start_silver_table_dedup(bronze: DataFrame, silver_path: str, seen_path: str, checkpoint: str,
+                             trigger: str | None = "1 minute",
+                             order: tuple[str, ...] = ("kafka_timestamp", "offset"),
+                             query_name: str = "silver_table_dedup") -> StreamingQuery:
+    """Silver with skew-tolerant global dedup (``foreachBatch``).
+
+    The stateful ``dropDuplicates`` routes every row of a key to one state
+    partition, so a URL carrying a large share of a micro-batch lands in
+    one task. Here each micro-batch is de-duplicated with the map-side
+    combining aggregate (``dedup_first``), then anti-joined with the table
+    of URLs already admitted (cut down to the batch's keys first), and the
+    survivors are appended to silver and to the seen table.
+
+    Exactly once: both writes go to the partition ``epoch=<batch id>`` with
+    dynamic partition overwrite, and earlier attempts of the same epoch are
+    ignored when reading the seen table, so a replayed epoch rewrites the
+    same rows. Silver gains an ``epoch`` partition column.
+    """
+    from pyspark.errors import AnalysisException
+
+    from presslake.operators.joins import restrict_to_keys
+    from presslake.operators.silver import dedup_first, is_valid_article
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        ordered = [c for c in order if c in batch.columns]
+        winners = dedup_first(batch, "url", ordered, where=is_valid_article())
+        try:
+            seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
+            winners = winners.join(restrict_to_keys(seen, winners, "url").distinct(), "url", "left_anti")
+        except AnalysisException:
+            pass  # first epoch: nothing seen yet
+        out = project_silver(winners).withColumn("epoch", F.lit(epoch_id))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("epoch").parquet(silver_path))
+        admitted = spark.read.parquet(f"{silver_path}/epoch={epoch_id}").select("url")
+        (admitted.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(seen_path))
+
+    return (bronze.writeStream.queryName(query_name).option("checkpointLocation", checkpoint)
+            .foreachBatch(process).trigger(**trigger_kwargs(trigger)).start())

@@ -140,3 +140,25 @@ def test_gold_stream_complete_mode(spark, scratch):
     top = {r.categorie_clean: r.total for r in spark.read.parquet(f"{scratch}/gold/top_categories").collect()}
     src = {r.source: r.nombre_articles for r in spark.read.parquet(f"{scratch}/gold/articles_par_source").collect()}
     assert top == {"a": 2, "b": 1} and src == {"S1": 2, "S2": 1}
+
+
+def test_table_dedup_across_batches_with_hot_key(spark, scratch):
+    from presslake.streaming import start_silver_table_dedup
+
+    msgs, bronze, ck = f"{scratch}/tm", f"{scratch}/tb", f"{scratch}/tck"
+    # one hot url holds most rows of the first batch
+    _write_batch(spark, msgs, [_article(i, "hot") for i in range(30)] + [_article(99, "u1")], 0)
+    run_available_now(spark, read_messages(spark, msgs), bronze, f"{scratch}/unused_silver", ck)
+
+    def run():
+        q = start_silver_table_dedup(bronze_stream(spark, bronze), f"{scratch}/ts", f"{scratch}/seen",
+                                     f"{scratch}/tsck", trigger="available_now")
+        q.awaitTermination()
+        return sorted(r.url for r in spark.read.parquet(f"{scratch}/ts").collect())
+
+    assert run() == ["hot", "u1"]
+    first = spark.read.parquet(f"{scratch}/ts").filter("url = 'hot'").first()
+    assert first.contenu_clean == "body 0 x"                       # first arrival won
+    _write_batch(spark, msgs, [_article(100, "hot"), _article(101, "u2")], 200)
+    run_available_now(spark, read_messages(spark, msgs), bronze, f"{scratch}/unused_silver", ck)
+    assert run() == ["hot", "u1", "u2"]                            # hot not admitted twice
