@@ -87,61 +87,60 @@ def sum_latest(samples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return cur.groupBy(*keys).agg(F.sum("value").alias("value"))
 
 
-def deltas(samples: DataFrame, bucket: str | int = "1 hour") -> DataFrame:
-    """Reset-aware per-sample delta: 0 for a series' first sample, ``v - prev``
-    when the counter grew, ``v`` after a reset (``v < prev``).
-
-    The previous sample of a bucket's first row lives in an earlier
-    non-empty bucket: the last sample of every (series, bucket) — a small
-    aggregate — is carried into the next non-empty bucket as a halo row.
+def _bucketed(samples: DataFrame, b_us: int, f_us: int) -> DataFrame:
+    """Samples laid out for per-(series, bucket) windows, with reset-aware
+    ``delta`` computed, in ONE shuffle of the samples.
+
+    Partition (series, b) receives: its own rows (``_halo=0``); copies of
+    bucket b-1's rows within ``f_us`` of b's start (``_halo=1``, they fall
+    in the frames of b's rows); and one carry row (``_halo=2``), the last
+    sample before those copies, so the first copied row has its previous
+    sample. The carry comes from a per-(series, bucket) aggregate (head =
+    last sample outside the tail, last = last sample) and a window over
+    that small table, never over the samples of a whole series.
     """
-    b_us = _interval_us(bucket)
     s = with_series(samples).withColumn("_b", floor_div(F.col("_t"), b_us))
-    last = (s.groupBy("metric", "_series", "_b")
-            .agg(F.max_by(F.struct("_t", "sample_id", "value"), F.struct("_t", "sample_id")).alias("_l")))
-    nxt = F.lead("_b").over(Window.partitionBy("metric", "_series").orderBy("_b"))
-    carry = (last.withColumn("_nb", nxt).filter(F.col("_nb").isNotNull())
-             .select("metric", "_series", F.col("_nb").alias("_b"), F.col("_l._t").alias("_t"),
-                     F.col("_l.sample_id").alias("sample_id"), F.col("_l.value").alias("value"),
-                     F.lit(1).alias("_halo")))
-    own = s.withColumn("_halo", F.lit(0))
+    in_tail = F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us)
+    point = F.struct("_t", "sample_id", "value")
+    order = F.struct("_t", "sample_id")
+    agg = (s.groupBy("metric", "_series", "_b")
+           .agg(F.max_by(point, F.when(~in_tail, order)).alias("_head"), F.max_by(point, order).alias("_last")))
+    w = Window.partitionBy("metric", "_series").orderBy("_b")
+    adjacent = F.lag("_b").over(w) == F.col("_b") - 1
+    carry_pt = F.when(adjacent, F.coalesce(F.lag("_head").over(w), F.lag("_last", 2).over(w))) \
+        .otherwise(F.lag("_last").over(w))
+    carry = (agg.select("metric", "_series", "_b", carry_pt.alias("_c")).filter(F.col("_c").isNotNull())
+             .select("metric", "_series", "_b", F.col("_c._t").alias("_t"), F.col("_c.sample_id").alias("sample_id"),
+                     F.col("_c.value").alias("value"), F.lit(2).alias("_halo")))
+    own = (s.withColumn("_halo", F.explode(F.when(in_tail, F.array(F.lit(0), F.lit(1)))
+                                           .otherwise(F.array(F.lit(0)))))
+           .withColumn("_b", F.col("_b") + F.col("_halo")))
     u = own.unionByName(carry, allowMissingColumns=True)
-    w = Window.partitionBy("metric", "_series", "_b").orderBy("_t", "sample_id")
-    prev = F.lag("value").over(w)
+    wp = Window.partitionBy("metric", "_series", "_b").orderBy("_t", "sample_id")
+    prev = F.lag("value").over(wp)
     delta = (F.when(prev.isNull(), F.lit(0.0))
              .when(F.col("value") >= prev, F.col("value") - prev)
              .otherwise(F.col("value")))
-    return u.withColumn("delta", delta).filter(F.col("_halo") == 0).drop("_halo")
-
+    return u.withColumn("delta", delta)
 
-def range_sum(d: DataFrame, frame: str | int, bucket: str | int = "1 hour",
-              value_col: str = "delta", out_col: str = "increase") -> DataFrame:
-    """Sum of ``value_col`` over the left-open frame ``(t - frame, t]`` per series.
 
-    Rows within ``frame`` of the next bucket's start are copied into that
-    bucket as halo rows (at most once, since frame <= bucket), so each
-    (series, bucket) window sees every row its frames reach.
-    """
-    f_us, b_us = _interval_us(frame), _interval_us(bucket)
-    if f_us > b_us:
-        b_us = f_us
-        d = d.withColumn("_b", floor_div(F.col("_t"), b_us))
-    cols = d.columns
-    # one pass: every row is emitted for its own bucket and, when it lies in
-    # the last `frame` of that bucket, once more as a halo row of the next.
-    in_tail = F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us)
-    u = (d.withColumn("_halo", F.explode(F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-         .withColumn("_b", F.col("_b") + F.col("_halo")))
-    w = (Window.partitionBy("metric", "_series", "_b").orderBy("_t")
-         .rangeBetween(-(f_us - 1), 0))
-    return (u.withColumn(out_col, F.sum(value_col).over(w))
-            .filter(F.col("_halo") == 0).select(*cols, out_col))
+def deltas(samples: DataFrame, bucket: str | int = "1 hour") -> DataFrame:
+    """Reset-aware per-sample delta: 0 for a series' first sample, ``v - prev``
+    when the counter grew, ``v`` after a reset (``v < prev``)."""
+    return _bucketed(samples, _interval_us(bucket), 0).filter(F.col("_halo") == 0).drop("_halo")
 
 
 def increase(samples: DataFrame, frame: str | int = "5 minutes", bucket: str | int = "1 hour") -> DataFrame:
-    """``increase(m[frame])`` at every sample (exact range sum of
-    reset-aware deltas; no boundary extrapolation)."""
-    return range_sum(deltas(samples, bucket), frame, bucket)
+    """``increase(m[frame])`` at every sample: the exact sum of reset-aware
+    deltas over the left-open frame ``(t - frame, t]`` (no boundary
+    extrapolation). One shuffle of the samples; every window partition is
+    one (series, bucket) plus its halo."""
+    f_us = _interval_us(frame)
+    b_us = max(_interval_us(bucket), f_us)
+    u = _bucketed(samples, b_us, f_us)
+    w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
+    inc = F.sum(F.when(F.col("_halo") < 2, F.col("delta"))).over(w)
+    return u.withColumn("increase", inc).filter(F.col("_halo") == 0).drop("_halo")
 
 
 def rate(samples: DataFrame, frame: str | int = "1 minute", bucket: str | int = "1 hour") -> DataFrame:
