@@ -65,11 +65,21 @@ def count_by(silver: DataFrame, keys: tuple[str, ...], count_col: str = "nombre_
     return silver.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
 
 
-def top_categories(silver_or_counts: DataFrame, k: int | None = None) -> DataFrame:
+def top_categories(silver_or_counts: DataFrame, k: int | None = None, with_rank: bool = False) -> DataFrame:
     """Categories by count, descending; ties by name. With ``k`` this is a
-    top-k (TakeOrderedAndProject), otherwise a distributed range sort."""
+    top-k (TakeOrderedAndProject), otherwise a distributed range sort.
+    ``with_rank`` stores the position as ``rang`` (the order of a table is
+    lost once written), computed without a single-partition window."""
+    from presslake.operators.ranking import global_row_number
+
     df = silver_or_counts
     if "total" not in df.columns:
         df = count_by(df, ("categorie_clean",), "total")
-    ordered = df.orderBy(F.col("total").desc(), F.col("categorie_clean").asc_nulls_last())
+    order = [F.col("total").desc(), F.col("categorie_clean").asc_nulls_last()]
+    if with_rank:
+        df = global_row_number(df, order, "rang")
+        if k is not None:
+            df = df.filter(F.col("rang") <= k)
+        return df.orderBy("rang")
+    ordered = df.orderBy(*order)
     return ordered.limit(k) if k is not None else ordered

@@ -287,6 +287,9 @@ def oracle_sql() -> dict[str, str]:
     q["gold_par_source"] = _gold(["source"], "nombre_articles")
     q["gold_par_source_jour"] = _gold(["source", "date_parsed"], "nombre_articles")
     q["gold_top_categories"] = _gold(["categorie_clean"], "total") + " ORDER BY total DESC, categorie_clean"
+    q["gold_top_categories_ranked"] = (f"SELECT categorie_clean, total, row_number() OVER "
+                                       f"(ORDER BY total DESC, categorie_clean NULLS LAST) AS rang "
+                                       f"FROM ({_gold(['categorie_clean'], 'total')}) g")
     q["gold_one_pass"] = (f"SELECT date_parsed, source, categorie_clean, count(*) AS n, "
                           f"grouping(date_parsed, source, categorie_clean) AS gid FROM {EV_SILVER} s "
                           f"GROUP BY GROUPING SETS ((date_parsed), (source), (categorie_clean), (source, date_parsed))")

@@ -202,6 +202,10 @@ def q_gold_top_categories(spark, sf):
     return G.top_categories(events_silver(spark, sf))
 
 
+def q_gold_top_categories_ranked(spark, sf):
+    return G.top_categories(events_silver(spark, sf), with_rank=True)
+
+
 def q_top_categories_pages(spark, sf):
     """Flagship: top categories of cleaned, de-duplicated articles from pages."""
     p = table(spark, sf, "pages", cpu_heavy=True)
@@ -359,6 +363,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_par_source": _gold_table("articles_par_source"),
     "gold_par_source_jour": _gold_table("articles_par_source_jour"),
     "gold_top_categories": q_gold_top_categories,
+    "gold_top_categories_ranked": q_gold_top_categories_ranked,
     "gold_one_pass": q_gold_one_pass,
     "listing_valid": q_listing_valid,
     "listing_media_filter": q_listing_media_filter,

@@ -80,3 +80,21 @@ def test_profile_and_latest(spark):
     p = profile(df).first()
     assert (p.n_rows, p.n_null_date, p.n_empty_title, p.n_duplicate_key) == (3, 1, 1, 1)
     assert [r.url for r in latest_rows(df, ["ingestion_time", "url"], 2).collect()] == ["u2", "u1"]
+
+
+def test_global_row_number_matches_window(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from presslake.operators.ranking import global_row_number
+
+    rnd = random.Random(3)
+    rows = [(f"c{i}", rnd.randint(0, 20)) for i in range(300)]
+    df = spark.createDataFrame(rows, "categorie_clean string, total long")
+    order = [F.col("total").desc(), F.col("categorie_clean")]
+    got = {r.categorie_clean: r.rang for r in global_row_number(df, order, partitions=7).collect()}
+    ref = {r.categorie_clean: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == ref
+    plan = global_row_number(df, order)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan
