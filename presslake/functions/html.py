@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslake.functions.text import WS, decode_entities, html_text, strip_ws
+from presslake.functions.text import decode_entities, html_text, strip_ws
 
 _TAGNAME = r"[A-Za-z][A-Za-z0-9]*"
 
@@ -99,15 +99,6 @@ def element(html, sel: Selector) -> tuple[Column, Column]:
     return exists, html_text(inner)
 
 
-def first_tag_inner(html, tag: str) -> tuple[Column, Column]:
-    """(exists, inner html) of the first ``<tag>``; an unclosed tag runs to the end."""
-    html = _c(html)
-    t = re.escape(tag)
-    exists = html.rlike(r"(?is)<" + t + r"(?:\s[^>]*)?>")
-    inner = F.regexp_extract(html, r"(?is)<" + t + r"(?:\s[^>]*)?>(.*?)(?:</" + t + r"\s*>|\z)", 1)
-    return exists, inner
-
-
 # ---------------------------------------------------------------- page parts
 
 META_TAG_RE = r"(?is)<meta(?:\s[^>]*)?>"
@@ -184,21 +175,6 @@ def _attr_of(tag_text: Column, attr: str) -> Column:
     return decode_entities(F.concat(F.regexp_extract(tag_text, pat, 1), F.regexp_extract(tag_text, pat, 2)))
 
 
-def meta(html, attr: str, value: str, content_attr: str = "content") -> tuple[Column, Column]:
-    """(exists, content) of the first ``<meta attr="value">``; content '' if absent."""
-    html = _c(html)
-    pat = r"(?is)<meta(?:\s[^>]*)?" + attr_eq(attr, value) + r"[^>]*>"
-    tag = F.regexp_extract(html, pat, 0)
-    return tag != "", _attr_of(tag, content_attr)
-
-
-def first_tag_attr(html, tag: str, attr: str) -> tuple[Column, Column]:
-    """(exists, value of ``attr``) for the first ``<tag ...>``."""
-    html = _c(html)
-    tag_text = F.regexp_extract(html, r"(?is)<" + re.escape(tag) + r"(?:[\s/][^>]*)?>", 0)
-    return tag_text != "", _attr_of(tag_text, attr)
-
-
 def first_existing(pairs: list[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
     """Value of the first pair whose ``exists`` is true (``otherwise`` if none)."""
     expr = None
@@ -219,17 +195,6 @@ _MAP_LIST = T.ArrayType(_MAP)
 _NAMED_LIST = T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))
 
 
-def ld_scripts(html) -> Column:
-    """All JSON-LD script bodies in document order."""
-    return F.regexp_extract_all(_c(html), F.lit(LD_SCRIPT_RE), 1)
-
-
-def ld_first(html) -> tuple[Column, Column]:
-    """(exists, body) of the first JSON-LD script."""
-    html = _c(html)
-    return html.rlike(LD_SCRIPT_RE), strip_ws(F.regexp_extract(html, LD_SCRIPT_RE, 1))
-
-
 def ld_author(script: Column, default: str) -> Column:
     """Author from one JSON-LD document.
 
@@ -268,12 +233,6 @@ def ld_date(script: Column) -> Column:
                   .otherwise(_first_with_key(graph, "datePublished"))))
 
 
-def ld_first_date(html) -> Column:
-    """First non-empty ``datePublished`` over all JSON-LD scripts; malformed ones are skipped."""
-    dates = F.transform(ld_scripts(html), ld_date)
-    return F.get(F.filter(dates, lambda d: d.isNotNull() & (d != "")), 0)
-
-
 # ---------------------------------------------------------------- paragraphs
 
 P_START_RE = r"(?i)<p(?:\s[^>]*)?>"

@@ -186,7 +186,3 @@ STEPS_RAM = [(None, "green"), (10, "orange"), (14, "red")]
 def with_status(df: DataFrame, value_col: str, steps, out: str = "status") -> DataFrame:
     """C20: threshold colour of ``value_col``."""
     return df.withColumn(out, status_expr(F.col(value_col), steps))
-
-
-def label(col_labels: str, key: str) -> Column:
-    return F.col(col_labels)[key]
