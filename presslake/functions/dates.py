@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from presslake.functions.text import WS
+from presslake.functions.text import WS, let
 
 # Fixed value: the normalisation pattern, a date and a time of day joined by
 # "T" or whitespace; digits are Unicode decimal digits.
@@ -33,11 +33,12 @@ def parse_date(c) -> Column:
 def normalize_date(c) -> Column:
     """First ``YYYY-MM-DD[T ]HH:MM:SS`` as ``YYYY-MM-DD HH:MM:SS`` (offset
     dropped); text without such a match is returned unchanged."""
-    c = _c(c)
-    return F.when(
-        F.regexp_extract(c, NORM_RE, 0) != "",
-        F.concat(F.regexp_extract(c, NORM_RE, 1), F.lit(" "), F.regexp_extract(c, NORM_RE, 2)),
-    ).otherwise(c)
+    def rule(v):
+        return F.when(
+            F.regexp_extract(v, NORM_RE, 0) != "",
+            F.concat(F.regexp_extract(v, NORM_RE, 1), F.lit(" "), F.regexp_extract(v, NORM_RE, 2)),
+        ).otherwise(v)
+    return let(c, rule)
 
 
 def now_text(fmt: str = "yyyy-MM-dd HH:mm:ss", as_of=None) -> Column:

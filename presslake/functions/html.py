@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslake.functions.text import decode_entities, html_text, strip_ws
+from presslake.functions.text import decode_entities, html_text, let, strip_tags_ws, strip_ws
 
 _TAGNAME = r"[A-Za-z][A-Za-z0-9]*"
 
@@ -80,7 +80,7 @@ class Selector:
         return "(?is)" + body, 1
 
 
-def element(html, sel: Selector) -> tuple[Column, Column]:
+def element(html, sel: Selector, finish: bool = True) -> tuple[Column, Column]:
     """(exists, text) of the first element matching ``sel``.
 
     The element ends at the first closing tag of the same name (nested
@@ -96,7 +96,7 @@ def element(html, sel: Selector) -> tuple[Column, Column]:
         exists = (F.instr(html, sel.guard) > 0) & exists
     full = pat + r"(.*?)</\%d\s*>" % name_group
     inner = F.regexp_extract(html, full, name_group + 1)
-    return exists, html_text(inner)
+    return exists, (html_text(inner) if finish else strip_tags_ws(inner))
 
 
 # ---------------------------------------------------------------- page parts
@@ -148,15 +148,17 @@ def title_of(parts: Parts) -> tuple[Column, Column]:
     return parts.h1 != "", F.regexp_extract(parts.h1, H1_RE, 1)
 
 
-def meta_of(parts: Parts, attr: str, value: str, content_attr: str = "content") -> tuple[Column, Column]:
-    """(exists, content) of the first ``<meta attr="value">``."""
+def meta_of(parts: Parts, attr: str, value: str, content_attr: str = "content",
+            decode: bool = True) -> tuple[Column, Column]:
+    """(exists, content) of the first ``<meta attr="value">``; ``decode=False``
+    leaves character references for a single decode after a choice."""
     cond = "(?is)" + attr_eq(attr, value)
     tag = F.get(F.filter(parts.metas, lambda m: m.rlike(cond)), 0)
-    return tag.isNotNull(), _attr_of(F.coalesce(tag, F.lit("")), content_attr)
+    return tag.isNotNull(), _attr_of(F.coalesce(tag, F.lit("")), content_attr, decode)
 
 
-def time_of(parts: Parts, attr: str = "datetime") -> tuple[Column, Column]:
-    return parts.time_tag != "", _attr_of(parts.time_tag, attr)
+def time_of(parts: Parts, attr: str = "datetime", decode: bool = True) -> tuple[Column, Column]:
+    return parts.time_tag != "", _attr_of(parts.time_tag, attr, decode)
 
 
 def ld_first_of(parts: Parts) -> tuple[Column, Column]:
@@ -168,11 +170,12 @@ def ld_first_date_of(parts: Parts) -> Column:
     return F.get(F.filter(dates, lambda d: d.isNotNull() & (d != "")), 0)
 
 
-def _attr_of(tag_text: Column, attr: str) -> Column:
+def _attr_of(tag_text: Column, attr: str, decode: bool = True) -> Column:
     """Value of ``attr`` in one start tag ('' when absent), entities decoded."""
     a = re.escape(attr)
     pat = r"""(?is)\s""" + a + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    return decode_entities(F.concat(F.regexp_extract(tag_text, pat, 1), F.regexp_extract(tag_text, pat, 2)))
+    raw = let(tag_text, lambda t: F.concat(F.regexp_extract(t, pat, 1), F.regexp_extract(t, pat, 2)))
+    return decode_entities(raw) if decode else raw
 
 
 def first_existing(pairs: list[tuple[Column, Column]], otherwise: Column | None = None) -> Column:

@@ -9,6 +9,8 @@ cleaning rule (see README, "Unicode residue").
 
 from __future__ import annotations
 
+import html.entities as _html_entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,15 +32,33 @@ EDGE_WS_RE = "^[" + WS + "]+|[" + WS + "]+$"
 # non-whitespace kept set gives the same text.
 DROP_OR_WS_RUN_RE = r"[^\p{L}\p{N}_" + KEEP_EXTRA + r"]+"
 
-# The five basic HTML entities decoded in extracted text
-# (ampersand last so "&amp;lt;" becomes "&lt;", not "<").
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# Character references in extracted text and attribute values: decimal,
+# hex and named. Names come from the standard library's HTML 4 table (252
+# entries), generated here rather than written out.
+NAMED_ENTITIES = {name: chr(cp) for name, cp in sorted(_html_entities.name2codepoint.items())}
+ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+REPLACEMENT_CHAR = "\ufffd"
+# The basic references, in replace order (ampersand last).
+BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# A reference other than the basic ones (then the general decoder runs).
+OTHER_ENTITY_RE = r"&(?!(?:amp|lt|gt|quot|#39);)(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c, body) -> Column:
+    """``body(v)`` with ``v`` bound once to ``c``.
+
+    A Column referenced several times is copied into the expression tree,
+    and conditional branches are not common-subexpression-eliminated, so an
+    expensive input would be evaluated once per reference; a one-element
+    ``transform`` evaluates it once and hands ``body`` a lambda variable.
+    """
+    return F.get(F.transform(F.array(_c(c)), body), 0)
+
+
 def strip_tags(c) -> Column:
     """Remove every ``<...>`` run; words on either side fuse."""
     return F.regexp_replace(_c(c), TAG_RE, "")
@@ -56,11 +76,66 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), EDGE_WS_RE, "")
 
 
+# The named table as two string literals (a handful of expression nodes
+# instead of a 252-entry map at every call site): "|name|name|...|" and the
+# characters in the same order, one per name (all are single code points).
+_NAME_DIRECTORY = "|" + "|".join(NAMED_ENTITIES) + "|"
+_NAME_CHARS = "".join(NAMED_ENTITIES.values())
+
+
+def _named_char(tok: Column) -> Column:
+    """Character of a named reference, NULL for an unknown name."""
+    directory = F.lit(_NAME_DIRECTORY)
+    pos = F.instr(directory, F.concat(F.lit("|"), tok, F.lit("|")))
+    prefix = F.substring(directory, 1, pos)
+    index = F.length(prefix) - F.length(F.replace(prefix, F.lit("|"), F.lit("")))
+    return F.when(pos > 0, F.substring(F.lit(_NAME_CHARS), index, 1))
+
+
+def _entity_char(tok: Column) -> Column:
+    """One reference body (between ``&`` and ``;``) -> its character; an
+    unknown name stays as written; code 0, surrogates and values beyond
+    U+10FFFF give U+FFFD."""
+    is_num = tok.startswith("#")
+    is_hex = is_num & F.substring(tok, 2, 1).isin("x", "X")
+    cp = (F.when(is_hex, F.conv(F.substring(tok, 3, 8), 16, 10))
+          .when(is_num, F.substring(tok, 2, 8))).cast("long")
+    bad = (cp == 0) | cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF)
+    char = F.when(bad, F.lit(REPLACEMENT_CHAR)).otherwise(
+        F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32"))
+    return F.when(is_num, char).otherwise(F.coalesce(_named_char(tok), F.concat(F.lit("&"), tok, F.lit(";"))))
+
+
+def _decode_value(c: Column) -> Column:
+    toks = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), 1), _entity_char)
+    pieces = F.split(c, ENTITY_RE, -1)
+    joined = F.array_join(F.zip_with(pieces, toks, lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), "")
+    # Fast path: with only the basic references present, ordered replaces
+    # (ampersand last, so "&amp;lt;" stays "&lt;") equal the single pass.
+    basic = c
+    for ent, ch in BASIC_ENTITIES:
+        basic = F.replace(basic, F.lit(ent), F.lit(ch))
+    return (F.when(F.instr(c, "&") == 0, c)
+            .when(~c.rlike(OTHER_ENTITY_RE), basic)
+            .otherwise(joined))
+
+
 def decode_entities(c) -> Column:
-    out = _c(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode character references the way an HTML parser does for text
+    and attribute values (``&amp;lt;`` -> ``&lt;``: one pass). Natively: the
+    references and the text between them are split by one regex and zipped
+    back with each reference replaced.
+
+    The input is bound once to a lambda variable: the rule refers to it
+    several times, and an expensive input expression would otherwise be
+    evaluated once per reference.
+    """
+    return let(c, _decode_value)
+
+
+def strip_tags_ws(c) -> Column:
+    """Remove tags and the whitespace touching them (first half of :func:`html_text`)."""
+    return F.regexp_replace(_c(c), "[" + WS + "]*<[^>]*>[" + WS + "]*", "")
 
 
 def html_text(c) -> Column:
@@ -69,8 +144,7 @@ def html_text(c) -> Column:
     Tags (and the whitespace touching them) are removed, basic entities are
     decoded after tag removal so decoded ``<`` is never mistaken for a tag.
     """
-    out = F.regexp_replace(_c(c), "[" + WS + "]*<[^>]*>[" + WS + "]*", "")
-    return strip_ws(decode_entities(out))
+    return strip_ws(decode_entities(strip_tags_ws(c)))
 
 
 def preview(c, n: int = 60) -> Column:

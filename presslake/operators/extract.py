@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from presslake.functions import html as H
 from presslake.functions.dates import normalize_date, now_text
 from presslake.functions.scalars import split_part, url_host
-from presslake.functions.text import html_text
+from presslake.functions.text import decode_entities, html_text, let, strip_ws
 
 ARTICLE_FIELDS = ["titre", "auteur", "date_publication", "categorie", "contenu", "source", "url"]
 
@@ -122,15 +122,33 @@ def title_expr(html: Column, profile: Profile, parts: H.Parts | None = None) ->
 
 def author_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
     """Non-empty author meta -> first existing selector element ->
-    first JSON-LD script (seg3) -> default."""
+    first JSON-LD script (seg3) -> default.
+
+    Stages yield raw text tagged with what it still needs (meta content:
+    decoding; element text: decoding and stripping; JSON-LD and the
+    default: nothing), so character references are decoded once, after
+    the choice, instead of once per stage.
+    """
     p = _parts(html, parts)
-    m_exists, m_content = H.meta_of(p, "name", "author")
-    stages = [(m_exists & (m_content != ""), m_content)]
-    stages += [H.element(p.html, sel) for sel in profile.author_selectors]
+
+    def tagged(kind: int, v: Column) -> Column:
+        return F.struct(F.lit(kind).alias("k"), v.alias("v"))
+
+    m_exists, m_raw = H.meta_of(p, "name", "author", decode=False)
+    stages = [(m_exists & (m_raw != ""), tagged(1, m_raw))]
+    for sel in profile.author_selectors:
+        e, raw = H.element(p.html, sel, finish=False)
+        stages.append((e, tagged(2, raw)))
     if profile.author_from_jsonld:
         ld_exists, ld_body = H.ld_first_of(p)
-        stages.append((ld_exists, H.ld_author(ld_body, profile.author_default)))
-    return H.first_existing(stages, F.lit(profile.author_default))
+        stages.append((ld_exists, tagged(0, H.ld_author(ld_body, profile.author_default))))
+    chosen = H.first_existing(stages, tagged(0, F.lit(profile.author_default)))
+
+    def finish(c):
+        kind, raw = c.getField("k"), c.getField("v")
+        decoded = F.when(kind > 0, decode_entities(raw)).otherwise(raw)
+        return F.when(kind == 2, strip_ws(decoded)).otherwise(decoded)
+    return let(chosen, finish)
 
 
 def raw_date_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
@@ -138,15 +156,16 @@ def raw_date_expr(html: Column, profile: Profile, parts: H.Parts | None = None)
 
     Meta stage: the first existing meta of the profile's list; its content
     if non-empty (an empty one falls through to the next stage). Then the
-    first ``<time>``'s ``datetime``; then JSON-LD ``datePublished``.
+    first ``<time>``'s ``datetime``; then JSON-LD ``datePublished``. The
+    attribute stages are decoded once, after the choice.
     """
     p = _parts(html, parts)
-    metas = [H.meta_of(p, a, v) for a, v in profile.date_metas]
-    meta_content = H.first_existing(metas)
-    stage_values = [F.nullif(meta_content, F.lit(""))]
+    metas = [H.meta_of(p, a, v, decode=False) for a, v in profile.date_metas]
+    attr_stages = [F.nullif(H.first_existing(metas), F.lit(""))]
     if profile.date_from_time_tag:
-        t_exists, t_value = H.time_of(p)
-        stage_values.append(F.when(t_exists & (t_value != ""), t_value))
+        t_exists, t_raw = H.time_of(p, decode=False)
+        attr_stages.append(F.when(t_exists & (t_raw != ""), t_raw))
+    stage_values = [decode_entities(F.coalesce(*attr_stages))]
     if profile.date_from_jsonld:
         stage_values.append(H.ld_first_date_of(p))
     return F.coalesce(*stage_values) if len(stage_values) > 1 else stage_values[0]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from presslake.functions import html as H
 from presslake.functions.dates import NORM_RE
-from presslake.functions.text import DROP_RE, EDGE_WS_RE, ENTITIES, TAG_RE, WS, WS_RUN_RE
+from presslake.functions.text import DROP_RE, EDGE_WS_RE, ENTITY_RE, NAMED_ENTITIES, TAG_RE, WS, WS_RUN_RE
 from presslake.operators import extract as X
 from presslake.operators.listing import MEDIA_MARKERS
 from presslake.operators.metrics import STEPS_CPU
@@ -33,10 +33,22 @@ def d_clean(x: str) -> str:
     return f"coalesce(trim({out}), '')"
 
 
+_D_NAMED = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in NAMED_ENTITIES.items()) + "}"
+
+
+def _d_entity(t: str) -> str:
+    cp = (f"(CASE WHEN {t} LIKE '#x%' OR {t} LIKE '#X%' THEN ('0x' || substr({t}, 3))::BIGINT "
+          f"WHEN {t} LIKE '#%' THEN substr({t}, 2)::BIGINT END)")
+    char = (f"CASE WHEN {cp} = 0 OR {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
+            f"ELSE chr({cp}::INTEGER) END")
+    return f"CASE WHEN {t} LIKE '#%' THEN {char} ELSE coalesce({_D_NAMED}[{t}], '&' || {t} || ';') END"
+
+
 def d_decode(x: str) -> str:
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {lit(ent)}, {lit(ch)})"
-    return x
+    toks = f"list_transform(regexp_extract_all({x}, {lit(ENTITY_RE)}, 1), lambda t: {_d_entity('t')})"
+    zipped = (f"array_to_string(list_transform(list_zip(string_split_regex({x}, {lit(ENTITY_RE)}), {toks}), "
+              f"lambda p: p[1] || coalesce(p[2], '')), '')")
+    return f"CASE WHEN contains({x}, '&') THEN {zipped} ELSE {x} END"
 
 
 def d_strip(x: str) -> str:

@@ -58,3 +58,12 @@ def test_html_text_strips_nodes_and_decodes(spark):
 
 def test_preview(spark):
     assert _run(spark, ["x" * 100, "short", None], lambda c: preview(c, 60)) == ["x" * 60, "short", None]
+
+
+def test_decode_entities_matches_html_unescape(spark):
+    import html
+
+    from presslake.functions.text import decode_entities
+    vals = ["a &amp; b", "&amp;lt;", "it&#8217;s &rsquo;q&lsquo; &eacute;t&eacute;", "&#x1F600; &#X41;",
+            "&unknown; stays", "&#0; &#xD800;", "&copy; 2026 &middot; x &nbsp;y", "no refs", "&&amp;&"]
+    assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
