@@ -9,6 +9,7 @@ are data (a :class:`Profile`), not code paths.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -202,14 +203,23 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     captured) is a failed extraction: all fields NULL and ``error`` set.
     """
     url = F.col("url")
-    src = F.lit(source) if source is not None else url_host(url)
     keep_cols = [k for k in keep if k in pages.columns]
     # stage 1: one pass per page fragment; stage 2: the rules on fragments.
     # The fragments are referenced by several rules, so Catalyst keeps the
     # two projections apart and each fragment is computed once per page.
     staged = pages.select(*keep_cols, "url", "html",
                           *[v.alias(k) for k, v in H.part_exprs(F.col("html")).items()])
-    html = F.col("html")
+    cols = [F.col(k) for k in keep_cols] + list(_field_columns(profile, source, as_of, with_container))
+    return staged.select(*cols)
+
+
+@functools.lru_cache(maxsize=64)
+def _field_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool) -> tuple:
+    """The output columns of :func:`extract_articles` over the staged page
+    parts. They are unresolved expressions that depend only on these
+    arguments, so they are built once per process and reused (building a
+    few hundred expression nodes through the Python API is not free)."""
+    html, url = F.col("html"), F.col("url")
     parts = H.column_parts("html")
     fields = {
         "titre": title_expr(html, profile, parts),
@@ -217,13 +227,12 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
         "date_publication": date_expr(html, profile, as_of, parts),
         "categorie": category_expr(url, profile),
         "contenu": body_expr(html, profile, with_container),
-        "source": src,
+        "source": F.lit(source) if source is not None else url_host(url),
         "url": url,
     }
     if "scraped_at" in profile.extra_fields:
         fields["scraped_at"] = now_text(profile.now_format, as_of)
     failed = html.isNull()
-    cols = [F.col(k) for k in keep_cols]
-    cols += [F.when(~failed, v).alias(k) if k != "url" else url.alias("url") for k, v in fields.items()]
+    cols = [F.when(~failed, v).alias(k) if k != "url" else url.alias("url") for k, v in fields.items()]
     cols.append(F.when(failed, F.lit("page not captured")).alias("error"))
-    return staged.select(*cols)
+    return tuple(cols)

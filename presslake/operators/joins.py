@@ -9,13 +9,28 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+def _threshold_bytes(df: DataFrame) -> int:
+    from presslake.operators.parallelism import _bytes
+    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m")
+    return max(_bytes(v), 0) if v.strip() != "-1" else 0
+
 
-    The check reads at most ``max_rows + 1`` rows per partition; beyond the
-    bound the plain DataFrame is returned and the planner (AQE) chooses a
-    shuffle join from runtime statistics.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only behind a size proof.
+
+    First the optimizer's size estimate (no job): for scans, filters,
+    projections, aggregates and local data it is an upper bound, and at or
+    below Spark's own broadcast threshold the side is broadcast. Otherwise
+    a bounded count reads at most ``max_rows + 1`` rows per partition;
+    beyond that bound the plain DataFrame is returned and the planner
+    (AQE) chooses a shuffle join from runtime statistics.
     """
+    try:
+        from presslake.operators.parallelism import estimated_bytes
+        if estimated_bytes(df) <= _threshold_bytes(df):
+            return F.broadcast(df)
+    except Exception:  # noqa: BLE001 - no estimate: fall back to counting
+        pass
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -238,7 +238,9 @@ def q_listing_first_n(spark, sf):
 
 
 def marks(spark):
-    return spark.createDataFrame(FX.MARKS, "source string, last_date string")
+    """The marks as a local relation (exact size statistics, so the
+    broadcast size check needs no job)."""
+    return spark.sql(f"SELECT source, last_date FROM {FX.marks_values_sql()}")
 
 
 def incremental_listing(spark, sf):
