@@ -41,8 +41,15 @@ def normalize_date(c) -> Column:
     return let(c, rule)
 
 
+ISO = "iso"
+
+
 def now_text(fmt: str = "yyyy-MM-dd HH:mm:ss", as_of=None) -> Column:
     """The run clock as text. ``as_of`` (a timestamp string) makes runs
-    reproducible; without it the query's current timestamp is used."""
+    reproducible; without it the query's current timestamp is used.
+    ``fmt="iso"`` is ISO 8601 with microseconds, omitted when zero."""
     ts = F.current_timestamp() if as_of is None else F.to_timestamp(F.lit(as_of))
+    if fmt == ISO:
+        return F.when(F.date_format(ts, "SSSSSS") == "000000", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")) \
+            .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
     return F.date_format(ts, fmt)

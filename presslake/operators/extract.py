@@ -104,7 +104,7 @@ PROFILE_SEG6 = Profile(
     date_from_time_tag=False,
     date_from_jsonld=False,
     normalize_date=False,
-    now_format="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    now_format="iso",
     extra_fields=("scraped_at",),
 )
 

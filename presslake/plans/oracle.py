@@ -274,7 +274,7 @@ def oracle_sql() -> dict[str, str]:
                              f"FROM {PAGES_HEAD} p")
     P6 = X.PROFILE_SEG6
     q["extract_author_seg6"] = f"SELECT page_id, {d_author('html', P6)} AS auteur FROM {PAGES_HEAD} p"
-    now6 = FX.AS_OF.replace(" ", "T") + ".000000"   # the seg6 clock format
+    now6 = FX.AS_OF.replace(" ", "T")   # the seg6 clock format: ISO, zero microseconds omitted
     q["extract_date_seg6"] = (f"SELECT page_id, {d_date('html', P6, now6)} AS date_publication "
                               f"FROM {PAGES_HEAD} p")
     q["extract_articles_seg6"] = (f"SELECT page_id, {d_title('html', P6.title_default)} AS titre, "

@@ -44,6 +44,8 @@ def test_normalize_date(spark):
 
 def test_now_text_is_reproducible_with_as_of(spark):
     r = spark.range(1).select(now_text("yyyy-MM-dd HH:mm:ss", "2026-01-02 03:04:05").alias("a"),
-                              now_text("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "2026-01-02 03:04:05").alias("b")).first()
+                              now_text("iso", "2026-01-02 03:04:05").alias("b"),
+                              now_text("iso", "2026-01-02 03:04:05.25").alias("c")).first()
     assert r.a == "2026-01-02 03:04:05"
-    assert r.b == "2026-01-02T03:04:05.000000"
+    assert r.b == "2026-01-02T03:04:05"          # like datetime.isoformat(): no zero fraction
+    assert r.c == "2026-01-02T03:04:05.250000"

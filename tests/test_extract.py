@@ -21,7 +21,7 @@ def test_title_and_defaults(spark):
     assert cnn[1]["titre"] == "Sans titre"
     assert aj[0]["auteur"] == "Anonyme" and cnn[0]["auteur"] == "Anonyme"
     assert aj[0]["date_publication"] == AS_OF
-    assert cnn[0]["date_publication"] == "2026-01-01T00:00:00.000000"
+    assert cnn[0]["date_publication"] == "2026-01-01T00:00:00"
 
 
 def test_category_segments(spark):
