@@ -15,13 +15,13 @@ def _extract(spark, pages, profile):
 def test_title_and_defaults(spark):
     pages = [("https://x.org/a/b/c", "<html><h1 class='t'> Big <b>News</b> </h1><p>x</p></html>"),
              ("https://x.org/a", "<html><p>no title</p></html>")]
-    aj = _extract(spark, pages, PROFILE_SEG3)
-    cnn = _extract(spark, pages, PROFILE_SEG6)
-    assert aj[0]["titre"] == "BigNews" and aj[1]["titre"] == ""
-    assert cnn[1]["titre"] == "Sans titre"
-    assert aj[0]["auteur"] == "Anonyme" and cnn[0]["auteur"] == "Anonyme"
-    assert aj[0]["date_publication"] == AS_OF
-    assert cnn[0]["date_publication"] == "2026-01-01T00:00:00"
+    seg3 = _extract(spark, pages, PROFILE_SEG3)
+    seg6 = _extract(spark, pages, PROFILE_SEG6)
+    assert seg3[0]["titre"] == "BigNews" and seg3[1]["titre"] == ""
+    assert seg6[1]["titre"] == "Sans titre"
+    assert seg3[0]["auteur"] == "Anonyme" and seg6[0]["auteur"] == "Anonyme"
+    assert seg3[0]["date_publication"] == AS_OF
+    assert seg6[0]["date_publication"] == "2026-01-01T00:00:00"
 
 
 def test_category_segments(spark):
@@ -29,10 +29,10 @@ def test_category_segments(spark):
              ("https://host.com/", "<p>a</p>"),
              ("https://host.com", "<p>a</p>"),
              ("https://host.com/sport/", "<p>a</p>")]
-    aj = _extract(spark, pages, PROFILE_SEG3)
-    cnn = _extract(spark, pages, PROFILE_SEG6)
-    assert [r["categorie"] for r in aj] == ["2024", "", "news", "sport"]
-    assert [r["categorie"] for r in cnn] == ["world", "news", "news", "news"]
+    seg3 = _extract(spark, pages, PROFILE_SEG3)
+    seg6 = _extract(spark, pages, PROFILE_SEG6)
+    assert [r["categorie"] for r in seg3] == ["2024", "", "news", "sport"]
+    assert [r["categorie"] for r in seg6] == ["world", "news", "news", "news"]
 
 
 def test_author_chain_seg3(spark):

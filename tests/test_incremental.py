@@ -45,8 +45,8 @@ def test_empty_run_keeps_mark(spark):
 def test_seen_set(spark):
     listing, pages, _ = _inputs(spark)
     seen = spark.createDataFrame([("https://n/x/a",), ("https://n/x/a",), ("https://n/x/b",)], "url string")
-    res = run_incremental(listing, pages, None, seen=seen, profile=PROFILE_SEG3, source="cnn", as_of=AS_OF)
+    res = run_incremental(listing, pages, None, seen=seen, profile=PROFILE_SEG3, source="polled", as_of=AS_OF)
     assert sorted(r.url for r in res.articles.collect()) == ["https://n/x/d"]
-    assert all(r.source == "cnn" for r in res.articles.collect())
+    assert all(r.source == "polled" for r in res.articles.collect())
     cands = spark.createDataFrame([("u1",), ("u2",), (None,)], "url string")
     assert sorted(str(r.url) for r in unseen(cands, spark.createDataFrame([("u1",)], "url string")).collect()) == ["None", "u2"]

@@ -1,7 +1,5 @@
 """Cleaning (C1-C4, C14) against the plain-Python definition of the rule."""
 
-import re
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,13 +7,38 @@ from pyspark.sql import functions as F
 from presslake.functions.text import clean_text, html_text, preview
 
 
+_KEPT_PUNCT = set(".,!?-'\"")
+
+
+def _strip_tags(text):
+    """Remove every '<', one or more non-'>' characters, '>' (leftmost first)."""
+    out, i = [], 0
+    while True:
+        j = text.find("<", i)
+        if j < 0:
+            out.append(text[i:])
+            return "".join(out)
+        k = text.find(">", j + 1)
+        if k > j + 1:
+            out.append(text[i:j])
+            i = k + 1
+        else:
+            out.append(text[i:j + 1])
+            i = j + 1
+
+
+def _kept(ch):
+    return ch == "_" or ch.isalnum() or ch.isspace() or 0xC0 <= ord(ch) <= 0x17F or ch in _KEPT_PUNCT
+
+
 def clean_reference(text):
-    """The cleaning rule as ordinary Python (the equivalence oracle)."""
+    """The cleaning rule restated with string methods (the equivalence
+    oracle): strip tags, blank out characters outside the kept set,
+    collapse whitespace runs, trim; NULL or empty gives ""."""
     if not text:
         return ""
-    text = re.sub(r"<[^>]+>", "", text)
-    text = re.sub(r"[^\w\sÀ-ſ.,!?\-'\"]", " ", text)
-    return re.sub(r"\s+", " ", text).strip()
+    blanked = "".join(ch if _kept(ch) else " " for ch in _strip_tags(text))
+    return " ".join(blanked.split())
 
 
 EDGE = [
