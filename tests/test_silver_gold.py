@@ -98,3 +98,17 @@ def test_global_row_number_matches_window(spark):
     assert got == ref
     plan = global_row_number(df, order)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan
+
+
+def test_write_gold_managed_tables(spark, scratch):
+    silver = spark.createDataFrame([(dt.date(2026, 1, 1), "S1", "a"), (dt.date(2026, 1, 2), "S1", "b")],
+                                   "date_parsed date, source string, categorie_clean string")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS gold_test LOCATION '{scratch}/gold_db'")
+    try:
+        tables = gold_counts(silver, run_ts="2026-01-01 00:00:00")
+        write_gold(tables, GoldTarget(kind="table", database="gold_test"))
+        write_gold(tables, GoldTarget(kind="table", database="gold_test"))     # overwrite is idempotent
+        assert spark.table("gold_test.articles_par_source").first().nombre_articles == 2
+        assert spark.table("gold_test.articles_par_jour").count() == 2
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS gold_test CASCADE")
