@@ -209,15 +209,17 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     # two projections apart and each fragment is computed once per page.
     staged = pages.select(*keep_cols, "url", "html",
                           *[v.alias(k) for k, v in H.part_exprs(F.col("html")).items()])
-    cols = [F.col(k) for k in keep_cols] + list(_field_columns(profile, source, as_of, with_container))
+    session_key = id(pages.sparkSession)
+    cols = [F.col(k) for k in keep_cols] + list(_field_columns(profile, source, as_of, with_container, session_key))
     return staged.select(*cols)
 
 
 @functools.lru_cache(maxsize=64)
-def _field_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool) -> tuple:
+def _field_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool,
+                   session_key: int) -> tuple:
     """The output columns of :func:`extract_articles` over the staged page
     parts. They are unresolved expressions that depend only on these
-    arguments, so they are built once per process and reused (building a
+    arguments, so they are built once per session and reused (building a
     few hundred expression nodes through the Python API is not free)."""
     html, url = F.col("html"), F.col("url")
     parts = H.column_parts("html")
