@@ -59,7 +59,7 @@ def samples(spark, sf) -> DataFrame:
                     "ts", "value", "sample_id")
 
 
-def _series_out(df: DataFrame) -> list:
+def _series_out() -> list:
     return [F.col("labels")["job"].alias("job"), F.col("labels")["instance"].alias("instance")]
 
 
@@ -287,7 +287,7 @@ def q_articles_per_minute(spark, sf):
 
 def q_metric_latest(spark, sf):
     cur = M.latest(samples(spark, sf))
-    return cur.select("metric", *_series_out(cur), "ts", "value")
+    return cur.select("metric", *_series_out(), "ts", "value")
 
 
 def q_metric_sum(spark, sf):
@@ -305,12 +305,12 @@ def q_metric_sum_selector(spark, sf):
 
 def q_metric_increase(spark, sf):
     inc = M.increase(samples(spark, sf), "5 minutes")
-    return inc.select(*_series_out(inc), "sample_id", "ts", F.round("increase", 2).alias("increase"))
+    return inc.select(*_series_out(), "sample_id", "ts", F.round("increase", 2).alias("increase"))
 
 
 def q_metric_rate(spark, sf):
     r = M.rate(samples(spark, sf), "1 minute")
-    return r.select(*_series_out(r), "sample_id", "ts", F.round("rate", 6).alias("rate"))
+    return r.select(*_series_out(), "sample_id", "ts", F.round("rate", 6).alias("rate"))
 
 
 def q_metric_cpu_percent(spark, sf):
@@ -335,7 +335,7 @@ def q_metric_ram_gib(spark, sf):
 def q_metric_status(spark, sf):
     cur = M.latest(samples(spark, sf))
     out = M.with_status(cur, "value", M.STEPS_CPU)
-    return out.select("metric", *_series_out(out), "value", "status")
+    return out.select("metric", *_series_out(), "value", "status")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
