@@ -90,8 +90,19 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
         arts = arts.withColumn("source", F.col("_listing_source"))
     arts = arts.drop("_listing_source")
     ok = arts.filter(F.col("error").isNull()).drop("error")
-    failed = arts.filter(F.col("error").isNotNull())
+    failed = arts.filter(F.col("error").isNotNull())   # keeps position, url, pub_date, source
     summary = newest_by_source(ok, mode)
     new_state = advance_state(state, summary, mode) if state is not None else \
         summary.select("source", F.col("newest_date").alias("last_date"))
     return IncrementResult(ok, failed, summary, new_state)
+
+
+def retry_quarantine(failures: DataFrame, pages: DataFrame, profile: Profile = PROFILE_SEG3,
+                     source: str | None = None, as_of: str | None = None) -> IncrementResult:
+    """Re-run extraction for quarantined items (``position, url, pub_date,
+    source``) against the current page captures, bypassing the mark: an
+    older failed item stays below a mark that newer successes moved past.
+    Items still not captured come back in ``failures``."""
+    listing = failures.select("position", F.col("url").alias("loc"), "pub_date", "source")
+    res = run_incremental(listing, pages, None, profile=profile, source=source, as_of=as_of)
+    return res
