@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from presslake.operators.extract import PROFILE_SEG3, Profile
 from presslake.operators.gold import gold_counts
-from presslake.operators.incremental import IncrementResult, run_incremental
+from presslake.operators.incremental import IncrementResult, advance_state, newest_by_source, run_incremental
 from presslake.operators.messages import encode_messages
 from presslake.operators.quality import latest_rows, profile, schema_rows
 from presslake.sinks.writers import GoldTarget, register_gold, write_gold, write_messages, write_state
@@ -58,7 +58,10 @@ def run_ingest(spark: SparkSession, listing: DataFrame, pages: DataFrame, messag
     """
     state = read_state(spark, state_path)
     res = run_incremental(listing, pages, state, profile=profile_, source=source, as_of=run_ts, mode=mode)
-    articles = res.articles.checkpoint(eager=True)   # reliable: publish and state read the same rows
+    # reliable checkpoint: the published rows and the new mark come from the same materialised rows
+    articles = res.articles.checkpoint(eager=True)
+    summary = newest_by_source(articles, mode)
+    res = IncrementResult(articles, res.failures, summary, advance_state(state, summary, mode))
     if articles.isEmpty():
         return res
     msgs = encode_messages(articles, timestamp_col=None).withColumn("timestamp", F.lit(run_ts).cast("timestamp"))
