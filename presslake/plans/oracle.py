@@ -289,6 +289,10 @@ def oracle_sql() -> dict[str, str]:
         f"QUALIFY row_number() OVER (PARTITION BY url ORDER BY msg_offset) = 1) d")
     q["dedup_first"] = ("SELECT event_id, ts, user_id, event_type, value, props FROM events "
                         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1")
+    q["gold_from_articles"] = (f"SELECT date_parsed, source, categorie_clean, count(*) AS n, "
+                               f"grouping(date_parsed, source, categorie_clean) AS gid FROM ({q['silver_articles']}) s "
+                               f"GROUP BY GROUPING SETS ((date_parsed), (source), (categorie_clean), "
+                               f"(source, date_parsed))")
     pre = f"({_silver_select(f'(SELECT * FROM {ARTICLES} a WHERE titre IS NOT NULL AND url IS NOT NULL) f')}) s"
     q["silver_profile"] = (f"SELECT count(*) AS n_rows, count(*) FILTER (WHERE date_parsed IS NULL) AS n_null_date, "
                            f"count(*) FILTER (WHERE coalesce(titre_clean, '') = '') AS n_empty_title, "

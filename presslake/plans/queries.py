@@ -194,6 +194,12 @@ def _gold_table(name):
     return q
 
 
+def q_gold_from_articles(spark, sf):
+    """Gold over the real batch pipeline: messages -> decode -> silver -> one pass."""
+    silver = to_silver(bronze_articles(spark, sf), with_ingestion=False)
+    return G.gold_one_pass(silver)
+
+
 def q_gold_one_pass(spark, sf):
     return G.gold_one_pass(events_silver(spark, sf))
 
@@ -367,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_top_categories": q_gold_top_categories,
     "gold_top_categories_ranked": q_gold_top_categories_ranked,
     "gold_one_pass": q_gold_one_pass,
+    "gold_from_articles": q_gold_from_articles,
     "listing_valid": q_listing_valid,
     "listing_media_filter": q_listing_media_filter,
     "listing_newest": q_listing_newest,
