@@ -46,14 +46,26 @@ class BatchCountListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
-    def to_df(self, spark: SparkSession, non_empty: bool = True) -> DataFrame:
-        """empty micro-batches are skipped by default."""
+    def to_df(self, spark: SparkSession, non_empty: bool = True, clear: bool = False) -> DataFrame:
+        """empty micro-batches are skipped by default. With ``clear`` the
+        buffer is emptied (see :meth:`drain`)."""
         with self._lock:
             rows = list(self.rows)
+            if clear:
+                self.rows = []
         df = spark.createDataFrame(rows, "query string, batch_id long, ts string, n long").withColumn(
             "ts", F.to_timestamp("ts"))
         return df.filter(F.col("n") > 0) if non_empty else df
 
+    def drain(self, spark: SparkSession, path: str | None = None) -> DataFrame:
+        """Hand over the buffered counts and clear the buffer, so a
+        long-running stream keeps O(batches since the last drain) rows on
+        the driver; with ``path`` they are appended to a Parquet table."""
+        df = self.to_df(spark, non_empty=False, clear=True)
+        if path:
+            df.write.mode("append").parquet(path)
+        return df
+
 
 def batches_to_samples(batches: DataFrame, metric_prefix: str = "news_articles_",
                        instance: str = "streaming-job") -> DataFrame:

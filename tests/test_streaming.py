@@ -119,6 +119,9 @@ def test_batch_count_listener(spark, scratch):
         assert sorted(r.n for r in b.collect()) == [1, 2]
         samples = batches_to_samples(b).collect()
         assert max(r.value for r in samples) == 3.0
+        drained = listener.drain(spark, f"{scratch}/counts")
+        assert drained.count() == 2 and listener.rows == []
+        assert spark.read.parquet(f"{scratch}/counts").count() == 2
     finally:
         spark.streams.removeListener(listener)
 
