@@ -101,6 +101,9 @@ def element(html, sel: Selector, finish: bool = True) -> tuple[Column, Column]:
 
 # ---------------------------------------------------------------- page parts
 
+# Content a parser never reads as markup: script and style bodies and
+# comments (an unclosed one runs to the end of the page, as in a parser).
+HIDDEN_RE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
 META_TAG_RE = r"(?is)<meta(?:\s[^>]*)?>"
 H1_RE = r"(?is)<h1(?:\s[^>]*)?>(.*?)(?:</h1\s*>|\z)"
 TIME_TAG_RE = r"(?is)<time(?:[\s/][^>]*)?>"
@@ -109,38 +112,45 @@ TIME_TAG_RE = r"(?is)<time(?:[\s/][^>]*)?>"
 @dataclass(frozen=True)
 class Parts:
     """The few page fragments the field rules read, each found by one pass
-    over the page: all ``<meta>`` tags, the first ``<h1>`` element, the
-    first ``<time>`` tag and all JSON-LD script bodies. Rules then run on
-    these short strings instead of rescanning the page per rule."""
-    html: Column
+    over the page: the visible page (scripts, styles and comments removed),
+    and in it all ``<meta>`` tags, the first ``<h1>`` element and the first
+    ``<time>`` tag; plus all JSON-LD script bodies of the raw page. Rules
+    then run on these instead of rescanning the page per rule."""
+    html: Column        # the visible page
     metas: Column
     h1: Column
     time_tag: Column
     ld: Column
 
 
-PART_COLUMNS = ("_p_metas", "_p_h1", "_p_time", "_p_ld")
+PART_COLUMNS = ("_p_vis", "_p_metas", "_p_h1", "_p_time", "_p_ld")
 
 
-def part_exprs(html) -> dict[str, Column]:
-    html = _c(html)
+def visible_html(html) -> Column:
+    """The page without script/style bodies and comments."""
+    return F.regexp_replace(_c(html), HIDDEN_RE, "")
+
+
+def part_exprs(html, visible) -> dict[str, Column]:
+    html, visible = _c(html), _c(visible)
     return {
-        "_p_metas": F.regexp_extract_all(html, F.lit(META_TAG_RE), 0),
-        "_p_h1": F.regexp_extract(html, H1_RE, 0),
-        "_p_time": F.regexp_extract(html, TIME_TAG_RE, 0),
+        "_p_metas": F.regexp_extract_all(visible, F.lit(META_TAG_RE), 0),
+        "_p_h1": F.regexp_extract(visible, H1_RE, 0),
+        "_p_time": F.regexp_extract(visible, TIME_TAG_RE, 0),
         "_p_ld": F.regexp_extract_all(html, F.lit(LD_SCRIPT_RE), 1),
     }
 
 
 def inline_parts(html) -> Parts:
     """Parts as expressions over ``html`` (for a single rule on its own)."""
-    e = part_exprs(html)
-    return Parts(_c(html), e["_p_metas"], e["_p_h1"], e["_p_time"], e["_p_ld"])
+    vis = visible_html(html)
+    e = part_exprs(html, vis)
+    return Parts(vis, e["_p_metas"], e["_p_h1"], e["_p_time"], e["_p_ld"])
 
 
-def column_parts(html: str = "html") -> Parts:
-    """Parts read from columns materialised by a previous ``select``."""
-    return Parts(F.col(html), F.col("_p_metas"), F.col("_p_h1"), F.col("_p_time"), F.col("_p_ld"))
+def column_parts() -> Parts:
+    """Parts read from columns materialised by :func:`with_parts`."""
+    return Parts(F.col("_p_vis"), F.col("_p_metas"), F.col("_p_h1"), F.col("_p_time"), F.col("_p_ld"))
 
 
 def title_of(parts: Parts) -> tuple[Column, Column]:
@@ -311,5 +321,7 @@ def container_html(html, class_token: str) -> Column:
 
 def with_parts(df, html: str = "html"):
     """``df`` plus the page-part columns (one pass per fragment), for rules
-    applied through :func:`column_parts`."""
-    return df.select("*", *[v.alias(k) for k, v in part_exprs(F.col(html)).items()])
+    applied through :func:`column_parts`. The visible page is materialised
+    first so the fragment passes read it once."""
+    df = df.select("*", visible_html(F.col(html)).alias("_p_vis"))
+    return df.select("*", *[v.alias(k) for k, v in part_exprs(F.col(html), F.col("_p_vis")).items()])

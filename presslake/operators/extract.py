@@ -184,11 +184,14 @@ def category_expr(url: Column, profile: Profile) -> Column:
     return F.coalesce(split_part(url, "/", profile.category_index), F.lit(profile.category_default))
 
 
-def body_expr(html: Column, profile: Profile, with_container: bool = True) -> Column:
-    """Paragraphs of the content container, else all paragraphs."""
+def body_expr(html: Column, profile: Profile, with_container: bool = True,
+              parts: H.Parts | None = None) -> Column:
+    """Paragraphs of the content container, else all paragraphs (of the
+    visible page: a ``<p>`` inside a script string is not a paragraph)."""
+    vis = _parts(html, parts).html
     if not with_container or not profile.container_class:
-        return H.body_text(html)
-    return H.body_text(html, H.container_html(html, profile.container_class))
+        return H.body_text(vis)
+    return H.body_text(vis, H.container_html(vis, profile.container_class))
 
 
 def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source: str | None = None,
@@ -207,8 +210,7 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     # stage 1: one pass per page fragment; stage 2: the rules on fragments.
     # The fragments are referenced by several rules, so Catalyst keeps the
     # two projections apart and each fragment is computed once per page.
-    staged = pages.select(*keep_cols, "url", "html",
-                          *[v.alias(k) for k, v in H.part_exprs(F.col("html")).items()])
+    staged = H.with_parts(pages.select(*keep_cols, "url", "html"))
     session_key = id(pages.sparkSession)
     cols = [F.col(k) for k in keep_cols] + list(_field_columns(profile, source, as_of, with_container, session_key))
     return staged.select(*cols)
@@ -222,13 +224,13 @@ def _field_columns(profile: Profile, source: str | None, as_of: str | None, with
     arguments, so they are built once per session and reused (building a
     few hundred expression nodes through the Python API is not free)."""
     html, url = F.col("html"), F.col("url")
-    parts = H.column_parts("html")
+    parts = H.column_parts()
     fields = {
         "titre": title_expr(html, profile, parts),
         "auteur": author_expr(html, profile, parts),
         "date_publication": date_expr(html, profile, as_of, parts),
         "categorie": category_expr(url, profile),
-        "contenu": body_expr(html, profile, with_container),
+        "contenu": body_expr(html, profile, with_container, parts),
         "source": F.lit(source) if source is not None else url_host(url),
         "url": url,
     }

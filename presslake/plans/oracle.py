@@ -152,16 +152,17 @@ def d_ld_first_date(h: str) -> str:
             f"lambda d: d IS NOT NULL AND d <> '')[1]")
 
 
-def d_author(h: str, profile: X.Profile) -> str:
+def d_author(h: str, profile: X.Profile, raw: str = "html") -> str:
+    """``h`` is the visible page; JSON-LD comes from the raw page ``raw``."""
     m_exists, m_content = d_meta(h, "name", "author")
     pairs = [(f"({m_exists} AND {m_content} <> '')", m_content)]
     pairs += [d_element(h, sel) for sel in profile.author_selectors]
     if profile.author_from_jsonld:
-        pairs.append(d_ld_author(h, profile.author_default))
+        pairs.append(d_ld_author(raw, profile.author_default))
     return d_first_existing(pairs, lit(profile.author_default))
 
 
-def d_raw_date(h: str, profile: X.Profile) -> str:
+def d_raw_date(h: str, profile: X.Profile, raw: str = "html") -> str:
     metas = [d_meta(h, a, v) for a, v in profile.date_metas]
     stages = [f"nullif({d_first_existing(metas)}, '')"]
     if profile.date_from_time_tag:
@@ -169,12 +170,12 @@ def d_raw_date(h: str, profile: X.Profile) -> str:
         val = _d_attr(tag, "datetime")
         stages.append(f"CASE WHEN {tag} <> '' AND {val} <> '' THEN {val} END")
     if profile.date_from_jsonld:
-        stages.append(d_ld_first_date(h))
+        stages.append(d_ld_first_date(raw))
     return f"coalesce({', '.join(stages)})"
 
 
-def d_date(h: str, profile: X.Profile, as_of: str) -> str:
-    raw = d_raw_date(h, profile)
+def d_date(h: str, profile: X.Profile, as_of: str, raw_html: str = "html") -> str:
+    raw = d_raw_date(h, profile, raw_html)
     if profile.normalize_date:
         raw = d_normalize(raw)
     return f"coalesce({raw}, {lit(as_of)})"
@@ -186,7 +187,12 @@ def sel(cols: dict[str, str]) -> str:
 
 # ---------------------------------------------------------------- common CTEs
 
-PAGES_HEAD = f"(SELECT {sel(FX.pages_with_head_cols())} FROM pages)"
+def d_visible(h: str) -> str:
+    return f"regexp_replace({h}, {lit(H.HIDDEN_RE)}, '', 'g')"
+
+
+PAGES_HEAD = f"(SELECT *, {d_visible('html')} AS vis FROM (SELECT {sel(FX.pages_with_head_cols())} FROM pages) p0)"
+PAGES_VIS = f"(SELECT *, {d_visible('html')} AS vis FROM pages)"
 ARTICLES = f"(SELECT {sel(FX.article_cols())} FROM documents)"
 SAMPLES = f"(SELECT {sel(FX.sample_cols())} FROM events)"
 EV_SILVER = f"(SELECT {sel(FX.events_silver_cols())} FROM events)"
@@ -260,26 +266,26 @@ def oracle_sql() -> dict[str, str]:
                        f"FROM (SELECT {sel(FX.order_date_cols())} FROM orders) o")
     q["date_normalize"] = (f"SELECT event_id, raw, {d_normalize('raw')} AS normalized "
                            f"FROM (SELECT {sel(FX.event_date_text_cols())} FROM events) e")
-    q["extract_title"] = (f"SELECT page_id, {d_title('html', P3.title_default)} AS titre, "
-                          f"{d_title('html', X.PROFILE_SEG6.title_default)} AS titre_seg6 FROM pages")
+    q["extract_title"] = (f"SELECT page_id, {d_title('vis', P3.title_default)} AS titre, "
+                          f"{d_title('vis', X.PROFILE_SEG6.title_default)} AS titre_seg6 FROM {PAGES_VIS} p")
     q["extract_category"] = (f"SELECT page_id, {seg3_cat} AS categorie, {d_category('url', 6)} AS categorie_seg6 "
                              f"FROM pages")
     q["extract_source"] = f"SELECT page_id, {d_host('url')} AS source FROM pages"
-    q["extract_body"] = f"SELECT page_id, {d_body('html')} AS contenu FROM pages"
-    q["extract_author"] = f"SELECT page_id, {d_author('html', P3)} AS auteur FROM {PAGES_HEAD} p"
-    q["extract_date"] = f"SELECT page_id, {d_date('html', P3, FX.AS_OF)} AS date_publication FROM {PAGES_HEAD} p"
-    q["extract_articles"] = (f"SELECT page_id, {d_title('html', P3.title_default)} AS titre, "
-                             f"{d_author('html', P3)} AS auteur, {d_date('html', P3, FX.AS_OF)} AS date_publication, "
-                             f"{seg3_cat} AS categorie, {d_body('html')} AS contenu, {d_host('url')} AS source, url "
+    q["extract_body"] = f"SELECT page_id, {d_body('vis')} AS contenu FROM {PAGES_VIS} p"
+    q["extract_author"] = f"SELECT page_id, {d_author('vis', P3)} AS auteur FROM {PAGES_HEAD} p"
+    q["extract_date"] = f"SELECT page_id, {d_date('vis', P3, FX.AS_OF)} AS date_publication FROM {PAGES_HEAD} p"
+    q["extract_articles"] = (f"SELECT page_id, {d_title('vis', P3.title_default)} AS titre, "
+                             f"{d_author('vis', P3)} AS auteur, {d_date('vis', P3, FX.AS_OF)} AS date_publication, "
+                             f"{seg3_cat} AS categorie, {d_body('vis')} AS contenu, {d_host('url')} AS source, url "
                              f"FROM {PAGES_HEAD} p")
     P6 = X.PROFILE_SEG6
-    q["extract_author_seg6"] = f"SELECT page_id, {d_author('html', P6)} AS auteur FROM {PAGES_HEAD} p"
+    q["extract_author_seg6"] = f"SELECT page_id, {d_author('vis', P6)} AS auteur FROM {PAGES_HEAD} p"
     now6 = FX.AS_OF.replace(" ", "T")   # the seg6 clock format: ISO, zero microseconds omitted
-    q["extract_date_seg6"] = (f"SELECT page_id, {d_date('html', P6, now6)} AS date_publication "
+    q["extract_date_seg6"] = (f"SELECT page_id, {d_date('vis', P6, now6)} AS date_publication "
                               f"FROM {PAGES_HEAD} p")
-    q["extract_articles_seg6"] = (f"SELECT page_id, {d_title('html', P6.title_default)} AS titre, "
-                                  f"{d_author('html', P6)} AS auteur, {d_date('html', P6, now6)} AS date_publication, "
-                                  f"{d_category('url', 6)} AS categorie, {d_body('html')} AS contenu, "
+    q["extract_articles_seg6"] = (f"SELECT page_id, {d_title('vis', P6.title_default)} AS titre, "
+                                  f"{d_author('vis', P6)} AS auteur, {d_date('vis', P6, now6)} AS date_publication, "
+                                  f"{d_category('url', 6)} AS categorie, {d_body('vis')} AS contenu, "
                                   f"'seg6' AS source, url, {lit(now6)} AS scraped_at FROM {PAGES_HEAD} p")
     q["message_decode"] = "SELECT event_id, props->>'k' AS k, ts AS kafka_timestamp FROM events"
     q["message_roundtrip"] = (f"SELECT msg_offset AS doc_id, titre, auteur, date_publication, categorie, contenu, "

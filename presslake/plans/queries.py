@@ -107,8 +107,8 @@ def q_extract_source(spark, sf):
 
 
 def q_extract_body(spark, sf):
-    p = table(spark, sf, "pages", cpu_heavy=True)
-    return p.select("page_id", X.body_expr(F.col("html"), X.PROFILE_SEG3).alias("contenu"))
+    p = H.with_parts(table(spark, sf, "pages", cpu_heavy=True))
+    return p.select("page_id", X.body_expr(F.col("html"), X.PROFILE_SEG3, parts=H.column_parts()).alias("contenu"))
 
 
 def q_extract_author(spark, sf):

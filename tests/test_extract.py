@@ -120,3 +120,17 @@ def test_extraction_is_one_narrow_stage(spark):
     plan = extract_articles(df, PROFILE_SEG3, as_of=AS_OF, with_container=False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert F is not None
+
+
+def test_script_style_and_comments_are_not_markup(spark):
+    pages = [
+        ("u", '<script>var cms = {"body": "<p>fake</p>", "h": "<h1>Fake</h1>"};</script>'
+              '<style>p{x:1}</style><!-- <p>old</p> <span class="article-author-name">Old</span> -->'
+              '<h1>Real</h1><p>one</p><script>document.write("<p>two</p>")</script><p>three</p>'),
+        ("u", '<p>kept</p><script>never closed <p>lost</p>'),
+        ("u", '<script type="application/ld+json">{"author":{"name":"From LD"}}</script><p>x</p>'),
+    ]
+    got = _extract(spark, pages, PROFILE_SEG3)
+    assert (got[0]["titre"], got[0]["contenu"], got[0]["auteur"]) == ("Real", "one three", "Anonyme")
+    assert got[1]["contenu"] == "kept"
+    assert got[2]["auteur"] == "From LD"          # JSON-LD is read from the raw page
