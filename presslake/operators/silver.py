@@ -78,3 +78,30 @@ def to_silver(bronze: DataFrame, order: Sequence[str] = ("kafka_timestamp", "off
     order = [c for c in order if c in bronze.columns]
     deduped = dedup_first(bronze, "url", order, where=is_valid_article())
     return project_silver(deduped, with_ingestion)
+
+
+def new_silver_rows(increment: DataFrame, seen_urls: DataFrame | None,
+                    order: Sequence[str] = ("kafka_timestamp", "offset")) -> DataFrame:
+    """Bronze rows of an increment that belong in silver, not yet cleaned:
+    valid, first arrival per url within the increment, and url not already
+    admitted (``seen_urls``: a ``url`` column, e.g. silver itself).
+
+    The increment is de-duplicated with the map-side combining aggregate,
+    and the admitted urls are cut down to the increment's keys before the
+    anti join (broadcast semi join when the increment is provably small),
+    so neither a hot url nor a large silver table is shuffled whole.
+    """
+    from presslake.operators.joins import restrict_to_keys
+
+    ordered = [c for c in order if c in increment.columns]
+    winners = dedup_first(increment, "url", ordered, where=is_valid_article())
+    if seen_urls is None:
+        return winners
+    admitted = restrict_to_keys(seen_urls.select("url"), winners, "url").distinct()
+    return winners.join(admitted, "url", "left_anti")
+
+
+def append_silver(increment: DataFrame, silver: DataFrame | None, with_ingestion: bool = True) -> DataFrame:
+    """Batch form of the global dedup: the cleaned silver rows to append for
+    a bronze increment, given the current silver table."""
+    return project_silver(new_silver_rows(increment, silver), with_ingestion)

@@ -149,19 +149,15 @@ def start_silver_table_dedup(bronze: DataFrame, silver_path: str, seen_path: str
     """
     from pyspark.errors import AnalysisException
 
-    from presslake.operators.joins import restrict_to_keys
-    from presslake.operators.silver import dedup_first, is_valid_article
+    from presslake.operators.silver import new_silver_rows
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        ordered = [c for c in order if c in batch.columns]
-        winners = dedup_first(batch, "url", ordered, where=is_valid_article())
         try:
             seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
-            winners = winners.join(restrict_to_keys(seen, winners, "url").distinct(), "url", "left_anti")
         except AnalysisException:
-            pass  # first epoch: nothing seen yet
-        out = project_silver(winners).withColumn("epoch", F.lit(epoch_id))
+            seen = None  # first epoch: nothing seen yet
+        out = project_silver(new_silver_rows(batch, seen, order)).withColumn("epoch", F.lit(epoch_id))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("epoch").parquet(silver_path))
         admitted = spark.read.parquet(f"{silver_path}/epoch={epoch_id}").select("url")

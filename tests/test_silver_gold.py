@@ -112,3 +112,20 @@ def test_write_gold_managed_tables(spark, scratch):
         assert spark.table("gold_test.articles_par_jour").count() == 2
     finally:
         spark.sql("DROP DATABASE IF EXISTS gold_test CASCADE")
+
+
+def test_append_silver_increment(spark):
+    from presslake.operators.silver import append_silver
+
+    cols = "url string, titre string, auteur string, date_publication string, categorie string, contenu string, " \
+           "source string, kafka_timestamp timestamp, offset long"
+    t = dt.datetime(2026, 1, 1)
+    first = spark.createDataFrame([("u1", "T", "a", "2026-01-01", "c", "x", "S", t, 1),
+                                   ("u1", "T2", "a", "2026-01-01", "c", "y", "S", t, 2)], cols)
+    silver = append_silver(first, None, with_ingestion=False)
+    assert [(r.url, r.titre_clean) for r in silver.collect()] == [("u1", "T")]
+    second = spark.createDataFrame([("u1", "again", "a", "2026-01-02", "c", "z", "S", t, 3),
+                                    ("u2", "New", "a", "2026-01-02", "c", "w", "S", t, 4),
+                                    ("u3", None, "a", "2026-01-02", "c", "w", "S", t, 5)], cols)
+    added = append_silver(second, silver, with_ingestion=False)
+    assert [(r.url, r.titre_clean) for r in added.collect()] == [("u2", "New")]
