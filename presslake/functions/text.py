@@ -1,4 +1,6 @@
-"""Text cleaning as native regex chains.
+"""Text expressions: the silver cleaning rule (C1-C4), previews (C14) and
+the HTML text helpers used by extraction (node text, character
+references), all as native regex/string expressions.
 
 The cleaning rule: strip tags, replace every character outside the kept
 set by a space, collapse whitespace runs to one space, trim; NULL or empty

@@ -3,8 +3,10 @@
 The per-page scraping of the original pipeline is re-aimed as one
 distributed projection: every field is a native expression over the
 ``html`` column, so a pages table of any size is extracted in a single
-narrow stage (no shuffle) inside whole-stage codegen. Site differences
-are data (a :class:`Profile`), not code paths.
+narrow stage (no shuffle). The page is scanned once per fragment (visible
+page, metas, first h1, first time tag, JSON-LD scripts) and the field rules
+run on those fragments. Site differences are data (a :class:`Profile`),
+not code paths.
 """
 
 from __future__ import annotations
