@@ -50,3 +50,30 @@ def test_spread_only_when_narrow(spark):
         assert "RoundRobinPartitioning" not in spread_if_narrow(df)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sitemap_xml_to_ingest(spark, scratch):
+    import os
+    from xml.sax.saxutils import escape
+
+    from presslake.sources.layers import read_state
+    from presslake.sources.sitemap import read_sitemap
+
+    pages = table(spark, SF, "pages")
+    urls = [r.url for r in pages.select("url").orderBy("page_id").limit(12).collect()]
+    entries = "".join(
+        f"<url><loc>{escape(u)}</loc><news:news><news:publication_date>2026-05-{10 + i:02d}T10:00:00+00:00"
+        f"</news:publication_date></news:news></url>" for i, u in enumerate(urls))
+    xml = ('<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" '
+           f'xmlns:news="http://www.google.com/schemas/sitemap-news/0.9">{entries}'
+           '<url><loc>https://never.captured/x</loc><lastmod>2026-05-30T00:00:00Z</lastmod></url></urlset>')
+    os.makedirs(f"{scratch}/sitemaps")
+    with open(f"{scratch}/sitemaps/news.xml", "w") as f:
+        f.write(xml)
+    listing = read_sitemap(spark, f"{scratch}/sitemaps", source="site")
+    res = run_ingest(spark, listing, pages, f"{scratch}/msgs", f"{scratch}/state", "2026-06-01 00:00:00",
+                     source="site", quarantine_path=f"{scratch}/quarantine")
+    assert res.articles.count() == 12
+    assert spark.read.parquet(f"{scratch}/quarantine").first().url == "https://never.captured/x"
+    # the mark is the newest successful item, not the uncaptured newer one
+    assert read_state(spark, f"{scratch}/state").first().last_date == "2026-05-21T10:00:00+00:00"
