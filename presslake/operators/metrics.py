@@ -130,23 +130,54 @@ def deltas(samples: DataFrame, bucket: str | int = "1 hour") -> DataFrame:
     return _bucketed(samples, _interval_us(bucket), 0).filter(F.col("_halo") == 0).drop("_halo")
 
 
-def increase(samples: DataFrame, frame: str | int = "5 minutes", bucket: str | int = "1 hour") -> DataFrame:
-    """``increase(m[frame])`` at every sample: the exact sum of reset-aware
-    deltas over the left-open frame ``(t - frame, t]`` (no boundary
-    extrapolation). One shuffle of the samples; every window partition is
-    one (series, bucket) plus its halo."""
+def increase(samples: DataFrame, frame: str | int = "5 minutes", bucket: str | int = "1 hour",
+             extrapolate: bool = False) -> DataFrame:
+    """``increase(m[frame])`` at every sample, over the left-open frame
+    ``(t - frame, t]``. One shuffle of the samples; every window partition
+    is one (series, bucket) plus its halo.
+
+    ``extrapolate=False``: the exact sum of reset-aware deltas (each
+    sample's delta against its predecessor, which may precede the frame).
+    ``extrapolate=True``: the dashboard engine's rule instead: the
+    reset-corrected increase between the first and last samples inside the
+    frame, extended toward the frame start by the gap to the first sample
+    when it is under 1.1 average sample intervals (else by half an
+    interval), never past the counter's zero point; NULL with fewer than
+    two samples in the frame. Evaluated at sample times, so the frame end
+    is the last sample.
+    """
     f_us = _interval_us(frame)
     b_us = max(_interval_us(bucket), f_us)
     u = _bucketed(samples, b_us, f_us)
     w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
-    inc = F.sum(F.when(F.col("_halo") < 2, F.col("delta"))).over(w)
-    return u.withColumn("increase", inc).filter(F.col("_halo") == 0).drop("_halo")
-
-
-def rate(samples: DataFrame, frame: str | int = "1 minute", bucket: str | int = "1 hour") -> DataFrame:
+    real = F.col("_halo") < 2
+    inc = F.sum(F.when(real, F.col("delta"))).over(w)
+    if not extrapolate:
+        return u.withColumn("increase", inc).filter(F.col("_halo") == 0).drop("_halo")
+    first_key = F.when(real, F.struct("_t", "sample_id"))
+    u = u.withColumns({
+        "_sum": inc,
+        "_n": F.count(F.when(real, F.lit(1))).over(w),
+        "_first_t": F.min_by(F.col("_t"), first_key).over(w),
+        "_first_v": F.min_by(F.col("value"), first_key).over(w),
+        "_first_d": F.min_by(F.col("delta"), first_key).over(w),
+    }).filter(F.col("_halo") == 0)
+    result = F.col("_sum") - F.col("_first_d")                       # increase inside the frame
+    sampled = (F.col("_t") - F.col("_first_t")) / F.lit(float(US))   # seconds first -> last
+    avg = sampled / (F.col("_n") - 1)
+    to_start = (F.col("_first_t") - (F.col("_t") - F.lit(f_us))) / F.lit(float(US))
+    to_zero = F.when((result > 0) & (F.col("_first_v") >= 0), sampled * (F.col("_first_v") / result))
+    to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
+    extended = sampled + F.when(to_start < avg * 1.1, to_start).otherwise(avg / 2)
+    value = F.when((F.col("_n") >= 2) & (sampled > 0), result * (extended / sampled))
+    return u.withColumn("increase", value).drop("_halo", "_sum", "_n", "_first_t", "_first_v", "_first_d")
+
+
+def rate(samples: DataFrame, frame: str | int = "1 minute", bucket: str | int = "1 hour",
+         extrapolate: bool = False) -> DataFrame:
     """``rate(m[frame])`` = increase / frame seconds, at every sample."""
     f_s = _interval_us(frame) / US
-    inc = increase(samples, frame, bucket)
+    inc = increase(samples, frame, bucket, extrapolate)
     return inc.withColumn("rate", F.col("increase") / F.lit(f_s))
 
 

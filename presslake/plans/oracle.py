@@ -349,6 +349,20 @@ def oracle_sql() -> dict[str, str]:
     q["metric_rate"] = (f"WITH {_deltas_cte()} SELECT job, instance, sample_id, ts, "
                         f"round(sum(delta) OVER (PARTITION BY metric, job, instance ORDER BY t "
                         f"RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) / 60.0, 6) AS rate FROM e")
+    win = "PARTITION BY metric, job, instance ORDER BY t RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW"
+    q["metric_rate_extrapolated"] = (
+        f"WITH {_deltas_cte()}, "
+        f"w AS (SELECT *, sum(delta) OVER win AS s, count(*) OVER win AS n, "
+        f"arg_min(t, (t, sample_id)) OVER win AS ft, arg_min(value, (t, sample_id)) OVER win AS fv, "
+        f"arg_min(delta, (t, sample_id)) OVER win AS fd FROM e WINDOW win AS ({win})), "
+        f"x AS (SELECT *, s - fd AS res, (t - ft) / 1000000.0 AS sampled, "
+        f"(ft - (t - 60000000)) / 1000000.0 AS ts0 FROM w), "
+        f"y AS (SELECT *, sampled / (n - 1) AS avg, "
+        f"CASE WHEN res > 0 AND fv >= 0 THEN sampled * (fv / res) END AS tz FROM x), "
+        f"z AS (SELECT *, CASE WHEN tz IS NOT NULL AND tz < ts0 THEN tz ELSE ts0 END AS st FROM y) "
+        f"SELECT job, instance, sample_id, ts, round(CASE WHEN n >= 2 AND sampled > 0 THEN "
+        f"res * ((sampled + CASE WHEN st < avg * 1.1 THEN st ELSE avg / 2 END) / sampled) END / 60.0, 6) AS rate "
+        f"FROM z")
     q["metric_cpu_percent"] = (f"WITH {_deltas_cte()} SELECT metric, "
                                f"make_timestamp(((t + 59999999) // 60000000) * 60000000) AS eval_ts, "
                                f"round(sum(delta) / 60.0 * 100.0, 4) AS value FROM e GROUP BY 1, 2")

@@ -319,6 +319,11 @@ def q_metric_rate(spark, sf):
     return r.select(*_series_out(), "sample_id", "ts", F.round("rate", 6).alias("rate"))
 
 
+def q_metric_rate_extrapolated(spark, sf):
+    r = M.rate(samples(spark, sf), "1 minute", extrapolate=True)
+    return r.select(*_series_out(), "sample_id", "ts", F.round("rate", 6).alias("rate"))
+
+
 def q_metric_cpu_percent(spark, sf):
     r = M.instant_rate_sum(samples(spark, sf), "1 minute", factor=100.0)
     return r.select("metric", "eval_ts", F.round("value", 4).alias("value"))
@@ -391,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_sum_selector": q_metric_sum_selector,
     "metric_increase": q_metric_increase,
     "metric_rate": q_metric_rate,
+    "metric_rate_extrapolated": q_metric_rate_extrapolated,
     "metric_cpu_percent": q_metric_cpu_percent,
     "metric_running_total": q_metric_running_total,
     "metric_ram_gib": q_metric_ram_gib,
