@@ -83,9 +83,11 @@ class Selector:
 def element(html, sel: Selector, finish: bool = True) -> tuple[Column, Column]:
     """(exists, text) of the first element matching ``sel``.
 
-    The element ends at the first closing tag of the same name (nested
-    same-name elements are not balanced); an element without a closing tag
-    has empty text.
+    The element normally ends at the first closing tag of its name; when
+    that span contains another start tag of the same name, the page goes
+    to :func:`balanced_element` (an Arrow-batched helper that balances the
+    tags) and all other pages pass it NULL. An element without a closing
+    tag has empty text.
     """
     html = _c(html)
     pat, name_group = sel.pattern()
@@ -95,10 +97,48 @@ def element(html, sel: Selector, finish: bool = True) -> tuple[Column, Column]:
         # cannot match (And short-circuits)
         exists = (F.instr(html, sel.guard) > 0) & exists
     full = pat + r"(.*?)</\%d\s*>" % name_group
-    inner = F.regexp_extract(html, full, name_group + 1)
+    lazy = F.regexp_extract(html, full, name_group + 1)
+    name = F.lower(F.regexp_extract(html, full, name_group))
+    nested = exists & (F.instr(F.lower(lazy), F.concat(F.lit("<"), name)) > 0)
+    inner = F.coalesce(balanced_element(sel)(F.when(nested, html)), lazy)
     return exists, (html_text(inner) if finish else strip_tags_ws(inner))
 
 
+def balanced_element(sel: Selector):
+    """Pandas UDF: inner html of the first element matching ``sel``, with
+    nested same-name tags balanced (NULL when unclosed). Self-contained, so
+    it is shipped by value."""
+    pat, name_group = sel.pattern()
+    py_pat = pat[len("(?is)"):]
+
+    @F.pandas_udf(T.StringType())
+    def _balanced(s: pd.Series) -> pd.Series:
+        import re as _re
+
+        start_re = _re.compile(py_pat, _re.I | _re.S)
+
+        def inner_of(h):
+            if h is None:
+                return None
+            m = start_re.search(h)
+            if not m:
+                return None
+            tok = _re.compile(r"<(/?)" + _re.escape(m.group(name_group)) + r"(?=[\s/>])[^>]*>", _re.I)
+            depth, pos = 1, m.end()
+            for t in tok.finditer(h, pos):
+                if t.group(1):
+                    depth -= 1
+                elif not t.group(0).endswith("/>"):
+                    depth += 1
+                if depth == 0:
+                    return h[pos:t.start()]
+            return None
+
+        return s.map(inner_of)
+
+    return _balanced
+
+
 # ---------------------------------------------------------------- page parts
 
 # Content a parser never reads as markup: script and style bodies and

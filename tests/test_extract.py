@@ -134,3 +134,12 @@ def test_script_style_and_comments_are_not_markup(spark):
     assert (got[0]["titre"], got[0]["contenu"], got[0]["auteur"]) == ("Real", "one three", "Anonyme")
     assert got[1]["contenu"] == "kept"
     assert got[2]["auteur"] == "From LD"          # JSON-LD is read from the raw page
+
+
+def test_nested_same_name_byline_is_balanced(spark):
+    pages = [
+        ("u", '<div class="article-author-name"><div>By</div> Jane <b>Doe</b></div><div>after</div><p>x</p>'),
+        ("u", '<span class="article-author-name">Plain <b>Name</b></span><p>x</p>'),
+    ]
+    got = [r["auteur"] for r in _extract(spark, pages, PROFILE_SEG3)]
+    assert got == ["ByJaneDoe", "PlainName"]
