@@ -40,6 +40,19 @@ DROP_OR_WS_RUN_RE = r"[^\p{L}\p{N}_" + KEEP_EXTRA + r"]+"
 NAMED_ENTITIES = {name: chr(cp) for name, cp in sorted(_html_entities.name2codepoint.items())}
 ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 REPLACEMENT_CHAR = "\ufffd"
+
+
+def _c1_char(b: int) -> str:
+    try:
+        return bytes([b]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(b)
+
+
+# Numeric references 0x80-0x9F name Windows-1252 characters in legacy pages
+# (&#146; is a right quote); generated from Python's cp1252 codec, bytes the
+# codec leaves undefined map to themselves.
+CP1252_C1 = "".join(_c1_char(b) for b in range(0x80, 0xA0))
 # The basic references, in replace order (ampersand last).
 BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 # A reference other than the basic ones (then the general decoder runs).
@@ -102,9 +115,16 @@ def _entity_char(tok: Column) -> Column:
     is_hex = is_num & F.substring(tok, 2, 1).isin("x", "X")
     cp = (F.when(is_hex, F.conv(F.substring(tok, 3, 8), 16, 10))
           .when(is_num, F.substring(tok, 2, 8))).cast("long")
-    bad = (cp == 0) | cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF)
-    char = F.when(bad, F.lit(REPLACEMENT_CHAR)).otherwise(
-        F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32"))
+    # code points a parser drops: C0/C1 controls (except tab, LF, FF, CR,
+    # space), DEL, U+FDD0-U+FDEF and the last two code points of every plane
+    dropped = (cp.between(1, 8) | (cp == 0x0B) | cp.between(0x0E, 0x1F) | (cp == 0x7F)
+               | cp.between(0xFDD0, 0xFDEF) | (F.pmod(cp, F.lit(0x10000)) >= 0xFFFE))
+    char = (F.when(cp == 0, F.lit(REPLACEMENT_CHAR))
+            .when(cp == 0x0D, F.lit("\r"))
+            .when(cp.between(0x80, 0x9F), F.lit(CP1252_C1).substr((cp - 0x7F).cast("int"), F.lit(1)))
+            .when(cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF), F.lit(REPLACEMENT_CHAR))
+            .when(dropped, F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")))
     return F.when(is_num, char).otherwise(F.coalesce(_named_char(tok), F.concat(F.lit("&"), tok, F.lit(";"))))
 
 

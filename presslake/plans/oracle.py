@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from presslake.functions import html as H
 from presslake.functions.dates import NORM_RE
-from presslake.functions.text import DROP_RE, EDGE_WS_RE, ENTITY_RE, NAMED_ENTITIES, TAG_RE, WS, WS_RUN_RE
+from presslake.functions.text import (CP1252_C1, DROP_RE, EDGE_WS_RE, ENTITY_RE, NAMED_ENTITIES, TAG_RE, WS,
+                                     WS_RUN_RE)
 from presslake.operators import extract as X
 from presslake.operators.listing import MEDIA_MARKERS
 from presslake.operators.metrics import STEPS_CPU
@@ -39,8 +40,12 @@ _D_NAMED = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in NAMED_ENTITIES.
 def _d_entity(t: str) -> str:
     cp = (f"(CASE WHEN {t} LIKE '#x%' OR {t} LIKE '#X%' THEN ('0x' || substr({t}, 3))::BIGINT "
           f"WHEN {t} LIKE '#%' THEN substr({t}, 2)::BIGINT END)")
-    char = (f"CASE WHEN {cp} = 0 OR {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
-            f"ELSE chr({cp}::INTEGER) END")
+    dropped = (f"({cp} BETWEEN 1 AND 8 OR {cp} = 11 OR {cp} BETWEEN 14 AND 31 OR {cp} = 127 "
+               f"OR {cp} BETWEEN 64976 AND 65007 OR {cp} % 65536 >= 65534)")
+    char = (f"CASE WHEN {cp} = 0 THEN chr(65533) WHEN {cp} = 13 THEN chr(13) "
+            f"WHEN {cp} BETWEEN 128 AND 159 THEN substring({lit(CP1252_C1)}, ({cp} - 127)::INTEGER, 1) "
+            f"WHEN {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
+            f"WHEN {dropped} THEN '' ELSE chr({cp}::INTEGER) END")
     return f"CASE WHEN {t} LIKE '#%' THEN {char} ELSE coalesce({_D_NAMED}[{t}], '&' || {t} || ';') END"
 
 

@@ -88,5 +88,7 @@ def test_decode_entities_matches_html_unescape(spark):
 
     from presslake.functions.text import decode_entities
     vals = ["a &amp; b", "&amp;lt;", "it&#8217;s &rsquo;q&lsquo; &eacute;t&eacute;", "&#x1F600; &#X41;",
-            "&unknown; stays", "&#0; &#xD800;", "&copy; 2026 &middot; x &nbsp;y", "no refs", "&&amp;&"]
+            "&unknown; stays", "&#0; &#xD800;", "&copy; 2026 &middot; x &nbsp;y", "no refs", "&&amp;&",
+            "it&#146;s &#150; &#151; &#128; &#129; &#159;", "a&#1;b&#11;c&#13;d&#127;e&#xFDD0;f&#xFFFE;g&#x1FFFF;h",
+            "&#x110000; &#12;"]
     assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
