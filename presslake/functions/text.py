@@ -35,9 +35,9 @@ EDGE_WS_RE = "^[" + WS + "]+|[" + WS + "]+$"
 DROP_OR_WS_RUN_RE = r"[^\p{L}\p{N}_" + KEEP_EXTRA + r"]+"
 
 # Character references in extracted text and attribute values: decimal,
-# hex and named. Names come from the standard library's HTML 4 table (252
-# entries), generated here rather than written out.
-NAMED_ENTITIES = {name: chr(cp) for name, cp in sorted(_html_entities.name2codepoint.items())}
+# hex and named. Names come from the standard library's HTML5 table (its
+# 2,125 ";"-terminated names), generated here rather than written out.
+NAMED_ENTITIES = {k[:-1]: v for k, v in sorted(_html_entities.html5.items()) if k.endswith(";")}
 ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 REPLACEMENT_CHAR = "\ufffd"
 
@@ -92,19 +92,22 @@ def strip_ws(c) -> Column:
 
 
 # The named table as two string literals (a handful of expression nodes
-# instead of a 252-entry map at every call site): "|name|name|...|" and the
-# characters in the same order, one per name (all are single code points).
-_NAME_DIRECTORY = "|" + "|".join(NAMED_ENTITIES) + "|"
-_NAME_CHARS = "".join(NAMED_ENTITIES.values())
+# instead of a 2,125-entry map at every call site): "\x01name\x01name...\x01"
+# and the values in the same order, each padded to two code points with
+# \x01 (values are one or two code points; neither string uses \x01).
+_DELIM = "\x01"
+_NAME_DIRECTORY = _DELIM + _DELIM.join(NAMED_ENTITIES) + _DELIM
+_NAME_VALUES = "".join(v + _DELIM * (2 - len(v)) for v in NAMED_ENTITIES.values())
 
 
 def _named_char(tok: Column) -> Column:
-    """Character of a named reference, NULL for an unknown name."""
+    """Value of a named reference, NULL for an unknown name."""
     directory = F.lit(_NAME_DIRECTORY)
-    pos = F.instr(directory, F.concat(F.lit("|"), tok, F.lit("|")))
+    pos = F.instr(directory, F.concat(F.lit(_DELIM), tok, F.lit(_DELIM)))
     prefix = F.substring(directory, 1, pos)
-    index = F.length(prefix) - F.length(F.replace(prefix, F.lit("|"), F.lit("")))
-    return F.when(pos > 0, F.substring(F.lit(_NAME_CHARS), index, 1))
+    index = F.length(prefix) - F.length(F.replace(prefix, F.lit(_DELIM), F.lit("")))   # 1-based
+    value = F.lit(_NAME_VALUES).substr((index * 2 - 1).cast("int"), F.lit(2))
+    return F.when(pos > 0, F.replace(value, F.lit(_DELIM), F.lit("")))
 
 
 def _entity_char(tok: Column) -> Column:

@@ -92,3 +92,11 @@ def test_decode_entities_matches_html_unescape(spark):
             "it&#146;s &#150; &#151; &#128; &#129; &#159;", "a&#1;b&#11;c&#13;d&#127;e&#xFDD0;f&#xFFFE;g&#x1FFFF;h",
             "&#x110000; &#12;"]
     assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
+
+
+def test_decode_html5_names(spark):
+    import html
+
+    from presslake.functions.text import decode_entities
+    vals = ["it&apos;s", "&NewLine;x&Tab;y", "&verbar;&vert;", "&NotEqualTilde; &Afr; &bigstar;", "&nbsp;&hellip;"]
+    assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
