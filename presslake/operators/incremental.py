@@ -68,8 +68,10 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
 
     listing (position, loc, pub_date, source) -> valid -> [drop media] ->
     newer than the mark (``state``) and/or unseen (``seen`` urls) -> join the
-    captured pages -> extract. Failed extractions (page not captured) go to
-    ``failures`` and do not move the mark, so they are retried.
+    captured pages (the latest capture per url, by ``page_id``) -> extract.
+    Failed extractions (page not captured) go to ``failures`` and do not
+    move the mark; see :func:`retry_quarantine` for items that newer
+    successes pushed below the mark.
     """
     cand = valid_entries(listing)
     if source is not None and "source" not in cand.columns:
@@ -81,8 +83,12 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
     cand = cand.withColumnRenamed("loc", "url")
     if seen is not None:
         cand = unseen(cand, seen, "url")
-    # only the captured pages of the candidates are read into the join
-    captured = restrict_to_keys(pages.select("url", "html"), cand, "url")
+    # only the captured pages of the candidates are read into the join, one
+    # capture per url (the latest); the aggregate runs on the reduced rows
+    cols = ["url", "html"] + (["page_id"] if "page_id" in pages.columns else [])
+    captured = restrict_to_keys(pages.select(*cols), cand, "url")
+    latest = F.max_by("html", "page_id") if "page_id" in cols else F.first("html")
+    captured = captured.groupBy("url").agg(latest.alias("html"))
     joined = cand.join(captured, "url", "left")
     arts = extract_articles(joined.withColumnRenamed("source", "_listing_source"), profile,
                             source=source, as_of=as_of, keep=("position", "pub_date", "_listing_source"))

@@ -66,3 +66,10 @@ def test_retry_quarantine(spark):
     retried = retry_quarantine(failures, pages2, PROFILE_SEG3, as_of=AS_OF)
     assert [r.titre for r in retried.articles.collect()] == ["E"]
     assert [r.position for r in retried.failures.collect()] == [3]
+
+
+def test_latest_capture_wins(spark):
+    listing, pages, state = _inputs(spark)
+    recaptured = pages.union(spark.createDataFrame([(20, "https://n/x/b", "<h1>B v2</h1><p>b</p>")], pages.schema))
+    res = run_incremental(listing, recaptured, state, profile=PROFILE_SEG3, as_of=AS_OF)
+    assert sorted(r.titre for r in res.articles.collect()) == ["B v2", "D"]
