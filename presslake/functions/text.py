@@ -34,11 +34,13 @@ EDGE_WS_RE = "^[" + WS + "]+|[" + WS + "]+$"
 # non-whitespace kept set gives the same text.
 DROP_OR_WS_RUN_RE = r"[^\p{L}\p{N}_" + KEEP_EXTRA + r"]+"
 
-# Character references in extracted text and attribute values: decimal,
-# hex and named. Names come from the standard library's HTML5 table (its
-# 2,125 ";"-terminated names), generated here rather than written out.
-NAMED_ENTITIES = {k[:-1]: v for k, v in sorted(_html_entities.html5.items()) if k.endswith(";")}
-ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Character references in extracted text and attribute values, with the
+# grammar an HTML parser uses: decimal or hex with an optional ";", or a
+# name of up to 32 characters with an optional ";". Names come from the
+# standard library's HTML5 table (2,231 keys: "amp;" and the legacy "amp"
+# a parser accepts without ";"), generated here rather than written out.
+NAMED_ENTITIES = dict(sorted(_html_entities.html5.items()))
+ENTITY_RE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 REPLACEMENT_CHAR = "\ufffd"
 
 
@@ -55,8 +57,8 @@ def _c1_char(b: int) -> str:
 CP1252_C1 = "".join(_c1_char(b) for b in range(0x80, 0xA0))
 # The basic references, in replace order (ampersand last).
 BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-# A reference other than the basic ones (then the general decoder runs).
-OTHER_ENTITY_RE = r"&(?!(?:amp|lt|gt|quot|#39);)(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# A reference other than the five basic ones (then the general decoder runs).
+OTHER_ENTITY_RE = r"&(?!(?:amp|lt|gt|quot|#39);)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[^\t\n\f <&#;]{1,32})"
 
 
 def _c(c) -> Column:
@@ -92,32 +94,61 @@ def strip_ws(c) -> Column:
 
 
 # The named table as two string literals (a handful of expression nodes
-# instead of a 2,125-entry map at every call site): "\x01name\x01name...\x01"
+# instead of a 2,231-entry map at every call site): "\x01name\x01name...\x01"
 # and the values in the same order, each padded to two code points with
 # \x01 (values are one or two code points; neither string uses \x01).
 _DELIM = "\x01"
-_NAME_DIRECTORY = _DELIM + _DELIM.join(NAMED_ENTITIES) + _DELIM
-_NAME_VALUES = "".join(v + _DELIM * (2 - len(v)) for v in NAMED_ENTITIES.values())
 
 
-def _named_char(tok: Column) -> Column:
+def _table_strings(table: dict) -> tuple[str, str]:
+    names = _DELIM + _DELIM.join(table) + _DELIM
+    values = "".join(v + _DELIM * (2 - len(v)) for v in table.values())
+    return names, values
+
+
+_NAME_DIRECTORY, _NAME_VALUES = _table_strings(NAMED_ENTITIES)
+# A proper prefix of a reference never contains ";", so the longest-prefix
+# rule only ever matches the legacy names written without it (a small table).
+_LEGACY_DIRECTORY, _LEGACY_VALUES = _table_strings({k: v for k, v in NAMED_ENTITIES.items() if not k.endswith(";")})
+
+
+def _named_char(tok: Column, directory: str = None, values: str = None) -> Column:
     """Value of a named reference, NULL for an unknown name."""
-    directory = F.lit(_NAME_DIRECTORY)
+    directory = F.lit(directory or _NAME_DIRECTORY)
     pos = F.instr(directory, F.concat(F.lit(_DELIM), tok, F.lit(_DELIM)))
     prefix = F.substring(directory, 1, pos)
     index = F.length(prefix) - F.length(F.replace(prefix, F.lit(_DELIM), F.lit("")))   # 1-based
-    value = F.lit(_NAME_VALUES).substr((index * 2 - 1).cast("int"), F.lit(2))
+    value = F.lit(values or _NAME_VALUES).substr((index * 2 - 1).cast("int"), F.lit(2))
     return F.when(pos > 0, F.replace(value, F.lit(_DELIM), F.lit("")))
 
 
+def _named_ref(tok: Column) -> Column:
+    """A named reference body (after ``&``, with its ``;`` if any): the
+    exact name; else the longest name that is a proper prefix (at least two
+    characters), followed by the rest as text; else the text unchanged."""
+    n = F.length(tok)
+    cands = F.transform(F.when(n >= 3, F.sequence(n - 1, F.lit(2), F.lit(-1))),
+                        lambda x: F.struct(x.alias("x"), _named_char(tok.substr(F.lit(1), x), _LEGACY_DIRECTORY,
+                                                                     _LEGACY_VALUES).alias("v")))
+    hit = F.get(F.filter(cands, lambda c: c.getField("v").isNotNull()), 0)
+    by_prefix = F.concat(hit.getField("v"), tok.substr(hit.getField("x") + 1, F.lit(64)))
+    return F.coalesce(_named_char(tok), by_prefix, F.concat(F.lit("&"), tok))
+
+
 def _entity_char(tok: Column) -> Column:
-    """One reference body (between ``&`` and ``;``) -> its character; an
-    unknown name stays as written; code 0, surrogates and values beyond
-    U+10FFFF give U+FFFD."""
+    """One reference body (after ``&``, with its ``;`` if any) -> its text:
+    numeric references by the parser's code point rules (code 0,
+    surrogates and values beyond U+10FFFF give U+FFFD), names by
+    :func:`_named_ref`."""
     is_num = tok.startswith("#")
     is_hex = is_num & F.substring(tok, 2, 1).isin("x", "X")
-    cp = (F.when(is_hex, F.conv(F.substring(tok, 3, 8), 16, 10))
-          .when(is_num, F.substring(tok, 2, 8))).cast("long")
+    digits = F.regexp_replace(F.regexp_replace(tok, ";$", ""), "^#[xX]?0*", "")
+    too_big = F.length(digits) > F.when(is_hex, F.lit(6)).otherwise(F.lit(7))
+    cp = (F.when(~is_num, F.lit(None))
+          .when(too_big, F.lit(0x110000))
+          .when(digits == "", F.lit(0))
+          .when(is_hex, F.conv(digits, 16, 10))
+          .otherwise(digits)).cast("long")
     # code points a parser drops: C0/C1 controls (except tab, LF, FF, CR,
     # space), DEL, U+FDD0-U+FDEF and the last two code points of every plane
     dropped = (cp.between(1, 8) | (cp == 0x0B) | cp.between(0x0E, 0x1F) | (cp == 0x7F)
@@ -128,7 +159,7 @@ def _entity_char(tok: Column) -> Column:
             .when(cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF), F.lit(REPLACEMENT_CHAR))
             .when(dropped, F.lit(""))
             .otherwise(F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")))
-    return F.when(is_num, char).otherwise(F.coalesce(_named_char(tok), F.concat(F.lit("&"), tok, F.lit(";"))))
+    return F.when(is_num, char).otherwise(_named_ref(tok))
 
 
 def _decode_value(c: Column) -> Column:

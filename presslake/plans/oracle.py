@@ -38,15 +38,20 @@ _D_NAMED = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in NAMED_ENTITIES.
 
 
 def _d_entity(t: str) -> str:
-    cp = (f"(CASE WHEN {t} LIKE '#x%' OR {t} LIKE '#X%' THEN ('0x' || substr({t}, 3))::BIGINT "
-          f"WHEN {t} LIKE '#%' THEN substr({t}, 2)::BIGINT END)")
+    digits = f"regexp_replace(regexp_replace({t}, ';$', ''), '^#[xX]?0*', '')"
+    is_hex = f"({t} LIKE '#x%' OR {t} LIKE '#X%')"
+    cp = (f"(CASE WHEN length({digits}) > (CASE WHEN {is_hex} THEN 6 ELSE 7 END) THEN 1114112 "
+          f"WHEN {digits} = '' THEN 0 WHEN {is_hex} THEN ('0x' || {digits})::BIGINT ELSE {digits}::BIGINT END)")
     dropped = (f"({cp} BETWEEN 1 AND 8 OR {cp} = 11 OR {cp} BETWEEN 14 AND 31 OR {cp} = 127 "
                f"OR {cp} BETWEEN 64976 AND 65007 OR {cp} % 65536 >= 65534)")
     char = (f"CASE WHEN {cp} = 0 THEN chr(65533) WHEN {cp} = 13 THEN chr(13) "
             f"WHEN {cp} BETWEEN 128 AND 159 THEN substring({lit(CP1252_C1)}, ({cp} - 127)::INTEGER, 1) "
             f"WHEN {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
             f"WHEN {dropped} THEN '' ELSE chr({cp}::INTEGER) END")
-    return f"CASE WHEN {t} LIKE '#%' THEN {char} ELSE coalesce({_D_NAMED}[{t}], '&' || {t} || ';') END"
+    hit = (f"(CASE WHEN length({t}) >= 3 THEN list_filter(list_transform(range(length({t}) - 1, 1, -1), "
+           f"lambda x: {{'x': x, 'v': {_D_NAMED}[substring({t}, 1, x)]}}), lambda c: c.v IS NOT NULL)[1] END)")
+    named = f"coalesce({_D_NAMED}[{t}], {hit}.v || substring({t}, {hit}.x + 1), '&' || {t})"
+    return f"CASE WHEN {t} LIKE '#%' THEN {char} ELSE {named} END"
 
 
 def d_decode(x: str) -> str:

@@ -100,3 +100,12 @@ def test_decode_html5_names(spark):
     from presslake.functions.text import decode_entities
     vals = ["it&apos;s", "&NewLine;x&Tab;y", "&verbar;&vert;", "&NotEqualTilde; &Afr; &bigstar;", "&nbsp;&hellip;"]
     assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
+
+
+def test_decode_parser_grammar(spark):
+    import html
+
+    from presslake.functions.text import decode_entities
+    vals = ["&amp &lt &copy 2026", "&#8217 and &#x2019", "&notit; &ampx", "Q&A and AT&T", "&#0000065;",
+            "&#99999999999; &#x1234567;", "&&&; &;", "a & b", "&amp;amp &eacute", "&LT &GT; &NotEqualTilde;"]
+    assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
