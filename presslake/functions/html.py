@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslake.functions.text import decode_entities, html_text, let, strip_tags_ws, strip_ws
+from presslake.functions.text import decode_entities, html_text, let, memo_by_input, strip_tags_ws, strip_ws
 
 _TAGNAME = r"[A-Za-z][A-Za-z0-9]*"
 
@@ -296,6 +296,7 @@ P_CLOSERS = ["p", "article", "div", "section", "main", "body", "html", "td", "th
 P_END_RE = r"(?is)</(?:" + "|".join(P_CLOSERS) + r")\s*>.*"
 
 
+@memo_by_input
 def paragraphs(html) -> Column:
     """Text of every ``<p>`` in document order.
 
@@ -309,6 +310,15 @@ def paragraphs(html) -> Column:
     return F.transform(body, lambda x: html_text(F.regexp_replace(x, P_END_RE, "")))
 
 
+@memo_by_input
+def paragraph_raws(html) -> Column:
+    """Like :func:`paragraphs`, before character references are decoded and
+    the ends stripped (for a single decode pass over all of a page's text)."""
+    pieces = F.split(_c(html), P_START_RE, -1)
+    body = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return F.transform(body, lambda x: strip_tags_ws(F.regexp_replace(x, P_END_RE, "")))
+
+
 def body_text(html, container: Column | None = None) -> Column:
     """Paragraphs of the content container if it has any, else all
     paragraphs; joined with one space."""

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from presslake.functions import html as H
 from presslake.functions.dates import normalize_date, now_text
 from presslake.functions.scalars import split_part, url_host
-from presslake.functions.text import decode_entities, html_text, let, strip_ws
+from presslake.functions.text import decode_entities, decode_value, html_text, let, strip_tags_ws, strip_ws
 
 ARTICLE_FIELDS = ["titre", "auteur", "date_publication", "categorie", "contenu", "source", "url"]
 
@@ -123,15 +123,10 @@ def title_expr(html: Column, profile: Profile, parts: H.Parts | None = None) ->
     return F.when(exists, html_text(inner)).otherwise(F.lit(profile.title_default))
 
 
-def author_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
-    """Non-empty author meta -> first existing selector element ->
-    first JSON-LD script (seg3) -> default.
-
-    Stages yield raw text tagged with what it still needs (meta content:
-    decoding; element text: decoding and stripping; JSON-LD and the
-    default: nothing), so character references are decoded once, after
-    the choice, instead of once per stage.
-    """
+def author_choice(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
+    """X2/X3 stage choice: struct ``(k, v)``: the first existing stage's raw
+    text tagged with what it still needs: 1 = meta content (decode), 2 =
+    element text (decode, strip), 0 = JSON-LD name or default (nothing)."""
     p = _parts(html, parts)
 
     def tagged(kind: int, v: Column) -> Column:
@@ -145,22 +140,34 @@ def author_expr(html: Column, profile: Profile, parts: H.Parts | None = None) ->
     if profile.author_from_jsonld:
         ld_exists, ld_body = H.ld_first_of(p)
         stages.append((ld_exists, tagged(0, H.ld_author(ld_body, profile.author_default))))
-    chosen = H.first_existing(stages, tagged(0, F.lit(profile.author_default)))
+    return H.first_existing(stages, tagged(0, F.lit(profile.author_default)))
+
+
+def _author_finish(kind: Column, raw: Column, decoded: Column) -> Column:
+    return F.when(kind == 2, strip_ws(decoded)).when(kind == 1, decoded).otherwise(raw)
+
 
+def author_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
+    """Non-empty author meta -> first existing selector element ->
+    first JSON-LD script (seg3) -> default.
+
+    Stages yield raw text tagged with what it still needs (meta content:
+    decoding; element text: decoding and stripping; JSON-LD and the
+    default: nothing), so character references are decoded once, after
+    the choice, instead of once per stage.
+    """
     def finish(c):
         kind, raw = c.getField("k"), c.getField("v")
-        decoded = F.when(kind > 0, decode_entities(raw)).otherwise(raw)
-        return F.when(kind == 2, strip_ws(decoded)).otherwise(decoded)
-    return let(chosen, finish)
+        return _author_finish(kind, raw, F.when(kind > 0, decode_entities(raw)))
+    return let(author_choice(html, profile, parts), finish)
 
 
-def raw_date_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
-    """Raw date text or NULL.
+def raw_date_parts(html: Column, profile: Profile, parts: H.Parts | None = None) -> tuple[Column, Column | None]:
+    """X4/X5 stages as (attribute text still to decode, JSON-LD date or None).
 
     Meta stage: the first existing meta of the profile's list; its content
     if non-empty (an empty one falls through to the next stage). Then the
-    first ``<time>``'s ``datetime``; then JSON-LD ``datePublished``. The
-    attribute stages are decoded once, after the choice.
+    first ``<time>``'s ``datetime``; then JSON-LD ``datePublished``.
     """
     p = _parts(html, parts)
     metas = [H.meta_of(p, a, v, decode=False) for a, v in profile.date_metas]
@@ -168,19 +175,27 @@ def raw_date_expr(html: Column, profile: Profile, parts: H.Parts | None = None)
     if profile.date_from_time_tag:
         t_exists, t_raw = H.time_of(p, decode=False)
         attr_stages.append(F.when(t_exists & (t_raw != ""), t_raw))
-    stage_values = [decode_entities(F.coalesce(*attr_stages))]
-    if profile.date_from_jsonld:
-        stage_values.append(H.ld_first_date_of(p))
-    return F.coalesce(*stage_values) if len(stage_values) > 1 else stage_values[0]
+    attr = F.coalesce(*attr_stages) if len(attr_stages) > 1 else attr_stages[0]
+    return attr, (H.ld_first_date_of(p) if profile.date_from_jsonld else None)
 
 
-def date_expr(html: Column, profile: Profile, as_of: str | None, parts: H.Parts | None = None) -> Column:
-    raw = raw_date_expr(html, profile, parts)
+def raw_date_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
+    """Raw date text or NULL (attribute stages decoded once, after the choice)."""
+    attr, ld = raw_date_parts(html, profile, parts)
+    decoded = decode_entities(attr)
+    return decoded if ld is None else F.coalesce(decoded, ld)
+
+
+def _finish_date(raw: Column, profile: Profile, as_of: str | None) -> Column:
     if profile.normalize_date:
         raw = normalize_date(raw)
     return F.coalesce(raw, now_text(profile.now_format, as_of))
 
 
+def date_expr(html: Column, profile: Profile, as_of: str | None, parts: H.Parts | None = None) -> Column:
+    return _finish_date(raw_date_expr(html, profile, parts), profile, as_of)
+
+
 def category_expr(url: Column, profile: Profile) -> Column:
     """URL path piece; the default when the URL is too short."""
     return F.coalesce(split_part(url, "/", profile.category_index), F.lit(profile.category_default))
@@ -209,36 +224,65 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     """
     url = F.col("url")
     keep_cols = [k for k in keep if k in pages.columns]
-    # stage 1: one pass per page fragment; stage 2: the rules on fragments.
-    # The fragments are referenced by several rules, so Catalyst keeps the
-    # two projections apart and each fragment is computed once per page.
+    # parts: one pass per page fragment; then raw field values from the
+    # fragments, one decode over all of the page's text, final fields. Each
+    # step's outputs are read several times by the next, so Catalyst keeps
+    # the projections apart and every value is computed once per page.
     staged = H.with_parts(pages.select(*keep_cols, "url", "html"))
     session_key = id(pages.sparkSession)
-    cols = [F.col(k) for k in keep_cols] + list(_field_columns(profile, source, as_of, with_container, session_key))
-    return staged.select(*cols)
+    raw_cols, decode_col, final_cols = _stage_columns(profile, source, as_of, with_container, session_key)
+    keep_c = [F.col(k) for k in keep_cols]
+    return (staged.select(*keep_c, "url", "html", *raw_cols)
+            .select(*keep_c, "url", "html", "_r_title", "_r_author", "_r_ld_date", decode_col)
+            .select(*keep_c, *final_cols))
 
 
 @functools.lru_cache(maxsize=64)
-def _field_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool,
+def _stage_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool,
                    session_key: int) -> tuple:
-    """The output columns of :func:`extract_articles` over the staged page
-    parts. They are unresolved expressions that depend only on these
-    arguments, so they are built once per session and reused (building a
-    few hundred expression nodes through the Python API is not free)."""
+    """Columns of the three steps of :func:`extract_articles` after the page
+    parts: raw field values (the title already decoded); ONE decode of
+    character references over the rest of a page's text (author, date
+    attribute, every paragraph), so the decoder appears twice in the plan,
+    not once per field; final fields. They are unresolved
+    expressions that depend only on these arguments, built once per session
+    (a few hundred expression nodes through the Python API are not free)."""
     html, url = F.col("html"), F.col("url")
     parts = H.column_parts()
+    t_exists, t_inner = H.title_of(parts)
+    if with_container and profile.container_class:
+        in_box = H.paragraph_raws(H.container_html(parts.html, profile.container_class))
+        all_p = H.paragraph_raws(parts.html)
+        body = F.when(F.coalesce(F.size(in_box), F.lit(0)) > 0, in_box).otherwise(all_p)
+    else:
+        body = H.paragraph_raws(parts.html)
+    date_attr, ld_date = raw_date_parts(html, profile, parts)
+    raw_cols = (
+        # the title is decoded on its own: it is often the only field read
+        # (silver validity), and then the shared decode below is pruned away
+        F.when(t_exists, html_text(t_inner)).otherwise(F.lit(profile.title_default)).alias("_r_title"),
+        author_choice(html, profile, parts).alias("_r_author"),
+        date_attr.alias("_r_date"),
+        (ld_date if ld_date is not None else F.lit(None).cast("string")).alias("_r_ld_date"),
+        body.alias("_r_body"),
+    )
+    author = F.col("_r_author")
+    texts = F.concat(F.array(F.when(author.getField("k") > 0, author.getField("v")), F.col("_r_date")),
+                     F.col("_r_body"))
+    decode_col = F.transform(texts, decode_value).alias("_d")
+    d = F.col("_d")
     fields = {
-        "titre": title_expr(html, profile, parts),
-        "auteur": author_expr(html, profile, parts),
-        "date_publication": date_expr(html, profile, as_of, parts),
+        "titre": F.col("_r_title"),
+        "auteur": _author_finish(author.getField("k"), author.getField("v"), F.get(d, 0)),
+        "date_publication": _finish_date(F.coalesce(F.get(d, 1), F.col("_r_ld_date")), profile, as_of),
         "categorie": category_expr(url, profile),
-        "contenu": body_expr(html, profile, with_container, parts),
+        "contenu": F.array_join(F.transform(F.slice(d, 3, F.size(d) - 2), strip_ws), " "),
         "source": F.lit(source) if source is not None else url_host(url),
         "url": url,
     }
     if "scraped_at" in profile.extra_fields:
         fields["scraped_at"] = now_text(profile.now_format, as_of)
-    failed = html.isNull()
-    cols = [F.when(~failed, v).alias(k) if k != "url" else url.alias("url") for k, v in fields.items()]
-    cols.append(F.when(failed, F.lit("page not captured")).alias("error"))
-    return tuple(cols)
+    failed = F.col("html").isNull()
+    final = [F.when(~failed, v).alias(k) if k != "url" else url.alias("url") for k, v in fields.items()]
+    final.append(F.when(failed, F.lit("page not captured")).alias("error"))
+    return raw_cols, decode_col, tuple(final)
