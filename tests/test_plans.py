@@ -44,3 +44,14 @@ def test_metric_windows_are_bucketed(spark):
     for line in p.split("\n"):
         if line.strip().startswith("Window") or " Window " in line:
             assert "_b" in line or "_nb" in line or "lead(_b" in line
+
+
+def test_extraction_python_helpers_share_one_node(spark):
+    p = _plan(E.queries()["extract_articles"](spark, SF))
+    assert p.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in p
+
+
+def test_title_only_consumer_prunes_author_body_and_python(spark):
+    p = _plan(E.queries()["top_categories_pages"](spark, SF))
+    assert "ArrowEvalPython" not in p            # no container / byline balancing needed
+    assert "_r_body" not in p and "ld+json" not in p
