@@ -8,6 +8,8 @@ windows with QUALIFY, GROUPING SETS, RE2 regexes, JSON functions.
 
 from __future__ import annotations
 
+import itertools
+
 from presslake.functions import html as H
 from presslake.functions.dates import NORM_RE
 from presslake.functions.text import (CP1252_C1, DROP_RE, EDGE_WS_RE, ENTITY_RE, NAMED_ENTITIES, TAG_RE, WS,
@@ -27,6 +29,16 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+_names = itertools.count()
+
+
+def d_let(x: str, body) -> str:
+    """``body(v)`` with ``v`` bound once to ``x`` (keeps the SQL text from
+    repeating a large input once per reference)."""
+    v = f"lv{next(_names)}"
+    return f"list_transform([{x}], lambda {v}: {body(v)})[1]"
+
+
 def d_clean(x: str) -> str:
     out = f"regexp_replace({x}, {lit(TAG_RE)}, '', 'g')"
     out = f"regexp_replace({out}, {lit(DROP_RE)}, ' ', 'g')"
@@ -37,7 +49,7 @@ def d_clean(x: str) -> str:
 _D_NAMED = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in NAMED_ENTITIES.items()) + "}"
 
 
-def _d_entity(t: str) -> str:
+def _d_entity(t: str, nm: str) -> str:
     digits = f"regexp_replace(regexp_replace({t}, ';$', ''), '^#[xX]?0*', '')"
     is_hex = f"({t} LIKE '#x%' OR {t} LIKE '#X%')"
     cp = (f"(CASE WHEN length({digits}) > (CASE WHEN {is_hex} THEN 6 ELSE 7 END) THEN 1114112 "
@@ -49,16 +61,20 @@ def _d_entity(t: str) -> str:
             f"WHEN {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
             f"WHEN {dropped} THEN '' ELSE chr({cp}::INTEGER) END")
     hit = (f"(CASE WHEN length({t}) >= 3 THEN list_filter(list_transform(range(length({t}) - 1, 1, -1), "
-           f"lambda x: {{'x': x, 'v': {_D_NAMED}[substring({t}, 1, x)]}}), lambda c: c.v IS NOT NULL)[1] END)")
-    named = f"coalesce({_D_NAMED}[{t}], {hit}.v || substring({t}, {hit}.x + 1), '&' || {t})"
+           f"lambda x: {{'x': x, 'v': {nm}[substring({t}, 1, x)]}}), lambda c: c.v IS NOT NULL)[1] END)")
+    named = f"coalesce({nm}[{t}], {hit}.v || substring({t}, {hit}.x + 1), '&' || {t})"
     return f"CASE WHEN {t} LIKE '#%' THEN {char} ELSE {named} END"
 
 
 def d_decode(x: str) -> str:
-    toks = f"list_transform(regexp_extract_all({x}, {lit(ENTITY_RE)}, 1), lambda t: {_d_entity('t')})"
-    zipped = (f"array_to_string(list_transform(list_zip(string_split_regex({x}, {lit(ENTITY_RE)}), {toks}), "
-              f"lambda p: p[1] || coalesce(p[2], '')), '')")
-    return f"CASE WHEN contains({x}, '&') THEN {zipped} ELSE {x} END"
+    def body(v: str) -> str:
+        t = f"tk{next(_names)}"
+        # the entity map is the column `_nm` of the page subqueries (bound once per query)
+        toks = f"list_transform(regexp_extract_all({v}, {lit(ENTITY_RE)}, 1), lambda {t}: {_d_entity(t, '_nm')})"
+        zipped = (f"array_to_string(list_transform(list_zip(string_split_regex({v}, {lit(ENTITY_RE)}), {toks}), "
+                  f"lambda p: p[1] || coalesce(p[2], '')), '')")
+        return f"CASE WHEN contains({v}, '&') THEN {zipped} ELSE {v} END"
+    return d_let(x, body)
 
 
 def d_strip(x: str) -> str:
@@ -80,8 +96,8 @@ def d_ts(x: str) -> str:
 
 def d_normalize(x: str) -> str:
     p = lit(NORM_RE)
-    return (f"CASE WHEN regexp_matches({x}, {p}) THEN concat(regexp_extract({x}, {p}, 1), ' ', "
-            f"regexp_extract({x}, {p}, 2)) ELSE {x} END")
+    return d_let(x, lambda v: f"CASE WHEN regexp_matches({v}, {p}) THEN concat(regexp_extract({v}, {p}, 1), ' ', "
+                              f"regexp_extract({v}, {p}, 2)) ELSE {v} END")
 
 
 def d_title(h: str, default: str) -> str:
@@ -106,7 +122,7 @@ def d_body(h: str) -> str:
 
 def _d_attr(tag: str, attr: str) -> str:
     pat = r"(?is)\s" + attr + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    return d_decode(f"concat(regexp_extract({tag}, {lit(pat)}, 1), regexp_extract({tag}, {lit(pat)}, 2))")
+    return d_decode(d_let(tag, lambda t: f"concat(regexp_extract({t}, {lit(pat)}, 1), regexp_extract({t}, {lit(pat)}, 2))"))
 
 
 def d_meta(h: str, attr: str, value: str) -> tuple[str, str]:
@@ -201,8 +217,9 @@ def d_visible(h: str) -> str:
     return f"regexp_replace({h}, {lit(H.HIDDEN_RE)}, '', 'g')"
 
 
-PAGES_HEAD = f"(SELECT *, {d_visible('html')} AS vis FROM (SELECT {sel(FX.pages_with_head_cols())} FROM pages) p0)"
-PAGES_VIS = f"(SELECT *, {d_visible('html')} AS vis FROM pages)"
+PAGES_HEAD = (f"(SELECT *, {d_visible('html')} AS vis, {_D_NAMED} AS _nm "
+              f"FROM (SELECT {sel(FX.pages_with_head_cols())} FROM pages) p0)")
+PAGES_VIS = f"(SELECT *, {d_visible('html')} AS vis, {_D_NAMED} AS _nm FROM pages)"
 ARTICLES = f"(SELECT {sel(FX.article_cols())} FROM documents)"
 SAMPLES = f"(SELECT {sel(FX.sample_cols())} FROM events)"
 EV_SILVER = f"(SELECT {sel(FX.events_silver_cols())} FROM events)"
