@@ -181,6 +181,53 @@ def rate(samples: DataFrame, frame: str | int = "1 minute", bucket: str | int =
     return inc.withColumn("rate", F.col("increase") / F.lit(f_s))
 
 
+def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str | int = "1 minute",
+                bucket: str | int = "1 hour") -> DataFrame:
+    """``increase(m[frame])`` evaluated on the ``step`` grid (epoch-aligned
+    instants ``t``), as a range query does: the exact sum of reset-aware
+    deltas over ``(t - frame, t]`` for every series and every instant whose
+    frame holds at least one sample.
+
+    Instants are generated only from (series, bucket)s that have samples
+    (plus, when the next bucket is empty, the instants within ``frame``
+    after the bucket), so their number follows the data, and they join
+    the samples in the same bounded (series, bucket) windows.
+    """
+    f_us, st_us = _interval_us(frame), _interval_us(step)
+    b_us = max(_interval_us(bucket), f_us)
+    d = deltas(samples, b_us).withColumn("_b", floor_div(F.col("_t"), b_us))
+    per_bucket = d.groupBy("metric", "_series", "_b").agg(F.first("labels", ignorenulls=True).alias("labels"))
+    nxt = F.lead("_b").over(Window.partitionBy("metric", "_series").orderBy("_b"))
+    spill = F.when(nxt.isNull() | (nxt != F.col("_b") + 1), F.lit(f_us)).otherwise(F.lit(0))
+    first_t = floor_div(F.col("_b") * F.lit(b_us) + F.lit(st_us - 1), st_us) * F.lit(st_us)
+    last_t = (F.col("_b") + 1) * F.lit(b_us) + spill - 1
+    instants = (per_bucket.withColumn("_last", last_t).withColumn("_first", first_t)
+                .filter(F.col("_first") <= F.col("_last"))
+                .select("metric", "_series", "labels",
+                        F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(st_us))).alias("_t"))
+                .withColumn("_b", floor_div(F.col("_t"), b_us))
+                .withColumn("_halo", F.lit(2)))
+    rows = (d.select("metric", "_series", "_b", "_t", "delta")
+            .withColumn("_halo", F.explode(F.when(F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us),
+                                                  F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+            .withColumn("_b", F.col("_b") + F.col("_halo")))
+    u = rows.unionByName(instants, allowMissingColumns=True)
+    w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
+    real = F.col("_halo") < 2
+    return (u.withColumns({"increase": F.sum(F.when(real, F.col("delta"))).over(w),
+                           "_n": F.count(F.when(real, F.lit(1))).over(w)})
+            .filter((F.col("_halo") == 2) & (F.col("_n") > 0))
+            .select("metric", "labels", "_series", F.timestamp_micros("_t").cast("timestamp_ntz").alias("eval_ts"),
+                    "increase"))
+
+
+def rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int = "15 seconds",
+            bucket: str | int = "1 hour") -> DataFrame:
+    """``rate(m[frame])`` on the ``step`` grid (see :func:`increase_at`)."""
+    f_s = _interval_us(frame) / US
+    return increase_at(samples, frame, step, bucket).withColumn("rate", F.col("increase") / F.lit(f_s))
+
+
 def instant_rate_sum(samples: DataFrame, step: str | int = "1 minute", factor: float = 1.0) -> DataFrame:
     """``sum(rate(m[step])) * factor`` per metric at evaluation instants
     on the ``step`` grid (frame = step, so each delta counts once: the

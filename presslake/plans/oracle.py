@@ -390,6 +390,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT job, instance, sample_id, ts, round(CASE WHEN n >= 2 AND sampled > 0 THEN "
         f"res * ((sampled + CASE WHEN st < avg * 1.1 THEN st ELSE avg / 2 END) / sampled) END / 60.0, 6) AS rate "
         f"FROM z")
+    q["metric_increase_grid"] = (
+        f"WITH {_deltas_cte()}, "
+        f"inst AS (SELECT DISTINCT metric, job, instance, unnest(generate_series(((t + 59999999) // 60000000) "
+        f"* 60000000, t + 299999999, 60000000)) AS te FROM e) "
+        f"SELECT i.job, i.instance, make_timestamp(i.te) AS eval_ts, round(sum(e.delta), 2) AS increase "
+        f"FROM inst i JOIN e ON e.metric = i.metric AND e.job = i.job AND e.instance = i.instance "
+        f"AND e.t > i.te - 300000000 AND e.t <= i.te GROUP BY i.job, i.instance, i.te")
     q["metric_cpu_percent"] = (f"WITH {_deltas_cte()} SELECT metric, "
                                f"make_timestamp(((t + 59999999) // 60000000) * 60000000) AS eval_ts, "
                                f"round(sum(delta) / 60.0 * 100.0, 4) AS value FROM e GROUP BY 1, 2")

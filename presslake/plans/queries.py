@@ -324,6 +324,11 @@ def q_metric_rate_extrapolated(spark, sf):
     return r.select(*_series_out(), "sample_id", "ts", F.round("rate", 6).alias("rate"))
 
 
+def q_metric_increase_grid(spark, sf):
+    g = M.increase_at(samples(spark, sf), "5 minutes", "1 minute")
+    return g.select(*_series_out(), "eval_ts", F.round("increase", 2).alias("increase"))
+
+
 def q_metric_cpu_percent(spark, sf):
     r = M.instant_rate_sum(samples(spark, sf), "1 minute", factor=100.0)
     return r.select("metric", "eval_ts", F.round("value", 4).alias("value"))
@@ -397,6 +402,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_increase": q_metric_increase,
     "metric_rate": q_metric_rate,
     "metric_rate_extrapolated": q_metric_rate_extrapolated,
+    "metric_increase_grid": q_metric_increase_grid,
     "metric_cpu_percent": q_metric_cpu_percent,
     "metric_running_total": q_metric_running_total,
     "metric_ram_gib": q_metric_ram_gib,

@@ -153,3 +153,36 @@ def test_extrapolated_increase_matches_brute_force(spark):
         assert set(got) == set(expect)
         for k, v in expect.items():
             assert (got[k] is None and v is None) or abs(got[k] - v) < 1e-6 * max(1.0, abs(v)), (bucket, k)
+
+
+def _brute_increase_at(rows, frame_s, step_s):
+    df = pd.DataFrame(rows, columns=["metric", "job", "instance", "ts", "value"])
+    df["sid"] = range(len(df))
+    out = {}
+    epoch = pd.Timestamp("1970-01-01")
+    for key, g in df.groupby(["metric", "job", "instance"]):
+        g = g.sort_values(["ts", "sid"])
+        prev, deltas = None, []
+        for v in g["value"]:
+            deltas.append(0.0 if prev is None else (v - prev if v >= prev else v))
+            prev = v
+        g = g.assign(delta=deltas)
+        step = pd.Timedelta(seconds=step_s)
+        frame = pd.Timedelta(seconds=frame_s)
+        t = epoch + ((g["ts"].min() - epoch) // step) * step
+        end = g["ts"].max() + frame
+        while t < end:
+            win = g[(g["ts"] > t - frame) & (g["ts"] <= t)]
+            if len(win):
+                out[(key[1], key[2], t.to_pydatetime())] = round(win["delta"].sum(), 6)
+            t += step
+    return out
+
+
+def test_increase_at_grid_matches_brute_force(spark):
+    rows = _random_rows(seed=5, n=250)
+    expect = _brute_increase_at(rows, 300, 60)
+    for bucket in ("5 minutes", "7 minutes", "1 hour"):
+        got = {(r.labels["job"], r.labels["instance"], r.eval_ts): round(r.increase, 6)
+               for r in M.increase_at(_samples(spark, rows), "5 minutes", "1 minute", bucket).collect()}
+        assert got == expect, bucket
