@@ -54,11 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the cluster names one; else a scratch dir.
+    """Use ``spark.checkpoint.dir`` when the cluster names one; else, with a
+    ``local[...]`` master only (tests), a scratch dir.
 
-    The scratch fallback exists for local tests only; on a cluster the
-    setting points at shared storage so reliable checkpoints survive the
-    loss of any executor.
+    On a cluster the setting must point at shared storage so reliable
+    checkpoints survive the loss of any executor; without it this raises
+    instead of silently using a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master or "").startswith("local"):
+            # a machine-local folder is not shared storage: executors could
+            # not read each other's checkpoint files
+            raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name shared storage")
         conf_dir = tempfile.mkdtemp(prefix="presslake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
