@@ -228,6 +228,16 @@ def rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int =
     return increase_at(samples, frame, step, bucket).withColumn("rate", F.col("increase") / F.lit(f_s))
 
 
+def sum_rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int = "15 seconds",
+                factor: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
+    """``sum [by (labels)] (rate(m[frame])) * factor`` on the ``step`` grid:
+    :func:`rate_at` per series, then an aggregate per instant (series
+    absent from an instant's frame contribute nothing)."""
+    r = rate_at(samples, frame, step)
+    keys = [F.col("metric")] + [F.col("labels")[b].alias(b) for b in by] + [F.col("eval_ts")]
+    return r.groupBy(*keys).agg((F.sum("rate") * F.lit(factor)).alias("value"))
+
+
 def instant_rate_sum(samples: DataFrame, step: str | int = "1 minute", factor: float = 1.0) -> DataFrame:
     """``sum(rate(m[step])) * factor`` per metric at evaluation instants
     on the ``step`` grid (frame = step, so each delta counts once: the

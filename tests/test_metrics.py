@@ -186,3 +186,14 @@ def test_increase_at_grid_matches_brute_force(spark):
         got = {(r.labels["job"], r.labels["instance"], r.eval_ts): round(r.increase, 6)
                for r in M.increase_at(_samples(spark, rows), "5 minutes", "1 minute", bucket).collect()}
         assert got == expect, bucket
+
+
+def test_sum_rate_at_is_the_sum_of_series_rates(spark):
+    rows = _random_rows(seed=9, n=200)
+    s = _samples(spark, rows)
+    expect = {}
+    for r in M.rate_at(s, "1 minute", "15 seconds").collect():
+        expect[(r.metric, r.eval_ts)] = expect.get((r.metric, r.eval_ts), 0.0) + r.rate * 100
+    got = {(r.metric, r.eval_ts): r.value for r in M.sum_rate_at(s, "1 minute", "15 seconds", 100.0).collect()}
+    assert got.keys() == expect.keys() and len(got) > 0
+    assert all(abs(got[k] - v) < 1e-6 for k, v in expect.items())
