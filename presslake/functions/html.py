@@ -163,9 +163,6 @@ class Parts:
     ld: Column
 
 
-PART_COLUMNS = ("_p_vis", "_p_metas", "_p_h1", "_p_time", "_p_ld")
-
-
 def visible_html(html) -> Column:
     """The page without script/style bodies and comments."""
     return F.regexp_replace(_c(html), HIDDEN_RE, "")

@@ -21,8 +21,7 @@ from presslake.functions import html as H
 from presslake.functions.dates import normalize_date, now_text
 from presslake.functions.scalars import split_part, url_host
 from presslake.functions.text import decode_entities, decode_value, html_text, let, strip_tags_ws, strip_ws
-
-ARTICLE_FIELDS = ["titre", "auteur", "date_publication", "categorie", "contenu", "source", "url"]
+from presslake.schemas import ARTICLE_FIELDS  # noqa: F401  (the article record, re-exported)
 
 
 @dataclass(frozen=True)
