@@ -196,7 +196,10 @@ def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str |
     f_us, st_us = _interval_us(frame), _interval_us(step)
     b_us = max(_interval_us(bucket), f_us)
     d = deltas(samples, b_us).withColumn("_b", floor_div(F.col("_t"), b_us))
-    per_bucket = d.groupBy("metric", "_series", "_b").agg(F.first("labels", ignorenulls=True).alias("labels"))
+    # the (series, bucket)s that hold samples; labels come back from the
+    # series key (sorted entries), so this is a hash distinct, not a sort
+    per_bucket = (d.select("metric", "_series", "_b").distinct()
+                  .withColumn("labels", F.map_from_entries(F.col("_series"))))
     nxt = F.lead("_b").over(Window.partitionBy("metric", "_series").orderBy("_b"))
     spill = F.when(nxt.isNull() | (nxt != F.col("_b") + 1), F.lit(f_us)).otherwise(F.lit(0))
     first_t = floor_div(F.col("_b") * F.lit(b_us) + F.lit(st_us - 1), st_us) * F.lit(st_us)
