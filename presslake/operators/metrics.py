@@ -75,9 +75,9 @@ def latest(samples: DataFrame) -> DataFrame:
     """
     s = with_series(samples)
     return (s.groupBy("metric", "_series")
-            .agg(F.max_by(F.struct("ts", "value"), F.struct("_t", "sample_id")).alias("_l"),
-                 F.first("labels").alias("labels"))
-            .select("metric", "labels", "_series", F.col("_l.ts").alias("ts"), F.col("_l.value").alias("value")))
+            .agg(F.max_by(F.struct("ts", "value"), F.struct("_t", "sample_id")).alias("_l"))
+            .select("metric", F.map_from_entries(F.col("_series")).alias("labels"), "_series",
+                    F.col("_l.ts").alias("ts"), F.col("_l.value").alias("value")))
 
 
 def sum_latest(samples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
