@@ -182,7 +182,7 @@ def rate(samples: DataFrame, frame: str | int = "1 minute", bucket: str | int =
 
 
 def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str | int = "1 minute",
-                bucket: str | int = "1 hour") -> DataFrame:
+                bucket: str | int = "1 hour", extrapolate: bool = False) -> DataFrame:
     """``increase(m[frame])`` evaluated on the ``step`` grid (epoch-aligned
     instants ``t``), as a range query does: the exact sum of reset-aware
     deltas over ``(t - frame, t]`` for every series and every instant whose
@@ -192,6 +192,11 @@ def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str |
     (plus, when the next bucket is empty, the instants within ``frame``
     after the bucket), so their number follows the data, and they join
     the samples in the same bounded (series, bucket) windows.
+
+    ``extrapolate=True`` applies the dashboard engine's rule instead (see
+    :func:`increase`), extending toward both frame ends: the frame end is
+    the instant, not a sample. NULL results (fewer than two samples) are
+    dropped.
     """
     f_us, st_us = _interval_us(frame), _interval_us(step)
     b_us = max(_interval_us(bucket), f_us)
@@ -210,25 +215,45 @@ def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str |
                         F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(st_us))).alias("_t"))
                 .withColumn("_b", floor_div(F.col("_t"), b_us))
                 .withColumn("_halo", F.lit(2)))
-    rows = (d.select("metric", "_series", "_b", "_t", "delta")
+    rows = (d.select("metric", "_series", "_b", "_t", "sample_id", "value", "delta")
             .withColumn("_halo", F.explode(F.when(F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us),
                                                   F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
             .withColumn("_b", F.col("_b") + F.col("_halo")))
     u = rows.unionByName(instants, allowMissingColumns=True)
     w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
     real = F.col("_halo") < 2
-    return (u.withColumns({"increase": F.sum(F.when(real, F.col("delta"))).over(w),
-                           "_n": F.count(F.when(real, F.lit(1))).over(w)})
-            .filter((F.col("_halo") == 2) & (F.col("_n") > 0))
-            .select("metric", "labels", "_series", F.timestamp_micros("_t").cast("timestamp_ntz").alias("eval_ts"),
-                    "increase"))
+    u = u.withColumns({"_sum": F.sum(F.when(real, F.col("delta"))).over(w),
+                       "_n": F.count(F.when(real, F.lit(1))).over(w)})
+    if extrapolate:
+        key = F.when(real, F.struct("_t", "sample_id"))
+        u = u.withColumns({"_first_t": F.min_by(F.col("_t"), key).over(w),
+                           "_first_v": F.min_by(F.col("value"), key).over(w),
+                           "_first_d": F.min_by(F.col("delta"), key).over(w),
+                           "_last_t": F.max_by(F.col("_t"), key).over(w)})
+    u = u.filter((F.col("_halo") == 2) & (F.col("_n") > 0))
+    if extrapolate:
+        result = F.col("_sum") - F.col("_first_d")
+        sampled = (F.col("_last_t") - F.col("_first_t")) / F.lit(float(US))
+        avg = sampled / (F.col("_n") - 1)
+        to_start = (F.col("_first_t") - (F.col("_t") - F.lit(f_us))) / F.lit(float(US))
+        to_end = (F.col("_t") - F.col("_last_t")) / F.lit(float(US))
+        to_zero = F.when((result > 0) & (F.col("_first_v") >= 0), sampled * (F.col("_first_v") / result))
+        to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
+        extended = (sampled + F.when(to_start < avg * 1.1, to_start).otherwise(avg / 2)
+                    + F.when(to_end < avg * 1.1, to_end).otherwise(avg / 2))
+        value = F.when((F.col("_n") >= 2) & (sampled > 0), result * (extended / sampled))
+        u = u.withColumn("increase", value).filter(F.col("increase").isNotNull())
+    else:
+        u = u.withColumn("increase", F.col("_sum"))
+    return u.select("metric", "labels", "_series", F.timestamp_micros("_t").cast("timestamp_ntz").alias("eval_ts"),
+                    "increase")
 
 
 def rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int = "15 seconds",
-            bucket: str | int = "1 hour") -> DataFrame:
+            bucket: str | int = "1 hour", extrapolate: bool = False) -> DataFrame:
     """``rate(m[frame])`` on the ``step`` grid (see :func:`increase_at`)."""
     f_s = _interval_us(frame) / US
-    return increase_at(samples, frame, step, bucket).withColumn("rate", F.col("increase") / F.lit(f_s))
+    return increase_at(samples, frame, step, bucket, extrapolate).withColumn("rate", F.col("increase") / F.lit(f_s))
 
 
 def sum_rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int = "15 seconds",

@@ -197,3 +197,43 @@ def test_sum_rate_at_is_the_sum_of_series_rates(spark):
     got = {(r.metric, r.eval_ts): r.value for r in M.sum_rate_at(s, "1 minute", "15 seconds", 100.0).collect()}
     assert got.keys() == expect.keys() and len(got) > 0
     assert all(abs(got[k] - v) < 1e-6 for k, v in expect.items())
+
+
+def _brute_prom_at(rows, frame_s, step_s):
+    """The dashboard engine's extrapolated increase at grid instants."""
+    df = pd.DataFrame(rows, columns=["metric", "job", "instance", "ts", "value"])
+    df["sid"] = range(len(df))
+    out = {}
+    epoch = pd.Timestamp("1970-01-01")
+    step, frame = pd.Timedelta(seconds=step_s), pd.Timedelta(seconds=frame_s)
+    for key, g in df.groupby(["metric", "job", "instance"]):
+        g = g.sort_values(["ts", "sid"])
+        pts = list(zip(g["ts"], g["value"]))
+        t = epoch + ((g["ts"].min() - epoch) // step) * step
+        while t < g["ts"].max() + frame:
+            win = [(a, b) for a, b in pts if t - frame < a <= t]
+            if len(win) >= 2 and win[-1][0] > win[0][0]:
+                result, prev = 0.0, win[0][1]
+                for _, b in win[1:]:
+                    result += b - prev if b >= prev else b
+                    prev = b
+                sampled = (win[-1][0] - win[0][0]).total_seconds()
+                avg = sampled / (len(win) - 1)
+                to_start = (win[0][0] - (t - frame)).total_seconds()
+                to_end = (t - win[-1][0]).total_seconds()
+                if result > 0 and win[0][1] >= 0:
+                    to_start = min(to_start, sampled * (win[0][1] / result))
+                ext = sampled + (to_start if to_start < avg * 1.1 else avg / 2) + (to_end if to_end < avg * 1.1 else avg / 2)
+                out[(key[1], key[2], t.to_pydatetime())] = result * ext / sampled
+            t += step
+    return out
+
+
+def test_extrapolated_increase_at_grid_matches_brute_force(spark):
+    rows = _random_rows(seed=13, n=250)
+    expect = _brute_prom_at(rows, 300, 60)
+    for bucket in ("5 minutes", "1 hour"):
+        got = {(r.labels["job"], r.labels["instance"], r.eval_ts): r.increase
+               for r in M.increase_at(_samples(spark, rows), "5 minutes", "1 minute", bucket, extrapolate=True).collect()}
+        assert got.keys() == expect.keys() and len(got) > 0, bucket
+        assert all(abs(got[k] - v) < 1e-6 * max(1.0, abs(v)) for k, v in expect.items()), bucket
