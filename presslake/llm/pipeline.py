@@ -1,0 +1,42 @@
+"""Stages of the training-data pipeline, in order, and their run over ``documents``."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from presslake.llm.common import read, shared_path
+from presslake.llm.secrets import redact_secrets
+from presslake.llm.simhash import keep_one
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of fingerprints within 3 bits stays."""
+    return keep_one(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets give way to their kind in brackets; every document stays."""
+    return redact_secrets(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("simhash_near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+]
+
+#: The stages tokenize, train and draw, which SQL cannot express; tests hold them against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another, each on its predecessor's written rows."""
+    docs = read(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            path = shared_path(spark, f"stage-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs
