@@ -87,3 +87,21 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = TEXT_SLICE_CH
         total += s
     if start < len(sizes):
         yield batch.slice(start)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``n``, each row's place (from 0) in the given order, which must be total.
+
+    Ranges of the order are sorted and numbered by task and written once; a range's
+    place is the number of rows in the ranges before it, one number a partition.
+    """
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(rows.withColumn("_n", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_n", 33)
+    counts = rows.groupBy(part.alias("part")).count().orderBy("part").collect()
+    starts, total = [], 0
+    for part_id, n in counts:
+        starts += [F.lit(part_id), F.lit(total)]
+        total += n
+    start = F.create_map(*starts)[part] if starts else F.lit(0).cast("long")
+    return rows.withColumn("n", start + F.col("_n").bitwiseAND((1 << 33) - 1)).drop("_n")

@@ -11,6 +11,8 @@ worker's bounded cache lacks; numpy lays the ids out by text. Any other text
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,23 @@ CACHE_PIECE_CHARS = 64
 JOINED = 50
 # A space before white space or the end, white space that libraries see differently, the special token.
 _WHOLE = r" ([\s\x0b\x{85}\p{Z}]|$)|[\x1c-\x1f]|<\|endoftext\|>"
+_WHOLE_PY = re.compile(r" (\s|$)|[\x1c-\x1f]|<\|endoftext\|>")
+#: A longer text is encoded in parts.
+LONG_CHARS = 1 << 22
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _parts(text: str) -> Iterator[str]:
+    start = 0
+    for at in range(LONG_CHARS, len(text), LONG_CHARS):
+        cut = text.find(" ", max(at, start + 1))
+        if cut < 0:
+            break
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -75,9 +91,18 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, where each text's ids begin and the last end);
-        NULL has none."""
-        n = len(texts)
+        NULL has none. A very long text goes part by part, cut before single spaces."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
+        if len(texts) != 1 or len(text := texts[0].as_py()) <= LONG_CHARS:
+            return self._encode(texts)
+        if _WHOLE_PY.search(text):
+            ids = self.whole([text])[0]
+        else:
+            ids = np.concatenate([self._encode(pa.array([part]))[0] for part in _parts(text)])
+        return ids, np.array([0, len(ids)], dtype=np.int64)
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        n = len(texts)
         whole = pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(whole)
         split = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
