@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from presslake.llm.mixing import op9_mixing
 from presslake.llm.packing import op4_packing
+from presslake.llm.rules import op6_quality_rules
 from presslake.llm.secrets import op10_secrets
 from presslake.llm.simhash import op1_simhash
 from presslake.llm.simple8b import op3_token_ids
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_token_ids": op3_token_ids,
     "op4_packing": op4_packing,
+    "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
