@@ -8,13 +8,17 @@ from presslake.llm.rules import op6_quality_rules
 from presslake.llm.secrets import op10_secrets
 from presslake.llm.simhash import op1_simhash
 from presslake.llm.simple8b import op3_token_ids
+from presslake.llm.topk import OP2_SQL, op2_top_k
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_top_k": op2_top_k,
     "op3_token_ids": op3_token_ids,
     "op4_packing": op4_packing,
     "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_top_k": OP2_SQL,
+}
