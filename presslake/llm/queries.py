@@ -9,6 +9,7 @@ from presslake.llm.secrets import op10_secrets
 from presslake.llm.simhash import op1_simhash
 from presslake.llm.simple8b import op3_token_ids
 from presslake.llm.topk import OP2_SQL, op2_top_k
+from presslake.llm.warc import OP8_SQL, op8_warc_fixity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -16,9 +17,11 @@ QUERIES = {
     "op3_token_ids": op3_token_ids,
     "op4_packing": op4_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_warc_fixity": op8_warc_fixity,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_top_k": OP2_SQL,
+    "op8_warc_fixity": OP8_SQL,
 }
