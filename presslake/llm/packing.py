@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.llm.common import read, slices
-from presslake.llm.tokens import END_ID, encoder, ended
+from presslake.llm.tokens import ENCODE_BYTES, END_ID, encoder, ended
 
 WINDOW = 1024
 #: Rests a task gathers before it packs them (a partition's last gathering may be smaller).
@@ -109,7 +109,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "
             rests = []
             return out
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=ENCODE_BYTES):
                 ids, bounds = ended(*enc.encode(part.column(1)), end_id)
                 full = []
                 for k, name in enumerate(part.column(0).to_pylist()):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.llm.common import read, shared_path, slices
-from presslake.llm.tokens import END_ID, encoder, ended
+from presslake.llm.tokens import ENCODE_BYTES, END_ID, encoder, ended
 
 # Fixed values of the code: (ids in a word, bits of each) by selector.
 SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6),
@@ -40,7 +40,7 @@ def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits of each id; 61 for one that needs an escape."""
     top = int(ids.max()) if len(ids) else 0
     if top < len(_SHORT):
-        return _SHORT[ids.astype(np.int64)]
+        return _SHORT[ids.astype(np.uint16)]
     if top < 1 << 52:
         return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     width = np.searchsorted(np.uint64(1) << np.arange(60, dtype=np.uint64), ids, side="right").astype(np.uint8)
@@ -48,23 +48,21 @@ def _widths(ids: np.ndarray) -> np.ndarray:
     return width
 
 
-def _best(width: np.ndarray) -> np.ndarray:
-    """For each place of each block (rows), the selector that holds most ids from there on."""
-    longest = _COUNT.max()
-    padded = np.pad(width, ((0, 0), (0, int(longest))))
+def _best(width: np.ndarray, usable: list[int]) -> np.ndarray:
+    """For each place of each block (rows), the selector of ``usable`` that holds most ids from there on."""
+    longest = max(SELECTORS[s][0] for s in usable)
     n = width.shape[1]
-    spans, size = {1: padded}, 1
+    spans, size = {1: np.pad(width, ((0, 0), (0, longest)))}, 1
     while size * 2 <= longest:
         last = spans[size]
         spans[size * 2] = np.maximum(last[:, :-size], last[:, size:])
         size *= 2
     best = np.full(width.shape, len(SELECTORS) - 1, dtype=np.uint8)
-    for s in range(len(SELECTORS) - 2, -1, -1):
+    for s in sorted(usable, reverse=True)[1:]:
         count, bits = SELECTORS[s]
         size = 1 << (count.bit_length() - 1)
         span = spans[size]
-        fits = np.maximum(span[:, :n], span[:, count - size:count - size + n]) <= bits
-        best[fits] = s
+        np.putmask(best, np.maximum(span[:, :n], span[:, count - size:count - size + n]) <= bits, np.uint8(s))
     return best
 
 
@@ -76,33 +74,40 @@ def encode(ids: np.ndarray, block: int = BLOCK_IDS) -> bytes:
     head = _HEAD.pack(MAGIC, n, block, blocks)
     if not n:
         return head + np.zeros(1, dtype="<u8").tobytes()
-    flat = np.zeros(blocks * block, dtype=np.uint64)
-    flat[:n] = ids
-    width = _widths(flat).reshape(blocks, block)
+    width = np.zeros(blocks * block, dtype=np.uint8)
+    width[:n] = _widths(ids)
+    # a selector that the whole shard has too few small ids for is not looked at
+    within = np.cumsum(np.bincount(width[:n], minlength=62))
+    usable = [s for s, (count, bits) in enumerate(SELECTORS) if within[bits] >= count or s == len(SELECTORS) - 1]
+    width = width.reshape(blocks, block)
     # a block's last word may reach past its end: there are zeros
-    stride = block + int(_COUNT.max())
-    flat = np.pad(flat.reshape(blocks, block), ((0, 0), (0, stride - block))).ravel()
-    best = _best(width)
+    stride = block + max(SELECTORS[s][0] for s in usable)
+    flat = np.zeros((blocks, stride), dtype=np.uint64)
+    flat[:n // block, :block] = ids[:n // block * block].reshape(-1, block)
+    flat[n // block:, :n % block] = ids[n // block * block:]
+    flat = flat.ravel()
+    best = _best(width, usable)
     left = np.full(blocks, block)
     left[-1] = n - (blocks - 1) * block
-    live, at = np.arange(blocks), np.zeros(blocks, dtype=np.int64)
-    rows, places = [], []
+    live, at, steps = np.arange(blocks), np.zeros(blocks, dtype=np.int64), []
     while len(live):
-        rows.append(live)
-        places.append(at)
+        steps.append((live, at))
         at = at + _COUNT[best[live, at]]
         more = at < left[live]
         live, at = live[more], at[more]
-    row, place = np.concatenate(rows), np.concatenate(places)
-    order = np.lexsort((place, row))
-    row, place = row[order], place[order]
+    walked = np.full((blocks, len(steps)), -1, dtype=np.int32)
+    for k, (live, at) in enumerate(steps):
+        walked[live, k] = at
+    row, step = np.nonzero(walked >= 0)
+    place = walked[row, step]
     chosen, escaped = best[row, place], width[row, place] > 60
     size = 1 + escaped
     slot = np.cumsum(size) - size
     offsets = np.concatenate(([0], np.cumsum(np.bincount(row, weights=size, minlength=blocks)))).astype("<u8")
     words = np.zeros(int(offsets[-1]), dtype="<u8")
     start = row * stride + place
-    for s, (count, bits) in enumerate(SELECTORS):
+    for s in usable:
+        count, bits = SELECTORS[s]
         mine = np.flatnonzero((chosen == s) & ~escaped)
         if not len(mine):
             continue
@@ -184,7 +189,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id
                 "part": part, "shard": shard, "first": first, "n_ids": len(flat), "doc_ids": keys,
                 "doc_sizes": sizes, "data": encode(flat)}], schema)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=ENCODE_BYTES):
                 got, bounds = ended(*enc.encode(piece.column(1)), end_id)
                 names, at = piece.column(0).to_pylist(), 0
                 # where the running number of ids passes a shard's size

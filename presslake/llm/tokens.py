@@ -1,11 +1,12 @@
 """Token ids of whole texts with a public byte-level BPE vocabulary.
 
-The vocabulary's word pattern never crosses from one *piece* (the text between
-two spaces) into the next while every space is followed by something other than
-white space, so a piece has the same ids wherever it stands. Arrow splits a
-batch of texts and finds its distinct pieces; the library encodes those that the
-worker's bounded cache lacks; numpy lays the ids out by text. Any other text
-(spaces at line ends, the special token's string) is encoded as a whole.
+The vocabulary cuts a text into words before it merges bytes, so the ids of a
+*piece* (what stands between two spaces or line feeds, with the one before it) do not
+depend on its neighbours, and neither do those of the punctuation that ends it.
+Arrow cuts a batch of texts into pieces and finds the distinct ones; the
+library encodes those that the worker's bounded cache lacks; numpy lays the ids
+out by text. Texts where white space meets white space in ways that the cut
+does not keep, or that hold the special token's string, are encoded as a whole.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
+#: Bytes of text that are encoded at once.
+ENCODE_BYTES = 1 << 23
 #: Pieces in each of a worker's two generations (about 200 bytes each). A full young
 #: one becomes the old one, whose pieces come back when they are met again.
 CACHE_PIECES = 300_000
@@ -26,8 +29,14 @@ CACHE_PIECES = 300_000
 CACHE_PIECE_CHARS = 64
 #: Pieces the library gets in one string.
 JOINED = 50
-# A space before white space or the end, white space that libraries see differently, the special token.
-_WHOLE = r" ([\s\x0b\x{85}\p{Z}]|$)|[\x1c-\x1f]|<\|endoftext\|>"
+# What keeps a text whole: a space before white space or the end; a line feed after or before other
+# white space but a space; two line feeds before white space or the end; white space that
+# libraries see differently; the special token.
+_OTHER = r"\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WHOLE = rf" ([ \n{_OTHER}]|$)|[{_OTHER}]\n|\n[{_OTHER}]|\n\n([ \n]|$)|[\x1c-\x1f]|<\|endoftext\|>"
+# Marks a text's first piece, before which nothing stands.
+_FIRST = "\x1e"
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _WHOLE_PY = re.compile(r" (\s|$)|[\x1c-\x1f]|<\|endoftext\|>")
 #: A longer text is encoded in parts.
 LONG_CHARS = 1 << 22
@@ -58,13 +67,12 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces (a space before each). Pieces without a line feed go to
-        the library joined by line feeds and are split again at its id."""
-        plain = [p for p in pieces if "\n" not in p]
-        other = [p for p in pieces if "\n" in p]
-        groups = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
-        # the line feed and the space after it are one run of white space, of
-        # which the word pattern leaves the space to the piece
+        """Ids of pieces that the cache lacks. Those after a space go to the library
+        joined by line feeds (the run of the line feed and the space leaves the space
+        to the piece) and are split again at the line feed's id."""
+        spaced = [p for p in pieces if p and p[0] not in "\n" + _FIRST and "\n" not in p]
+        other = [p for p in pieces if not p or p[0] in "\n" + _FIRST or "\n" in p]
+        groups = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
         for part, ids in zip(groups, self.whole(["\n".join([" " + p for p in g]) for g in groups])):
             ends = np.flatnonzero(ids == self.line).tolist() + [len(ids)]
             if len(ends) != len(part):
@@ -74,15 +82,16 @@ class Encoder:
             for p, end in zip(part, ends):
                 self.cache[p] = raw[start * 4:end * 4]
                 start = end + 1
-        for p, ids in zip(other, self.whole([" " + p for p in other])):
+        plain = [p[1:] if p[:1] == _FIRST else p if p[:1] == "\n" else " " + p for p in other]
+        for p, ids in zip(other, self.whole(plain)):
             self.cache[p] = ids.tobytes()
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _known(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces end to end, and how many each has."""
         if len(self.cache) > CACHE_PIECES:
             self.old, self.cache = self.cache, {}
         cache, old = self.cache, self.old
-        cache.update((p, old[p]) for p in pieces if p in old)
+        cache.update((p, old[p]) for p in pieces if p in old and p not in cache)
         self._learn([p for p in pieces if p not in cache])
         found = [cache[p] for p in pieces]
         for p in [p for p in pieces if len(p) > CACHE_PIECE_CHARS]:
@@ -102,31 +111,36 @@ class Encoder:
         return ids, np.array([0, len(ids)], dtype=np.int64)
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        n = len(texts)
         whole = pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(whole)
-        split = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
-        bounds = np.asarray(split.offsets, dtype=np.int64)
-        bounds -= bounds[0]
-        pieces = split.flatten()
-        # the first piece of a text has no space before it: its ids are looked up by a
-        # text of its own, and its place among the pieces is taken by an empty entry
-        first = bounds[:-1]
-        coded = pieces.dictionary_encode()
-        code = np.asarray(coded.indices, dtype=np.int64)
-        ids, lens = self._pieces(coded.dictionary.to_pylist())
-        starts = np.concatenate(([0], np.cumsum(lens)))[:-1]
-        heads = self.whole(pieces.take(pa.array(first)).to_pylist())
-        for i, got in zip(rows.tolist(), self.whole(texts.take(pa.array(rows)).to_pylist()) if len(rows) else []):
-            heads[i] = got
-        head_lens = np.fromiter(map(len, heads), np.int64, n)
-        at, size = starts[code], lens[code]
-        at[first] = len(ids) + np.concatenate(([0], np.cumsum(head_lens)))[:-1]
-        size[first] = head_lens
-        ids = np.concatenate([ids, *heads]).astype("<u4", copy=False)
+        marked = pc.binary_join_element_wise(pa.scalar(_FIRST), pc.if_else(pa.array(whole), "", texts), "")
+        split = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        bounds = np.asarray(split.offsets, dtype=np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        code, pieces = np.asarray(coded.indices, dtype=np.int64), coded.dictionary
+        # a piece is a stem and the punctuation that ends it, if the stem ends in a letter or digit
+        stems = pc.utf8_rtrim(pieces, _PUNCTUATION)
+        ended_ = pc.match_substring_regex(stems, r"[\p{L}\p{N}]$")
+        stems = pc.if_else(ended_, stems, pieces)
+        chars = pc.utf8_length(stems).to_numpy()
+        endings = pa.array([p[n:] for p, n in zip(pieces.to_pylist(), chars.tolist())], pa.string())
+        stem, ending = stems.dictionary_encode(), endings.dictionary_encode()
+        stem_ids, stem_lens = self._known(stem.dictionary.to_pylist())
+        end_ids, end_lens = self._known([_FIRST + e for e in ending.dictionary.to_pylist()])
+        stem_code = np.asarray(stem.indices, dtype=np.int64)[code]
+        end_code = np.asarray(ending.indices, dtype=np.int64)[code] + len(stem_lens)
+        heads = self.whole(texts.take(pa.array(rows)).to_pylist()) if len(rows) else []
+        # what is laid out: each piece's stem and ending; a text kept whole has one empty piece
+        lens = np.concatenate([stem_lens, end_lens, [len(h) for h in heads]]).astype(np.int64)
+        starts = np.cumsum(lens) - lens
+        order = np.empty(2 * len(code), dtype=np.int64)
+        order[0::2], order[1::2] = stem_code, end_code
+        order[2 * bounds[rows]] = len(stem_lens) + len(end_lens) + np.arange(len(rows))
+        all_ids = np.concatenate([stem_ids, end_ids, *heads]).astype("<u4", copy=False)
+        size = lens[order]
         ends = np.concatenate(([0], np.cumsum(size)))
-        out = ids[np.repeat(at - ends[:-1], size) + np.arange(ends[-1])]
-        return out, ends[bounds]
+        out = all_ids[np.repeat(starts[order] - ends[:-1], size) + np.arange(ends[-1])]
+        return out, ends[2 * bounds]
 
 
 def encoder(path: str) -> Encoder:
