@@ -15,7 +15,7 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 SEED = 20
 #: Documents of a source that one task rounds, on average, and residuals that one node of the tree combines.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 FAN_IN = 64
 _EPS = 1e-9
 

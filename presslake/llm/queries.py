@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from presslake.llm.mixing import op9_mixing
 from presslake.llm.packing import op4_packing
+from presslake.llm.quality import op7_quality
 from presslake.llm.rules import op6_quality_rules
 from presslake.llm.secrets import op10_secrets
 from presslake.llm.simhash import op1_simhash
 from presslake.llm.simple8b import op3_token_ids
 from presslake.llm.topk import OP2_SQL, op2_top_k
+from presslake.llm.toxicity import op5_toxicity
 from presslake.llm.warc import OP8_SQL, op8_warc_fixity
 
 QUERIES = {
@@ -16,7 +18,9 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_token_ids": op3_token_ids,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality": op7_quality,
     "op8_warc_fixity": op8_warc_fixity,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,

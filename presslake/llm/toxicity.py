@@ -24,7 +24,7 @@ RATE = 0.05
 DECAY = 1e-4
 #: A bucket gets a weight if its share among the confirmed passes that among the
 #: unlabelled by so many standard errors, and if so many documents have it.
-MIN_Z = 4.5
+MIN_Z = 5.0
 MIN_DOCS = 3
 
 
