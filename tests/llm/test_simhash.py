@@ -1,0 +1,117 @@
+from itertools import combinations
+
+import pytest
+import xxhash
+
+from presslake.llm.components import components
+from presslake.llm.queries import QUERIES
+from presslake.llm.simhash import _segments, fingerprint, fingerprints, keep_one, links, simhash_components
+
+
+def brute_fingerprint(text, size):
+    words = [w for w in (text or "").encode().lower().replace(b"\t", b" ").replace(b"\n", b" ").replace(b"\r", b" ")
+             .replace(b"\x0b", b" ").replace(b"\x0c", b" ").split(b" ") if w]
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(rows, bits):
+    """{row number: smallest id reachable} over all pairs."""
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i, j in combinations(range(len(rows)), 2):
+        if (rows[i][1] ^ rows[j][1]).bit_count() <= bits:
+            parent[root(i)] = root(j)
+    out = []
+    for i in range(len(rows)):
+        ids = [rows[j][0] for j in range(len(rows)) if root(j) == root(i) and rows[j][0] is not None]
+        out.append(min(ids, default=None))
+    return out
+
+
+@pytest.mark.parametrize("text", ["", None, "one", "One two", "a b c", "a  b\tc\nd a b c", "ÄB äb Straße\x0bx",
+                                  "w " * 700, "a b c d e"])
+@pytest.mark.parametrize("size", [1, 3])
+def test_fingerprint_matches_the_definition(text, size):
+    assert fingerprint(text, size) & (1 << 64) - 1 == brute_fingerprint(text, size)
+
+
+def test_long_text_is_cut_without_losing_shingles(monkeypatch):
+    import presslake.llm.common as common
+    text = " ".join(f"w{i % 97}" for i in range(5000))
+    whole = fingerprint(text, 3)
+    monkeypatch.setattr(common.byte_words, "__defaults__", (64,))
+    assert fingerprint(text, 3) == whole
+
+
+@pytest.mark.parametrize("bits,segments", [(0, 2), (1, 2), (3, 2), (3, 3), (4, 2)])
+def test_links_are_all_pairs_within_the_distance(spark, bits, segments):
+    import random
+    r = random.Random(bits * 10 + segments)
+    base = [r.getrandbits(64) for _ in range(12)]
+    values = set(base)
+    for b in base:
+        for _ in range(12):
+            v = b
+            for k in r.sample(range(64), r.randint(0, 6)):
+                v ^= 1 << k
+            values.add(v)
+    values = sorted(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    got = {(x.a, x.b) for x in links(df, bits, segments).collect()}
+    expected = {tuple(sorted((signed[i], signed[j]))) for i, j in combinations(range(len(values)), 2)
+                if (values[i] ^ values[j]).bit_count() <= bits}
+    assert got == expected and (bits < 3 or len(expected) > 20)
+
+
+def test_segments_cover_every_spread_of_differences():
+    for bits in range(6):
+        for segments in (2, 3, 4):
+            searched = _segments(bits, segments)
+            assert sum(w for _, w, _ in searched) <= 64
+            # the pigeonhole: differences that miss every radius need more bits than allowed
+            assert sum(r + 1 for _, _, r in searched) > bits
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 201), (201, 202), (202, 200)]
+    edges += [(None, 5), (7, None), (9, 9), (300, 300)]
+    got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[i] for i in range(41)} == {0} and {got[i] for i in range(100, 130)} == {100}
+    assert {got[i] for i in (200, 201, 202)} == {200} and 300 not in got
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_edge_rows(spark, edge, empty):
+    rows = [(x.id, x.fp) for x in fingerprints(edge).collect()]
+    expected = dict()
+    for (i, fp), c in zip(rows, brute_components(rows, 3)):
+        expected.setdefault((i, fp), c)
+    got = simhash_components(edge).collect()
+    assert len(got) == 11 and all(x.component == expected[x.id, x.fp] for x in got)
+    assert simhash_components(empty).count() == 0
+
+
+def test_keep_one_leaves_one_of_each_component(spark, edge, empty):
+    kept = keep_one(edge)
+    assert kept.dtypes == edge.dtypes
+    ids = sorted(x.doc_id for x in kept.select("doc_id").collect() if x.doc_id is not None)
+    # 2, 3 and 4 have no words and the fingerprint zero; the NULL row belongs to them
+    assert ids == [1, 2, 5, 6, 7, 8]
+    assert kept.where("doc_id IS NULL").count() == 1
+    assert keep_one(empty).count() == 0
+
+
+def test_query_against_brute_force(spark, sf):
+    got = {x.doc_id: (x.fingerprint, x.component_id) for x in QUERIES["op1_simhash"](spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(d.doc_id, brute_fingerprint(d.text, 3)) for d in docs]
+    assert got == {i: (f"{fp:016x}", c) for (i, fp), c in zip(rows, brute_components(rows, 3))}
