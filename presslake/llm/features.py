@@ -17,6 +17,12 @@ from presslake.llm.common import slices
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Bytes of text that become bucket entries, and that are scored, at once (an entry takes
+#: some tens of bytes on its way, and a word has tens of them).
+SAMPLE_BYTES = 1 << 18
+SCORE_BYTES = 1 << 21
+
+
 @dataclass
 class Words:
     """The words of a batch of texts: ``code`` points into ``vocabulary``, ``text`` says whose each is."""
@@ -94,6 +100,9 @@ def word_sums(vocabulary: pa.Array, sizes: tuple[int, ...], weights: np.ndarray,
 def spread(row: np.ndarray, code: np.ndarray, weight: np.ndarray, vocabulary: pa.Array, sizes: tuple[int, ...],
            n_buckets: int, mean: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words (of row ``row``) as bucket entries (row, bucket, weight), equal ones summed, sorted."""
+    # a word that a text repeats is spread once
+    key, at = np.unique(row * max(1, len(vocabulary)) + code, return_inverse=True)
+    row, code, weight = key // max(1, len(vocabulary)), key % max(1, len(vocabulary)), np.bincount(at, weight, len(key))
     ends, found = buckets(vocabulary, sizes, n_buckets)
     many = np.diff(ends)[code]
     at = np.repeat(ends[:-1][code] - (np.cumsum(many) - many), many) + np.arange(many.sum())
@@ -142,7 +151,7 @@ def trained(samples: DataFrame, featurise: Callable[[pa.Array], Entries], fit: C
     """
     def features(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SAMPLE_BYTES):
                 row, bucket, weight = featurise(part.column(2))
                 ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(part))))).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in
@@ -150,15 +159,22 @@ def trained(samples: DataFrame, featurise: Callable[[pa.Array], Entries], fit: C
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], ["id", "y", "ids", "weights"])
 
     def fitted(batches: Iterator[pa.RecordBatch]):
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if table is None or not len(table):
+        # ids, labels, sizes, buckets, weights of the sample, in the order they come
+        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy(), pc.list_value_length(b.column(2)).to_numpy(),
+                  b.column(2).flatten().to_numpy(), b.column(3).flatten().to_numpy()) for b in batches if len(b)]
+        if not parts:
             yield pa.RecordBatch.from_arrays([pa.array([fit(np.zeros(0, np.int64), None)], pa.binary())], ["model"])
             return
-        table = table.sort_by([("id", "ascending"), ("y", "ascending")]).combine_chunks()
-        ids, weights = table.column("ids").combine_chunks(), table.column("weights").combine_chunks()
-        row = np.repeat(np.arange(len(table)), pc.list_value_length(ids).to_numpy())
-        entries = row, ids.flatten().to_numpy().astype(np.int64), weights.flatten().to_numpy().astype(np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array([fit(table.column("y").to_numpy(), entries)], pa.binary())], ["model"])
+        name, y, size, bucket, weight = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()
+        # documents are numbered by id and label, and their entries put in that order
+        order = np.lexsort((y, name))
+        starts = np.cumsum(size) - size
+        ends = np.cumsum(size[order])
+        at = np.repeat((starts[order] - ends + size[order]).astype(np.int32), size[order]) + np.arange(ends[-1], dtype=np.int32)
+        row = np.repeat(np.arange(len(y), dtype=np.int32), size[order])
+        model = fit(y[order], (row, bucket[at], weight[at]))
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
     rows = samples.select("id", F.col("y").cast("int").alias("y"), "text")
     rows = rows.mapInArrow(features, "id long, y int, ids array<int>, weights array<float>")
     return bytes(rows.repartition(1).mapInArrow(fitted, "model binary").first()[0])
@@ -169,7 +185,7 @@ def scored(docs: DataFrame, score: Callable[[], Callable[[pa.Array], np.ndarray]
     def run(batches: Iterator[pa.RecordBatch]):
         fn = score()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SCORE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fn(part.column(1)), pa.float64())], ["id", "score"])
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, score double")

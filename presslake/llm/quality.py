@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.llm.common import read, slices
-from presslake.llm.features import (Entries, bounded, fold_of, labelled_ids, sampled_texts, scored, spread, trained,
+from presslake.llm.features import (SCORE_BYTES, Entries, bounded, fold_of, labelled_ids, sampled_texts, scored, spread, trained,
                                     word_sums, words)
 
 BUCKETS = 1 << 18
 GRAMS = (3, 4)
 DIMENSIONS = 8
 #: The fit's sample: at most so many labelled documents.
-MAX_LABELLED = 4000
+MAX_LABELLED = 3000
 EPOCHS = 6
 BATCH = 32
 #: First rates of the vectors (whose gradients carry a bucket's share of a document) and of the output layer.
@@ -56,8 +56,8 @@ def fit_embeddings(y: np.ndarray, entries: Entries, seed: int = 7) -> tuple[np.n
     row, col, value = entries
     docs = np.bincount(col, minlength=BUCKETS)
     used = np.flatnonzero(docs >= MIN_DOCS)
-    place = np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
     keep = place[col] >= 0
     row, col, value = row[keep], place[col[keep]], value[keep]
     ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(y)))))
@@ -140,7 +140,7 @@ def keep_good(docs: DataFrame, model: bytes | None, text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]):
         fn = scorer(shared.value)
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, SCORE_BYTES):
                 yield part.filter(pa.array(fn(part.column(at)) >= 0.5))
     return docs.mapInArrow(run, docs.schema)
 

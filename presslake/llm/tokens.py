@@ -66,12 +66,13 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces that the cache lacks. Those after a space go to the library
         joined by line feeds (the run of the line feed and the space leaves the space
         to the piece) and are split again at the line feed's id."""
         spaced = [p for p in pieces if p and p[0] not in "\n" + _FIRST and "\n" not in p]
         other = [p for p in pieces if not p or p[0] in "\n" + _FIRST or "\n" in p]
+        out: dict[str, bytes] = {}
         groups = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
         for part, ids in zip(groups, self.whole(["\n".join([" " + p for p in g]) for g in groups])):
             ends = np.flatnonzero(ids == self.line).tolist() + [len(ids)]
@@ -80,22 +81,27 @@ class Encoder:
                 continue
             raw, start = ids.tobytes(), 0
             for p, end in zip(part, ends):
-                self.cache[p] = raw[start * 4:end * 4]
+                out[p] = raw[start * 4:end * 4]
                 start = end + 1
         plain = [p[1:] if p[:1] == _FIRST else p if p[:1] == "\n" else " " + p for p in other]
         for p, ids in zip(other, self.whole(plain)):
-            self.cache[p] = ids.tobytes()
+            out[p] = ids.tobytes()
+        return out
 
     def _known(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces end to end, and how many each has."""
         if len(self.cache) > CACHE_PIECES:
             self.old, self.cache = self.cache, {}
-        cache, old = self.cache, self.old
-        cache.update((p, old[p]) for p in pieces if p in old and p not in cache)
-        self._learn([p for p in pieces if p not in cache])
-        found = [cache[p] for p in pieces]
-        for p in [p for p in pieces if len(p) > CACHE_PIECE_CHARS]:
-            cache.pop(p, None)
+        cache = self.cache
+        found = list(map(cache.get, pieces))
+        lost = [i for i, ids in enumerate(found) if ids is None]
+        back = [self.old.get(pieces[i]) for i in lost]
+        learned = self._learn([pieces[i] for i, ids in zip(lost, back) if ids is None])
+        for i, ids in zip(lost, back):
+            piece = pieces[i]
+            found[i] = learned[piece] if ids is None else ids
+            if len(piece) <= CACHE_PIECE_CHARS:
+                cache[piece] = found[i]
         return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,12 +129,16 @@ class Encoder:
         ended_ = pc.match_substring_regex(stems, r"[\p{L}\p{N}]$")
         stems = pc.if_else(ended_, stems, pieces)
         chars = pc.utf8_length(stems).to_numpy()
-        endings = pa.array([p[n:] for p, n in zip(pieces.to_pylist(), chars.tolist())], pa.string())
-        stem, ending = stems.dictionary_encode(), endings.dictionary_encode()
+        cut = np.flatnonzero(chars < pc.utf8_length(pieces).to_numpy())
+        endings = [p[n:] for p, n in zip(pieces.take(pa.array(cut)).to_pylist(), chars[cut].tolist())]
+        ending = {e: k for k, e in enumerate(["", *dict.fromkeys(endings)])}
+        end_of = np.zeros(len(pieces), dtype=np.int64)
+        end_of[cut] = np.fromiter(map(ending.__getitem__, endings), np.int64, len(endings))
+        stem = stems.dictionary_encode()
         stem_ids, stem_lens = self._known(stem.dictionary.to_pylist())
-        end_ids, end_lens = self._known([_FIRST + e for e in ending.dictionary.to_pylist()])
+        end_ids, end_lens = self._known([_FIRST + e for e in ending])
         stem_code = np.asarray(stem.indices, dtype=np.int64)[code]
-        end_code = np.asarray(ending.indices, dtype=np.int64)[code] + len(stem_lens)
+        end_code = end_of[code] + len(stem_lens)
         heads = self.whole(texts.take(pa.array(rows)).to_pylist()) if len(rows) else []
         # what is laid out: each piece's stem and ending; a text kept whole has one empty piece
         lens = np.concatenate([stem_lens, end_lens, [len(h) for h in heads]]).astype(np.int64)

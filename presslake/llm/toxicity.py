@@ -18,7 +18,7 @@ GRAMS = (4, 5)
 TRIM = ".,;:!?\"'()[]{}<>#*$%&|-_/"
 #: The fit's sample: at most so many confirmed toxic and so many unlabelled documents.
 MAX_POSITIVE = 2000
-MAX_UNLABELLED = 4000
+MAX_UNLABELLED = 3000
 STEPS = 400
 RATE = 0.05
 DECAY = 1e-4
@@ -63,8 +63,8 @@ def nnpu(y: np.ndarray, entries: Entries, prior: float) -> tuple[np.ndarray, flo
     """
     row, col, value = entries
     used = _telling(y, row, col)
-    place = np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
     keep = place[col] >= 0
     row, col, value, n = row[keep], place[col[keep]], value[keep], len(used)
     positive = y == 1
