@@ -74,6 +74,11 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Let Arrow's pool return what it no longer uses: a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = TEXT_SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice holds much more than ``limit`` bytes of text."""
     col = batch.column(batch.schema.get_field_index(text))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.llm.common import slices
+from presslake.llm.common import give_back, slices
 
 #: Odd multipliers of the polynomial hash and of its final mix.
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -20,7 +20,7 @@ _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that become bucket entries, and that are scored, at once (an entry takes
 #: some tens of bytes on its way, and a word has tens of them).
 SAMPLE_BYTES = 1 << 18
-SCORE_BYTES = 1 << 21
+SCORE_BYTES = 1 << 20
 
 
 @dataclass
@@ -173,7 +173,9 @@ def trained(samples: DataFrame, featurise: Callable[[pa.Array], Entries], fit: C
         ends = np.cumsum(size[order])
         at = np.repeat((starts[order] - ends + size[order]).astype(np.int32), size[order]) + np.arange(ends[-1], dtype=np.int32)
         row = np.repeat(np.arange(len(y), dtype=np.int32), size[order])
-        model = fit(y[order], (row, bucket[at], weight[at]))
+        bucket, weight = bucket[at], weight[at]
+        del at
+        model = fit(y[order], (row, bucket, weight))
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
     rows = samples.select("id", F.col("y").cast("int").alias("y"), "text")
     rows = rows.mapInArrow(features, "id long, y int, ids array<int>, weights array<float>")
@@ -187,5 +189,6 @@ def scored(docs: DataFrame, score: Callable[[], Callable[[pa.Array], np.ndarray]
         for batch in batches:
             for part in slices(batch, limit=SCORE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fn(part.column(1)), pa.float64())], ["id", "score"])
+            give_back()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, score double")

@@ -11,12 +11,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm.common import read, slices
+from presslake.llm.common import give_back, read, slices
 from presslake.llm.tokens import ENCODE_BYTES, END_ID, encoder, ended
 
 WINDOW = 1024
 #: Rests a task gathers before it packs them (a partition's last gathering may be smaller).
-GATHERED = 1 << 16
+GATHERED = 1 << 14
 
 
 class CapacityTree:
@@ -87,7 +87,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "
 
     Documents longer than a window are cut into full windows; the rests, and the
     shorter documents whole, are packed by best-fit decreasing. Each task packs
-    what it reads, some ten thousand rests at a time, so nothing is shuffled, and
+    what it reads, 16,384 rests at a time, so nothing is shuffled, and
     only the last windows of a gathering can be poorly filled. A sequence's id is
     its task's number and its number there. A NULL text is empty (one id), NULL
     and repeated ids are documents of their own, no rows give none; other columns
@@ -126,6 +126,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "
                     yield rows(full)
                 if len(rests) >= GATHERED:
                     yield packed()
+            give_back()
         if rests:
             yield packed()
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm.common import read, slices
+from presslake.llm.common import give_back, read, slices
 from presslake.llm.features import (SCORE_BYTES, Entries, bounded, fold_of, labelled_ids, sampled_texts, scored, spread, trained,
                                     word_sums, words)
 
@@ -142,6 +142,7 @@ def keep_good(docs: DataFrame, model: bytes | None, text_col: str = "text") -> D
         for batch in batches:
             for part in slices(batch, text_col, SCORE_BYTES):
                 yield part.filter(pa.array(fn(part.column(at)) >= 0.5))
+            give_back()
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm.common import read, shared_path, slices
+from presslake.llm.common import give_back, read, shared_path, slices
 from presslake.llm.tokens import ENCODE_BYTES, END_ID, encoder, ended
 
 # Fixed values of the code: (ids in a word, bits of each) by selector.
@@ -205,6 +205,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id
                         yield row()
                         first, shard = first + sum(sizes), shard + 1
                         ids, keys, sizes = [], [], []
+            give_back()
         if keys:
             yield row()
 

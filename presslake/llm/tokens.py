@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 
 END_ID = 0
 #: Bytes of text that are encoded at once.
-ENCODE_BYTES = 1 << 23
+ENCODE_BYTES = 1 << 22
 #: Pieces in each of a worker's two generations (about 200 bytes each). A full young
 #: one becomes the old one, whose pieces come back when they are met again.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 #: Longer pieces are encoded each time.
 CACHE_PIECE_CHARS = 64
 #: Pieces the library gets in one string.
