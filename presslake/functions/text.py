@@ -65,29 +65,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def memo_by_input(build):
-    """Cache a Column builder by its input expression's text and the active
-    session: the result is an unresolved expression that depends only on
-    that input, and rebuilding large rule trees through the Python API
-    costs hundreds of round trips to the JVM."""
-    cache: dict = {}
-
-    def wrapper(c):
-        c = _c(c)
-        from pyspark.sql import SparkSession
-        key = (str(c), id(SparkSession.getActiveSession()))
-        hit = cache.get(key)
-        if hit is None:
-            hit = build(c)
-            if len(cache) < 256:
-                cache[key] = hit
-        return hit
-
-    wrapper.__name__ = build.__name__
-    wrapper.__doc__ = build.__doc__
-    return wrapper
-
-
 def let(c, body) -> Column:
     """``body(v)`` with ``v`` bound once to ``c``.
 
@@ -205,7 +182,6 @@ def _decode_value(c: Column) -> Column:
             .otherwise(joined))
 
 
-@memo_by_input
 def decode_entities(c) -> Column:
     """Decode character references the way an HTML parser does for text
     and attribute values (``&amp;lt;`` -> ``&lt;``: one pass). Natively: the
@@ -224,7 +200,6 @@ def strip_tags_ws(c) -> Column:
     return F.regexp_replace(_c(c), "[" + WS + "]*<[^>]*>[" + WS + "]*", "")
 
 
-@memo_by_input
 def html_text(c) -> Column:
     """Text of an HTML fragment: each text node stripped, nodes joined by "".
 

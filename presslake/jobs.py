@@ -17,8 +17,9 @@ from presslake.operators.gold import gold_counts
 from presslake.operators.incremental import IncrementResult, advance_state, newest_by_source, run_incremental
 from presslake.operators.messages import encode_messages
 from presslake.operators.quality import latest_rows, profile, schema_rows
-from presslake.sinks.writers import GoldTarget, register_gold, write_gold, write_messages, write_state
-from presslake.sources.layers import read_silver, read_state
+from presslake.session import ensure_checkpoint_dir
+from presslake.sinks.writers import GoldTarget, register_gold, write_gold, write_messages, write_seen, write_state
+from presslake.sources.layers import read_seen, read_silver, read_state
 from presslake.streaming.layers import run_available_now
 
 
@@ -48,27 +49,40 @@ def verify_silver(spark: SparkSession, silver_path: str, n: int = 5) -> SilverRe
 
 
 def run_ingest(spark: SparkSession, listing: DataFrame, pages: DataFrame, message_path: str,
-               state_path: str, run_ts: str, profile_: Profile = PROFILE_SEG3, source: str | None = None,
-               quarantine_path: str | None = None, mode: str = "timestamp") -> IncrementResult:
-    """U5 + K1 + K6 + F6 + F9: one incremental run.
-
-    Messages are published first and the mark is written after, so a crash
-    between the two re-sends (the silver dedup absorbs it) instead of
-    losing items. Nothing is written when there is nothing new.
+               state_path: str | None, run_ts: str, profile_: Profile = PROFILE_SEG3, source: str | None = None,
+               *, quarantine_path: str, seen_path: str | None = None, mode: str = "timestamp",
+               media_filter: bool = False, require_date: bool = True) -> IncrementResult:
+    """U5 + K1 + K6 + F5 + F6 + F9: one incremental run.
+
+    A dated listing advances the mark in ``state_path``; a polled one
+    (``seen_path``, usually with ``media_filter`` and ``require_date=False``) takes
+    each URL once and marks every tried URL as seen, failed ones too. Successes and
+    failures come from one checkpoint, so they agree. Failures are quarantined
+    first, then messages are published, then seen URLs and the mark are written: a
+    crash in between re-sends (the silver dedup absorbs it) instead of losing
+    items. Nothing is written when there is nothing new.
     """
-    state = read_state(spark, state_path)
-    res = run_incremental(listing, pages, state, profile=profile_, source=source, as_of=run_ts, mode=mode)
-    # reliable checkpoint: the published rows and the new mark come from the same materialised rows
-    articles = res.articles.checkpoint(eager=True)
+    ensure_checkpoint_dir(spark)
+    state = read_state(spark, state_path) if state_path else None
+    seen = read_seen(spark, seen_path) if seen_path else None
+    res = run_incremental(listing, pages, state, seen, profile=profile_, source=source, as_of=run_ts, mode=mode,
+                          media_filter=media_filter, require_date=require_date)
+    rows = res.rows.checkpoint(eager=True)
+    articles, failures = rows.filter(F.col("error").isNull()).drop("error"), rows.filter(F.col("error").isNotNull())
     summary = newest_by_source(articles, mode)
-    res = IncrementResult(articles, res.failures, summary, advance_state(state, summary, mode))
-    if articles.isEmpty():
-        return res
-    msgs = encode_messages(articles, timestamp_col=None).withColumn("timestamp", F.lit(run_ts).cast("timestamp"))
-    write_messages(msgs.withColumn("offset", F.lit(None).cast("long")), message_path)
-    if quarantine_path:
-        res.failures.write.mode("append").parquet(quarantine_path)
-    write_state(res.state, state_path, run_ts)
+    new_state = advance_state(state, summary, mode) if state is not None else \
+        summary.select("source", F.col("newest_date").alias("last_date"))
+    res = IncrementResult(rows, articles, failures, summary, new_state)
+    if not failures.isEmpty():
+        failures.write.mode("append").parquet(quarantine_path)
+    published = not articles.isEmpty()
+    if published:
+        msgs = encode_messages(articles, timestamp_col=None).withColumn("timestamp", F.lit(run_ts).cast("timestamp"))
+        write_messages(msgs.withColumn("offset", F.lit(None).cast("long")), message_path)
+    if seen_path and not rows.isEmpty():
+        write_seen(rows, seen_path, run_ts)
+    if state_path and published:
+        write_state(res.state, state_path, run_ts)
     return res
 
 

@@ -11,7 +11,6 @@ not code paths.
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -228,24 +227,19 @@ def extract_articles(pages: DataFrame, profile: Profile = PROFILE_SEG3, source:
     # step's outputs are read several times by the next, so Catalyst keeps
     # the projections apart and every value is computed once per page.
     staged = H.with_parts(pages.select(*keep_cols, "url", "html"))
-    session_key = id(pages.sparkSession)
-    raw_cols, decode_col, final_cols = _stage_columns(profile, source, as_of, with_container, session_key)
+    raw_cols, decode_col, final_cols = _stage_columns(profile, source, as_of, with_container)
     keep_c = [F.col(k) for k in keep_cols]
     return (staged.select(*keep_c, "url", "html", *raw_cols)
             .select(*keep_c, "url", "html", "_r_title", "_r_author", "_r_ld_date", decode_col)
             .select(*keep_c, *final_cols))
 
 
-@functools.lru_cache(maxsize=64)
-def _stage_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool,
-                   session_key: int) -> tuple:
+def _stage_columns(profile: Profile, source: str | None, as_of: str | None, with_container: bool) -> tuple:
     """Columns of the three steps of :func:`extract_articles` after the page
     parts: raw field values (the title already decoded); ONE decode of
     character references over the rest of a page's text (author, date
     attribute, every paragraph), so the decoder appears twice in the plan,
-    not once per field; final fields. They are unresolved
-    expressions that depend only on these arguments, built once per session
-    (a few hundred expression nodes through the Python API are not free)."""
+    not once per field; final fields."""
     html, url = F.col("html"), F.col("url")
     parts = H.column_parts()
     t_exists, t_inner = H.title_of(parts)

@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 
 from presslake.functions.dates import parse_timestamp
 from presslake.operators.extract import PROFILE_SEG3, Profile, extract_articles
-from presslake.operators.joins import restrict_to_keys
 from presslake.operators.listing import drop_media, newer_than, valid_entries
+from presslake.operators.silver import dedup_first
 
 
-def unseen(candidates: DataFrame, seen: DataFrame, key: str = "url") -> DataFrame:
-    """Candidates whose key was never ingested (left anti join).
+def unseen(candidates: DataFrame, seen: DataFrame, key: str = "url",
+           order: tuple[str, ...] = ("position",)) -> DataFrame:
+    """Candidates whose key was never ingested, each key once.
 
-    The seen set grows without bound and is never broadcast. It is first
-    cut down to the candidates' keys (broadcast semi join when the
-    candidates are provably few), then de-duplicated (map-side partial
-    aggregate, so a repeated key never piles up in one task); the anti
-    join then only sees that small remainder.
+    A key listed twice in one batch is taken at its first place: the first
+    by ``order``, then by the other columns (a map-side combining aggregate).
+    Of the seen set, which grows without bound, only the key is read; the
+    planner picks the anti join's form. A NULL key is never seen.
     """
-    relevant = restrict_to_keys(seen.select(key), candidates, key).distinct()
-    return candidates.join(relevant, key, "left_anti")
+    rest = [c for c in candidates.columns if c != key]
+    once = dedup_first(candidates, key, [c for c in order if c in rest] + [c for c in rest if c not in order])
+    return once.join(seen.select(key), key, "left_anti")
 
 
 def newest_by_source(articles: DataFrame, mode: str = "timestamp") -> DataFrame:
@@ -54,6 +55,7 @@ def advance_state(state: DataFrame, summary: DataFrame, mode: str = "timestamp")
 
 @dataclass
 class IncrementResult:
+    rows: DataFrame          # every tried item with its ``error``, before the split
     articles: DataFrame      # extracted, successful, ready to publish
     failures: DataFrame      # quarantined (retried next run: the mark ignores them)
     summary: DataFrame       # per source: n_new, newest_date
@@ -63,17 +65,22 @@ class IncrementResult:
 def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | None = None,
                     seen: DataFrame | None = None, profile: Profile = PROFILE_SEG3,
                     source: str | None = None, as_of: str | None = None,
-                    mode: str = "timestamp", media_filter: bool = False) -> IncrementResult:
+                    mode: str = "timestamp", media_filter: bool = False, require_date: bool = True,
+                    capture_order: tuple[str, ...] = ("page_id",)) -> IncrementResult:
     """One incremental run as a Spark job.
 
-    listing (position, loc, pub_date, source) -> valid -> [drop media] ->
-    newer than the mark (``state``) and/or unseen (``seen`` urls) -> join the
-    captured pages (the latest capture per url, by ``page_id``) -> extract.
+    listing (position, loc, pub_date, source) -> valid (a polled listing of
+    bare links: ``require_date=False``) -> [drop media] -> newer than the mark
+    (``state``) and/or unseen (``seen`` urls) -> join the captured pages (the
+    latest capture per url, by ``capture_order``, NULL earliest) -> extract.
     Failed extractions (page not captured) go to ``failures`` and do not
     move the mark; see :func:`retry_quarantine` for items that newer
     successes pushed below the mark.
     """
-    cand = valid_entries(listing)
+    missing = [c for c in capture_order if c not in pages.columns]
+    if missing or not capture_order:
+        raise ValueError(f"pages need columns that order captures; missing: {missing}")
+    cand = valid_entries(listing, require_date)
     if source is not None and "source" not in cand.columns:
         cand = cand.withColumn("source", F.lit(source))
     if media_filter:
@@ -85,10 +92,9 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
         cand = unseen(cand, seen, "url")
     # only the captured pages of the candidates are read into the join, one
     # capture per url (the latest); the aggregate runs on the reduced rows
-    cols = ["url", "html"] + (["page_id"] if "page_id" in pages.columns else [])
-    captured = restrict_to_keys(pages.select(*cols), cand, "url")
-    latest = F.max_by("html", "page_id") if "page_id" in cols else F.first("html")
-    captured = captured.groupBy("url").agg(latest.alias("html"))
+    captured = pages.select("url", "html", *capture_order).join(cand.select("url"), "url", "left_semi")
+    latest = F.struct(*[x for c in capture_order for x in (F.col(c).isNotNull().alias(f"has_{c}"), F.col(c))])
+    captured = captured.groupBy("url").agg(F.max_by("html", latest).alias("html"))
     joined = cand.join(captured, "url", "left")
     arts = extract_articles(joined.withColumnRenamed("source", "_listing_source"), profile,
                             source=source, as_of=as_of, keep=("position", "pub_date", "_listing_source"))
@@ -100,7 +106,7 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
     summary = newest_by_source(ok, mode)
     new_state = advance_state(state, summary, mode) if state is not None else \
         summary.select("source", F.col("newest_date").alias("last_date"))
-    return IncrementResult(ok, failed, summary, new_state)
+    return IncrementResult(arts, ok, failed, summary, new_state)
 
 
 def retry_quarantine(failures: DataFrame, pages: DataFrame, profile: Profile = PROFILE_SEG3,
@@ -110,5 +116,4 @@ def retry_quarantine(failures: DataFrame, pages: DataFrame, profile: Profile = P
     older failed item stays below a mark that newer successes moved past.
     Items still not captured come back in ``failures``."""
     listing = failures.select("position", F.col("url").alias("loc"), "pub_date", "source")
-    res = run_incremental(listing, pages, None, profile=profile, source=source, as_of=as_of)
-    return res
+    return run_incremental(listing, pages, None, profile=profile, source=source, as_of=as_of, require_date=False)

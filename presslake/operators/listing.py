@@ -12,19 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.functions.dates import parse_timestamp
-from presslake.operators.joins import broadcast_if_small
 
 # A listing entry whose lower-cased URL contains any of these
 # substrings is a media link, not an article.
 MEDIA_MARKERS = [".jpg", ".jpeg", ".png", "media.cnn.com"]
 
 
-def valid_entries(listing: DataFrame) -> DataFrame:
-    """Entries with a non-empty (trimmed) ``loc`` and ``pub_date``."""
-    loc, d = F.trim(F.col("loc")), F.trim(F.col("pub_date"))
-    return (listing.withColumns({"loc": loc, "pub_date": d})
-            .filter(F.col("loc").isNotNull() & (F.col("loc") != "")
-                    & F.col("pub_date").isNotNull() & (F.col("pub_date") != "")))
+def valid_entries(listing: DataFrame, require_date: bool = True) -> DataFrame:
+    """Entries with a non-empty (trimmed) ``loc`` and, unless the listing
+    is one of bare links (``require_date=False``), ``pub_date``."""
+    out = listing.withColumns({"loc": F.trim(F.col("loc")), "pub_date": F.trim(F.col("pub_date"))})
+    out = out.filter(F.col("loc").isNotNull() & (F.col("loc") != ""))
+    return out.filter(F.col("pub_date").isNotNull() & (F.col("pub_date") != "")) if require_date else out
 
 
 def is_media(col: str = "loc", markers=MEDIA_MARKERS):
@@ -45,11 +44,11 @@ def newer_than(listing: DataFrame, state: DataFrame, mode: str = "timestamp",
     empty mark and all its entries are new. ``mode="string"`` compares the
     text (the original behaviour; mixed offsets order wrongly);
     ``mode="timestamp"`` compares instants and falls back to text when
-    either side does not parse. The state has one row per source, so it is
-    broadcast after a size check; the join is an equi-join on the source.
+    either side does not parse. A plain equi-join on the source: the planner
+    picks its form.
     """
     st = state.select(F.col("source").alias("_mark_source"), F.col("last_date").alias("_mark"))
-    joined = listing.join(broadcast_if_small(st), F.col(source_col) == F.col("_mark_source"), "left")
+    joined = listing.join(st, F.col(source_col) == F.col("_mark_source"), "left")
     mark = F.coalesce(F.col("_mark"), F.lit(""))
     by_text = F.col("pub_date") > mark
     if mode == "string":

@@ -67,12 +67,20 @@ def select_series(samples: DataFrame, metric: str | None = None, **labels: str)
     return samples.filter(cond)
 
 
-def latest(samples: DataFrame) -> DataFrame:
+def latest(samples: DataFrame, at=None, lookback: str | int = "5 minutes") -> DataFrame:
     """The current value of every series (instant vector).
 
+    With ``at`` (a timestamp or its text) the query is evaluated then: only
+    samples in ``(at - lookback, at]`` count, so a series that has been silent for
+    longer is absent. Without it the last sample counts however old it is.
     ``max_by`` over ``(ts, sample_id)``: a partial/final aggregate, so a hot
-    series is reduced map-side.
+    series is reduced map-side; the time range reaches the scan as a filter.
     """
+    if at is not None:
+        end = F.lit(at).cast("timestamp_ntz")
+        start = end - F.expr(f"INTERVAL '{_interval_us(lookback) / US}' SECOND")
+        ts = F.col("ts").cast("timestamp_ntz")
+        samples = samples.filter((ts > start) & (ts <= end))
     s = with_series(samples)
     return (s.groupBy("metric", "_series")
             .agg(F.max_by(F.struct("ts", "value"), F.struct("_t", "sample_id")).alias("_l"))
@@ -80,44 +88,67 @@ def latest(samples: DataFrame) -> DataFrame:
                     F.col("_l.ts").alias("ts"), F.col("_l.value").alias("value")))
 
 
-def sum_latest(samples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``sum(m)`` / ``sum by (labels)(m)`` of the current values, per metric."""
-    cur = latest(samples)
+def sum_latest(samples: DataFrame, by: Sequence[str] = (), at=None, lookback: str | int = "5 minutes") -> DataFrame:
+    """``sum(m)`` / ``sum by (labels)(m)`` of the current values, per metric (see :func:`latest`)."""
+    cur = latest(samples, at, lookback)
     keys = [F.col("metric")] + [F.col("labels")[b].alias(b) for b in by]
     return cur.groupBy(*keys).agg(F.sum("value").alias("value"))
 
 
-def _bucketed(samples: DataFrame, b_us: int, f_us: int) -> DataFrame:
+def _bucketed(samples: DataFrame, b_us: int, f_us: int, step_us: int | None = None) -> DataFrame:
     """Samples laid out for per-(series, bucket) windows, with reset-aware
     ``delta`` computed, in ONE shuffle of the samples.
 
     Partition (series, b) receives: its own rows (``_halo=0``); copies of
     bucket b-1's rows within ``f_us`` of b's start (``_halo=1``, they fall
-    in the frames of b's rows); and one carry row (``_halo=2``), the last
+    in the frames of b's rows); one carry row (``_halo=2``), the last
     sample before those copies, so the first copied row has its previous
-    sample. The carry comes from a per-(series, bucket) aggregate (head =
-    last sample outside the tail, last = last sample) and a window over
-    that small table, never over the samples of a whole series.
+    sample; and with ``step_us`` the instants of the step grid whose frame
+    can hold a sample (``_halo=3``, no value). Carry and instants come from a
+    per-(series, bucket) aggregate (head = last sample outside the tail, last =
+    last sample) and windows over that table: one row a bucket of a series,
+    never the samples of a whole series.
     """
     s = with_series(samples).withColumn("_b", floor_div(F.col("_t"), b_us))
     in_tail = F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us)
-    point = F.struct("_t", "sample_id", "value")
+    sample = F.struct("_t", "sample_id", "value")
     order = F.struct("_t", "sample_id")
     agg = (s.groupBy("metric", "_series", "_b")
-           .agg(F.max_by(point, F.when(~in_tail, order)).alias("_head"), F.max_by(point, order).alias("_last")))
+           .agg(F.max_by(sample, F.when(~in_tail, order)).alias("_head"), F.max_by(sample, order).alias("_last")))
     w = Window.partitionBy("metric", "_series").orderBy("_b")
     adjacent = F.lag("_b").over(w) == F.col("_b") - 1
     carry_pt = F.when(adjacent, F.coalesce(F.lag("_head").over(w), F.lag("_last", 2).over(w))) \
         .otherwise(F.lag("_last").over(w))
-    carry = (agg.select("metric", "_series", "_b", carry_pt.alias("_c")).filter(F.col("_c").isNotNull())
-             .select("metric", "_series", "_b", F.col("_c._t").alias("_t"), F.col("_c.sample_id").alias("sample_id"),
-                     F.col("_c.value").alias("value"), F.lit(2).alias("_halo")))
+    alone = F.coalesce(F.lead("_b").over(w) != F.col("_b") + 1, F.lit(True))  # the next bucket has no samples
+    # the instants of an empty next bucket see copies of this one's tail, which need the sample before them
+    after_pt = F.when(alone, F.coalesce(F.col("_head"), F.lag("_last").over(w)))
+    agg = agg.select("metric", "_series", "_b", carry_pt.alias("_c"), after_pt.alias("_after"), alone.alias("_alone"))
+    types = {f.name: f.dataType for f in s.schema.fields}
+
+    def point(b, t, sample_id, value, halo: int):
+        cols = {"_b": b, "_t": t, "sample_id": sample_id.cast(types["sample_id"]), "value": value.cast(types["value"])}
+        return F.struct(*[c.alias(k) for k, c in cols.items()], F.lit(halo).alias("_halo"))
+
+    def carried(b, c: str):
+        return point(b, F.col(c)["_t"], F.col(c)["sample_id"], F.col(c)["value"], 2)
+    extra = F.array(carried(F.col("_b"), "_c"))
+    if step_us:
+        # instants of a bucket with samples, and up to a frame beyond it if the next has none
+        spill = F.when(F.col("_alone"), F.lit(f_us)).otherwise(F.lit(0))
+        first = floor_div(F.col("_b") * F.lit(b_us) + F.lit(step_us - 1), step_us) * F.lit(step_us)
+        last = (F.col("_b") + 1) * F.lit(b_us) + spill - 1
+        grid = F.when(first <= last, F.sequence(first, last, F.lit(step_us))).otherwise(F.array().cast("array<bigint>"))
+        none = F.lit(None)
+        extra = F.concat(extra, F.array(carried(F.col("_b") + 1, "_after")),
+                         F.transform(grid, lambda t: point(floor_div(t, b_us), t, none, none, 3)))
+    extra = (agg.select("metric", "_series", F.explode(extra).alias("p")).filter(F.col("p._t").isNotNull())
+             .select("metric", "_series", F.map_from_entries("_series").alias("labels"), "p.*"))
     own = (s.withColumn("_halo", F.explode(F.when(in_tail, F.array(F.lit(0), F.lit(1)))
                                            .otherwise(F.array(F.lit(0)))))
            .withColumn("_b", F.col("_b") + F.col("_halo")))
-    u = own.unionByName(carry, allowMissingColumns=True)
+    u = own.unionByName(extra, allowMissingColumns=True)
     wp = Window.partitionBy("metric", "_series", "_b").orderBy("_t", "sample_id")
-    prev = F.lag("value").over(wp)
+    prev = F.last("value", ignorenulls=True).over(wp.rowsBetween(Window.unboundedPreceding, -1))
     delta = (F.when(prev.isNull(), F.lit(0.0))
              .when(F.col("value") >= prev, F.col("value") - prev)
              .otherwise(F.col("value")))
@@ -200,26 +231,7 @@ def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str |
     """
     f_us, st_us = _interval_us(frame), _interval_us(step)
     b_us = max(_interval_us(bucket), f_us)
-    d = deltas(samples, b_us).withColumn("_b", floor_div(F.col("_t"), b_us))
-    # the (series, bucket)s that hold samples; labels come back from the
-    # series key (sorted entries), so this is a hash distinct, not a sort
-    per_bucket = (d.select("metric", "_series", "_b").distinct()
-                  .withColumn("labels", F.map_from_entries(F.col("_series"))))
-    nxt = F.lead("_b").over(Window.partitionBy("metric", "_series").orderBy("_b"))
-    spill = F.when(nxt.isNull() | (nxt != F.col("_b") + 1), F.lit(f_us)).otherwise(F.lit(0))
-    first_t = floor_div(F.col("_b") * F.lit(b_us) + F.lit(st_us - 1), st_us) * F.lit(st_us)
-    last_t = (F.col("_b") + 1) * F.lit(b_us) + spill - 1
-    instants = (per_bucket.withColumn("_last", last_t).withColumn("_first", first_t)
-                .filter(F.col("_first") <= F.col("_last"))
-                .select("metric", "_series", "labels",
-                        F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(st_us))).alias("_t"))
-                .withColumn("_b", floor_div(F.col("_t"), b_us))
-                .withColumn("_halo", F.lit(2)))
-    rows = (d.select("metric", "_series", "_b", "_t", "sample_id", "value", "delta")
-            .withColumn("_halo", F.explode(F.when(F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us),
-                                                  F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-            .withColumn("_b", F.col("_b") + F.col("_halo")))
-    u = rows.unionByName(instants, allowMissingColumns=True)
+    u = _bucketed(samples, b_us, f_us, st_us)
     w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
     real = F.col("_halo") < 2
     u = u.withColumns({"_sum": F.sum(F.when(real, F.col("delta"))).over(w),
@@ -230,7 +242,7 @@ def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str |
                            "_first_v": F.min_by(F.col("value"), key).over(w),
                            "_first_d": F.min_by(F.col("delta"), key).over(w),
                            "_last_t": F.max_by(F.col("_t"), key).over(w)})
-    u = u.filter((F.col("_halo") == 2) & (F.col("_n") > 0))
+    u = u.filter((F.col("_halo") == 3) & (F.col("_n") > 0))
     if extrapolate:
         result = F.col("_sum") - F.col("_first_d")
         sampled = (F.col("_last_t") - F.col("_first_t")) / F.lit(float(US))
@@ -257,11 +269,13 @@ def rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int =
 
 
 def sum_rate_at(samples: DataFrame, frame: str | int = "1 minute", step: str | int = "15 seconds",
-                factor: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
-    """``sum [by (labels)] (rate(m[frame])) * factor`` on the ``step`` grid:
-    :func:`rate_at` per series, then an aggregate per instant (series
-    absent from an instant's frame contribute nothing)."""
-    r = rate_at(samples, frame, step)
+                factor: float = 1.0, by: Sequence[str] = (), bucket: str | int = "1 hour",
+                extrapolate: bool = False) -> DataFrame:
+    """``sum [by (labels)] (rate(m[frame])) * factor`` on the ``step`` grid:
+    :func:`rate_at` per series, by the exact or (``extrapolate``) the dashboard
+    engine's rule, then an aggregate per instant (series absent from an
+    instant's frame contribute nothing)."""
+    r = rate_at(samples, frame, step, bucket, extrapolate)
     keys = [F.col("metric")] + [F.col("labels")[b].alias(b) for b in by] + [F.col("eval_ts")]
     return r.groupBy(*keys).agg((F.sum("rate") * F.lit(factor)).alias("value"))
 
@@ -286,11 +300,21 @@ def per_window_count(events: DataFrame, ts_col: str, width: str, *keys: str) ->
             .select(F.col("w.start").alias("window_start"), *keys, "n"))
 
 
-def running_total(batches: DataFrame, layer: str = "layer", batch: str = "batch_id", n: str = "n") -> DataFrame:
-    """Cumulative rows per layer over batches (input: one row per
-    (layer, batch), so the per-layer window is bounded by the batch count)."""
-    w = Window.partitionBy(layer).orderBy(batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return batches.withColumn("running_total", F.sum(n).over(w))
+def running_total(batches: DataFrame, layer: str = "layer", batch: str = "batch_id", n: str = "n",
+                  bucket: int = 4096) -> DataFrame:
+    """Cumulative rows per layer over batches (one row per (layer, batch)).
+
+    Batches are summed by ``bucket`` numbers; a window over these sums gives
+    what came before each bucket, and a window inside the bucket the rest, so no
+    window holds more than ``bucket`` batches or a layer's buckets.
+    """
+    rows = batches.withColumn("_b", floor_div(F.col(batch), bucket))
+    sums = rows.groupBy(layer, "_b").agg(F.sum(n).alias("_s"))
+    earlier = Window.partitionBy(layer).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(layer, "_b", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(layer, "_b").orderBy(batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (rows.join(sums, [layer, "_b"]).withColumn("running_total", F.col("_before") + F.sum(n).over(inside))
+            .drop("_b", "_before").select(*batches.columns, "running_total"))
 
 
 # Dashboard threshold steps (None = base colour).

@@ -86,19 +86,15 @@ def new_silver_rows(increment: DataFrame, seen_urls: DataFrame | None,
     valid, first arrival per url within the increment, and url not already
     admitted (``seen_urls``: a ``url`` column, e.g. silver itself).
 
-    The increment is de-duplicated with the map-side combining aggregate,
-    and the admitted urls are cut down to the increment's keys before the
-    anti join (broadcast semi join when the increment is provably small),
-    so neither a hot url nor a large silver table is shuffled whole.
+    The increment is de-duplicated with the map-side combining aggregate, so a
+    hot url travels once per map task; of the admitted urls only that column
+    is read, and the planner picks the anti join's form.
     """
-    from presslake.operators.joins import restrict_to_keys
-
     ordered = [c for c in order if c in increment.columns]
     winners = dedup_first(increment, "url", ordered, where=is_valid_article())
     if seen_urls is None:
         return winners
-    admitted = restrict_to_keys(seen_urls.select("url"), winners, "url").distinct()
-    return winners.join(admitted, "url", "left_anti")
+    return winners.join(seen_urls.select("url"), "url", "left_anti")
 
 
 def append_silver(increment: DataFrame, silver: DataFrame | None, with_ingestion: bool = True) -> DataFrame:

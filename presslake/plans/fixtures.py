@@ -89,6 +89,24 @@ def page_listing_cols() -> dict[str, str]:
     }
 
 
+def sitemap_cols() -> dict[str, str]:
+    """A sitemap ``<url>`` element for each page: a padded ``loc``, the news date,
+    the last-modified date, both, a blank one or none, and always a nested image."""
+    loc = "replace(replace(url, '&', '&amp;'), '<', '&lt;')"
+    news = f"concat('<news:news><news:publication_date>', {iso_of('page_id')}, '</news:publication_date></news:news>')"
+    dates = (f"CASE page_id % 5 WHEN 0 THEN concat('<lastmod>', {iso_of('page_id')}, '</lastmod>') WHEN 1 THEN {news} "
+             f"WHEN 2 THEN concat('<lastmod>2020-01-01</lastmod>', {news}) WHEN 3 THEN '<lastmod> </lastmod>' ELSE '' END")
+    image = f"concat('<image:image><image:loc>', {loc}, '/photo.png</image:loc></image:image>')"
+    return {"page_id": "page_id",
+            "xml": f"concat('<url>', CASE WHEN page_id % 2 = 0 THEN {image} ELSE '' END, '<loc> ', {loc}, ' </loc>', "
+                   f"{dates}, CASE WHEN page_id % 2 = 1 THEN {image} ELSE '' END, '</url>')"}
+
+
+def namespaced_tag() -> str:
+    return ("CASE page_id % 3 WHEN 0 THEN '{http://www.sitemaps.org/schemas/sitemap/0.9}loc' WHEN 1 THEN 'url' "
+            "ELSE '{urn:a}{urn:b}lastmod' END")
+
+
 def incremental_listing_cols() -> dict[str, str]:
     """Pages as a listing where every seventh URL was never captured."""
     return {
@@ -103,6 +121,8 @@ def incremental_listing_cols() -> dict[str, str]:
 # site2 has no mark yet.
 MARKS = [("site0", "2024-06-15T12:00:00+00:00"), ("site1", "2024-03-01T00:00:00-05:00")]
 AS_OF = "2026-01-01 00:00:00"
+# An instant inside the events' month.
+EVAL_AT = "2024-01-15 12:00:00"
 
 
 def marks_values_sql() -> str:

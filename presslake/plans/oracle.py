@@ -336,6 +336,8 @@ def oracle_sql() -> dict[str, str]:
     q["gold_par_source"] = _gold(["source"], "nombre_articles")
     q["gold_par_source_jour"] = _gold(["source", "date_parsed"], "nombre_articles")
     q["gold_top_categories"] = _gold(["categorie_clean"], "total") + " ORDER BY total DESC, categorie_clean"
+    q["events_ranked"] = ("SELECT event_id, value, event_type, row_number() OVER "
+                          "(ORDER BY value NULLS LAST, event_id) AS rang FROM events")
     q["gold_top_categories_ranked"] = (f"SELECT categorie_clean, total, row_number() OVER "
                                        f"(ORDER BY total DESC, categorie_clean NULLS LAST) AS rang "
                                        f"FROM ({_gold(['categorie_clean'], 'total')}) g")
@@ -353,6 +355,20 @@ def oracle_sql() -> dict[str, str]:
                   f"LEFT JOIN {FX.marks_values_sql()} ON l.source = m.source WHERE {cond}")
     q["incremental_unseen"] = ("SELECT doc_id, source, lang FROM documents d "
                                "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+    q["incremental_seen"] = (f"WITH l AS (SELECT page_id AS position, loc AS url FROM (SELECT page_id, "
+                             f"{FX.page_listing_cols()['loc']} AS loc FROM pages)), t AS (SELECT 2 * position AS position, "
+                             f"url FROM l UNION ALL SELECT 2 * position + 1, url FROM l) SELECT min(position) AS position, url "
+                             f"FROM t WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.page_id % 3 = 0 AND p.url = t.url) "
+                             f"GROUP BY url")
+    q["sitemap_entries"] = (f"SELECT page_id, trim(url) AS loc, CASE WHEN page_id % 5 < 3 THEN {FX.iso_of('page_id')} END "
+                            f"AS pub_date FROM pages")
+    q["strip_namespace"] = (f"SELECT page_id, {FX.namespaced_tag()} AS tag, CASE page_id % 3 WHEN 0 THEN 'loc' "
+                            f"WHEN 1 THEN 'url' ELSE 'lastmod' END AS name FROM pages")
+    q["run_clock_text"] = ("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f') "
+                           "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS clock, strftime(ts, '%Y-%m-%d %H:%M:%S') AS plain, "
+                           "CASE WHEN event_id % 2 = 0 AND epoch_us(ts) % 1000000 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') "
+                           "ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS iso FROM events")
+    q["bronze_stamped"] = f"SELECT msg_offset AS doc_id, url, {lit(FX.AS_OF)} AS ingested FROM {ARTICLES} a"
     q["incremental_summary"] = f"WITH {_incremental_ctes()} SELECT source, n_new, newest_date FROM summary"
     old, new = "m.last_date", "s.newest_date"
     later = (f"CASE WHEN {new} IS NULL THEN {old} WHEN {old} IS NULL OR {old} = '' THEN {new} "
@@ -397,6 +413,27 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT i.job, i.instance, make_timestamp(i.te) AS eval_ts, round(sum(e.delta), 2) AS increase "
         f"FROM inst i JOIN e ON e.metric = i.metric AND e.job = i.job AND e.instance = i.instance "
         f"AND e.t > i.te - 300000000 AND e.t <= i.te GROUP BY i.job, i.instance, i.te")
+    q["metric_sum_lookback"] = (
+        f"SELECT metric, job, round(sum(v), 2) AS value FROM (SELECT metric, job, instance, arg_max(value, (ts, sample_id)) AS v "
+        f"FROM {SAMPLES} s WHERE ts <= TIMESTAMP '{FX.EVAL_AT}' AND ts > TIMESTAMP '{FX.EVAL_AT}' - INTERVAL 2 HOUR "
+        f"GROUP BY metric, job, instance) GROUP BY metric, job")
+    q["metric_rate_grid_extrapolated"] = (
+        f"WITH {_deltas_cte()}, "
+        f"inst AS (SELECT DISTINCT metric, job, instance, unnest(generate_series(((t + 599999999) // 600000000) "
+        f"* 600000000, t + 3599999999, 600000000)) AS te FROM e), "
+        f"w AS (SELECT i.job, i.instance, i.te, sum(e.delta) AS s, count(*) AS n, min(e.t) AS ft, max(e.t) AS lt, "
+        f"arg_min(e.value, (e.t, e.sample_id)) AS fv, arg_min(e.delta, (e.t, e.sample_id)) AS fd "
+        f"FROM inst i JOIN e ON e.metric = i.metric AND e.job = i.job AND e.instance = i.instance "
+        f"AND e.t > i.te - 3600000000 AND e.t <= i.te GROUP BY i.job, i.instance, i.te), "
+        f"x AS (SELECT *, s - fd AS res, (lt - ft) / 1000000.0 AS span FROM w WHERE n >= 2 AND lt > ft), "
+        f"y AS (SELECT *, span / (n - 1) AS step, least((ft - te + 3600000000) / 1000000.0, "
+        f"CASE WHEN res > 0 AND fv >= 0 THEN span * (fv / res) ELSE 1e300 END) AS lead_in, (te - lt) / 1000000.0 AS lead_out FROM x) "
+        f"SELECT job, instance, make_timestamp(te) AS eval_ts, round(res * ((span "
+        f"+ CASE WHEN lead_in < 1.1 * step THEN lead_in ELSE step / 2 END "
+        f"+ CASE WHEN lead_out < 1.1 * step THEN lead_out ELSE step / 2 END) / span), 6) AS per_hour FROM y")
+    q["metric_articles_per_minute"] = (
+        f"WITH {_deltas_cte()} SELECT metric, job, make_timestamp(((t + 59999999) // 60000000) * 60000000) AS eval_ts, "
+        f"round(sum(delta), 2) AS value FROM e GROUP BY 1, 2, 3")
     q["metric_cpu_percent"] = (f"WITH {_deltas_cte()} SELECT metric, "
                                f"make_timestamp(((t + 59999999) // 60000000) * 60000000) AS eval_ts, "
                                f"round(sum(delta) / 60.0 * 100.0, 4) AS value FROM e GROUP BY 1, 2")

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.functions.dates import normalize_date, parse_date
-from presslake.functions.scalars import scale, url_host
+from presslake.functions.dates import normalize_date, now_text, parse_date
+from presslake.functions.scalars import scale, strip_ns, url_host
 from presslake.functions.text import clean_text, preview
 from presslake.functions import html as H
 from presslake.operators import extract as X
@@ -20,10 +20,12 @@ from presslake.operators import gold as G
 from presslake.operators import incremental as I
 from presslake.operators import listing as L
 from presslake.operators import metrics as M
-from presslake.operators.messages import decode_messages, encode_messages
+from presslake.operators.messages import decode_messages, encode_messages, to_bronze
 from presslake.operators.quality import latest_rows, profile
+from presslake.operators.ranking import global_row_number
 from presslake.operators.silver import dedup_first, project_silver, to_silver, valid_articles
 from presslake.plans import fixtures as FX
+from presslake.sources.sitemap import entry_columns, parse_entry
 from presslake.sources.tables import table
 
 
@@ -34,12 +36,12 @@ def _derive(df: DataFrame, cols: dict[str, str]) -> DataFrame:
 # ---------------------------------------------------------------- fixtures as DataFrames
 
 def pages_with_head(spark, sf):
-    return _derive(table(spark, sf, "pages", cpu_heavy=True), FX.pages_with_head_cols())
+    return _derive(table(spark, sf, "pages"), FX.pages_with_head_cols())
 
 
 def article_messages(spark, sf) -> DataFrame:
     """Documents -> article records -> encoded messages (value, timestamp, offset)."""
-    arts = _derive(table(spark, sf, "documents", cpu_heavy=True), FX.article_cols())
+    arts = _derive(table(spark, sf, "documents"), FX.article_cols())
     arts = (arts.withColumnRenamed("msg_offset", "offset")
             .withColumn("timestamp", F.timestamp_seconds(F.lit(1704067200) + F.col("offset"))))
     return encode_messages(arts, timestamp_col="timestamp", keep=("offset",))
@@ -66,11 +68,11 @@ def _series_out() -> list:
 # ---------------------------------------------------------------- text / dates
 
 def q_clean_text(spark, sf):
-    return table(spark, sf, "documents", cpu_heavy=True).select("doc_id", clean_text("text").alias("text_clean"))
+    return table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
 
 
 def q_clean_html(spark, sf):
-    return table(spark, sf, "pages", cpu_heavy=True).select("page_id", clean_text("html").alias("html_clean"))
+    return table(spark, sf, "pages").select("page_id", clean_text("html").alias("html_clean"))
 
 
 def q_title_preview(spark, sf):
@@ -90,7 +92,7 @@ def q_date_normalize(spark, sf):
 # ---------------------------------------------------------------- extraction
 
 def q_extract_title(spark, sf):
-    p = H.with_parts(table(spark, sf, "pages", cpu_heavy=True))
+    p = H.with_parts(table(spark, sf, "pages"))
     parts = H.column_parts()
     return p.select("page_id", X.title_expr(F.col("html"), X.PROFILE_SEG3, parts).alias("titre"),
                     X.title_expr(F.col("html"), X.PROFILE_SEG6, parts).alias("titre_seg6"))
@@ -107,7 +109,7 @@ def q_extract_source(spark, sf):
 
 
 def q_extract_body(spark, sf):
-    p = H.with_parts(table(spark, sf, "pages", cpu_heavy=True))
+    p = H.with_parts(table(spark, sf, "pages"))
     return p.select("page_id", X.body_expr(F.col("html"), X.PROFILE_SEG3, parts=H.column_parts()).alias("contenu"))
 
 
@@ -186,11 +188,11 @@ def q_silver_latest5(spark, sf):
 # ---------------------------------------------------------------- gold
 
 def _gold_table(name):
+    """One table on its own: a plain aggregate (the job that writes all four counts them in one pass)."""
     keys, count_col = G.GOLD_TABLES[name]
 
     def q(spark, sf):
-        tables = G.split_gold(G.gold_one_pass(events_silver(spark, sf)), run_ts=FX.AS_OF)
-        return tables[name].drop("processing_time")
+        return G.count_by(events_silver(spark, sf), keys, count_col)
     return q
 
 
@@ -208,13 +210,19 @@ def q_gold_top_categories(spark, sf):
     return G.top_categories(events_silver(spark, sf))
 
 
+def q_events_ranked(spark, sf):
+    """Every event's place in the order of value, then id."""
+    ev = table(spark, sf, "events").select("event_id", "value", "event_type")
+    return global_row_number(ev, [F.col("value").asc_nulls_last(), F.col("event_id")], "rang")
+
+
 def q_gold_top_categories_ranked(spark, sf):
     return G.top_categories(events_silver(spark, sf), with_rank=True)
 
 
 def q_top_categories_pages(spark, sf):
     """Flagship: top categories of cleaned, de-duplicated articles from pages."""
-    p = table(spark, sf, "pages", cpu_heavy=True)
+    p = table(spark, sf, "pages")
     arts = X.extract_articles(p, X.PROFILE_SEG3, source="pages", as_of=FX.AS_OF)
     arts = arts.withColumn("kafka_timestamp", F.lit(None).cast("timestamp")).withColumnRenamed("page_id", "offset")
     silver = to_silver(arts.filter(F.col("error").isNull()), with_ingestion=False)
@@ -244,8 +252,7 @@ def q_listing_first_n(spark, sf):
 
 
 def marks(spark):
-    """The marks as a local relation (exact size statistics, so the
-    broadcast size check needs no job)."""
+    """The marks as a local relation."""
     return spark.sql(f"SELECT source, last_date FROM {FX.marks_values_sql()}")
 
 
@@ -268,6 +275,44 @@ def q_incremental_unseen(spark, sf):
     return I.unseen(docs, table(spark, sf, "labels"), "doc_id")
 
 
+def q_incremental_seen(spark, sf):
+    """A polled listing with repeated links against the URLs of earlier runs: each new URL once."""
+    listing = page_listing(spark, sf).select((F.col("position") * 2).alias("position"), F.col("loc").alias("url"))
+    twice = listing.union(listing.select((F.col("position") + 1).alias("position"), "url"))
+    seen = table(spark, sf, "pages").where("page_id % 3 = 0").select("url")
+    return I.unseen(twice, seen, "url").select("position", "url")
+
+
+def _sitemap_xml(spark, sf):
+    """One ``<url>`` element of a sitemap for each page, as text."""
+    return _derive(table(spark, sf, "pages"), FX.sitemap_cols())
+
+
+def q_sitemap_entries(spark, sf):
+    """Listing fields of ``<url>`` elements by Spark's XML parser."""
+    xml = _sitemap_xml(spark, sf).withColumn("e", parse_entry(F.col("xml")))
+    return xml.select("page_id", *entry_columns(F.col("e.loc"), F.col("e.news"), F.col("e.lastmod")))
+
+
+def q_strip_namespace(spark, sf):
+    p = _derive(table(spark, sf, "pages"), {"page_id": "page_id", "tag": FX.namespaced_tag()})
+    return p.select("page_id", "tag", strip_ns("tag").alias("name"))
+
+
+def q_run_clock_text(spark, sf):
+    """The run clock in both profiles' forms, for clocks with and without a fraction of a second."""
+    form = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    ev = table(spark, sf, "events").select("event_id", form.otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("clock"))
+    return ev.select("event_id", "clock", now_text("yyyy-MM-dd HH:mm:ss", F.col("clock")).alias("plain"),
+                     now_text("iso", F.col("clock")).alias("iso"))
+
+
+def q_bronze_stamped(spark, sf):
+    """Bronze rows with the fixed stamp of the run that read them."""
+    b = to_bronze(article_messages(spark, sf), ingestion_time=FX.AS_OF)
+    return b.select(F.col("offset").alias("doc_id"), "url", F.date_format("ingestion_time", "yyyy-MM-dd HH:mm:ss").alias("ingested"))
+
+
 def _run(spark, sf):
     return I.run_incremental(incremental_listing(spark, sf), table(spark, sf, "pages"), marks(spark),
                              profile=X.PROFILE_SEG3, as_of=FX.AS_OF)
@@ -329,6 +374,24 @@ def q_metric_increase_grid(spark, sf):
     return g.select(*_series_out(), "eval_ts", F.round("increase", 2).alias("increase"))
 
 
+def q_metric_sum_lookback(spark, sf):
+    """An instant query: series silent for longer than the lookback do not count."""
+    out = M.sum_latest(samples(spark, sf), by=("job",), at=FX.EVAL_AT, lookback="2 hours")
+    return out.select("metric", "job", F.round("value", 2).alias("value"))
+
+
+def q_metric_rate_grid_extrapolated(spark, sf):
+    r = M.rate_at(samples(spark, sf), "1 hour", "10 minutes", bucket="6 hours", extrapolate=True)
+    # as gain per hour, whose decimals do not end at the rounding's half
+    return r.select(*_series_out(), "eval_ts", F.round(F.col("rate") * 3600, 6).alias("per_hour"))
+
+
+def q_metric_articles_per_minute(spark, sf):
+    """``sum by (job) (rate(counter[1m])) * 60``: what a counter gained in each minute."""
+    r = M.sum_rate_at(samples(spark, sf), "1 minute", "1 minute", factor=60.0, by=("job",))
+    return r.select("metric", "job", "eval_ts", F.round("value", 2).alias("value"))
+
+
 def q_metric_cpu_percent(spark, sf):
     r = M.instant_rate_sum(samples(spark, sf), "1 minute", factor=100.0)
     return r.select("metric", "eval_ts", F.round("value", 4).alias("value"))
@@ -382,6 +445,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_par_source_jour": _gold_table("articles_par_source_jour"),
     "gold_top_categories": q_gold_top_categories,
     "gold_top_categories_ranked": q_gold_top_categories_ranked,
+    "events_ranked": q_events_ranked,
     "gold_one_pass": q_gold_one_pass,
     "gold_from_articles": q_gold_from_articles,
     "listing_valid": q_listing_valid,
@@ -391,6 +455,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_hwm": q_incremental_hwm,
     "incremental_hwm_text": q_incremental_hwm_text,
     "incremental_unseen": q_incremental_unseen,
+    "incremental_seen": q_incremental_seen,
+    "sitemap_entries": q_sitemap_entries,
+    "strip_namespace": q_strip_namespace,
+    "run_clock_text": q_run_clock_text,
+    "bronze_stamped": q_bronze_stamped,
     "incremental_summary": q_incremental_summary,
     "incremental_state": q_incremental_state,
     "incremental_failures": q_incremental_failures,
@@ -403,6 +472,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_rate": q_metric_rate,
     "metric_rate_extrapolated": q_metric_rate_extrapolated,
     "metric_increase_grid": q_metric_increase_grid,
+    "metric_sum_lookback": q_metric_sum_lookback,
+    "metric_rate_grid_extrapolated": q_metric_rate_grid_extrapolated,
+    "metric_articles_per_minute": q_metric_articles_per_minute,
     "metric_cpu_percent": q_metric_cpu_percent,
     "metric_running_total": q_metric_running_total,
     "metric_ram_gib": q_metric_ram_gib,

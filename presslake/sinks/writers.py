@@ -30,6 +30,12 @@ def write_state(state: DataFrame, path: str, run_ts: str) -> None:
      .write.mode("append").parquet(path))
 
 
+def write_seen(tried: DataFrame, path: str, run_ts: str) -> None:
+    """D3: append the URLs a run has tried, whether they succeeded or not."""
+    (tried.select("url").distinct().withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
+     .write.mode("append").parquet(path))
+
+
 @dataclass
 class GoldTarget:
     """Where gold tables go.
@@ -49,10 +55,9 @@ class GoldTarget:
 
 
 def write_gold(tables: dict[str, DataFrame], target: GoldTarget) -> None:
-    """K4: overwrite every gold table. Gold rows are one per group (small), so
-    each table is coalesced to few writers."""
-    for name, df in tables.items():
-        out = df.coalesce(1) if target.kind != "table" else df
+    """K4: overwrite every gold table, in as many parts as its rows have
+    (adaptive execution joins small ones)."""
+    for name, out in tables.items():
         if target.kind == "jdbc":
             (out.write.mode("overwrite").option("truncate", str(target.truncate).lower())
              .jdbc(target.url, name, properties=target.properties))

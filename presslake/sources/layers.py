@@ -22,12 +22,25 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
         raise SilverMissing(f"silver layer not readable at {path}: {e}") from e
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of the file system that its URL names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_seen(spark: SparkSession, path: str) -> DataFrame:
+    """D3: the URLs earlier runs have tried; empty before the first run. A folder
+    that is there but cannot be read is an error, not an empty set."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "url string")
+    return spark.read.schema("url string, run_ts timestamp").parquet(path).select("url")
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The current mark per source from the append-only state log
     ``(source, last_date, run_ts)``; empty when nothing was written yet."""
-    try:
-        log = spark.read.parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], STATE_SCHEMA)
+    log = spark.read.parquet(path)
     return (log.groupBy("source")
             .agg(F.max_by("last_date", "run_ts").alias("last_date")))

@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslake.operators.parallelism import spread_if_narrow
 
-
-def read_pages(spark: SparkSession, path: str, fmt: str = "parquet", spread: bool = True) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Pages captured by an external fetcher. Only the columns a query uses
     are read (``html`` is the wide one; title/category queries never
-    touch the bytes they do not need). Extraction is CPU-bound, so a small
-    capture (fewer splits than cores) is spread over the cores first; a
-    large one is left as scanned."""
-    df = spark.read.format(fmt).load(path).select("page_id", "url", "html")
-    return spread_if_narrow(df) if spread else df
+    touch the bytes they do not need). The scan's splits decide how wide
+    the CPU-bound extraction runs."""
+    return spark.read.format(fmt).load(path).select("page_id", "url", "html")

@@ -21,6 +21,17 @@ def _blank_to_null(c):
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def entry_columns(loc, news, lastmod) -> list:
+    """``loc`` and ``pub_date`` of one parsed ``<url>`` element."""
+    date = F.coalesce(_blank_to_null(news["publication_date"]), _blank_to_null(lastmod))
+    return [F.trim(loc).alias("loc"), date.alias("pub_date")]
+
+
+def parse_entry(xml, schema: T.StructType = URL_ENTRY_SCHEMA):
+    """One ``<url>`` element's text as a struct (namespaces ignored, as in :func:`read_sitemap`)."""
+    return F.from_xml(xml, schema, {"ignoreNamespace": "true"})
+
+
 def read_sitemap(spark: SparkSession, path: str, source: str | None = None,
                  streaming: bool = False) -> DataFrame:
     """Listing ``(position, loc, pub_date, source, listing_file)`` from sitemap XML.
@@ -38,8 +49,7 @@ def read_sitemap(spark: SparkSession, path: str, source: str | None = None,
     if not streaming:
         cols.append(F.monotonically_increasing_id().alias("position"))
     cols += [
-        F.trim(F.col("loc")).alias("loc"),
-        F.coalesce(_blank_to_null(F.col("news.publication_date")), _blank_to_null(F.col("lastmod"))).alias("pub_date"),
+        *entry_columns(F.col("loc"), F.col("news"), F.col("lastmod")),
         F.lit(source).cast("string").alias("source"),
         F.col("_metadata.file_path").alias("listing_file"),
     ]

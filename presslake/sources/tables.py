@@ -2,12 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslake.operators.parallelism import spread_if_narrow
 
-
-def table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = False) -> DataFrame:
-    """Read one table. ``cpu_heavy=True`` marks reads feeding regex/JSON-heavy
-    expressions: a small input is spread over all cores first (see
-    :func:`presslake.operators.parallelism.spread_if_narrow`)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_if_narrow(df) if cpu_heavy else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one table; Spark's splits decide how wide the scan is."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,10 +1,10 @@
 """Structured Streaming jobs: messages -> bronze -> silver."""
 
 from presslake.streaming.layers import (
-    bronze_stream, dedup_stream, progress_rows, run_available_now, silver_stream,
+    bronze_stream, compact_seen, dedup_stream, run_available_now, silver_stream,
     start_bronze, start_gold_stream, start_silver, start_silver_table_dedup, trigger_kwargs,
 )
 
-__all__ = ["bronze_stream", "dedup_stream", "progress_rows", "run_available_now", "silver_stream",
+__all__ = ["bronze_stream", "compact_seen", "dedup_stream", "run_available_now", "silver_stream",
            "start_bronze", "start_gold_stream", "start_silver",
            "start_silver_table_dedup", "trigger_kwargs"]

@@ -8,6 +8,8 @@ not from extra actions over each micro-batch.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from presslake.operators.messages import to_bronze
 from presslake.operators.silver import project_silver, valid_articles
 from presslake.schemas import BRONZE_SCHEMA
+from presslake.session import ensure_checkpoint_dir
+from presslake.sources.layers import path_exists
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
@@ -99,30 +103,29 @@ def run_available_now(spark: SparkSession, messages: DataFrame, bronze_path: str
     return qb, qs
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per micro-batch ``(query, batch_id, num_input_rows,
-    observed)`` from the query's progress (a few rows per batch)."""
-    rows = []
-    for p in query.recentProgress:
-        obs = {}
-        for name, row in (p.observedMetrics or {}).items():
-            obs[name] = int(row["n"]) if "n" in row else None
-        rows.append((query.name, int(p.batchId), int(p.numInputRows),
-                     obs.get("bronze_rows", obs.get("silver_rows"))))
-    return spark.createDataFrame(rows, "query string, batch_id long, num_input_rows long, observed_rows long")
+SEEN_SCHEMA = "url string, epoch long"
+
+
+def compact_seen(spark: SparkSession, seen_path: str, new_path: str) -> None:
+    """All admitted URLs of a seen table as one epoch (-1) of a new table, for a
+    stream's next start."""
+    (spark.read.schema(SEEN_SCHEMA).parquet(seen_path).select("url").distinct()
+     .withColumn("epoch", F.lit(-1).cast("long")).write.partitionBy("epoch").parquet(new_path))
 
 
 def start_gold_stream(silver: DataFrame, target, checkpoint: str, trigger: str | None = "5 minutes",
                       query_name: str = "gold") -> StreamingQuery:
     """R11 streaming form of the gold job: the one-pass GROUPING SETS count
     kept as complete-mode streaming state (one row per group), and each
-    epoch's result split into the four tables and overwritten through
-    ``foreachBatch`` (the gold tables are small: one row per group)."""
+    epoch's result materialised once, stamped once, and split into the four
+    tables, which ``foreachBatch`` overwrites (one row per group)."""
     from presslake.operators.gold import gold_one_pass, split_gold
     from presslake.sinks.writers import write_gold
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        write_gold(split_gold(batch), target)
+        ensure_checkpoint_dir(batch.sparkSession)
+        now = dt.datetime.now(dt.timezone.utc)
+        write_gold(split_gold(batch.checkpoint(eager=True), run_ts=now), target)
 
     return (gold_one_pass(silver).writeStream.queryName(query_name).outputMode("complete")
             .option("checkpointLocation", checkpoint).foreachBatch(publish)
@@ -142,27 +145,31 @@ def start_silver_table_dedup(bronze: DataFrame, silver_path: str, seen_path: str
     of URLs already admitted (cut down to the batch's keys first), and the
     survivors are appended to silver and to the seen table.
 
-    Exactly once: both writes go to the partition ``epoch=<batch id>`` with
-    dynamic partition overwrite, and earlier attempts of the same epoch are
-    ignored when reading the seen table, so a replayed epoch rewrites the
-    same rows. Silver gains an ``epoch`` partition column.
+    Exactly once: the admitted rows are checkpointed, and both tables are
+    written from them to the partition ``epoch=<batch id>`` with dynamic
+    partition overwrite; earlier attempts of the same epoch are ignored when
+    reading the seen table, so a replayed epoch rewrites the same rows. An epoch
+    that admits nothing writes nothing. Silver gains an ``epoch`` partition
+    column. Only a seen table that is missing while silver is missing too counts as
+    empty; one that cannot be read stops the stream. Its epochs are folders:
+    merge old ones with :func:`compact_seen` while the stream is stopped.
     """
-    from pyspark.errors import AnalysisException
-
     from presslake.operators.silver import new_silver_rows
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            seen = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
-        except AnalysisException:
-            seen = None  # first epoch: nothing seen yet
-        out = project_silver(new_silver_rows(batch, seen, order)).withColumn("epoch", F.lit(epoch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("epoch").parquet(silver_path))
-        admitted = spark.read.parquet(f"{silver_path}/epoch={epoch_id}").select("url")
-        (admitted.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(seen_path))
+        ensure_checkpoint_dir(spark)
+        seen = None
+        if path_exists(spark, seen_path):
+            seen = spark.read.schema(SEEN_SCHEMA).parquet(seen_path).filter(F.col("epoch") < epoch_id).select("url")
+        elif path_exists(spark, silver_path):
+            raise RuntimeError(f"silver at {silver_path} has no seen table at {seen_path}")
+        out = project_silver(new_silver_rows(batch, seen, order)).withColumn("epoch", F.lit(epoch_id).cast("long"))
+        out = out.checkpoint(eager=True)
+        # the seen table first: without it the silver of an epoch would be no reason to stop
+        for rows, path in ((out.select("url", "epoch"), seen_path), (out, silver_path)):
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("epoch").parquet(path))
 
     return (bronze.writeStream.queryName(query_name).option("checkpointLocation", checkpoint)
             .foreachBatch(process).trigger(**trigger_kwargs(trigger)).start())

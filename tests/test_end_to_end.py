@@ -4,7 +4,6 @@
 from pyspark.sql import functions as F
 
 from presslake.jobs import run_gold, run_ingest, run_streaming_once, verify_silver
-from presslake.operators.parallelism import spread_if_narrow
 from presslake.sinks import GoldTarget
 from presslake.sources.messages import read_messages
 from presslake.sources.tables import table
@@ -20,14 +19,16 @@ def test_pages_to_gold(spark, scratch):
                            F.lit("site").alias("source"))
     first = listing.filter(F.col("position") < 10)
     msgs, state = f"{scratch}/msgs", f"{scratch}/state"
-    res = run_ingest(spark, first, pages, msgs, state, "2026-01-01 00:00:00", source="site")
+    res = run_ingest(spark, first, pages, msgs, state, "2026-01-01 00:00:00", source="site",
+                     quarantine_path=f"{scratch}/quarantine")
     n1 = res.articles.count()
     assert n1 == 10
     root = f"{scratch}/lake"
     run_streaming_once(spark, read_messages(spark, msgs), f"{root}/bronze", f"{root}/silver", f"{root}/ck")
     assert spark.read.parquet(f"{root}/silver").count() == 10
     # second increment: everything newer than the mark
-    run_ingest(spark, listing, pages, msgs, state, "2026-01-02 00:00:00", source="site")
+    run_ingest(spark, listing, pages, msgs, state, "2026-01-02 00:00:00", source="site",
+               quarantine_path=f"{scratch}/quarantine")
     run_streaming_once(spark, read_messages(spark, msgs), f"{root}/bronze", f"{root}/silver", f"{root}/ck")
     silver = spark.read.parquet(f"{root}/silver")
     newest_first_run = first.agg(F.max("pub_date")).first()[0]
@@ -41,17 +42,6 @@ def test_pages_to_gold(spark, scratch):
     assert rep.counts.first().n_duplicate_key == 0
 
 
-def test_spread_only_when_narrow(spark):
-    df = spark.read.parquet(f"{SF}/documents.parquet")
-    assert "RoundRobinPartitioning" in spread_if_narrow(df)._jdf.queryExecution().executedPlan().toString()
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")   # input now spans many splits
-        assert "RoundRobinPartitioning" not in spread_if_narrow(df)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-
-
 def test_sitemap_xml_to_ingest(spark, scratch):
     import os
     from xml.sax.saxutils import escape

@@ -5,7 +5,7 @@ import os
 
 from presslake.jobs import run_gold, run_ingest, verify_silver
 from presslake.sinks import GoldTarget
-from presslake.sources.layers import read_state
+from presslake.sources.layers import read_seen, read_state
 from presslake.sources.messages import read_messages
 from presslake.streaming.feeds import batches_to_samples, start_listing_poll
 
@@ -34,10 +34,10 @@ def test_run_ingest_publishes_then_advances(spark, scratch):
     pages = spark.createDataFrame([(1, "https://n/x/a", "<h1>A</h1><p>a</p>"), (2, "https://n/x/b", "<h1>B</h1>")],
                                   "page_id long, url string, html string")
     msgs, state = f"{scratch}/msgs", f"{scratch}/state"
-    run_ingest(spark, listing, pages, msgs, state, "2026-05-19 12:00:00")
+    run_ingest(spark, listing, pages, msgs, state, "2026-05-19 12:00:00", quarantine_path=f"{scratch}/q")
     assert read_messages(spark, msgs, streaming=False).count() == 2
     assert read_state(spark, state).first().last_date == "2026-05-19T11:00:00Z"
-    run_ingest(spark, listing, pages, msgs, state, "2026-05-19 13:00:00")   # nothing new: no-op
+    run_ingest(spark, listing, pages, msgs, state, "2026-05-19 13:00:00", quarantine_path=f"{scratch}/q")   # nothing new: no-op
     assert read_messages(spark, msgs, streaming=False).count() == 2
 
 
@@ -61,3 +61,49 @@ def test_batches_to_samples(spark):
                               "query string, batch_id long, ts timestamp, n long")
     s = batches_to_samples(b).orderBy("ts").collect()
     assert [r.value for r in s] == [3.0, 5.0] and s[0].metric == "news_articles_bronze_total"
+
+
+def _polled(spark, urls):
+    return spark.createDataFrame([(i, u, None, "site") for i, u in enumerate(urls)],
+                                 "position long, loc string, pub_date string, source string")
+
+
+def test_two_polls_take_each_url_once(spark, scratch):
+    pages = spark.createDataFrame([(i, f"https://n/x/{u}", f"<h1>{u}</h1>") for i, u in enumerate("abc")],
+                                  "page_id long, url string, html string")
+    paths = dict(quarantine_path=f"{scratch}/q", seen_path=f"{scratch}/seen", media_filter=True, require_date=False)
+
+    def poll(urls, ts):
+        return run_ingest(spark, _polled(spark, [f"https://n/x/{u}" for u in urls]), pages, f"{scratch}/m", None, ts, **paths)
+    first = poll(["a", "a", "photo.JPG", "gone", "a"], "2026-01-01 00:00:00")
+    assert [r.titre for r in first.articles.collect()] == ["a"]
+    assert [r.url for r in spark.read.parquet(f"{scratch}/q").collect()] == ["https://n/x/gone"]
+    poll(["a", "b", "gone", "b"], "2026-01-01 00:01:00")
+    poll(["a", "b", "gone"], "2026-01-01 00:02:00")
+    assert read_messages(spark, f"{scratch}/m", streaming=False).count() == 2
+    # the failed one counts as seen: it is quarantined once
+    assert spark.read.parquet(f"{scratch}/q").count() == 1
+    assert sorted(r.url for r in read_seen(spark, f"{scratch}/seen").collect()) == [f"https://n/x/{u}" for u in ("a", "b", "gone")]
+
+
+def test_a_run_in_which_all_fails_is_quarantined(spark, scratch):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    listing = spark.createDataFrame([(1, "https://n/x/a", "2026-05-19T10:00:00Z", "s")],
+                                    "position long, loc string, pub_date string, source string")
+    res = run_ingest(spark, listing, pages, f"{scratch}/m", f"{scratch}/st", "2026-05-19 12:00:00", quarantine_path=f"{scratch}/q")
+    assert res.articles.count() == 0 and spark.read.parquet(f"{scratch}/q").first().url == "https://n/x/a"
+    assert not os.path.exists(f"{scratch}/m") and not os.path.exists(f"{scratch}/st")
+
+
+def test_captures_need_an_order(spark):
+    import pytest
+
+    from presslake.operators.incremental import run_incremental
+    listing = _polled(spark, ["https://n/x/a"])
+    pages = spark.createDataFrame([("https://n/x/a", "<h1>A</h1>")], "url string, html string")
+    with pytest.raises(ValueError):
+        run_incremental(listing, pages, require_date=False)
+    null_id = spark.createDataFrame([(None, "https://n/x/a", "<h1>old</h1>"), (5, "https://n/x/a", "<h1>new</h1>"),
+                                     (None, "https://n/x/b", "<h1>only</h1>")], "page_id long, url string, html string")
+    both = run_incremental(_polled(spark, ["https://n/x/a", "https://n/x/b"]), null_id, require_date=False)
+    assert sorted(r.titre for r in both.articles.collect()) == ["new", "only"]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -109,8 +110,36 @@ def test_running_total_and_status(spark):
 
 def test_range_windows_partition_by_series_and_bucket(spark):
     s = _samples(spark, _random_rows(n=20))
-    plan = M.increase(s, "5 minutes")._jdf.queryExecution().executedPlan().toString()
-    assert "_b" in plan and "Window" in plan
+    from tests.test_plans import _assert_windows_are_bucketed
+    for df in (M.increase(s, "5 minutes"), M.increase_at(s, "5 minutes"), M.increase_at(s, "5 minutes", extrapolate=True)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        _assert_windows_are_bucketed(plan)
+        # by (series, bucket): partial aggregates once, samples once; and bucket summaries by series
+        assert plan.count("hashpartitioning(metric#") <= 3
+        assert sum("_b#" in x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)) == 2
+
+
+def test_instant_query_forgets_silent_series(spark):
+    t = "2026-01-01 {}"
+    rows = [("up", "a", "x", t.format("00:00:00"), 1.0), ("up", "b", "x", t.format("00:58:00"), 1.0),
+            ("up", "b", "x", t.format("01:00:00"), 0.0), ("up", "b", "x", t.format("01:00:01"), 5.0),
+            ("up", "c", "x", t.format("00:55:00"), 1.0)]
+    s = _samples(spark, [(m, j, i, pd.Timestamp(ts).to_pydatetime(), v) for m, j, i, ts, v in rows])
+    assert M.sum_latest(s).first().value == 7.0
+    got = {r.job: r.value for r in M.sum_latest(s, by=("job",), at=t.format("01:00:00")).collect()}
+    assert got == {"b": 0.0}                     # a is silent, c is a whole lookback old
+    assert M.sum_latest(s, at=t.format("01:00:00"), lookback="6 minutes").first().value == 1.0
+
+
+def test_running_total_over_buckets(spark):
+    rows = [(layer, b, (b * 7) % 5 + 1) for layer in ("x", "y") for b in range(0, 400, 3)]
+    df = spark.createDataFrame(rows, "layer string, batch_id long, n long")
+    got = {(r.layer, r.batch_id): r.running_total for r in M.running_total(df, bucket=16).collect()}
+    for layer in ("x", "y"):
+        total = 0
+        for _, b, n in sorted(r for r in rows if r[0] == layer):
+            total += n
+            assert got[layer, b] == total
 
 
 def _brute_prom_increase(rows, frame_s):

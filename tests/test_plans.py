@@ -1,5 +1,7 @@
 """Plan shape: pruning, pushdown, no Python in the hot path, shuffle counts."""
 
+import re
+
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.01"
@@ -38,12 +40,18 @@ def test_dedup_is_aggregate_not_window(spark):
     assert "Window" not in p
 
 
+def _assert_windows_are_bucketed(plan):
+    """Each window's partition list (the last but one of its arguments) holds the bucket; only the
+    windows over bucket summaries, one row a bucket, run over a series, ordered by the bucket."""
+    lists = re.findall(r"Window \[.*\], \[([^\[\]]*)\], \[([^\[\]]*)\]", plan)
+    assert lists
+    for keys, order in lists:
+        assert "_b#" in keys or order.startswith("_b#"), (keys, order)
+
+
 def test_metric_windows_are_bucketed(spark):
     p = _plan(E.queries()["metric_increase"](spark, SF))
-    # every window partition is (metric, series, bucket): never a whole series
-    for line in p.split("\n"):
-        if line.strip().startswith("Window") or " Window " in line:
-            assert "_b" in line or "_nb" in line or "lead(_b" in line
+    _assert_windows_are_bucketed(p)
 
 
 def test_extraction_python_helpers_share_one_node(spark):
@@ -55,3 +63,21 @@ def test_title_only_consumer_prunes_author_body_and_python(spark):
     p = _plan(E.queries()["top_categories_pages"](spark, SF))
     assert "ArrowEvalPython" not in p            # no container / byline balancing needed
     assert "_r_body" not in p and "ld+json" not in p
+
+
+def test_single_gold_tables_do_not_expand(spark):
+    for name in ("gold_par_jour", "gold_par_source", "gold_par_source_jour"):
+        assert "Expand" not in _plan(E.queries()[name](spark, SF))
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "plans are built, nothing runs")
+    try:
+        for name in ("incremental_summary", "incremental_unseen", "incremental_hwm", "silver_articles", "extract_articles"):
+            E.queries()[name](spark, SF)
+        # reading a Parquet footer for the schema is the only job a build may start
+        stages = [s for j in seen.getJobIdsForGroup("build-only") for s in seen.getJobInfo(j).stageIds]
+        assert all(seen.getStageInfo(s) is None or seen.getStageInfo(s).numTasks <= 1 for s in stages)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -10,7 +10,7 @@ from presslake.operators.messages import to_bronze
 from presslake.operators.silver import to_silver
 from presslake.schemas import MESSAGE_SCHEMA
 from presslake.sources.messages import read_messages
-from presslake.streaming import bronze_stream, dedup_stream, progress_rows, run_available_now, start_bronze, start_silver
+from presslake.streaming import bronze_stream, dedup_stream, run_available_now, start_bronze, start_silver
 
 T0 = dt.datetime(2026, 5, 19, 12, 0, 0)
 
@@ -50,9 +50,6 @@ def test_bronze_silver_available_now_and_restart(spark, scratch):
     _write_batch(spark, msgs, [_article(10, "u1"), _article(11, "u9")], 100)
     qb2, qs2 = run_available_now(spark, read_messages(spark, msgs), bronze, silver, ck)
     assert sorted(r.url for r in spark.read.parquet(silver).collect()) == ["u1", "u2", "u9"]
-    prog = progress_rows(spark, qb2).collect()
-    assert sum(r.num_input_rows for r in prog) == 2
-    assert sum((r.observed_rows or 0) for r in prog) == 2
 
 
 def test_dedup_modes_and_late_rows(spark, scratch):
@@ -98,32 +95,35 @@ def test_start_bronze_processing_time_trigger_and_stop(spark, scratch):
     assert os.path.isdir(f"{scratch}/s/date_parsed=2026-05-20")
 
 
-def test_batch_count_listener(spark, scratch):
+def test_counts_of_150_micro_batches_are_all_kept(spark, scratch):
     import time
 
-    from presslake.streaming.feeds import BatchCountListener, batches_to_samples
+    from presslake.streaming.feeds import BatchCountListener, batches_to_samples, read_counts
 
-    listener = BatchCountListener()
+    src, n = f"{scratch}/many", 150
+    for i in range(n):
+        os.makedirs(src, exist_ok=True)
+        with open(f"{src}/{i:03d}.json", "w") as f:
+            f.write("".join(json.dumps({"v": k}) + "\n" for k in range(1 + i % 3)))
+    total = sum(1 + i % 3 for i in range(n))
+    listener = BatchCountListener(spark, f"{scratch}/counts", flush_rows=40)
     spark.streams.addListener(listener)
     try:
-        msgs = f"{scratch}/lm"
-        _write_batch(spark, msgs, [_article(0, "u1"), _article(1, "u2")], 0)
-        _write_batch(spark, msgs, [_article(2, "u3")], 10)
-        q = start_bronze(read_messages(spark, msgs, max_files_per_trigger=1), f"{scratch}/lb", f"{scratch}/lck",
-                         trigger="available_now", query_name="bronze")
+        sdf = spark.readStream.schema("v long").option("maxFilesPerTrigger", 1).json(src)
+        q = (sdf.observe("bronze_rows", F.count(F.lit(1)).alias("n")).writeStream.queryName("bronze").format("noop")
+             .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
         q.awaitTermination()
-        deadline = time.time() + 30
-        while sum(r[3] for r in listener.rows) < 3 and time.time() < deadline:
+        deadline = time.time() + 60
+        while time.time() < deadline and not listener._writes:
             time.sleep(0.2)
-        b = listener.to_df(spark)
-        assert sorted(r.n for r in b.collect()) == [1, 2]
-        samples = batches_to_samples(b).collect()
-        assert max(r.value for r in samples) == 3.0
-        drained = listener.drain(spark, f"{scratch}/counts")
-        assert drained.count() == 2 and listener.rows == []
-        assert spark.read.parquet(f"{scratch}/counts").count() == 2
+        time.sleep(2)  # the last progress events
     finally:
         spark.streams.removeListener(listener)
+        listener.close()
+    assert len(q.recentProgress) < n            # Spark itself forgets older batches
+    counts = read_counts(spark, f"{scratch}/counts")
+    assert counts.count() == n and counts.agg(F.sum("n")).first()[0] == total
+    assert batches_to_samples(counts).agg(F.max("value")).first()[0] == total
 
 
 def test_gold_stream_complete_mode(spark, scratch):
@@ -165,3 +165,98 @@ def test_table_dedup_across_batches_with_hot_key(spark, scratch):
     _write_batch(spark, msgs, [_article(100, "hot"), _article(101, "u2")], 200)
     run_available_now(spark, read_messages(spark, msgs), bronze, f"{scratch}/unused_silver", ck)
     assert run() == ["hot", "u1", "u2"]                            # hot not admitted twice
+
+
+def _table_dedup(spark, scratch, bronze):
+    from presslake.streaming import start_silver_table_dedup
+    q = start_silver_table_dedup(bronze_stream(spark, bronze), f"{scratch}/ts", f"{scratch}/seen", f"{scratch}/tsck",
+                                 trigger="available_now")
+    q.awaitTermination()
+    return sorted(r.url for r in spark.read.parquet(f"{scratch}/ts").collect())
+
+
+def _to_bronze(spark, folder, payloads, name):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.json", "w") as f:
+        f.write("".join(p + "\n" for p in payloads))
+
+
+def test_table_dedup_survives_batches_that_admit_nothing(spark, scratch):
+    bronze = f"{scratch}/b"
+    _to_bronze(spark, bronze, [_article(1, "u1"), _article(2, "u2")], "a")
+    assert _table_dedup(spark, scratch, bronze) == ["u1", "u2"]
+    _to_bronze(spark, bronze, [_article(3, "u1"), _article(4, "u2")], "b")           # only known urls
+    assert _table_dedup(spark, scratch, bronze) == ["u1", "u2"]
+    _to_bronze(spark, bronze, [_article(5, "u3", titre=None), "{}"], "c")            # only invalid rows
+    assert _table_dedup(spark, scratch, bronze) == ["u1", "u2"]
+    _to_bronze(spark, bronze, [_article(6, "u2"), _article(7, "u4")], "d")
+    assert _table_dedup(spark, scratch, bronze) == ["u1", "u2", "u4"]
+
+
+def test_table_dedup_first_batch_may_admit_nothing(spark, scratch):
+    bronze = f"{scratch}/b"
+    _to_bronze(spark, bronze, ["{}"], "a")
+    _to_bronze(spark, bronze, ["{}"], "b")
+    from presslake.streaming import start_silver_table_dedup
+    start_silver_table_dedup(bronze_stream(spark, bronze), f"{scratch}/ts", f"{scratch}/seen", f"{scratch}/tsck",
+                             trigger="available_now").awaitTermination()
+    _to_bronze(spark, bronze, [_article(1, "u1")], "c")
+    assert _table_dedup(spark, scratch, bronze) == ["u1"]
+
+
+def test_table_dedup_replayed_epoch_writes_the_same_rows(spark, scratch):
+    bronze = f"{scratch}/b"
+    _to_bronze(spark, bronze, [_article(1, "u1")], "a")
+    assert _table_dedup(spark, scratch, bronze) == ["u1"]
+    _to_bronze(spark, bronze, [_article(2, "u1"), _article(3, "u2")], "b")
+    assert _table_dedup(spark, scratch, bronze) == ["u1", "u2"]
+    # the batch ran but its commit was lost: the restart runs the epoch again
+    commits = sorted(x for x in os.listdir(f"{scratch}/tsck/commits") if x.isdigit())
+    for x in (commits[-1], f".{commits[-1]}.crc"):
+        os.remove(f"{scratch}/tsck/commits/{x}")
+    assert _table_dedup(spark, scratch, bronze) == ["u1", "u2"]
+    assert spark.read.parquet(f"{scratch}/seen").count() == 2
+
+
+def test_unreadable_seen_table_stops_the_stream(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    bronze = f"{scratch}/b"
+    _to_bronze(spark, bronze, [_article(1, "u1")], "a")
+    assert _table_dedup(spark, scratch, bronze) == ["u1"]
+    _to_bronze(spark, bronze, [_article(2, "u1")], "b")
+    os.rename(f"{scratch}/seen", f"{scratch}/gone")                                  # missing, but silver is there
+    with pytest.raises(StreamingQueryException):
+        _table_dedup(spark, scratch, bronze)
+    os.makedirs(f"{scratch}/seen/epoch=0")
+    with open(f"{scratch}/seen/epoch=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(StreamingQueryException):
+        _table_dedup(spark, scratch, bronze)
+    assert spark.read.parquet(f"{scratch}/ts").count() == 1
+
+
+def test_compacted_seen_table_serves_the_next_start(spark, scratch):
+    from presslake.streaming import compact_seen, start_silver_table_dedup
+    bronze = f"{scratch}/b"
+    _to_bronze(spark, bronze, [_article(1, "u1")], "a")
+    _table_dedup(spark, scratch, bronze)
+    _to_bronze(spark, bronze, [_article(2, "u2")], "b")
+    _table_dedup(spark, scratch, bronze)
+    compact_seen(spark, f"{scratch}/seen", f"{scratch}/seen2")
+    assert os.listdir(f"{scratch}/seen2") and spark.read.parquet(f"{scratch}/seen2").select("epoch").distinct().count() == 1
+    _to_bronze(spark, bronze, [_article(3, "u1"), _article(4, "u3")], "c")
+    start_silver_table_dedup(bronze_stream(spark, bronze), f"{scratch}/ts", f"{scratch}/seen2", f"{scratch}/tsck",
+                             trigger="available_now").awaitTermination()
+    assert sorted(r.url for r in spark.read.parquet(f"{scratch}/ts").collect()) == ["u1", "u2", "u3"]
+
+
+def test_gold_stream_writes_one_stamp(spark, scratch):
+    from presslake.sinks import GoldTarget
+    from presslake.streaming import start_gold_stream
+    schema = "url string, date_parsed date, source string, categorie_clean string"
+    spark.createDataFrame([("u1", dt.date(2026, 1, 1), "S1", "a"), ("u2", None, "S2", "b")], schema).write.parquet(f"{scratch}/in")
+    start_gold_stream(spark.readStream.schema(schema).parquet(f"{scratch}/in"), GoldTarget(kind="parquet", path=f"{scratch}/g"),
+                      f"{scratch}/ck", trigger="available_now").awaitTermination()
+    stamps = {r.processing_time for t in os.listdir(f"{scratch}/g") for r in spark.read.parquet(f"{scratch}/g/{t}").collect()}
+    assert len(stamps) == 1

@@ -109,3 +109,13 @@ def test_decode_parser_grammar(spark):
     vals = ["&amp &lt &copy 2026", "&#8217 and &#x2019", "&notit; &ampx", "Q&A and AT&T", "&#0000065;",
             "&#99999999999; &#x1234567;", "&&&; &;", "a & b", "&amp;amp &eacute", "&LT &GT; &NotEqualTilde;"]
     assert _run(spark, vals, decode_entities) == [html.unescape(v) for v in vals]
+
+
+def test_rules_apply_to_columns_of_two_frames_and_sessions(spark):
+    from presslake.functions.html import paragraphs
+    from presslake.functions.text import decode_entities, html_text
+    other = spark.newSession()
+    frames = [s.createDataFrame([(f"<p>a &amp; {k}</p>",)], "html string") for k, s in enumerate((spark, spark, other))]
+    for k, df in enumerate(frames):
+        row = df.select(html_text(df["html"]).alias("t"), decode_entities(df["html"]).alias("d"), paragraphs(df["html"]).alias("p")).first()
+        assert (row.t, row.d, row.p) == (f"a & {k}", f"<p>a & {k}</p>", [f"a & {k}"])
