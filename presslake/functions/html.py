@@ -16,7 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslake.functions.text import decode_entities, html_text, let, strip_tags_ws, strip_ws
+from presslake.functions.text import (ATTR_VALUE_RE, ATTRS_RE, NODE, decode_entities, html_text, let, mark_tags,
+                                      strip_ws)
 
 _TAGNAME = r"[A-Za-z][A-Za-z0-9]*"
 
@@ -25,91 +26,94 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _attr_value(value: str) -> str:
-    """Regex for a quoted attribute value equal to ``value`` (case-sensitive)."""
-    v = re.escape(value)
-    return r"""(?:"(?-i:""" + v + r""")"|'(?-i:""" + v + r""")')"""
+def _value_eq(value: str) -> str:
+    """Regex for an attribute value equal to ``value`` (case-sensitive), quoted or not."""
+    v = "(?-i:" + re.escape(value) + ")"
+    return r"""(?:"VV"|'VV'|VV(?=[\s>]))""".replace("VV", v)
 
 
 def attr_eq(attr: str, value: str) -> str:
-    """Start-tag fragment: attribute ``attr`` equals ``value``."""
-    return r"\s" + re.escape(attr) + r"\s*=\s*" + _attr_value(value)
+    """Start-tag condition: attribute ``attr`` equals ``value``."""
+    return re.escape(attr) + r"\s*=\s*" + _value_eq(value)
 
 
 def class_has(token: str) -> str:
-    """Start-tag fragment: the class list contains ``token``."""
-    t = re.escape(token)
-    return (r"""\sclass\s*=\s*(?:"(?:[^"]*\s)?(?-i:""" + t + r""")(?:\s[^"]*)?"|'(?:[^']*\s)?(?-i:"""
-            + t + r""")(?:\s[^']*)?')""")
+    """Start-tag condition: the class list contains ``token``."""
+    return r"""class\s*=\s*(?:"(?:[^"]*\s)?TT(?:\s[^"]*)?"|'(?:[^']*\s)?TT(?:\s[^']*)?'|TT(?=[\s>]))""".replace(
+        "TT", "(?-i:" + re.escape(token) + ")")
 
 
 def class_contains(text: str, case_insensitive: bool = False) -> str:
-    """Start-tag fragment: the class attribute contains ``text`` as a substring."""
-    t = re.escape(text)
-    core = t if case_insensitive else "(?-i:" + t + ")"
-    return r"""\sclass\s*=\s*(?:"[^"]*""" + core + r"""[^"]*"|'[^']*""" + core + r"""[^']*')"""
+    """Start-tag condition: the class attribute contains ``text`` as a substring."""
+    core = re.escape(text) if case_insensitive else "(?-i:" + re.escape(text) + ")"
+    return r"""class\s*=\s*(?:"[^"]*CC[^"]*"|'[^']*CC[^']*'|[^\s"'>]*CC[^\s>]*)""".replace("CC", core)
 
 
 def start_tag(tag: str | None, cond: str = "") -> str:
-    """Regex for a start tag named ``tag`` (any tag if None) satisfying ``cond``."""
+    """Regex for a start tag named ``tag`` (any tag if None; group 1 is the name), with
+    an attribute that satisfies ``cond``.
+
+    Quotes count only after "=": a quoted ">" does not end the tag, and a
+    condition never matches inside another attribute's value.
+    """
     name = re.escape(tag) if tag else _TAGNAME
     if not cond:
-        return r"(?is)<(" + name + r")(?:[\s/][^>]*)?>"
-    return r"(?is)<(" + name + r")(?:\s[^>]*)?" + cond + r"[^>]*>"
+        return r"(?is)<(" + name + r")(?=[\s/>])" + ATTRS_RE + ">"
+    before = r"(?:(?!\s+" + cond + r")(?:\s|[^>=\s]++|=\s*+" + ATTR_VALUE_RE + r"?+))*+"
+    return r"(?is)<(" + name + r")(?=[\s/])" + before + r"\s++" + cond + ATTRS_RE + ">"
 
 
 @dataclass(frozen=True)
 class Selector:
     """An element test: optional tag name + one start-tag condition.
 
-    ``within`` is an optional condition an earlier start tag must satisfy
-    (a descendant selector such as ``[a=b] .c``; containment is approximated
-    by document order).
+    ``within`` is an optional condition that an enclosing element must satisfy
+    (a descendant selector such as ``[a=b] .c``).
     """
     tag: str | None
     cond: str
     within: str | None = None
     guard: str | None = None     # literal that must occur in the page for a match
 
-    def pattern(self) -> tuple[str, int]:
-        """(regex, group number of the element's tag name)."""
-        body = start_tag(self.tag, self.cond)[len("(?is)"):]
-        if self.within:
-            outer = start_tag(None, self.within)[len("(?is)"):]
-            return "(?is)" + outer + r".*?" + body, 2
-        return "(?is)" + body, 1
+    def pattern(self) -> str:
+        """Regex of the element's start tag; group 1 is its name."""
+        return start_tag(self.tag, self.cond)
 
 
 def element(html, sel: Selector, finish: bool = True) -> tuple[Column, Column]:
     """(exists, text) of the first element matching ``sel``.
 
-    The element normally ends at the first closing tag of its name; when
-    that span contains another start tag of the same name, the page goes
-    to :func:`balanced_element` (an Arrow-batched helper that balances the
-    tags) and all other pages pass it NULL. An element without a closing
-    tag has empty text.
+    Existence and text come from one match: the element's text runs to the
+    first closing tag of its name, or is empty if there is none (a void
+    element). When that span contains another start tag of the same name, the
+    page goes to :func:`balanced_element` (an Arrow-batched helper that balances the
+    tags) and all other pages pass it NULL. For a descendant selector the
+    helper :func:`inner_html` gives the inside of the enclosing elements first.
     """
     html = _c(html)
-    pat, name_group = sel.pattern()
-    exists = html.rlike(pat)
+    if sel.within:
+        html = inner_html(html, start_tag(None, sel.within), sel.guard)
+    pat = sel.pattern()
+    exists = F.coalesce(html.rlike(pat), F.lit(False))
     if sel.guard:
         # a byte search on the UTF-8 page skips the regex on pages that
         # cannot match (And short-circuits)
-        exists = (F.instr(html, sel.guard) > 0) & exists
-    full = pat + r"(.*?)</\%d\s*>" % name_group
-    lazy = F.regexp_extract(html, full, name_group + 1)
-    name = F.lower(F.regexp_extract(html, full, name_group))
+        exists = F.coalesce(F.instr(html, sel.guard) > 0, F.lit(False)) & exists
+    # the optional tail keeps the match at the first start tag, closed or not
+    full = pat + r"(?:(.*?)</\1\s*>)?"
+    lazy = F.regexp_extract(html, full, 2)
+    name = F.lower(F.regexp_extract(html, pat, 1))
     nested = exists & (F.instr(F.lower(lazy), F.concat(F.lit("<"), name)) > 0)
     inner = F.coalesce(balanced_element(sel)(F.when(nested, html)), lazy)
-    return exists, (html_text(inner) if finish else strip_tags_ws(inner))
+    return exists, (html_text(inner) if finish else mark_tags(inner))
 
 
 def balanced_element(sel: Selector):
     """Pandas UDF: inner html of the first element matching ``sel``, with
     nested same-name tags balanced (NULL when unclosed). Self-contained, so
     it is shipped by value."""
-    pat, name_group = sel.pattern()
-    py_pat = pat[len("(?is)"):]
+    py_pat = sel.pattern()[len("(?is)"):]
+    attrs = ATTRS_RE
 
     @F.pandas_udf(T.StringType())
     def _balanced(s: pd.Series) -> pd.Series:
@@ -123,7 +127,7 @@ def balanced_element(sel: Selector):
             m = start_re.search(h)
             if not m:
                 return None
-            tok = _re.compile(r"<(/?)" + _re.escape(m.group(name_group)) + r"(?=[\s/>])[^>]*>", _re.I)
+            tok = _re.compile(r"<(/?)" + _re.escape(m.group(1)) + r"(?=[\s/>])" + attrs + ">", _re.I)
             depth, pos = 1, m.end()
             for t in tok.finditer(h, pos):
                 if t.group(1):
@@ -144,9 +148,9 @@ def balanced_element(sel: Selector):
 # Content a parser never reads as markup: script and style bodies and
 # comments (an unclosed one runs to the end of the page, as in a parser).
 HIDDEN_RE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
-META_TAG_RE = r"(?is)<meta(?:\s[^>]*)?>"
-H1_RE = r"(?is)<h1(?:\s[^>]*)?>(.*?)(?:</h1\s*>|\z)"
-TIME_TAG_RE = r"(?is)<time(?:[\s/][^>]*)?>"
+META_TAG_RE = start_tag("meta")
+H1_RE = start_tag("h1") + r"(.*?)(?:</h1\s*>|\z)"
+TIME_TAG_RE = start_tag("time")
 
 
 @dataclass(frozen=True)
@@ -164,8 +168,8 @@ class Parts:
 
 
 def visible_html(html) -> Column:
-    """The page without script/style bodies and comments."""
-    return F.regexp_replace(_c(html), HIDDEN_RE, "")
+    """The page without script/style bodies and comments; a text node ends where one stood."""
+    return F.regexp_replace(_c(html), HIDDEN_RE, NODE)
 
 
 def part_exprs(html, visible) -> dict[str, Column]:
@@ -174,7 +178,7 @@ def part_exprs(html, visible) -> dict[str, Column]:
         "_p_metas": F.regexp_extract_all(visible, F.lit(META_TAG_RE), 0),
         "_p_h1": F.regexp_extract(visible, H1_RE, 0),
         "_p_time": F.regexp_extract(visible, TIME_TAG_RE, 0),
-        "_p_ld": F.regexp_extract_all(html, F.lit(LD_SCRIPT_RE), 1),
+        "_p_ld": F.regexp_extract_all(html, F.lit(LD_SCRIPT_RE), 2),
     }
 
 
@@ -192,14 +196,14 @@ def column_parts() -> Parts:
 
 def title_of(parts: Parts) -> tuple[Column, Column]:
     """(exists, inner html) of the first ``<h1>``; unclosed runs to the end."""
-    return parts.h1 != "", F.regexp_extract(parts.h1, H1_RE, 1)
+    return parts.h1 != "", F.regexp_extract(parts.h1, H1_RE, 2)
 
 
 def meta_of(parts: Parts, attr: str, value: str, content_attr: str = "content",
             decode: bool = True) -> tuple[Column, Column]:
     """(exists, content) of the first ``<meta attr="value">``; ``decode=False``
     leaves character references for a single decode after a choice."""
-    cond = "(?is)" + attr_eq(attr, value)
+    cond = start_tag("meta", attr_eq(attr, value))
     tag = F.get(F.filter(parts.metas, lambda m: m.rlike(cond)), 0)
     return tag.isNotNull(), _attr_of(F.coalesce(tag, F.lit("")), content_attr, decode)
 
@@ -219,9 +223,10 @@ def ld_first_date_of(parts: Parts) -> Column:
 
 def _attr_of(tag_text: Column, attr: str, decode: bool = True) -> Column:
     """Value of ``attr`` in one start tag ('' when absent), entities decoded."""
-    a = re.escape(attr)
-    pat = r"""(?is)\s""" + a + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    raw = let(tag_text, lambda t: F.concat(F.regexp_extract(t, pat, 1), F.regexp_extract(t, pat, 2)))
+    a = re.escape(attr) + r"\s*="
+    before = r"(?:(?!\s+" + a + r")(?:\s|[^>=\s]++|=\s*+" + ATTR_VALUE_RE + r"?+))*+"
+    pat = r"(?is)^<" + _TAGNAME + before + r"""\s++""" + a + r"""\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+    raw = let(tag_text, lambda t: F.concat(*[F.regexp_extract(t, pat, k) for k in (1, 2, 3)]))
     return decode_entities(raw) if decode else raw
 
 
@@ -237,8 +242,7 @@ def first_existing(pairs: list[tuple[Column, Column]], otherwise: Column | None
 
 # ---------------------------------------------------------------- JSON-LD
 
-LD_SCRIPT_RE = (r"""(?is)<script(?:\s[^>]*)?\stype\s*=\s*(?:"application/ld\+json"|'application/ld\+json')"""
-                r"""[^>]*>(.*?)</script\s*>""")
+LD_SCRIPT_RE = start_tag("script", attr_eq("type", "application/ld+json")) + r"(.*?)</script\s*>"
 
 _MAP = T.MapType(T.StringType(), T.StringType())
 _MAP_LIST = T.ArrayType(_MAP)
@@ -248,8 +252,8 @@ _NAMED_LIST = T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))
 def ld_author(script: Column, default: str) -> Column:
     """Author from one JSON-LD document.
 
-    A list document uses its first element. ``author`` as a list gives the
-    non-empty names joined by ", "; as an object, its ``name`` (NULL when
+    A list document uses its first element. ``author`` as a list of objects gives the
+    non-empty names joined by ", " (a list that holds anything else gives ``default``); as an object, its ``name`` (NULL when
     missing; a missing ``author`` behaves like an empty object); any other
     shape, an unparsable script or a non-object document gives ``default``.
     """
@@ -261,7 +265,8 @@ def ld_author(script: Column, default: str) -> Column:
                      lambda x: x.isNotNull() & (x != ""))
     value = (F.when(author.isNull(), F.lit(None).cast("string"))
              .when(author.startswith("{"), F.get_json_object(author, "$.name"))
-             .when(author.startswith("["), F.array_join(names, ", "))
+             .when(author.startswith("["), F.when(F.forall(F.from_json(author, "array<string>"), lambda x: F.coalesce(
+                 strip_ws(x).startswith("{"), F.lit(False))), F.array_join(names, ", ")).otherwise(F.lit(default)))
              .otherwise(F.lit(default)))
     return F.when(doc_ok, value).otherwise(F.lit(default))
 
@@ -285,7 +290,7 @@ def ld_date(script: Column) -> Column:
 
 # ---------------------------------------------------------------- paragraphs
 
-P_START_RE = r"(?i)<p(?:\s[^>]*)?>"
+P_START_RE = start_tag("p")
 # End tags that close an open paragraph (its own, or that of a
 # block element that can contain it).
 P_CLOSERS = ["p", "article", "div", "section", "main", "body", "html", "td", "th", "tr", "table",
@@ -311,7 +316,7 @@ def paragraph_raws(html) -> Column:
     the ends stripped (for a single decode pass over all of a page's text)."""
     pieces = F.split(_c(html), P_START_RE, -1)
     body = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.transform(body, lambda x: strip_tags_ws(F.regexp_replace(x, P_END_RE, "")))
+    return F.transform(body, lambda x: mark_tags(F.regexp_replace(x, P_END_RE, "")))
 
 
 def body_text(html, container: Column | None = None) -> Column:
@@ -329,16 +334,17 @@ def body_text(html, container: Column | None = None) -> Column:
 # on pages that mention the container class (others pass NULL through). The
 # helper is fully nested so it is shipped by value: executors need nothing
 # but the standard library and pandas.
-def container_html(html, class_token: str) -> Column:
-    """Inner html of every ``<div class~=class_token>`` (outermost, balanced)."""
-    start_pattern = start_tag("div", class_has(class_token))[len("(?is)"):]
+def inner_html(html, start_pattern: str, guard: str | None) -> Column:
+    """Inner html of every outermost element whose start tag matches ``start_pattern``
+    (group 1 its name), tags balanced, joined; NULL without one. Pages
+    without the literal ``guard`` pass NULL through."""
+    py_pat, attrs, border = start_pattern[len("(?is)"):], ATTRS_RE, NODE
 
     @F.pandas_udf(T.StringType())
-    def _containers(s: pd.Series) -> pd.Series:
+    def _inner(s: pd.Series) -> pd.Series:
         import re as _re
 
-        start_re = _re.compile(start_pattern, _re.I | _re.S)
-        div_token = _re.compile(r"<(/?)div(?:[\s/][^>]*)?>", _re.I)
+        start_re = _re.compile(py_pat, _re.I | _re.S)
 
         def inner_of(h):
             if h is None:
@@ -348,20 +354,26 @@ def container_html(html, class_token: str) -> Column:
                 m = start_re.search(h, pos)
                 if not m:
                     break
+                token = _re.compile(r"<(/?)" + _re.escape(m.group(1)) + r"(?=[\s/>])" + attrs + ">", _re.I)
                 depth, end = 1, len(h)
-                for t in div_token.finditer(h, m.end()):
+                for t in token.finditer(h, m.end()):
                     depth += -1 if t.group(1) else 1
                     if depth == 0:
                         end = t.start()
                         break
                 out.append(h[m.end():end])
                 pos = end
-            return "".join(out) if out else None
+            return border.join(out) if out else None
 
         return s.map(inner_of)
 
     html = _c(html)
-    return _containers(F.when(F.instr(html, class_token) > 0, html))
+    return _inner(html if guard is None else F.when(F.instr(html, guard) > 0, html))
+
+
+def container_html(html, class_token: str) -> Column:
+    """Inner html of every ``<div class~=class_token>`` (outermost, balanced)."""
+    return inner_html(html, start_tag("div", class_has(class_token)), class_token)
 
 
 def with_parts(df, html: str = "html"):

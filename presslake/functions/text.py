@@ -195,18 +195,32 @@ def decode_entities(c) -> Column:
     return let(c, _decode_value)
 
 
-def strip_tags_ws(c) -> Column:
-    """Remove tags and the whitespace touching them (first half of :func:`html_text`)."""
-    return F.regexp_replace(_c(c), "[" + WS + "]*<[^>]*>[" + WS + "]*", "")
+# A start or end tag, a declaration or a comment: quotes count only after "=", so
+# a ">" inside a quoted attribute does not end the tag.
+ATTR_VALUE_RE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+ATTRS_RE = r"(?:[^>=]++|=\s*+" + ATTR_VALUE_RE + r"?+)*+"
+MARKUP_RE = r"(?s)<!--.*?(?:-->|\z)|<[A-Za-z/!?]" + ATTRS_RE + ">"
+# Stands for markup between text nodes: a code point that no text holds (not a character).
+NODE = "\ufdd0"
+
+
+def mark_tags(c) -> Column:
+    """An HTML fragment with each tag and comment replaced by a node border (first step of :func:`html_text`)."""
+    return F.regexp_replace(_c(c), MARKUP_RE, NODE)
+
+
+def join_nodes(c) -> Column:
+    """Text nodes stripped and joined by "" (last step of :func:`html_text`)."""
+    return strip_ws(F.regexp_replace(_c(c), "[" + WS + "]*" + NODE + "[" + WS + "]*", ""))
 
 
 def html_text(c) -> Column:
-    """Text of an HTML fragment: each text node stripped, nodes joined by "".
+    """Text of an HTML fragment: each text node decoded, then stripped; nodes joined by "".
 
-    Tags (and the whitespace touching them) are removed, basic entities are
-    decoded after tag removal so decoded ``<`` is never mistaken for a tag.
+    Markup becomes a border first, so a decoded ``<`` is never mistaken for a
+    tag, and white space that a reference stands for is stripped like any other.
     """
-    return strip_ws(decode_entities(strip_tags_ws(c)))
+    return join_nodes(decode_entities(mark_tags(c)))
 
 
 def preview(c, n: int = 60) -> Column:

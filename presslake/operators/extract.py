@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from presslake.functions import html as H
 from presslake.functions.dates import normalize_date, now_text
 from presslake.functions.scalars import split_part, url_host
-from presslake.functions.text import decode_entities, decode_value, html_text, let, strip_tags_ws, strip_ws
+from presslake.functions.text import decode_entities, decode_value, html_text, join_nodes, let
 from presslake.schemas import ARTICLE_FIELDS  # noqa: F401  (the article record, re-exported)
 
 
@@ -142,7 +142,7 @@ def author_choice(html: Column, profile: Profile, parts: H.Parts | None = None)
 
 
 def _author_finish(kind: Column, raw: Column, decoded: Column) -> Column:
-    return F.when(kind == 2, strip_ws(decoded)).when(kind == 1, decoded).otherwise(raw)
+    return F.when(kind == 2, join_nodes(decoded)).when(kind == 1, decoded).otherwise(raw)
 
 
 def author_expr(html: Column, profile: Profile, parts: H.Parts | None = None) -> Column:
@@ -269,7 +269,7 @@ def _stage_columns(profile: Profile, source: str | None, as_of: str | None, with
         "auteur": _author_finish(author.getField("k"), author.getField("v"), F.get(d, 0)),
         "date_publication": _finish_date(F.coalesce(F.get(d, 1), F.col("_r_ld_date")), profile, as_of),
         "categorie": category_expr(url, profile),
-        "contenu": F.array_join(F.transform(F.slice(d, 3, F.size(d) - 2), strip_ws), " "),
+        "contenu": F.array_join(F.transform(F.slice(d, 3, F.size(d) - 2), join_nodes), " "),
         "source": F.lit(source) if source is not None else url_host(url),
         "url": url,
     }

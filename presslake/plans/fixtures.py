@@ -26,14 +26,15 @@ def date_text_of(id_col: str) -> str:
 # ---------------------------------------------------------------- pages + head
 
 def page_head(id_col: str = "page_id") -> str:
-    """Head fragment injected before a page, one of eight shapes (meta,
-    selector, JSON-LD object / list / @graph, malformed script, none)."""
+    """Head fragment injected before a page, one of sixteen shapes: metas,
+    selectors, JSON-LD object / list / @graph, malformed script, none, and what a
+    parser reads otherwise than a plain search does."""
     i = id_col
     iso = iso_of(i)
     n = f"cast({i} as string)"
     ld = """<script type="application/ld+json">"""
     return (
-        f"CASE {i} % 8 "
+        f"CASE {i} % 16 "
         f"WHEN 0 THEN concat('<meta name=\"author\" content=\"Auth &amp; Co ', {n}, '\">"
         f"<meta property=\"article:published_time\" content=\"', {iso}, '\">') "
         f"WHEN 1 THEN concat('<meta name=\"author\" content=\"\"><span class=\"byline article-author-name\">  Writer ', "
@@ -48,8 +49,28 @@ def page_head(id_col: str = "page_id") -> str:
         f"'\"}}</script><div data-testid=\"article-author\"><b>Jane</b> Doe ', {n}, "
         f"'</div><meta name=\"pubdate\" content=\"2024-02-', lpad(cast(1 + {i} % 28 as string), 2, '0'), '\">') "
         f"WHEN 6 THEN '' "
-        f"ELSE concat('<span class=\"x ArticleAuthor y\">Spaced Name</span><meta name=\"DC.date.issued\" content=\"', "
-        f"replace({iso}, 'T', ' '), '\">') END"
+        f"WHEN 7 THEN concat('<span class=\"x ArticleAuthor y\">Spaced Name</span><meta name=\"DC.date.issued\" content=\"', "
+        f"replace({iso}, 'T', ' '), '\">') "
+        # a no-break space beside a tag, a comment inside a text, a reference that stands for a tag
+        f"WHEN 8 THEN concat('<h1>Head&nbsp;<b>', {n}, '</b> <!-- note -->&lt;i&gt;x</h1><p>one&nbsp;<i> two</i><!-- c --> three</p>"
+        f"<span class=\"author-link byline__name\">By <!-- -->Jane&#160;</span>') "
+        # unquoted attributes
+        f"WHEN 9 THEN concat('<meta name=author content=Unquoted', {n}, '><meta property=article:published_time content=', {iso}, '>"
+        f"<script type=application/ld+json>{{\"author\":\"x\"}}</script>') "
+        # a > inside a quoted attribute
+        f"WHEN 10 THEN concat('<h1 data-x=\"a>b\">Title</h1><meta title=\"2>1\" name=\"author\" content=\"Greater > ', {n}, '\">"
+        f"<p title=\"3>2\">para</p><meta itemprop=\"datePublished\" title=''>'' content=\"', {iso}, '\">') "
+        # a void element with an author class
+        f"WHEN 11 THEN '<img class=\"author-link byline__name\" src=\"x\"><div class=\"author-link byline__name\">WRONG</div>' "
+        # a byline outside and one inside its component
+        f"WHEN 12 THEN concat('<aside class=\"byline__name\">Outside</aside><section data-component-name=\"byline\"><i class=\"x byline__name\">"
+        f"Inside ', {n}, '</i></section><a class=byline__name>After</a>') "
+        # authors that are not objects
+        f"WHEN 13 THEN '{ld}{{\"author\":[\"Jane\",\"Bob\"]}}</script>' "
+        f"WHEN 14 THEN '{ld}{{\"author\":[{{\"name\":\"A\"}},\"Bob\"]}}</script>' "
+        # a content container
+        f"ELSE concat('<p>before</p><div class=\"x article__content\"><p>In&nbsp;<i> box</i></p><p class=q>two ', {n}, '</p></div>"
+        f"<span class=''story AUTHOR-name''>Case</span>') END"
     )
 
 

@@ -1,28 +1,51 @@
 """Independent DuckDB SQL for every named query.
 
-Built from the same fixture SQL (so both engines start from identical
-rows) and the same regular-expression texts (valid in Java regex and RE2),
-but every computation is re-expressed with DuckDB's own functions:
-windows with QUALIFY, GROUPING SETS, RE2 regexes, JSON functions.
+Built from the same fixture SQL (so both engines start from identical rows), but
+every computation is re-expressed with DuckDB's own functions: windows with
+QUALIFY, GROUPING SETS, RE2 regexes, JSON functions. The rules for text and pages are
+spelled here a second time, from their definitions: nothing of
+``presslake.functions`` or of the extraction profiles is imported, and a page is
+read as a list of start tags with parsed attributes.
 """
 
 from __future__ import annotations
 
+import html.entities
 import itertools
 
-from presslake.functions import html as H
-from presslake.functions.dates import NORM_RE
-from presslake.functions.text import (CP1252_C1, DROP_RE, EDGE_WS_RE, ENTITY_RE, NAMED_ENTITIES, TAG_RE, WS,
-                                     WS_RUN_RE)
-from presslake.operators import extract as X
 from presslake.operators.listing import MEDIA_MARKERS
 from presslake.operators.metrics import STEPS_CPU
 from presslake.plans import fixtures as FX
 
-# Tags whose element text the selector oracle can read (RE2 has no
-# backreferences, so the closing tag is spelled out per name).
-_TEXT_TAGS = ["div", "span", "a", "p", "b", "strong", "em", "i", "li", "h2", "h3", "h4", "h5", "h6",
-              "section", "header", "footer", "address", "small", "time", "figcaption"]
+# The cleaning rule's tag, the characters it keeps, and white space as str.strip sees it.
+SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
+TAG = "<[^>]+>"
+DROPPED = r"[^\p{L}\p{N}_" + SPACE + r"\x{C0}-\x{17F}.,!?\-'\"]"
+# A character reference; its names; bytes 0x80-0x9F of a numeric one.
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+NAMES = html.entities.html5
+C1 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+# Fixed value: a date and a time of day with T or white space between.
+ISO_TEXT = r"(\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2})[T" + SPACE + r"](\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2})"
+# Markup as a parser sees it: attribute values quoted or not.
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+ATTRS = rf"(?:[^>=]|=\s*{VALUE}?)*"
+MARKUP = rf"(?s)<!--.*?(?:-->|\z)|<[A-Za-z/!?]{ATTRS}>"
+START = rf"<[A-Za-z][A-Za-z0-9]*(?:[\s/]{ATTRS})?>"
+HIDDEN = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
+CLOSES_P = ["p", "article", "div", "section", "main", "body", "html", "td", "th", "tr", "table", "li", "ul", "ol",
+            "blockquote", "form", "header", "footer", "aside", "nav"]
+# Each site profile's author selectors (what is tested, on which attribute), date metas and defaults.
+SITE3 = {"title": "", "elements": [("token", "class", "article-author-name"), ("token", "class", "author-link"),
+                                   ("token", "class", "article__author-name"), ("part", "class", "ArticleAuthor"),
+                                   ("equal", "data-testid", "article-author")],
+         "ld": True, "metas": [("property", "article:published_time"), ("itemprop", "datePublished"), ("name", "pubdate"),
+                               ("name", "DC.date.issued")], "normalize": True}
+SITE6 = {"title": "Sans titre", "elements": [("inside", "byline__name", "byline"), ("token", "class", "byline__name"),
+                                             ("token", "class", "headline__sub-description"), ("part", "class", "byline"),
+                                             ("span", "class", "author"), ("equal", "data-testid", "byline")],
+         "ld": False, "metas": [("itemprop", "datePublished"), ("property", "article:published_time")], "normalize": False}
+NOBODY, CONTAINER = "Anonyme", "article__content"
 
 
 def lit(s: str) -> str:
@@ -40,13 +63,13 @@ def d_let(x: str, body) -> str:
 
 
 def d_clean(x: str) -> str:
-    out = f"regexp_replace({x}, {lit(TAG_RE)}, '', 'g')"
-    out = f"regexp_replace({out}, {lit(DROP_RE)}, ' ', 'g')"
-    out = f"regexp_replace({out}, {lit(WS_RUN_RE)}, ' ', 'g')"
+    out = f"regexp_replace({x}, {lit(TAG)}, '', 'g')"
+    out = f"regexp_replace({out}, {lit(DROPPED)}, ' ', 'g')"
+    out = f"regexp_replace({out}, {lit('[' + SPACE + ']+')}, ' ', 'g')"
     return f"coalesce(trim({out}), '')"
 
 
-_D_NAMED = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in NAMED_ENTITIES.items()) + "}"
+_D_NAMED = "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in NAMES.items()) + "}"
 
 
 def _d_entity(t: str, nm: str) -> str:
@@ -57,7 +80,7 @@ def _d_entity(t: str, nm: str) -> str:
     dropped = (f"({cp} BETWEEN 1 AND 8 OR {cp} = 11 OR {cp} BETWEEN 14 AND 31 OR {cp} = 127 "
                f"OR {cp} BETWEEN 64976 AND 65007 OR {cp} % 65536 >= 65534)")
     char = (f"CASE WHEN {cp} = 0 THEN chr(65533) WHEN {cp} = 13 THEN chr(13) "
-            f"WHEN {cp} BETWEEN 128 AND 159 THEN substring({lit(CP1252_C1)}, ({cp} - 127)::INTEGER, 1) "
+            f"WHEN {cp} BETWEEN 128 AND 159 THEN substring({lit(C1)}, ({cp} - 127)::INTEGER, 1) "
             f"WHEN {cp} BETWEEN 55296 AND 57343 OR {cp} > 1114111 THEN chr(65533) "
             f"WHEN {dropped} THEN '' ELSE chr({cp}::INTEGER) END")
     hit = (f"(CASE WHEN length({t}) >= 3 THEN list_filter(list_transform(range(length({t}) - 1, 1, -1), "
@@ -70,20 +93,21 @@ def d_decode(x: str) -> str:
     def body(v: str) -> str:
         t = f"tk{next(_names)}"
         # the entity map is the column `_nm` of the page subqueries (bound once per query)
-        toks = f"list_transform(regexp_extract_all({v}, {lit(ENTITY_RE)}, 1), lambda {t}: {_d_entity(t, '_nm')})"
-        zipped = (f"array_to_string(list_transform(list_zip(string_split_regex({v}, {lit(ENTITY_RE)}), {toks}), "
+        toks = f"list_transform(regexp_extract_all({v}, {lit(REFERENCE)}, 1), lambda {t}: {_d_entity(t, '_nm')})"
+        zipped = (f"array_to_string(list_transform(list_zip(string_split_regex({v}, {lit(REFERENCE)}), {toks}), "
                   f"lambda p: p[1] || coalesce(p[2], '')), '')")
         return f"CASE WHEN contains({v}, '&') THEN {zipped} ELSE {v} END"
     return d_let(x, body)
 
 
 def d_strip(x: str) -> str:
-    return f"regexp_replace({x}, {lit(EDGE_WS_RE)}, '', 'g')"
+    return f"regexp_replace({x}, {lit(f'^[{SPACE}]+|[{SPACE}]+$')}, '', 'g')"
 
 
 def d_html_text(x: str) -> str:
-    no_tags = f"regexp_replace({x}, {lit('[' + WS + ']*<[^>]*>[' + WS + ']*')}, '', 'g')"
-    return d_strip(d_decode(no_tags))
+    """Text nodes, each decoded and stripped, joined."""
+    n = f"tn{next(_names)}"
+    return f"array_to_string(list_transform(string_split_regex({x}, {lit(MARKUP)}), lambda {n}: {d_strip(d_decode(n))}), '')"
 
 
 def d_parse_date(x: str) -> str:
@@ -95,15 +119,45 @@ def d_ts(x: str) -> str:
 
 
 def d_normalize(x: str) -> str:
-    p = lit(NORM_RE)
+    p = lit(ISO_TEXT)
     return d_let(x, lambda v: f"CASE WHEN regexp_matches({v}, {p}) THEN concat(regexp_extract({v}, {p}, 1), ' ', "
                               f"regexp_extract({v}, {p}, 2)) ELSE {v} END")
 
 
+def d_tags(h: str) -> str:
+    """All start tags of a page, in order."""
+    return f"regexp_extract_all({h}, {lit('(?s)' + START)})"
+
+
+def d_attr(tag: str, attr: str) -> str:
+    """An attribute's text in a start tag, its references not yet decoded; NULL without it."""
+    pairs = rf"(?s)\s[A-Za-z_:][A-Za-z0-9_:.\-]*\s*=\s*{VALUE}"
+    x = f"at{next(_names)}"
+    mine = f"list_filter(regexp_extract_all({tag}, {lit(pairs)}), lambda {x}: regexp_matches({x}, {lit(rf'(?i)^.{attr}[ =]')}))[1]"
+    quoted = "'\"', ''''"
+    return d_let(f"regexp_extract({mine}, {lit('(?s)=[ ]*(.*)$')}, 1)",
+                 lambda v: f"CASE WHEN left({v}, 1) IN ({quoted}) THEN substring({v}, 2, length({v}) - 2) ELSE {v} END")
+
+
+def d_first_tag(tags: str, test) -> str:
+    t = f"st{next(_names)}"
+    return f"list_filter({tags}, lambda {t}: coalesce({test(t)}, false))[1]"
+
+
+def _named(name: str):
+    return lambda t: f"regexp_matches({t}, {lit(rf'(?i)^<{name}[ />]')})"
+
+
+def d_after(h: str, tag: str) -> str:
+    """The page behind a start tag (the first that reads like it)."""
+    return f"substring({h}, strpos({h}, {tag}) + length({tag}))"
+
+
 def d_title(h: str, default: str) -> str:
-    start = r"(?is)<h1(?:\s[^>]*)?>"
-    full = r"(?is)<h1(?:\s[^>]*)?>(.*?)(?:</h1\s*>|\z)"
-    return f"CASE WHEN regexp_matches({h}, {lit(start)}) THEN {d_html_text(f'regexp_extract({h}, {lit(full)}, 1)')} ELSE {lit(default)} END"
+    def body(t: str) -> str:
+        inner = f"regexp_extract({d_after(h, t)}, {lit('(?is)^(.*?)(?:</h1[ ]*>|$)')}, 1)"
+        return f"CASE WHEN {t} IS NULL THEN {lit(default)} ELSE {d_html_text(inner)} END"
+    return d_let(d_first_tag("tags", _named("h1")), body)
 
 
 def d_category(url: str, index: int) -> str:
@@ -114,95 +168,108 @@ def d_host(url: str) -> str:
     return f"regexp_extract({url}, {lit(r'^[A-Za-z][A-Za-z0-9+.\-]*://([^/:?#]+)')}, 1)"
 
 
+def d_paragraphs(h: str) -> str:
+    start, end = rf"(?is)<p(?:[ /\t\n]{ATTRS})?>", "(?is)</(?:" + "|".join(CLOSES_P) + ")[ ]*>.*"
+    x = f"pa{next(_names)}"
+    para = d_html_text(f"regexp_replace({x}, {lit(end)}, '')")
+    return f"list_transform(string_split_regex({h}, {lit(start)})[2:], lambda {x}: {para})"
+
+
 def d_body(h: str) -> str:
-    para = d_html_text(f"regexp_replace(x, {lit(H.P_END_RE)}, '')")
-    return (f"array_to_string(list_transform(string_split_regex({h}, {lit(H.P_START_RE)})[2:], "
-            f"lambda x: {para}), ' ')")
+    """Paragraphs of the content container if it has any (the fixtures' containers hold no further div), else all."""
+    box = d_first_tag("tags", lambda t: f"{_named('div')(t)} AND {_token(t, 'class', CONTAINER)}")
+    inside = d_let(box, lambda t: f"regexp_extract({d_after(h, t)}, {lit('(?is)^(.*?)</div[ ]*>')}, 1)")
+    return d_let(f"coalesce({inside}, '')", lambda v: f"array_to_string(CASE WHEN regexp_matches({v}, {lit('(?i)<p[ />]')}) "
+                                                       f"THEN {d_paragraphs(v)} ELSE {d_paragraphs(h)} END, ' ')")
 
 
-def _d_attr(tag: str, attr: str) -> str:
-    pat = r"(?is)\s" + attr + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    return d_decode(d_let(tag, lambda t: f"concat(regexp_extract({t}, {lit(pat)}, 1), regexp_extract({t}, {lit(pat)}, 2))"))
+def d_meta(attr: str, value: str) -> str:
+    """Content of the first meta with that attribute, decoded: '' if it has none, NULL if there is no such meta."""
+    tag = d_first_tag("tags", lambda t: f"{_named('meta')(t)} AND {d_attr(t, attr)} = {lit(value)}")
+    return d_let(tag, lambda t: f"CASE WHEN {t} IS NOT NULL THEN coalesce({d_decode(d_attr(t, 'content'))}, '') END")
 
 
-def d_meta(h: str, attr: str, value: str) -> tuple[str, str]:
-    tag = f"regexp_extract({h}, {lit(r'(?is)<meta(?:\s[^>]*)?' + H.attr_eq(attr, value) + r'[^>]*>')}, 0)"
-    return f"({tag} <> '')", _d_attr(tag, "content")
+def d_element(h: str, tags: str, test) -> str:
+    """Text of the first element that passes: '' if nothing closes it, NULL if there is none."""
+    def body(t: str) -> str:
+        closing = f"'(?is)^(.*?)</' || regexp_extract({t}, '^<([A-Za-z0-9]+)', 1) || '[ ]*>'"
+        return f"CASE WHEN {t} IS NOT NULL THEN {d_html_text(f'regexp_extract({d_after(h, t)}, {closing}, 1)')} END"
+    return d_let(d_first_tag(tags, test), body)
 
 
-def d_element(h: str, sel: H.Selector) -> tuple[str, str]:
-    pat, g = sel.pattern()
-    exists = f"regexp_matches({h}, {lit(pat)})"
-    name = f"lower(regexp_extract({h}, {lit(pat)}, {g}))"
-    cases = []
-    for t in _TEXT_TAGS:
-        sel_t = H.Selector(t, sel.cond, sel.within) if sel.tag in (None, t) else None
-        if sel_t is None:
-            continue
-        pt, gt = sel_t.pattern()
-        full = pt + r"(.*?)</" + t + r"\s*>"
-        cases.append(f"WHEN {lit(t)} THEN regexp_extract({h}, {lit(full)}, {gt + 1})")
-    inner = f"CASE {name} {' '.join(cases)} ELSE '' END"
-    return exists, d_html_text(inner)
+def _token(t: str, attr: str, token: str) -> str:
+    return f"list_contains(string_split_regex({d_attr(t, attr)}, '[ ]+'), {lit(token)})"
 
 
-def d_first_existing(pairs: list[tuple[str, str]], otherwise: str | None = None) -> str:
-    whens = " ".join(f"WHEN {e} THEN {v}" for e, v in pairs)
-    return f"CASE {whens} ELSE {otherwise if otherwise is not None else 'NULL'} END"
+def d_selected(h: str, kind: str, attr: str, value: str) -> str:
+    if kind == "inside":  # a class token inside an element of a component
+        outer = d_first_tag("tags", lambda t: f"{d_attr(t, 'data-component-name')} = {lit(value)}")
+        region = d_let(outer, lambda t: f"regexp_extract({d_after(h, t)}, '(?is)^(.*?)</' || "
+                                        f"regexp_extract({t}, '^<([A-Za-z0-9]+)', 1) || '[ ]*>', 1)")
+        return d_let(f"coalesce({region}, '')", lambda r: d_element(r, d_tags(r), lambda t: _token(t, "class", attr)))
+    tests = {"token": lambda t: _token(t, attr, value), "part": lambda t: f"contains({d_attr(t, attr)}, {lit(value)})",
+             "span": lambda t: f"{_named('span')(t)} AND contains(lower({d_attr(t, attr)}), {lit(value)})",
+             "equal": lambda t: f"{d_attr(t, attr)} = {lit(value)}"}
+    return d_element(h, "tags", tests[kind])
 
 
-def d_ld_author(h: str, default: str) -> tuple[str, str]:
-    s = d_strip(f"regexp_extract({h}, {lit(H.LD_SCRIPT_RE)}, 1)")
-    exists = f"regexp_matches({h}, {lit(H.LD_SCRIPT_RE)})"
+def d_scripts(raw: str) -> str:
+    """Bodies of a page's JSON-LD scripts."""
+    x, y = f"sc{next(_names)}", f"sc{next(_names)}"
+    whole = rf"(?is)<script(?:[ \t\n]{ATTRS})?>.*?</script[ ]*>"
+    kind = d_attr(f"regexp_extract({x}, {lit('(?s)' + START)})", "type")
+    mine = f"list_filter(regexp_extract_all({raw}, {lit(whole)}), lambda {x}: {kind} = 'application/ld+json')"
+    inner = d_strip(f"regexp_extract({y}, {lit(f'(?is)^{START}(.*)</script[ ]*>$')}, 1)")
+    return f"list_transform({mine}, lambda {y}: {inner})"
+
+
+def d_ld_author(s: str) -> str:
     doc = f"(CASE WHEN starts_with({s}, '[') THEN json_extract({s}, '$[0]') ELSE json({s}) END)"
     names = (f"array_to_string(list_filter(list_transform(json_extract({doc}, '$.author[*]'), "
              f"lambda a: json_extract_string(a, '$.name')), lambda n: n IS NOT NULL AND n <> ''), ', ')")
-    value = (f"CASE WHEN json_type({doc}) <> 'OBJECT' THEN {lit(default)} "
+    plain = f"len(list_filter(json_extract({doc}, '$.author[*]'), lambda a: json_type(a) <> 'OBJECT')) > 0"
+    value = (f"CASE WHEN json_type({doc}) <> 'OBJECT' THEN {lit(NOBODY)} "
              f"WHEN json_type({doc}, '$.author') IS NULL THEN NULL "
              f"WHEN json_type({doc}, '$.author') = 'OBJECT' THEN json_extract_string({doc}, '$.author.name') "
-             f"WHEN json_type({doc}, '$.author') = 'ARRAY' THEN {names} "
-             f"ELSE {lit(default)} END")
-    return exists, f"CASE WHEN json_valid({s}) THEN {value} ELSE {lit(default)} END"
+             f"WHEN json_type({doc}, '$.author') = 'ARRAY' THEN CASE WHEN {plain} THEN {lit(NOBODY)} ELSE {names} END "
+             f"ELSE {lit(NOBODY)} END")
+    return f"CASE WHEN json_valid({s}) THEN {value} ELSE {lit(NOBODY)} END"
 
 
-def d_ld_first_date(h: str) -> str:
-    s = d_strip("s0")
+def d_ld_first_date(raw: str) -> str:
+    s, graph = "s0", '$."@graph"[*]'
     first_with = ("json_extract_string(list_filter(json_extract({src}, {path}), "
                   "lambda x: json_type(x) = 'OBJECT' AND json_exists(x, '$.datePublished'))[1], '$.datePublished')")
     date_of = (f"CASE WHEN NOT json_valid({s}) THEN NULL "
                f"WHEN starts_with({s}, '[') THEN {first_with.format(src=s, path=lit('$[*]'))} "
                f"WHEN starts_with({s}, '{{') THEN CASE WHEN json_exists({s}, '$.datePublished') "
                f"THEN json_extract_string({s}, '$.datePublished') "
-               f"ELSE {first_with.format(src=s, path=lit('$.\"@graph\"[*]'))} END END")
-    return (f"list_filter(list_transform(regexp_extract_all({h}, {lit(H.LD_SCRIPT_RE)}, 1), lambda s0: {date_of}), "
+               f"ELSE {first_with.format(src=s, path=lit(graph))} END END")
+    return (f"list_filter(list_transform({d_scripts(raw)}, lambda s0: {date_of}), "
             f"lambda d: d IS NOT NULL AND d <> '')[1]")
 
 
-def d_author(h: str, profile: X.Profile, raw: str = "html") -> str:
+def d_author(h: str, site: dict, raw: str = "html") -> str:
     """``h`` is the visible page; JSON-LD comes from the raw page ``raw``."""
-    m_exists, m_content = d_meta(h, "name", "author")
-    pairs = [(f"({m_exists} AND {m_content} <> '')", m_content)]
-    pairs += [d_element(h, sel) for sel in profile.author_selectors]
-    if profile.author_from_jsonld:
-        pairs.append(d_ld_author(raw, profile.author_default))
-    return d_first_existing(pairs, lit(profile.author_default))
-
-
-def d_raw_date(h: str, profile: X.Profile, raw: str = "html") -> str:
-    metas = [d_meta(h, a, v) for a, v in profile.date_metas]
-    stages = [f"nullif({d_first_existing(metas)}, '')"]
-    if profile.date_from_time_tag:
-        tag = f"regexp_extract({h}, {lit(r'(?is)<time(?:[\s/][^>]*)?>')}, 0)"
-        val = _d_attr(tag, "datetime")
-        stages.append(f"CASE WHEN {tag} <> '' AND {val} <> '' THEN {val} END")
-    if profile.date_from_jsonld:
+    stages = [f"nullif({d_meta('name', 'author')}, '')"] + [d_selected(h, *e) for e in site["elements"]]
+    out = f"coalesce({', '.join(stages)})"
+    if not site["ld"]:
+        return f"coalesce({out}, {lit(NOBODY)})"
+    last = d_let(f"{d_scripts(raw)}[1]", lambda s: f"CASE WHEN {s} IS NULL THEN {lit(NOBODY)} ELSE {d_ld_author(s)} END")
+    return d_let(out, lambda v: f"CASE WHEN {v} IS NOT NULL THEN {v} ELSE {last} END")
+
+
+def d_raw_date(h: str, site: dict, raw: str = "html") -> str:
+    stages = [f"nullif(coalesce({', '.join(d_meta(a, v) for a, v in site['metas'])}), '')"]
+    if site["ld"]:
+        stages.append(f"nullif({d_decode(d_attr(d_first_tag('tags', _named('time')), 'datetime'))}, '')")
         stages.append(d_ld_first_date(raw))
     return f"coalesce({', '.join(stages)})"
 
 
-def d_date(h: str, profile: X.Profile, as_of: str, raw_html: str = "html") -> str:
-    raw = d_raw_date(h, profile, raw_html)
-    if profile.normalize_date:
+def d_date(h: str, site: dict, as_of: str, raw_html: str = "html") -> str:
+    raw = d_raw_date(h, site, raw_html)
+    if site["normalize"]:
         raw = d_normalize(raw)
     return f"coalesce({raw}, {lit(as_of)})"
 
@@ -214,12 +281,17 @@ def sel(cols: dict[str, str]) -> str:
 # ---------------------------------------------------------------- common CTEs
 
 def d_visible(h: str) -> str:
-    return f"regexp_replace({h}, {lit(H.HIDDEN_RE)}, '', 'g')"
+    # a comment that says nothing keeps what stood on both sides apart
+    return f"regexp_replace({h}, {lit(HIDDEN)}, '<!>', 'g')"
+
+
+def _pages(src: str) -> str:
+    return (f"(SELECT *, {d_tags('vis')} AS tags, {_D_NAMED} AS _nm "
+            f"FROM (SELECT *, {d_visible('html')} AS vis FROM {src}) p1)")
 
 
-PAGES_HEAD = (f"(SELECT *, {d_visible('html')} AS vis, {_D_NAMED} AS _nm "
-              f"FROM (SELECT {sel(FX.pages_with_head_cols())} FROM pages) p0)")
-PAGES_VIS = f"(SELECT *, {d_visible('html')} AS vis, {_D_NAMED} AS _nm FROM pages)"
+PAGES_HEAD = _pages(f"(SELECT {sel(FX.pages_with_head_cols())} FROM pages) p0")
+PAGES_VIS = _pages("pages")
 ARTICLES = f"(SELECT {sel(FX.article_cols())} FROM documents)"
 SAMPLES = f"(SELECT {sel(FX.sample_cols())} FROM events)"
 EV_SILVER = f"(SELECT {sel(FX.events_silver_cols())} FROM events)"
@@ -281,7 +353,7 @@ def _status(v: str, steps) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    P3 = X.PROFILE_SEG3
+    P3 = SITE3
     seg3_cat = d_category("url", 3)
     q: dict[str, str] = {}
     q["top_categories_pages"] = (f"SELECT {d_clean(seg3_cat)} AS categorie_clean, count(*) AS total "
@@ -293,24 +365,24 @@ def oracle_sql() -> dict[str, str]:
                        f"FROM (SELECT {sel(FX.order_date_cols())} FROM orders) o")
     q["date_normalize"] = (f"SELECT event_id, raw, {d_normalize('raw')} AS normalized "
                            f"FROM (SELECT {sel(FX.event_date_text_cols())} FROM events) e")
-    q["extract_title"] = (f"SELECT page_id, {d_title('vis', P3.title_default)} AS titre, "
-                          f"{d_title('vis', X.PROFILE_SEG6.title_default)} AS titre_seg6 FROM {PAGES_VIS} p")
+    q["extract_title"] = (f"SELECT page_id, {d_title('vis', '')} AS titre, "
+                          f"{d_title('vis', 'Sans titre')} AS titre_seg6 FROM {PAGES_VIS} p")
     q["extract_category"] = (f"SELECT page_id, {seg3_cat} AS categorie, {d_category('url', 6)} AS categorie_seg6 "
                              f"FROM pages")
     q["extract_source"] = f"SELECT page_id, {d_host('url')} AS source FROM pages"
     q["extract_body"] = f"SELECT page_id, {d_body('vis')} AS contenu FROM {PAGES_VIS} p"
     q["extract_author"] = f"SELECT page_id, {d_author('vis', P3)} AS auteur FROM {PAGES_HEAD} p"
     q["extract_date"] = f"SELECT page_id, {d_date('vis', P3, FX.AS_OF)} AS date_publication FROM {PAGES_HEAD} p"
-    q["extract_articles"] = (f"SELECT page_id, {d_title('vis', P3.title_default)} AS titre, "
+    q["extract_articles"] = (f"SELECT page_id, {d_title('vis', '')} AS titre, "
                              f"{d_author('vis', P3)} AS auteur, {d_date('vis', P3, FX.AS_OF)} AS date_publication, "
                              f"{seg3_cat} AS categorie, {d_body('vis')} AS contenu, {d_host('url')} AS source, url "
                              f"FROM {PAGES_HEAD} p")
-    P6 = X.PROFILE_SEG6
+    P6 = SITE6
     q["extract_author_seg6"] = f"SELECT page_id, {d_author('vis', P6)} AS auteur FROM {PAGES_HEAD} p"
     now6 = FX.AS_OF.replace(" ", "T")   # the seg6 clock format: ISO, zero microseconds omitted
     q["extract_date_seg6"] = (f"SELECT page_id, {d_date('vis', P6, now6)} AS date_publication "
                               f"FROM {PAGES_HEAD} p")
-    q["extract_articles_seg6"] = (f"SELECT page_id, {d_title('vis', P6.title_default)} AS titre, "
+    q["extract_articles_seg6"] = (f"SELECT page_id, {d_title('vis', 'Sans titre')} AS titre, "
                                   f"{d_author('vis', P6)} AS auteur, {d_date('vis', P6, now6)} AS date_publication, "
                                   f"{d_category('url', 6)} AS categorie, {d_body('vis')} AS contenu, "
                                   f"'seg6' AS source, url, {lit(now6)} AS scraped_at FROM {PAGES_HEAD} p")
