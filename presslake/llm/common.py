@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -71,12 +72,17 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBat
                 yield out
             else:
                 yield from out
+            give_back()
     return df.mapInArrow(run, schema)
 
 
 def give_back() -> None:
-    """Let Arrow's pool return what it no longer uses: a Python worker outlives its tasks."""
+    """Return memory that is no longer used, of Arrow's pool and (where the C library
+    can) of the heap: a Python worker outlives its tasks."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = TEXT_SLICE_CHARS) -> Iterator[pa.RecordBatch]:

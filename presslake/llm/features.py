@@ -176,6 +176,8 @@ def trained(samples: DataFrame, featurise: Callable[[pa.Array], Entries], fit: C
         bucket, weight = bucket[at], weight[at]
         del at
         model = fit(y[order], (row, bucket, weight))
+        del row, bucket, weight
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
     rows = samples.select("id", F.col("y").cast("int").alias("y"), "text")
     rows = rows.mapInArrow(features, "id long, y int, ids array<int>, weights array<float>")
