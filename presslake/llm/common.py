@@ -112,7 +112,9 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     counts = rows.groupBy(part.alias("part")).count().orderBy("part").collect()
     starts, total = [], 0
     for part_id, n in counts:
-        starts += [F.lit(part_id), F.lit(total)]
+        starts.append((part_id, total))
         total += n
-    start = F.create_map(*starts)[part] if starts else F.lit(0).cast("long")
-    return rows.withColumn("n", start + F.col("_n").bitwiseAND((1 << 33) - 1)).drop("_n")
+    starts = df.sparkSession.createDataFrame(starts, "_part long, _start long")
+    place = F.col("_n").bitwiseAND((1 << 33) - 1)
+    return (rows.withColumn("_part", part).join(F.broadcast(starts), "_part")
+            .withColumn("n", F.col("_start") + place).drop("_n", "_part", "_start"))

@@ -127,7 +127,7 @@ def _components(docs: DataFrame, size: int, max_bits: int, segments: int, id_col
                 mark: Column) -> DataFrame:
     """``(id, fp, mark, root, component)``; ``root`` names the component where no id does."""
     rows = written(fingerprints(docs, size, id_col, text_col, mark), "fingerprints")
-    groups = rows.groupBy("fp").agg(F.min("id").alias("first"))
+    groups = written(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
     roots = components(links(groups.select("fp"), max_bits, segments))
     groups = written(groups.join(roots, groups["fp"] == roots["node"], "left")
                      .select("fp", "first", F.coalesce("root", "fp").alias("root")), "groups")
