@@ -109,7 +109,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "
             rests = []
             return out
         for batch in batches:
-            for part in slices(batch, limit=ENCODE_BYTES):
+            for part in slices(batch, limit=ENCODE_BYTES // 2):
                 ids, bounds = ended(*enc.encode(part.column(1)), end_id)
                 full = []
                 for k, name in enumerate(part.column(0).to_pylist()):
