@@ -173,7 +173,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     # every query block meets every candidate block once: the stated query set against all rows
     n_candidates = max(1, -(-total // BLOCK_ROWS))
     grid = queries.withColumn("c_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_candidates - 1).cast("long"))))
-    met = grid.join(candidates, "c_block").sortWithinPartitions("q_block", "c_block")
+    # the exploded side's files look small to the planner; blocks are dealt out, not broadcast
+    met = grid.hint("merge").join(candidates, "c_block").sortWithinPartitions("q_block", "c_block")
     found = met.mapInArrow(run, "query_row long, query_id long, id long, score long")
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
