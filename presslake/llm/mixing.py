@@ -115,13 +115,15 @@ def pivot(size: np.ndarray, p: np.ndarray, draw: np.random.Generator, last: bool
     return p
 
 
-def _rounded(items: DataFrame, level: int, last: bool) -> DataFrame:
-    """Round each (source, bucket); ``p`` of its one residual stays fractional unless ``last``."""
+def _rounded(items: DataFrame, level: int) -> DataFrame:
+    """Round each (source, bucket); ``p`` of its one residual stays fractional unless the
+    source is down to one bucket, whatever other sources have."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # largest first: the residual ends up among the small documents
         pdf = pdf.sort_values(["size", "id", "rep"], ascending=[False, True, True], na_position="last", kind="stable")
         name = "\0".join(map(str, (SEED, level, key[0], key[1])))
         draw = np.random.default_rng(int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big"))
+        last = bool(pdf["buckets"].iloc[0] <= 1)
         return pdf.assign(p=pivot(pdf["size"].to_numpy(np.float64), pdf["p"].to_numpy(np.float64), draw, last))
     return items.groupBy("source", "bucket").applyInPandas(run, items.schema)
 
@@ -135,7 +137,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_C
     fraction is rounded so that the source's words stay those of its target, but
     for one document. Documents of a source are dealt to buckets by a hash of id
     and repetition; each bucket leaves one fractional document, and these meet
-    in a tree until a source has one, which is drawn. Draws depend on the rows alone, so reruns
+    in a tree until the source is down to one bucket, whose rounding draws it; the size of
+    other sources changes nothing for it. Draws depend on the rows alone, so reruns
     agree. Rows of equal id, source and size are told apart by ``rep``; NULL
     sources are one source, NULL ids ids like others, NULL and empty texts have
     size 0 and take part with their whole copies only; no rows give none; other
@@ -154,17 +157,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_C
     items = items.withColumn("whole", F.floor("rate"))
     items = items.withColumn("p", F.when(F.col("size") > 0, F.col("rate") - F.col("whole")).otherwise(0.0))
     items = items.withColumn("bucket", F.pmod(F.xxhash64("id", "rep", F.lit(SEED)), F.col("buckets")))
-    items = items.select("id", "rep", "source", "size", "source_size", "target", "whole", "p", "bucket")
+    items = items.select("id", "rep", "source", "size", "source_size", "target", "whole", "p", "bucket", "buckets")
     most_buckets = goals.agg(F.max(buckets)).first()[0] or 1
     level, done = 0, []
     while True:
-        rounded = written(_rounded(items, level, most_buckets <= 1), "rounded")
+        rounded = written(_rounded(items, level), "rounded")
         if most_buckets <= 1:
             done.append(rounded)
             break
         fractional = F.col("p").between(_EPS, 1 - _EPS)
         done.append(rounded.where(~fractional))
-        items = rounded.where(fractional).withColumn("bucket", F.floor(F.col("bucket") / FAN_IN))
+        items = rounded.where(fractional).withColumns({"bucket": F.floor(F.col("bucket") / FAN_IN),
+                                                       "buckets": F.ceil(F.col("buckets") / FAN_IN)})
         most_buckets, level = -(-most_buckets // FAN_IN), level + 1
     out = done[0]
     for d in done[1:]:

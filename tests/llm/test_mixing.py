@@ -85,6 +85,21 @@ def test_tree_over_many_buckets(spark, monkeypatch):
         assert abs(taken - mine[0].target) <= 97
 
 
+def test_long_document_beside_a_larger_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", 60)
+    # a0-a3: one document of about half the source's words, in one bucket; b: several buckets
+    rows = [(100 * a + i, "w " * (100 if i else 5_000), "en", f"a{a}", 0) for a in range(4) for i in range(50)]
+    rows += [(1_000 + i, "w " * (10 + i % 50), "en", "b", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mix(docs, weights=(1, 1, 1, 1, 30_150 / 4_950)).collect()
+    assert len(got) == 500
+    for a in range(4):
+        mine = [x for x in got if x.source == f"a{a}"]
+        assert mine[0].target == pytest.approx(4_950)
+        # the 49 others make up for 2,450 of the 2,500 words that the long one gains or loses
+        assert abs(sum(x.copies * x.size for x in mine) - 4_950) <= 150
+
+
 def test_mixed_rows_are_the_copies(spark, edge, empty):
     out = mixed(edge)
     assert out.dtypes == edge.dtypes and mixed(empty).count() == 0
