@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -26,11 +27,22 @@ BASE_KINDS = KINDS[:3]
 
 # Candidates of the structural kinds.
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*(?![A-Za-z0-9_-])")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,30}PRIVATE KEY)-----([^-]+)-----END \1-----")
+_PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,30}PRIVATE KEY)-----")
+_DEK = re.compile(r"^DEK-Info:[ \t]*([A-Za-z0-9-]+)(?:,[ \t]*[0-9A-Fa-f]+)?$")
 _B64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}(?![A-Za-z0-9+/=])")
 _HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){32,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){32,}(?![0-9A-Za-z])")
 _SSH_MAGIC = b"openssh-key-v1\x00"
-_OID_KEYS = (bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"), bytes.fromhex("2b6570"))
+# Wrapped base64, either alphabet: where a key may start, its pieces, what may stand between them (white space, escaped
+# line ends, quoting marks, the seam of two string literals), and its padding.
+_HEAD = re.compile(r"M(?:(?<![A-Za-z0-9+/]M)|(?<=\\[nrt]M))[A-P]|b(?:(?<![A-Za-z0-9+/]b)|(?<=\\[nrt]b))3Bl")
+_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+_SEAM = re.compile(r"""(?:\s|\\+(?:[nrt]|(?=[\s/]))|(?<=\n)[>#*|]+|["'][ \t]*(?:[+,.&][ \t]*)?\\?\r?\n\s*["'])+""")
+_PAD = re.compile(r"(?:(?:\s|\\+[nrt])*(?:=|\\+u003[dD])){0,2}(?![A-Za-z0-9+/=])")
+# A sequence that starts with the integer 0 or 1, by the size of its length; the magic of an OpenSSH key.
+_DER_HEAD = re.compile(rb"M(?:[A-H].CAQ[A-H]|I(?:[E-H].AgE[AB]|[I-L]..[AQgw]IBA|[M-P]....CAQ[A-H]|[Q-T].{5}AgE[AB]))")
+_SSH_HEAD = b"b3BlbnNzaC1rZXktdjE"
+_LOOK = 160
+_STANDARD = bytes.maketrans(b"-_", b"+/")
 
 
 def _b64(text: str, url: bool = False) -> bytes | None:
@@ -61,19 +73,31 @@ def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
 
 
 def _children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The elements between; None if their lengths do not fit, or for more of them than any key has."""
     out = []
     while start < end:
         x = _tlv(data, start, end)
-        if x is None:
+        if x is None or len(out) == 16:
             return None
         out.append(x)
         start = x[2]
     return out
 
 
+def _is_algorithm(data: bytes, start: int, end: int) -> bool:
+    """Whether an object identifier and at most one element of parameters stand there."""
+    parts = _children(data, start, end)
+    if not parts or len(parts) > 2 or parts[0][0] != 0x06:
+        return False
+    oid = data[parts[0][1]:parts[0][2]]
+    if not oid or oid[-1] >= 0x80 or any(b == 0x80 and (k == 0 or oid[k - 1] < 0x80) for k, b in enumerate(oid)):
+        return False
+    return len(parts) == 1 or parts[1][0] != 0x30 or _children(data, *parts[1][1:]) is not None
+
+
 def is_der_key(data: bytes) -> bool:
     """Whether the bytes are a DER private key: one sequence whose nested lengths all
-    fit and whose fields are those of PKCS#8, PKCS#1 or SEC 1."""
+    fit and whose fields are those of PKCS#8 (of any algorithm), PKCS#1, DSA or SEC 1."""
     top = _tlv(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
         return False
@@ -82,8 +106,9 @@ def is_der_key(data: bytes) -> bool:
         return False
     tags, version = [p[0] for p in parts], data[parts[0][1]:parts[0][2]]
     if tags[:3] == [0x02, 0x30, 0x04] and version in (b"\0", b"\1"):  # PKCS#8: version, algorithm, octets
-        alg = _children(data, parts[1][1], parts[1][2])
-        return bool(alg) and alg[0][0] == 0x06 and data[alg[0][1]:alg[0][2]] in _OID_KEYS
+        return parts[2][2] > parts[2][1] and _is_algorithm(data, *parts[1][1:])
+    if tags == [0x02] * 6 and version == b"\0":  # DSA: version, p, q, g, public, private
+        return parts[1][2] - parts[1][1] >= 32
     if len(tags) >= 9 and set(tags[:9]) == {0x02} and version in (b"\0", b"\1"):  # PKCS#1: nine integers
         return parts[1][2] - parts[1][1] >= 32
     if tags[:2] == [0x02, 0x04] and version == b"\1":  # SEC 1: version, octets, tagged fields
@@ -94,7 +119,7 @@ def is_der_key(data: bytes) -> bool:
 def is_ssh_key(data: bytes) -> bool:
     """Whether the bytes are an OpenSSH private key: the magic, then three
     length-prefixed names, a key count and the public part, all within the data."""
-    if not data.startswith(_SSH_MAGIC):
+    if data[:len(_SSH_MAGIC)] != _SSH_MAGIC:
         return False
     at = len(_SSH_MAGIC)
     for k in range(5):
@@ -134,6 +159,143 @@ def _key_bytes(data: bytes | None) -> str | None:
     return "der" if is_der_key(data) else "sshkey" if is_ssh_key(data) else None
 
 
+def _line(x: str) -> str:
+    """A line of armour without indentation, quoting marks and the ends of string literals."""
+    x = x.strip(" \t\r\\")
+    if x[-1:] in ("+", ",", ".", ";", "&") and x[:-1].rstrip()[-1:] in ('"', "'"):
+        x = x[:-1].rstrip()
+    if x[:1] in ("+", ".", "&") and x[1:].lstrip()[:1] in ('"', "'"):
+        x = x[1:]
+    return x.rstrip("\"' \t\\").lstrip(" \t>#*|\"'")
+
+
+def _is_armoured(label: str, body: str) -> bool:
+    """Whether what stands between the marks is a key: header lines, if any, then base64.
+    Line ends may be real or escaped. A body that its headers call encrypted need only
+    be whole blocks of the cipher."""
+    body = re.sub(r"\\+u00([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), body)
+    lines = [_line(x) for x in re.sub(r"\\+[nrt]|\r", "\n", re.sub(r"\\+/", "/", body)).split("\n")]
+    first = max((k + 1 for k, x in enumerate(lines) if ":" in x), default=0)
+    starts = [first]
+    if first and "" in lines[first:]:  # or after the lines that continue a header
+        starts.append(lines.index("", first))
+    for k in starts:
+        data = _b64("".join("".join(lines[k:]).split()).translate({45: "+", 95: "/"}))
+        if not data:
+            continue
+        if _key_bytes(data) or (label.startswith("ENCRYPTED") and data[0] == 0x30 and _tlv(data, 0, len(data)) is not None):
+            return True
+        cipher = next((m[1] for x in lines[:first] if (m := _DEK.match(x))), None)
+        if cipher and len(data) >= 16 and (len(data) % 8 == 0 or not cipher.upper().endswith(("CBC", "ECB"))):
+            return True
+    return False
+
+
+class _Run:
+    """Base64 characters from a place of a text on, read as far as asked, across seams."""
+
+    def __init__(self, text: str, at: int):
+        self.text, self.end, self.chars = text, at, bytearray()
+        self.places, self.counts = [], []  # of each piece: where it starts, in the text and in ``chars``
+
+    def reaches(self, n: int) -> bool:
+        while len(self.chars) < n:
+            at = self.end
+            if self.places and (seam := _SEAM.match(self.text, at)):
+                at = seam.end()
+            elif self.places:
+                return False
+            piece = _PIECE.match(self.text, at)
+            if piece is None:
+                return False
+            self.places.append(at)
+            self.counts.append(len(self.chars))
+            self.chars += piece[0].encode().translate(_STANDARD)
+            self.end = piece.end()
+        return True
+
+    def index(self, at: int) -> int:
+        k = bisect.bisect_right(self.places, at) - 1
+        return self.counts[k] + at - self.places[k]
+
+    def after(self, n: int) -> int:
+        """The text's place behind the first ``n`` characters."""
+        k = bisect.bisect_left(self.counts, n) - 1
+        return self.places[k] + n - self.counts[k]
+
+
+class _Bytes:
+    """``n`` bytes that a run holds from character ``first`` on; only what is read is decoded."""
+
+    def __init__(self, run: _Run, first: int, n: int):
+        self.run, self.first, self.n, self.need = run, first, n, -(-4 * n // 3)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at):
+        if isinstance(at, int):
+            return self[at:at + 1][0]
+        a, b, _ = at.indices(self.n)
+        cut = self.run.chars[self.first + a // 3 * 4:self.first + min(self.need, -(-b // 3) * 4)]
+        return base64.b64decode(cut + b"=" * (-len(cut) % 4))[a % 3:a % 3 + b - a] if b > a else b""
+
+
+def _ssh_size(data: _Bytes) -> int | None:
+    """Bytes of an OpenSSH key by its own lengths: names, keys, private part, tag of the cipher."""
+    if not is_ssh_key(data):
+        return None
+    at, left, cipher = len(_SSH_MAGIC), 3, b""
+    for part in ("names", "keys", "private"):
+        for _ in range(left):
+            if at + 4 > len(data):
+                return None
+            size = int.from_bytes(data[at:at + 4], "big")
+            cipher = cipher or data[at + 4:at + 4 + min(size, 64)]
+            at += 4 + size
+        if part == "names":
+            left = int.from_bytes(data[at:at + 4], "big")
+            at += 4
+        else:
+            left = 1
+    at += 16 if b"gcm" in cipher or b"poly1305" in cipher else 0
+    return at if at <= len(data) else None
+
+
+def _wrapped(text: str) -> list[tuple[str, int, int]]:
+    """Keys in base64 of either alphabet, on one line or several. Their own lengths say where
+    they end, so words around them do not matter; only lengths are read on the way."""
+    out, run = [], None
+    for m in _HEAD.finditer(text):
+        at = m.start()
+        look = _SEAM.sub("", text[at:at + _LOOK]).encode("ascii", "replace").translate(_STANDARD)
+        ssh = look.startswith(_SSH_HEAD)
+        if not ssh and not _DER_HEAD.match(look):
+            continue
+        if run is None or at >= run.end:
+            run = _Run(text, at)
+            run.reaches(1)
+        first = run.index(at)
+        if ssh:
+            while run.reaches(len(run.chars) + 1):
+                pass
+            size = _ssh_size(_Bytes(run, first, (len(run.chars) - first) * 3 // 4))
+        else:
+            if not run.reaches(first + 12):
+                continue
+            top = _Bytes(run, first, 9)
+            size = 2 + top[1] if top[1] < 0x80 else 2 + top[1] % 128 + int.from_bytes(top[2:2 + top[1] % 128], "big")
+        if size is None or size < 30:
+            continue
+        data = _Bytes(run, first, size)
+        if not run.reaches(first + data.need) or not (ssh or is_der_key(data)):
+            continue
+        end = _PAD.match(text, run.after(first + data.need))
+        if end:
+            out.append(("sshkey" if ssh else "der", at, end.end()))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_MIN]
     if "AKIA" in text:
@@ -146,12 +308,16 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Candidates that decode to a key or a signed token; nothing else is reported."""
     out, taken = [], []
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = _b64(re.sub(r"\s+", "", m[2]))
-            if _key_bytes(data) or (data and m[1].startswith("ENCRYPTED") and data[0] == 0x30
-                                    and _tlv(data, 0, len(data)) is not None):
-                out.append(("pem", *m.span()))
-                taken.append(m.span())
+        begin = None
+        for m in _PEM_MARK.finditer(text):
+            if m[1] == "END" and begin and begin[2] == m[2] and _is_armoured(m[2], text[begin.end():m.start()]):
+                out.append(("pem", begin.start(), m.end()))
+                taken.append(out[-1][1:])
+            begin = m if m[1] == "BEGIN" else None
+    for kind, a, b in _wrapped(text):
+        if not any(x <= a < y for x, y in taken):
+            out.append((kind, a, b))
+            taken.append((a, b))
     if "ey" in text:
         out += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_jwt(m[0])]
     for pattern, decode in ((_B64, _b64), (_HEX_ANY, bytes.fromhex)):

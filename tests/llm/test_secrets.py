@@ -129,3 +129,77 @@ def test_query_against_brute_force(spark, sf):
         assert [x.n_assign, x.n_access, x.n_hex] == [sum(k == s[0] for s in base) for k in ("assign", "access", "hex")]
         assert x.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
         assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(x.spans.split(","))
+
+
+def wrapped(b, width=64, end="\n"):
+    t = b64(b)
+    return end.join(t[i:i + width] for i in range(0, len(t), width))
+
+
+def pkcs8(oid, inner, *parameters):
+    return der(0x30, integer(0) + der(0x30, der(6, bytes.fromhex(oid)) + b"".join(parameters)) + der(4, inner))
+
+
+DSA = der(0x30, integer(0) + integer((1 << 1023) + 1) + integer((1 << 159) + 1) + b"".join(integer((1 << 1000) + k) for k in range(2)) +
+          integer(1 << 150))
+PSS = pkcs8("2a864886f70d01010a", PKCS1, der(0x30, der(0xA0, der(0x30, der(6, bytes.fromhex("608648016503040201"))))))
+MORE = [DSA, PSS, pkcs8("2b656e", der(4, b"x" * 32)), pkcs8("2b656f", der(4, b"x" * 56)), pkcs8("2b6571", der(4, b"e" * 57)),
+        pkcs8("2a8648ce380401", integer(1 << 150), der(0x30, integer((1 << 1023) + 1) + integer((1 << 159) + 1) + integer(1 << 1000)))]
+
+
+@pytest.mark.parametrize("key", MORE)
+def test_other_algorithms(key):
+    assert is_der_key(key) and not is_der_key(key[:-1]) and not is_der_key(key + b"\0")
+    text = f"a {b64(key)} b"
+    assert confirmed_spans(text) == [("der", 2, len(text) - 2)]
+
+
+def test_algorithms_must_parse():
+    for oid, rest in (("", b""), ("2b80", b""), ("802b", b""), ("2b6570", der(5, b"") * 2), ("2b6570", der(0x30, b"\x02\x09"))):
+        assert not is_der_key(pkcs8(oid, b"k" * 40, rest))
+
+
+@pytest.mark.parametrize("end", ["\\n", "\\r\\n", "\\\\n", "\r\n", "\n    ", "\n> ", "\\n\" +\n  \"", "\\n\\\n"])
+@pytest.mark.parametrize("key", [PKCS1, PKCS8, SEC1, ED25519, SSH, DSA])
+def test_line_ends_of_armour_and_wrapped_keys(key, end):
+    pem = f"-----BEGIN PRIVATE KEY-----{end}{wrapped(key, 64, end)}{end}-----END PRIVATE KEY-----"
+    text = f'{{"private_key": "{pem}{end}", "x": 1}}'
+    assert confirmed_spans(text) == [("pem", text.index("-----B"), text.index("-----B") + len(pem))]
+    bare = wrapped(key, 64, end)
+    assert confirmed_spans(f"words before{end}{bare}{end}words after") == [
+        ("sshkey" if key is SSH else "der", 12 + len(end), 12 + len(end) + len(bare))]
+
+
+def test_escaped_padding_and_slashes():
+    key = pkcs8("2b6570", der(4, b"\xff" * 33))
+    body = wrapped(key, 64, "\\n").replace("=", "\\u003d").replace("/", "\\/")
+    assert "\\/" in body and "\\u003d" in body
+    pem = f"-----BEGIN PRIVATE KEY-----\\n{body}\\n-----END PRIVATE KEY-----"
+    assert confirmed_spans(f"k={pem}") == [("pem", 2, 2 + len(pem))]
+    assert confirmed_spans(f"k={body}") == [("der", 2, 2 + len(body))]
+
+
+def test_armour_with_headers():
+    for headers, data in (("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n", b"\x8e" * 640),
+                          ("Comment: a-b-c\n\n", PKCS1), ("Comment: first\n  second part\n\n", PKCS8)):
+        for end in ("\n", "\\n"):
+            pem = f"-----BEGIN RSA PRIVATE KEY-----\n{headers}{wrapped(data)}\n-----END RSA PRIVATE KEY-----".replace("\n", end)
+            assert confirmed_spans(f"ab {pem} c") == [("pem", 3, 3 + len(pem))]
+    assert confirmed_spans("-----BEGIN RSA PRIVATE KEY-----\nDEK-Info: AES-128-CBC,00\n\nno key\n-----END RSA PRIVATE KEY-----") == []
+
+
+@pytest.mark.parametrize("key", [pkcs8("2b6570", b"\xfb\xff" * 30), SSH[:-136] + b"\xfb" * 136])
+def test_url_safe_keys(key):
+    secret = base64.urlsafe_b64encode(key).decode()
+    assert set(secret) & set("-_")
+    assert confirmed_spans(f"k: {secret} after") == [("sshkey" if key.startswith(b"openssh") else "der", 3, 3 + len(secret))]
+    cut = "\n".join(secret[i:i + 50] for i in range(0, len(secret), 50))
+    assert confirmed_spans(f"k: {cut}\nafter") == [("sshkey" if key.startswith(b"openssh") else "der", 3, 3 + len(cut))]
+
+
+def test_wrapped_candidates_take_linear_time():
+    head = b64(bytes.fromhex("30847fffffff020100"))  # claims more than there is
+    assert confirmed_spans(f"{head} " * 50_000) == []
+    assert confirmed_spans((b64(bytes.fromhex("3083010000020100")) [:10] + " ") * 50_000) == []
+    assert confirmed_spans("b3BlbnNzaC1rZXktdjEA\n" * 20_000) == []
+    assert confirmed_spans("-----BEGIN PRIVATE KEY-----\n" * 5_000 + "-----END PRIVATE KEY-----" * 5_000) == []
