@@ -122,3 +122,50 @@ def test_query_against_brute_force(spark, sf):
 def test_no_python_in_the_plan(spark, sf):
     plan = QUERIES["op6_quality_rules"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_small_strata_by_one_joint_path(spark, scratch):
+    """Strata of some 300 good documents, too few for a test of each rule, and one of too few for any."""
+    import random
+    r, rows, labels = random.Random(3), [], []
+    for i in range(1_600):
+        stratum = None if i % 40 == 0 else ["en", "de"][i % 2]
+        bad, labelled = i % 8 == 1 or i % 8 == 4, i % 2000 < 850
+        words = [f"{r.choice('abcXYZ')}{r.randrange(900)}" + ("##" if bad and r.random() < 0.6 else "") for _ in range(60)]
+        rows.append((i, " ".join(words), stratum, "s", 0))
+        if labelled:
+            labels.append((i, 0 if bad else 1, 0))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    got = {x.doc_id: x for x in QUERIES["op6_quality_rules"](spark, scratch).collect()}
+    bad = {i for i, q, _ in labels if q == 0}
+    stratum = {i: s for i, _, s, *_ in rows}
+    for s in ("en", "de"):
+        mine = [i for i, *_ in labels if stratum[i] == s]
+        n, k = sum(i not in bad for i in mine), sum(i not in bad and not got[i].kept for i in mine)
+        assert 234 <= n < 1_000  # three strata: log(0.05 / 3) / log(0.98) = 203
+        assert sum(math.comb(n, j) * 0.02 ** j * 0.98 ** (n - j) for j in range(k + 1)) <= 0.05 / 3
+        assert not any(got[i].kept for i in mine if i in bad)
+        # unlabelled rows are judged by the same cutoffs
+        rest = {q: [got[i].kept for i in stratum if stratum[i] == s and i >= 850 and (i % 8 in (1, 4)) == q] for q in (True, False)}
+        assert sum(rest[True]) <= 0.05 * len(rest[True]) and sum(rest[False]) >= 0.95 * len(rest[False])
+    assert all(x.kept for i, x in got.items() if stratum[i] is None)
+
+
+def test_the_path_takes_every_step_once_and_bad_ones_first():
+    zero, bad, other = ({r: [0] * (rules.STEPS + 1) for r in RULES} for _ in range(3))
+    for r in RULES:
+        other[r][20], other[r][41], bad[r][41] = 50, 950, 100
+    bad["symbols"][10], bad["symbols"][41], bad["lines"][3], bad["lines"][41] = 100, 0, 1, 99
+    for x in (bad, zero):
+        moves = rules._path(x, other)
+        assert sorted(moves) == sorted((r, k) for r in RULES for k in range(rules.STEPS))
+        for r in RULES:
+            assert [k for q, k in moves if q == r] == list(range(rules.STEPS))
+    assert rules._path(bad, other)[:11] == [("symbols", k) for k in range(11)]
+
+
+def test_joint_cutoffs_of_odd_labels(spark, edge, empty):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (99, 1)], "doc_id long, quality int")
+    assert judge(edge, labels, joint=True).count() == 11 and judge(empty, labels, joint=True).count() == 0
+    assert judge(edge, labels.limit(0), joint=True).count() == 11
