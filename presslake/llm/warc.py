@@ -49,11 +49,38 @@ def leaves(records: DataFrame) -> DataFrame:
 
 
 def replica_leaves(manifest: DataFrame, records: DataFrame) -> DataFrame:
-    """The leaves of a replica: the manifest's ranges with the hashes of what the
-    replica (``n``, ``record``) has there, NULL where it has nothing."""
-    held = records.select(F.col("n").alias("_n"), F.sha2("record", 256).alias("hash"))
-    return (manifest.drop("hash").join(held, F.col("n") == F.col("_n"), "left")
-            .select("n", "shard", "start", "end", "hash"))
+    """``(n, shard, start, end, hash, extra)`` of every place that the manifest or the
+    replica has: the hash of the replica's record there, NULL where it has nothing, and
+    how many further records it holds at that place.
+
+    ``records`` has ``n`` and ``record`` and, where the replica keeps an index of its
+    own, the ranges ``start`` and ``end`` that it states. Without these a missing or
+    changed record does not move those behind it: a place of the manifest keeps its
+    range, and one beyond it has none. Of several records at a place the manifest's own
+    comes first. Records without a place are at one place after all others.
+    """
+    names = ["start", "end"]
+    last = max(x.agg(F.max("n")).first()[0] or 0 for x in (manifest, records))
+    stated = set(names) <= set(records.columns)
+    held = records.select(F.coalesce(F.col("n").cast("long"), F.lit(last + 1)).alias("_n"), F.sha2("record", 256).alias("_hash"),
+                          *[(F.col(c) if stated else F.lit(None)).cast("long").alias(f"_{c}") for c in names])
+    # equal records of one place are counted before they meet
+    held = held.groupBy("_n", "_hash", "_start", "_end").agg(F.count("*").alias("_count"))
+    ranges = [F.col(f"_{c}") if stated else F.col(c) for c in names]
+    ranges = [F.when(F.col("_n").isNull(), F.col(c)).otherwise(x).alias(c) for c, x in zip(names, ranges)]
+    moved = ~(ranges[0].eqNullSafe(F.col("start")) & ranges[1].eqNullSafe(F.col("end")))
+    first = F.min(F.struct((~F.col("hash").eqNullSafe(F.col("_hash"))).alias("other"), moved.alias("moved"),
+                           F.col("_hash").alias("hash"), *ranges)).alias("first")
+    both = manifest.join(held, F.col("n") == F.col("_n"), "full").withColumn("_place", F.coalesce("n", "_n"))
+    both = both.groupBy("_place").agg(first, F.min("shard").alias("shard"), F.sum("_count").alias("count"))
+    size = FAN_OUT ** SHARD_LEVEL
+    return both.select(F.col("_place").alias("n"), F.coalesce("shard", F.expr(f"_place div {size}")).alias("shard"),
+                       "first.start", "first.end", "first.hash", (F.coalesce("count", F.lit(1)) - 1).alias("extra"))
+
+
+def _further(leaf_rows: DataFrame) -> list[Column]:
+    """The number of further records of a leaf, NULL for none."""
+    return [F.when(F.col("extra") > 0, F.col("extra"))] if "extra" in leaf_rows.columns else []
 
 
 def tree(leaf_rows: DataFrame, name: str) -> list[DataFrame]:
@@ -67,7 +94,7 @@ def tree(leaf_rows: DataFrame, name: str) -> list[DataFrame]:
     level = written(leaf_rows.withColumnRenamed("n", "idx"), f"{name}-0")
     levels, nodes = [level], level.agg(F.max("idx")).first()[0]
     while nodes:
-        child = F.concat_ws(":", F.coalesce("hash", F.lit("-")), "start", "end")
+        child = F.concat_ws(":", F.coalesce("hash", F.lit("-")), "start", "end", *_further(level))
         kids = F.sort_array(F.collect_list(F.struct("idx", child.alias("child"))))
         level = level.groupBy(F.expr(f"idx div {FAN_OUT}").alias("idx")).agg(
             F.min("shard").alias("shard"), F.min("start").alias("start"), F.max("end").alias("end"), kids.alias("kids"))
@@ -79,27 +106,40 @@ def tree(leaf_rows: DataFrame, name: str) -> list[DataFrame]:
 
 
 def audit(good: list[DataFrame], other: list[DataFrame]) -> DataFrame:
-    """``(n, shard, start, end, state)`` of the records in which two trees differ:
-    ``changed``, or ``missing`` where the other has nothing.
+    """``(n, shard, start, end, state)`` of the places in which two trees differ:
+    ``missing`` where the other has nothing, ``changed`` where it has other bytes,
+    ``shifted`` where it has the bytes in another range or at another differing place,
+    and ``extra``, in a row of its own, where it has records more than the first.
 
     Roots are compared first; below a node only the children of mismatching nodes
     are read, so equal replicas cost one comparison and a few damaged records
-    a path each.
+    a path each. Nodes that only one tree has mismatch, so the other may be larger.
     """
-    if len(good) != len(other):
-        raise ValueError("trees of the same manifest are compared")
+    if len(good) > len(other):
+        raise ValueError("the other tree has at least the levels of the first")
     wrong = None
     for k in range(len(good) - 1, -1, -1):
-        ours, theirs = good[k], other[k].select(F.col("idx").alias("_idx"), F.col("hash").alias("_hash"))
+        further = F.coalesce(*_further(other[k]), F.lit(0)).alias("_extra")
+        ours = good[k]
+        theirs = other[k].select(*[F.col(c).alias(f"_{c}") for c in ("idx", "shard", "start", "end", "hash")], further)
         if wrong is not None:
-            parents = wrong.select(F.col("idx").alias("_parent"))
+            parents = wrong.select(F.col("idx").alias("_parent")).distinct()
             ours = ours.join(parents, F.expr(f"idx div {FAN_OUT}") == F.col("_parent"), "left_semi")
             theirs = theirs.join(parents, F.expr(f"_idx div {FAN_OUT}") == F.col("_parent"), "left_semi")
-        met = ours.join(theirs, ours["idx"] == theirs["_idx"], "left")
-        met = met.where(~F.col("hash").eqNullSafe(F.col("_hash")))
-        state = F.when(F.col("_hash").isNull(), "missing").otherwise("changed")
-        wrong = written(met.select("idx", "shard", "start", "end", state.alias("state")), f"mismatch-{k}")
-    return wrong.withColumnRenamed("idx", "n")
+        met = ours.join(theirs, ours["idx"] == theirs["_idx"], "full")
+        same = F.col("hash").eqNullSafe(F.col("_hash"))
+        moved = same & ~(F.col("start").eqNullSafe(F.col("_start")) & F.col("end").eqNullSafe(F.col("_end")))
+        state = (F.when(F.col("idx").isNull(), "extra").when(~same & F.col("_hash").isNull(), "missing")
+                 .when(~same, "changed").when(moved, "shifted"))
+        more = F.when(F.col("idx").isNotNull() & (F.col("_extra") > 0), "extra")
+        met = met.withColumn("state", F.explode(F.array_compact(F.array(state, more))))
+        wrong = written(met.select(*[F.coalesce(c, f"_{c}").alias(c) for c in ("idx", "shard", "start", "end")],
+                                   "hash", "_hash", "state"), f"mismatch-{k}")
+    # bytes that a differing place of the other holds have not been lost
+    there = wrong.where("_hash IS NOT NULL AND NOT hash <=> _hash").select(F.col("_hash").alias("_there")).distinct()
+    found = wrong.join(there, F.col("hash") == F.col("_there"), "left")
+    gone = F.col("state").isin("missing", "changed") & F.col("_there").isNotNull()
+    return found.select(F.col("idx").alias("n"), "shard", "start", "end", F.when(gone, "shifted").otherwise(F.col("state")).alias("state"))
 
 
 def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,26 @@ def test_query_against_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet'")
     assert sorted(map(tuple, got.collect())) == sorted(con.execute(ORACLE_SQL["op8_warc_fixity"]).fetchall())
+
+
+def test_audit_of_what_a_replica_holds_beyond_the_manifest(spark, small):
+    kept = warc.archive(pages(spark, 40)).select("n", "record")
+    manifest = warc.tree(warc.leaves(kept), "m")
+    places = manifest[0].withColumnRenamed("idx", "n")
+
+    def found(replica):
+        return sorted((x.n, x.state) for x in warc.audit(manifest, warc.tree(warc.replica_leaves(places, replica), "r")).collect())
+    added = spark.createDataFrame([(n, f"new {n}") for n in (40, 41, 100)], "n long, record string")
+    assert found(kept.unionByName(added)) == [(40, "extra"), (41, "extra"), (100, "extra")]
+    twice = kept.unionByName(kept.where("n IN (3, 39)")).unionByName(kept.where("n = 3"))
+    assert found(twice) == [(3, "extra"), (39, "extra")]
+    other = kept.withColumn("record", F.when(F.col("n") == 3, F.lit("x")).otherwise(F.col("record"))).unionByName(added.selectExpr("3L", "record").limit(1).toDF("n", "record"))
+    assert found(other) == [(3, "changed"), (3, "extra")]
+    assert found(kept.unionByName(spark.createDataFrame([(None, "no place")], "n long, record string"))) == [(40, "extra")]
+    # a record put in at 30 moves those behind it
+    put = kept.withColumn("n", F.col("n") + (F.col("n") >= 30).cast("long")).unionByName(added.selectExpr("30L", "record").limit(1).toDF("n", "record"))
+    assert found(put) == [(n, "shifted") for n in range(30, 40)] + [(40, "extra")]
+    # the replica's own index of ranges
+    index = kept.join(places.select("n", "start", "end"), "n")
+    assert found(index) == []
+    assert found(index.withColumn("start", F.col("start") + (F.col("n") == 7).cast("long"))) == [(7, "shifted")]
