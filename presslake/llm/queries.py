@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from presslake.llm.centroids import OP12_SQL, op12_centroids
 from presslake.llm.mixing import op9_mixing
 from presslake.llm.packing import op4_packing
+from presslake.llm.personal import op13_pii
 from presslake.llm.quality import op7_quality
 from presslake.llm.rules import op6_quality_rules
 from presslake.llm.secrets import op10_secrets
@@ -24,8 +26,11 @@ QUERIES = {
     "op8_warc_fixity": op8_warc_fixity,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op12_centroids": op12_centroids,
+    "op13_pii": op13_pii,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_top_k": OP2_SQL,
     "op8_warc_fixity": OP8_SQL,
+    "op12_centroids": OP12_SQL,
 }
