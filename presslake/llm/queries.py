@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from presslake.llm.centroids import OP12_SQL, op12_centroids
+from presslake.llm.conversations import op11_conversations
 from presslake.llm.mixing import op9_mixing
 from presslake.llm.packing import op4_packing
 from presslake.llm.personal import op13_pii
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_warc_fixity": op8_warc_fixity,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_conversations": op11_conversations,
     "op12_centroids": op12_centroids,
     "op13_pii": op13_pii,
 }
