@@ -22,9 +22,13 @@ def unseen(candidates: DataFrame, seen: DataFrame, key: str = "url",
     Of the seen set, which grows without bound, only the key is read; the
     planner picks the anti join's form. A NULL key is never seen.
     """
+    return first_listed(candidates, key, order).join(seen.select(key), key, "left_anti")
+
+
+def first_listed(candidates: DataFrame, key: str = "url", order: tuple[str, ...] = ("position",)) -> DataFrame:
+    """Each key once, at its first place (see :func:`unseen`)."""
     rest = [c for c in candidates.columns if c != key]
-    once = dedup_first(candidates, key, [c for c in order if c in rest] + [c for c in rest if c not in order])
-    return once.join(seen.select(key), key, "left_anti")
+    return dedup_first(candidates, key, [c for c in order if c in rest] + [c for c in rest if c not in order])
 
 
 def newest_by_source(articles: DataFrame, mode: str = "timestamp") -> DataFrame:

@@ -39,6 +39,32 @@ def decode_messages(messages: DataFrame, schema: T.StructType = ARTICLE_SCHEMA,
             .select("data.*", "kafka_timestamp", *[k for k in keep if k in messages.columns]))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def reject_reason(text, corrupt):
+    """Why a message's text is no record, NULL if it is one: ``null``, ``empty``, or ``malformed`` (not one JSON object)."""
+    return (F.when(text.isNull(), F.lit("null")).when(text.rlike(r"^\s*$"), F.lit("empty"))
+            .when(corrupt.isNotNull(), F.lit("malformed")))
+
+
+def decode_or_reject(messages: DataFrame, schema: T.StructType = ARTICLE_SCHEMA, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """:func:`decode_messages` with ``reason`` and ``value_text``: both NULL for a record, else why it is none and its text."""
+    kept = [k for k in keep if k in messages.columns]
+    record = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = messages.select(F.col("value").cast("string").alias("_text"), F.col("timestamp").alias("kafka_timestamp"), *kept)
+    parsed = parsed.withColumn("data", F.from_json("_text", record, {"columnNameOfCorruptRecord": CORRUPT}))
+    reason = reject_reason(F.col("_text"), F.col(f"data.{CORRUPT}"))
+    return parsed.select(*[F.col(f"data.{f}").alias(f) for f in schema.fieldNames()], "kafka_timestamp", *kept,
+                         reason.alias("reason"), F.when(reason.isNotNull(), F.col("_text")).alias("value_text"))
+
+
+def message_rejects(messages: DataFrame, schema: T.StructType = ARTICLE_SCHEMA, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """Dead letters ``(kafka_timestamp, offset, reason, value_text)``: every message that is no record, with its text."""
+    rows = decode_or_reject(messages, schema, keep)
+    return rows.where(F.col("reason").isNotNull()).select("kafka_timestamp", *[k for k in keep if k in rows.columns], "reason", "value_text")
+
+
 def to_bronze(messages: DataFrame, schema: T.StructType = ARTICLE_SCHEMA,
               ingestion_time=None) -> DataFrame:
     """Decode + ingestion stamp (P3). ``ingestion_time`` fixes the stamp."""

@@ -63,12 +63,12 @@ def valid_articles(bronze: DataFrame) -> DataFrame:
     return bronze.filter(is_valid_article())
 
 
-def project_silver(df: DataFrame, with_ingestion: bool = True) -> DataFrame:
-    """Cleaned columns in the silver order."""
+def project_silver(df: DataFrame, with_ingestion: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Cleaned columns in the silver order, then ``keep``."""
     cols = [v.alias(k) for k, v in silver_columns(df).items()]
     if with_ingestion and "ingestion_time" in df.columns:
         cols.append(F.col("ingestion_time"))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def to_silver(bronze: DataFrame, order: Sequence[str] = ("kafka_timestamp", "offset"),

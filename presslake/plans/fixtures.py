@@ -96,6 +96,21 @@ def article_cols() -> dict[str, str]:
     }
 
 
+def arrival_cols() -> dict[str, str]:
+    """Documents as they arrive: keyed by their text, one a second."""
+    return {"url": "md5(text)", "position": "doc_id", "source": "source", "lang": "lang",
+            "arrived": "timestamp_seconds(1704067200 + doc_id)"}
+
+
+def raw_message_cols() -> dict[str, str]:
+    """Documents as raw messages: JSON objects, and by row id cut ones, lists, prose, blanks and nothing."""
+    record = """concat('{"titre":"', md5(text), '","url":"https://news.example.org/', cast(doc_id as string), '"}')"""
+    return {"offset": "doc_id",
+            "value_text": (f"CASE doc_id % 9 WHEN 1 THEN substring({record}, 1, 30) WHEN 2 THEN concat('[', {record}, ']') "
+                           "WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 5 THEN text WHEN 6 THEN concat(' ', chr(10)) "
+                           f"ELSE {record} END")}
+
+
 # ---------------------------------------------------------------- listings
 
 def page_listing_cols() -> dict[str, str]:

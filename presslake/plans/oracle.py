@@ -394,6 +394,13 @@ def oracle_sql() -> dict[str, str]:
         f"QUALIFY row_number() OVER (PARTITION BY url ORDER BY msg_offset) = 1) d")
     q["dedup_first"] = ("SELECT event_id, ts, user_id, event_type, value, props FROM events "
                         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1")
+    q["stream_first_arrivals"] = ("SELECT md5(text) AS url, doc_id AS position, source, lang FROM documents "
+                                  "QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id NULLS FIRST) = 1")
+    # JSON judged by the database's own parser
+    q["message_rejects"] = (f"SELECT * FROM (SELECT msg AS doc_id, CASE WHEN v IS NULL THEN 'null' WHEN regexp_full_match(v, '\\s*') "
+                            f"THEN 'empty' WHEN json_type(try_cast(v AS JSON)) = 'OBJECT' THEN NULL ELSE 'malformed' END AS reason, "
+                            f"v AS value_text FROM (SELECT doc_id AS msg, {FX.raw_message_cols()['value_text']} AS v FROM documents)) "
+                            f"WHERE reason IS NOT NULL")
     q["gold_from_articles"] = (f"SELECT date_parsed, source, categorie_clean, count(*) AS n, "
                                f"grouping(date_parsed, source, categorie_clean) AS gid FROM ({q['silver_articles']}) s "
                                f"GROUP BY GROUPING SETS ((date_parsed), (source), (categorie_clean), "
@@ -432,6 +439,7 @@ def oracle_sql() -> dict[str, str]:
                              f"url FROM l UNION ALL SELECT 2 * position + 1, url FROM l) SELECT min(position) AS position, url "
                              f"FROM t WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.page_id % 3 = 0 AND p.url = t.url) "
                              f"GROUP BY url")
+    q["incremental_seen_buckets"] = q["incremental_seen"]
     q["sitemap_entries"] = (f"SELECT page_id, trim(url) AS loc, CASE WHEN page_id % 5 < 3 THEN {FX.iso_of('page_id')} END "
                             f"AS pub_date FROM pages")
     q["strip_namespace"] = (f"SELECT page_id, {FX.namespaced_tag()} AS tag, CASE page_id % 3 WHEN 0 THEN 'loc' "

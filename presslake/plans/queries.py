@@ -20,13 +20,16 @@ from presslake.operators import gold as G
 from presslake.operators import incremental as I
 from presslake.operators import listing as L
 from presslake.operators import metrics as M
-from presslake.operators.messages import decode_messages, encode_messages, to_bronze
+from presslake.operators.messages import decode_messages, encode_messages, message_rejects, to_bronze
 from presslake.operators.quality import latest_rows, profile
 from presslake.operators.ranking import global_row_number
 from presslake.operators.silver import dedup_first, project_silver, to_silver, valid_articles
 from presslake.plans import fixtures as FX
+from presslake.session import new_path, use_rocksdb
+from presslake.sinks.seen import SeenTable
 from presslake.sources.sitemap import entry_columns, parse_entry
-from presslake.sources.tables import table
+from presslake.sources.tables import table, table_stream
+from presslake.streaming.dedup import first_arrivals
 
 
 def _derive(df: DataFrame, cols: dict[str, str]) -> DataFrame:
@@ -175,6 +178,35 @@ def q_dedup_first(spark, sf):
     return dedup_first(ev, "user_id", ["ts", "event_id"])
 
 
+def q_stream_first_arrivals(spark, sf):
+    """D1/R3 as a bounded stream over all documents: the first of each text, by the library's own state."""
+    use_rocksdb(spark)
+    rows = _derive(table_stream(spark, sf, "documents"), FX.arrival_cols())
+    out = new_path(spark, "first-arrivals")
+    (first_arrivals(rows, "url", ("position",), mode="global", event_time="arrived").drop("arrived").writeStream.format("parquet")
+     .option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{out}/rows").where(~F.col("late")).select("url", "position", "source", "lang")
+
+
+def q_incremental_seen_buckets(spark, sf):
+    """The polled listing against a seen table in buckets, written by three earlier runs and compacted once."""
+    seen = SeenTable(spark, new_path(spark, "seen"), buckets=16)
+    earlier = table(spark, sf, "pages").where("page_id % 3 = 0").select("url", F.expr("page_id % 9 / 3").cast("int").alias("run"))
+    for run in range(3):
+        seen.add(earlier.where(F.col("run") == run), run)
+    seen.compact(1, least=2)
+    listing = page_listing(spark, sf).select((F.col("position") * 2).alias("position"), F.col("loc").alias("url"))
+    twice = listing.union(listing.select((F.col("position") + 1).alias("position"), "url"))
+    return seen.unseen(I.first_listed(twice, "url")).select("position", "url")
+
+
+def q_message_rejects(spark, sf):
+    """Dead letters among well-formed, cut, wrapped, empty and missing messages."""
+    msgs = _derive(table(spark, sf, "documents"), FX.raw_message_cols())
+    msgs = msgs.select(F.col("value_text").cast("binary").alias("value"), F.lit(FX.AS_OF).cast("timestamp").alias("timestamp"), "offset")
+    return message_rejects(msgs).select(F.col("offset").alias("doc_id"), "reason", "value_text")
+
+
 def q_silver_profile(spark, sf):
     pre = project_silver(valid_articles(bronze_articles(spark, sf)), with_ingestion=False)
     return profile(pre)
@@ -437,7 +469,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "message_decode": q_message_decode,
     "message_roundtrip": q_message_roundtrip,
     "silver_articles": q_silver_articles,
+    "message_rejects": q_message_rejects,
     "dedup_first": q_dedup_first,
+    "stream_first_arrivals": q_stream_first_arrivals,
     "silver_profile": q_silver_profile,
     "silver_latest5": q_silver_latest5,
     "gold_par_jour": _gold_table("articles_par_jour"),
@@ -456,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_hwm_text": q_incremental_hwm_text,
     "incremental_unseen": q_incremental_unseen,
     "incremental_seen": q_incremental_seen,
+    "incremental_seen_buckets": q_incremental_seen_buckets,
     "sitemap_entries": q_sitemap_entries,
     "strip_namespace": q_strip_namespace,
     "run_clock_text": q_run_clock_text,

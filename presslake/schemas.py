@@ -22,6 +22,15 @@ BRONZE_SCHEMA = T.StructType(ARTICLE_SCHEMA.fields + [
     T.StructField("ingestion_time", T.TimestampType()),
 ])
 
+#: Dead letters beside bronze.
+REJECT_SCHEMA = T.StructType([
+    T.StructField("kafka_timestamp", T.TimestampType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("ingestion_time", T.TimestampType()),
+    T.StructField("reason", _S),
+    T.StructField("value_text", _S),
+])
+
 SILVER_COLUMNS = ["url", "titre_clean", "auteur_clean", "categorie_clean", "date_parsed",
                   "source", "contenu_clean", "ingestion_time"]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -15,8 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
@@ -48,6 +48,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Stateful processors need this state store; streams started from here on use it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``)."""
     return ensure_checkpoint_dir(spark)

@@ -1,89 +1,20 @@
-"""Operational feeds: per-batch counts -> metric samples.
+"""Operational feeds: per-batch counts -> metric samples.
 
 The layer counters of the original job lived in process memory and
-restarted at 0. Here each micro-batch's observed row count is a row
-``(query, batch_id, ts, n)``; running totals are derived by a window over
+restarted at 0. Here each micro-batch writes its row count as a row
+``(query, batch_id, ts, n)`` (``epochs.py``); running totals are derived by a window over
 those rows, so they survive restarts and can be recomputed.
 """
 
 from __future__ import annotations
 
-import threading
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
 
 from presslake.operators.metrics import running_total
 from presslake.sources.sitemap import read_sitemap
 from presslake.streaming.layers import dedup_stream, trigger_kwargs
 
-BATCH_SCHEMA = "query string, batch_id long, ts timestamp, n long"
-
-
-class BatchCountListener(StreamingQueryListener):
-    """Appends ``observe`` counts of every micro-batch, for queries whose
-    observation is named in ``names``, to a Parquet table at ``path``.
-
-    The driver buffers at most some ``flush_rows`` counts: a full buffer, and
-    the rest when a query ends, is written by a thread of its own. ``close`` writes what is
-    left and waits. Read the table with :func:`read_counts`.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, names=("bronze_rows", "silver_rows"), flush_rows: int = 50):
-        self.spark, self.path, self.names, self.flush_rows = spark, path, set(names), flush_rows
-        self._rows: list[tuple] = []
-        self._lock = threading.Lock()
-        self._writer = ThreadPoolExecutor(max_workers=1, thread_name_prefix="batch-counts")
-        self._writes: list = []
-
-    def onQueryStarted(self, event):
-        pass
-
-    def onQueryProgress(self, event):
-        p = event.progress
-        found = [(p.name or name, int(p.batchId), p.timestamp, int(row["n"]))
-                 for name, row in (p.observedMetrics or {}).items() if name in self.names]
-        with self._lock:
-            self._rows += found
-            full = len(self._rows) >= self.flush_rows
-        if full:
-            self._flush()
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryTerminated(self, event):
-        self._flush()
-
-    def _flush(self) -> None:
-        with self._lock:
-            rows, self._rows = self._rows, []
-            self._writes = [w for w in self._writes if not w.done() or w.exception()]
-            if rows:
-                self._writes.append(self._writer.submit(self._write, rows))
-
-    def _write(self, rows: list[tuple]) -> None:
-        df = self.spark.createDataFrame(rows, "query string, batch_id long, ts string, n long")
-        df.withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(self.path)
-
-    def close(self) -> None:
-        """Write what is left; raises what a write has raised."""
-        self._flush()
-        self._writer.shutdown(wait=True)
-        for w in self._writes:
-            w.result()
-
-
-def read_counts(spark: SparkSession, path: str, non_empty: bool = True) -> DataFrame:
-    """The written counts, each batch once (a batch that was run again after a
-    failure counts as its last run); F7: empty micro-batches are skipped by default."""
-    rows = spark.read.schema(BATCH_SCHEMA).parquet(path).groupBy("query", "batch_id").agg(
-        F.max("ts").alias("ts"), F.max_by("n", F.struct("ts", "n")).alias("n"))
-    return rows.filter(F.col("n") > 0) if non_empty else rows
-
-
 def batches_to_samples(batches: DataFrame, metric_prefix: str = "news_articles_",
                        instance: str = "streaming-job") -> DataFrame:
     """Per-batch counts -> cumulative counter samples per layer

@@ -1,0 +1,114 @@
+"""Streaming dedup with owned state: first arrivals, restart, eviction, time to live, hot keys."""
+
+import datetime as dt
+import os
+import time
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from presslake.operators.silver import dedup_first
+from presslake.streaming.dedup import first_arrivals, first_pass
+
+T0 = dt.datetime(2026, 5, 19, 12, 0, 0)
+SCHEMA = "url string, kafka_timestamp timestamp, offset long, body string, ingestion_time timestamp"
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame([(u, None if t is None else T0 + dt.timedelta(seconds=t), o, b, T0 + dt.timedelta(minutes=m))
+                                  for u, t, o, b, m in rows], SCHEMA)
+
+
+def _write(spark, scratch, rows):
+    _rows(spark, rows).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+
+
+def _run(spark, scratch, **kw):
+    sdf = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    out = first_arrivals(sdf, **kw)
+    (out.writeStream.format("parquet").option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{scratch}/out")
+
+
+ROW = st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 10**6), st.just("x"), st.integers(0, 2))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ROW, min_size=1, max_size=30, unique_by=lambda r: r[2]))
+def test_equals_dedup_first_on_one_batch(spark, tmp_path_factory, rows):
+    scratch = str(tmp_path_factory.mktemp("first"))
+    _write(spark, scratch, rows)
+    got = _run(spark, scratch, mode="global", delay="1 hour")
+    assert not got.where("late").count() and got.agg(F.sum("copies")).first()[0] <= len(rows)
+    want = dedup_first(_rows(spark, rows), "url", ["kafka_timestamp", "offset"])
+    names = ["url", "kafka_timestamp", "offset", "body", "ingestion_time"]
+    assert sorted(map(repr, got.select(names).collect())) == sorted(map(repr, want.select(names).collect()))
+
+
+def _urls(df):
+    return sorted((r.url, r.offset) for r in df.where("NOT late").collect())
+
+
+def test_restart_and_eviction(spark, scratch):
+    for mode in ("bounded", "global"):
+        d = f"{scratch}/{mode}"
+        _write(spark, d, [("a", 5, 2, "", 0), ("a", 5, 1, "", 0), ("b", 1, 3, "", 0)])
+        assert _urls(_run(spark, d, mode=mode, delay="10 minutes")) == [("a", 1), ("b", 3)]
+        _write(spark, d, [("a", 0, 4, "", 5), ("c", 0, 5, "", 180)])          # after a restart, a is known
+        _write(spark, d, [("d", 0, 6, "", 180)])                              # the watermark has passed a and b
+        _write(spark, d, [("a", 0, 7, "", 181)])
+        got = _run(spark, d, mode=mode, delay="10 minutes")
+        again = [("a", 7)] if mode == "bounded" else []
+        assert _urls(got) == sorted([("a", 1), ("b", 3), ("c", 5), ("d", 6)] + again)
+    assert not got.where("late").count()
+
+
+def test_time_to_live(spark, scratch):
+    _write(spark, scratch, [("a", 0, 1, "", 0), ("a", 0, 0, "", 0)])
+    sdf = spark.readStream.schema(SCHEMA).parquet(f"{scratch}/in")
+    out = first_arrivals(sdf, mode="ttl", ttl="2 seconds")
+    q = (out.writeStream.format("parquet").option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(processingTime="1 second").start())
+
+    def wait_for(want):
+        end = time.time() + 40
+        while time.time() < end:
+            if os.path.isdir(f"{scratch}/out/_spark_metadata") and _urls(spark.read.schema(out.schema).parquet(f"{scratch}/out")) == want:
+                return True
+            time.sleep(0.3)
+        return False
+    try:
+        assert wait_for([("a", 0)])
+        time.sleep(3)
+        _write(spark, scratch, [("a", 0, 2, "", 0)])
+        assert wait_for([("a", 0), ("a", 2)])
+    finally:
+        q.stop()
+    with pytest.raises(ValueError):
+        first_arrivals(_rows(spark, [("a", 0, 1, "", 0)]), mode="ttl")
+
+
+def test_a_hot_key_reaches_the_state_about_once_a_task(spark, scratch):
+    rows = spark.range(0, 400_000, numPartitions=4).select(
+        F.when(F.col("id") % 4 < 3, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"),
+        F.lit(T0).alias("kafka_timestamp"), (F.lit(400_000) - F.col("id")).alias("offset"), F.lit("body").alias("body"), F.lit(T0).alias("ingestion_time"))
+    out = first_pass(rows, ["url"], ["kafka_timestamp", "offset"]).cache()
+    hot = out.where("url = 'hot'")
+    assert hot.count() <= 4 * 4 and hot.agg(F.min("offset"), F.sum("copies")).first() == (2, 300_000)
+    assert out.where("url <> 'hot'").count() == 100_000 and out.agg(F.sum("copies")).first()[0] == 400_000
+
+
+def test_hot_key_through_the_stream(spark, scratch):
+    (spark.range(0, 60_000, numPartitions=4).select(F.when(F.col("id") % 60 > 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"),
+     F.lit(T0).alias("kafka_timestamp"), F.col("id").alias("offset"), F.lit("b").alias("body"), F.lit(T0).alias("ingestion_time"))
+     .write.parquet(f"{scratch}/in"))
+    sdf = spark.readStream.schema(SCHEMA).parquet(f"{scratch}/in")
+    q = (first_arrivals(sdf, mode="global").writeStream.format("parquet").option("path", f"{scratch}/out")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{scratch}/out")
+    assert got.where("url = 'hot'").first().offset == 1 and got.count() == 1_001
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) >= 1_001
