@@ -11,6 +11,7 @@ from presslake.functions.dates import parse_timestamp
 from presslake.operators.extract import PROFILE_SEG3, Profile, extract_articles
 from presslake.operators.listing import drop_media, newer_than, valid_entries
 from presslake.operators.silver import dedup_first
+from presslake.sinks.seen import SeenTable
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, key: str = "url",
@@ -67,7 +68,7 @@ class IncrementResult:
 
 
 def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | None = None,
-                    seen: DataFrame | None = None, profile: Profile = PROFILE_SEG3,
+                    seen: DataFrame | SeenTable | None = None, profile: Profile = PROFILE_SEG3,
                     source: str | None = None, as_of: str | None = None,
                     mode: str = "timestamp", media_filter: bool = False, require_date: bool = True,
                     capture_order: tuple[str, ...] = ("page_id",)) -> IncrementResult:
@@ -92,8 +93,10 @@ def run_incremental(listing: DataFrame, pages: DataFrame, state: DataFrame | Non
     if state is not None:
         cand = newer_than(cand, state, mode)
     cand = cand.withColumnRenamed("loc", "url")
-    if seen is not None:
+    if isinstance(seen, DataFrame):
         cand = unseen(cand, seen, "url")
+    elif seen is not None:  # a table in buckets: only those of the candidates are read
+        cand = seen.unseen(first_listed(cand, "url"))
     # only the captured pages of the candidates are read into the join, one
     # capture per url (the latest); the aggregate runs on the reduced rows
     captured = pages.select("url", "html", *capture_order).join(cand.select("url"), "url", "left_semi")

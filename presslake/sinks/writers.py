@@ -22,18 +22,16 @@ def write_messages(messages: DataFrame, path: str | None = None, kind: str = "fi
         raise ValueError(f"unknown message sink {kind!r}")
 
 
+def state_rows(state: DataFrame, run_ts: str) -> DataFrame:
+    """K6: the new marks as rows of the state log, of which the latest run's counts."""
+    return state.select("source", "last_date", F.lit(run_ts).cast("timestamp").alias("run_ts"))
+
+
 def write_state(state: DataFrame, path: str, run_ts: str) -> None:
     """K6: append the new marks to the state log. Each run commits its own
     files, so a crash leaves the previous mark readable; call it only
     after the messages of the run are published."""
-    (state.select("source", "last_date", F.lit(run_ts).cast("timestamp").alias("run_ts"))
-     .write.mode("append").parquet(path))
-
-
-def write_seen(tried: DataFrame, path: str, run_ts: str) -> None:
-    """D3: append the URLs a run has tried, whether they succeeded or not."""
-    (tried.select("url").distinct().withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
-     .write.mode("append").parquet(path))
+    state_rows(state, run_ts).write.mode("append").parquet(path)
 
 
 @dataclass

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslake.schemas import STATE_SCHEMA
+from presslake.sinks.seen import SeenTable
 
 
 class SilverMissing(RuntimeError):
@@ -31,9 +32,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
     """D3: the URLs earlier runs have tried; empty before the first run. A folder
     that is there but cannot be read is an error, not an empty set."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], "url string")
-    return spark.read.schema("url string, run_ts timestamp").parquet(path).select("url")
+    return SeenTable(spark, path).read()
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -41,6 +40,6 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     ``(source, last_date, run_ts)``; empty when nothing was written yet."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], STATE_SCHEMA)
-    log = spark.read.parquet(path)
+    log = spark.read.schema("source string, last_date string, run_ts timestamp").option("recursiveFileLookup", "true").parquet(path)
     return (log.groupBy("source")
             .agg(F.max_by("last_date", "run_ts").alias("last_date")))

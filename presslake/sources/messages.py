@@ -30,9 +30,10 @@ def read_messages(spark: SparkSession, path: str | None = None, kind: str = "fil
         return df.select("value", "timestamp", "offset")
     if kind != "files":
         raise ValueError(f"unknown message source {kind!r}")
+    # folders of committed runs, or plain files; what is staged lies in folders that are not listed
     if streaming:
-        r = spark.readStream.schema(MESSAGE_SCHEMA)
+        r = spark.readStream.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", "true")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
         return r.parquet(path)
-    return spark.read.schema(MESSAGE_SCHEMA).parquet(path)
+    return spark.read.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", "true").parquet(path)

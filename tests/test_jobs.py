@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from presslake.jobs import run_gold, run_ingest, verify_silver
 from presslake.sinks import GoldTarget
 from presslake.sources.layers import read_seen, read_state
@@ -107,3 +109,57 @@ def test_captures_need_an_order(spark):
                                      (None, "https://n/x/b", "<h1>only</h1>")], "page_id long, url string, html string")
     both = run_incremental(_polled(spark, ["https://n/x/a", "https://n/x/b"]), null_id, require_date=False)
     assert sorted(r.titre for r in both.articles.collect()) == ["new", "only"]
+
+
+def _crash_run(spark, scratch, ts="2026-05-19 12:00:00"):
+    listing = spark.createDataFrame([(i, f"https://n/x/{u}", f"2026-05-19T1{i}:00:00Z", "aj") for i, u in enumerate("abc")],
+                                    "position long, loc string, pub_date string, source string")
+    pages = spark.createDataFrame([(i, f"https://n/x/{u}", f"<h1>{u}</h1><p>t</p>") for i, u in enumerate("ab")], "page_id long, url string, html string")
+    return run_ingest(spark, listing, pages, f"{scratch}/m", f"{scratch}/st", ts, quarantine_path=f"{scratch}/q", seen_path=f"{scratch}/seen")
+
+
+def _one_copy(spark, scratch):
+    assert read_messages(spark, f"{scratch}/m", streaming=False).count() == 2
+    assert [r.url for r in spark.read.parquet(f"{scratch}/q").collect()] == ["https://n/x/c"]
+    assert sorted(r.url[-1] for r in read_seen(spark, f"{scratch}/seen").collect()) == ["a", "b", "c"]
+    assert [tuple(r) for r in read_state(spark, f"{scratch}/st").collect()] == [("aj", "2026-05-19T11:00:00Z")]
+
+
+CRASHES = [("stage", n) for n in range(1, 5)] + [("write_text", 1)] + [("publish", n) for n in range(1, 5)] + [("add", 1), ("delete", 1)]
+
+
+@pytest.mark.parametrize("step, nth", CRASHES)
+def test_a_crash_in_an_ingest_leaves_one_copy_after_the_rerun(spark, scratch, monkeypatch, step, nth):
+    from presslake.jobs import Ingest
+    from presslake.sinks.files import Files
+    from presslake.sinks.seen import SeenTable
+    owner = {"stage": Ingest, "add": SeenTable}.get(step, Files)
+    real, calls = getattr(owner, step), []
+
+    def dies(self, *args, **kw):
+        calls.append(1)
+        if step == "stage":           # the write itself is done
+            real(self, *args, **kw)
+        if len(calls) == nth:
+            raise RuntimeError("killed")
+        if step != "stage":
+            return real(self, *args, **kw)
+    monkeypatch.setattr(owner, step, dies)
+    with pytest.raises(RuntimeError):
+        _crash_run(spark, scratch)
+    monkeypatch.undo()
+    if step in ("stage", "write_text"):   # not committed: readers see nothing of it
+        assert not os.path.exists(f"{scratch}/m/run=20260519120000") and read_seen(spark, f"{scratch}/seen").count() == 0
+    _crash_run(spark, scratch)
+    _one_copy(spark, scratch)
+    assert _crash_run(spark, scratch) is None        # and once more: committed
+    _crash_run(spark, scratch, "2026-05-19 13:00:00")  # the next run finds nothing new
+    _one_copy(spark, scratch)
+
+
+def test_messages_of_committed_runs_reach_bronze_once(spark, scratch):
+    from presslake.streaming import run_available_now
+    _crash_run(spark, scratch)
+    for _ in range(2):
+        run_available_now(spark, read_messages(spark, f"{scratch}/m"), f"{scratch}/b", f"{scratch}/s", f"{scratch}/ck", counts_path=f"{scratch}/c")
+    assert spark.read.parquet(f"{scratch}/s").count() == 2
