@@ -4,7 +4,7 @@ The vocabulary cuts a text into words before it merges bytes, so the ids of a
 *piece* (what stands between two spaces or line feeds, with the one before it) do not
 depend on its neighbours, and neither do those of the punctuation that ends it.
 Arrow cuts a batch of texts into pieces and finds the distinct ones; the
-library encodes those that the worker's bounded cache lacks; numpy lays the ids
+library encodes those that the worker's bounded cache lacks; Arrow lays the ids
 out by text. Texts where white space meets white space in ways that the cut
 does not keep, or that hold the special token's string, are encoded as a whole.
 """
@@ -22,11 +22,10 @@ import pyarrow.compute as pc
 END_ID = 0
 #: Bytes of text that are encoded at once.
 ENCODE_BYTES = 1 << 23
-#: Pieces in each of a worker's two generations (about 200 bytes each). A full young
-#: one becomes the old one, whose pieces come back when they are met again.
-CACHE_PIECES = 300_000
+#: Pieces that a worker remembers (about 50 bytes each). Beyond, it keeps those of its last texts.
+CACHE_PIECES = 1_000_000
 #: Longer pieces are encoded each time.
-CACHE_PIECE_CHARS = 64
+CACHE_PIECE_BYTES = 64
 #: Pieces the library gets in one string.
 JOINED = 50
 # What keeps a text whole: a space before white space or the end; a line feed after or before other
@@ -60,49 +59,82 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.line = self.whole(["\n"])[0][0]
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.pieces, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that the cache lacks. Those after a space go to the library
-        joined by line feeds (the run of the line feed and the space leaves the space
-        to the piece) and are split again at the line feed's id."""
-        spaced = [p for p in pieces if p and p[0] not in "\n" + _FIRST and "\n" not in p]
-        other = [p for p in pieces if not p or p[0] in "\n" + _FIRST or "\n" in p]
-        out: dict[str, bytes] = {}
-        groups = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
-        for part, ids in zip(groups, self.whole(["\n".join([" " + p for p in g]) for g in groups])):
-            ends = np.flatnonzero(ids == self.line).tolist() + [len(ids)]
-            if len(ends) != len(part):
-                other += part
-                continue
-            raw, start = ids.tobytes(), 0
-            for p, end in zip(part, ends):
-                out[p] = raw[start * 4:end * 4]
-                start = end + 1
-        plain = [p[1:] if p[:1] == _FIRST else p if p[:1] == "\n" else " " + p for p in other]
-        for p, ids in zip(other, self.whole(plain)):
-            out[p] = ids.tobytes()
-        return out
-
-    def _known(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct pieces end to end, and how many each has."""
-        if len(self.cache) > CACHE_PIECES:
-            self.old, self.cache = self.cache, {}
-        cache = self.cache
-        found = list(map(cache.get, pieces))
-        lost = [i for i, ids in enumerate(found) if ids is None]
-        back = [self.old.get(pieces[i]) for i in lost]
-        learned = self._learn([pieces[i] for i, ids in zip(lost, back) if ids is None])
-        for i, ids in zip(lost, back):
-            piece = pieces[i]
-            found[i] = learned[piece] if ids is None else ids
-            if len(piece) <= CACHE_PIECE_CHARS:
-                cache[piece] = found[i]
-        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+    def _joined(self, words: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words without line feeds, each after ``lead`` (nothing or a space), end to end, and how many each has. The
+        library gets them joined by line feeds (a run of the line feed and a space leaves the space to the word);
+        they are split again at the line feed's id."""
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        coded = self.whole([lead + f"\n{lead}".join(g) for g in groups])
+        flat = np.concatenate(coded)
+        group = np.repeat(np.arange(len(groups)), [len(x) for x in coded])
+        between = flat == self.line
+        if (np.bincount(group[between], minlength=len(groups)) != [len(g) - 1 for g in groups]).any():
+            coded = self.whole([lead + w for w in words])
+            return np.concatenate(coded), np.array([len(x) for x in coded])
+        word = (np.cumsum(between) + group)[~between]
+        return flat[~between], np.bincount(word, minlength=len(words))
+
+    def _learn(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces as bytes. A piece stands after a space, after a line feed that it starts with, or first in its text."""
+        line, first = pc.starts_with(pieces, "\n"), pc.starts_with(pieces, _FIRST)
+        rest = pc.if_else(pc.or_(line, first), pc.utf8_slice_codeunits(pieces, 1), pieces)
+        plain = pc.and_(pc.greater(pc.binary_length(rest), 0), pc.invert(pc.match_substring(rest, "\n")))
+        line, first, plain = (x.to_numpy(zero_copy_only=False) for x in (line, first, plain))
+        bare = line | first
+        ids, lens, order = [], [], []
+        for mine, lead in ((plain & ~bare, " "), (plain & bare, "")):
+            rows = np.flatnonzero(mine)
+            if len(rows):
+                got, size = self._joined(rest.take(pa.array(rows)).to_pylist(), lead)
+                ids.append(got)
+                lens.append(size)
+                order.append(rows)
+        rows = np.flatnonzero(~plain)
+        if len(rows):
+            words = rest.take(pa.array(rows)).to_pylist()
+            coded = self.whole([w if b else " " + w for w, b in zip(words, bare[rows])])
+            ids += coded
+            lens.append(np.array([len(x) for x in coded]))
+            order.append(rows)
+        starts = np.concatenate(([0], np.cumsum(np.concatenate(lens)))) * 4
+        data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pieces), [
+            None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(np.concatenate(ids).astype("<u4"))])
+        place = np.empty(len(pieces), dtype=np.int64)
+        place[np.concatenate(order)] = np.arange(len(pieces))
+        data = data.take(pa.array(place))
+        if not line.any():
+            return data
+        feed = pa.scalar(np.array([self.line], dtype="<u4").tobytes(), pa.large_binary())
+        return pc.if_else(pa.array(line), pc.binary_join_element_wise(feed, data, pa.scalar(b"", pa.large_binary())), data)
+
+    def _known(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(ids of pieces as bytes, where those of each given distinct piece stand)."""
+        at = pc.index_in(pieces, value_set=self.pieces)
+        lost = at.is_null()
+        new = pieces.filter(lost)
+        if not len(new):
+            return self.ids, np.asarray(at, dtype=np.int64)
+        ids = pa.concat_arrays([self.ids, self._learn(new)])
+        lost = lost.to_numpy(zero_copy_only=False)
+        place = np.asarray(pc.fill_null(at, 0), dtype=np.int64)
+        place[lost] = len(self.pieces) + np.arange(len(new))
+        short = pc.less_equal(pc.binary_length(new), CACHE_PIECE_BYTES)
+        if len(self.pieces) + len(new) <= CACHE_PIECES:
+            if pc.all(short).as_py():
+                self.ids, self.pieces = ids, pa.concat_arrays([self.pieces, new])
+            else:
+                fresh = ids.slice(len(self.pieces)).filter(short)
+                self.ids = pa.concat_arrays([self.ids, fresh])
+                self.pieces = pa.concat_arrays([self.pieces, new.filter(short)])
+        else:
+            short = pc.less_equal(pc.binary_length(pieces), CACHE_PIECE_BYTES)
+            self.pieces, self.ids = pieces.filter(short), ids.take(pa.array(place)).filter(short)
+        return ids, place
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, where each text's ids begin and the last end);
@@ -135,21 +167,18 @@ class Encoder:
         end_of = np.zeros(len(pieces), dtype=np.int64)
         end_of[cut] = np.fromiter(map(ending.__getitem__, endings), np.int64, len(endings))
         stem = stems.dictionary_encode()
-        stem_ids, stem_lens = self._known(stem.dictionary.to_pylist())
-        end_ids, end_lens = self._known([_FIRST + e for e in ending])
-        stem_code = np.asarray(stem.indices, dtype=np.int64)[code]
-        end_code = end_of[code] + len(stem_lens)
+        stem_ids, stem_at = self._known(stem.dictionary)
+        end_ids, end_at = self._known(pa.array([_FIRST + e for e in ending], pa.string()))
         heads = self.whole(texts.take(pa.array(rows)).to_pylist()) if len(rows) else []
         # what is laid out: each piece's stem and ending; a text kept whole has one empty piece
-        lens = np.concatenate([stem_lens, end_lens, [len(h) for h in heads]]).astype(np.int64)
-        starts = np.cumsum(lens) - lens
         order = np.empty(2 * len(code), dtype=np.int64)
-        order[0::2], order[1::2] = stem_code, end_code
-        order[2 * bounds[rows]] = len(stem_lens) + len(end_lens) + np.arange(len(rows))
-        all_ids = np.concatenate([stem_ids, end_ids, *heads]).astype("<u4", copy=False)
-        size = lens[order]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        out = all_ids[np.repeat(starts[order] - ends[:-1], size) + np.arange(ends[-1])]
+        order[0::2] = stem_at[np.asarray(stem.indices)][code]
+        order[1::2] = end_at[end_of[code]] + len(stem_ids)
+        order[2 * bounds[rows]] = len(stem_ids) + len(end_ids) + np.arange(len(rows))
+        laid = pa.concat_arrays([stem_ids, end_ids, pa.array([h.tobytes() for h in heads], pa.large_binary())]).take(pa.array(order))
+        ends = np.frombuffer(laid.buffers()[1], np.int64, len(laid) + 1) // 4
+        data = laid.buffers()[2]
+        out = np.frombuffer(data, "<u4", int(ends[-1])) if data is not None else np.zeros(0, "<u4")
         return out, ends[2 * bounds]
 
 
