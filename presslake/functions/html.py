@@ -9,15 +9,15 @@ value (an existing but empty author element yields "").
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslake.functions.text import (ATTR_VALUE_RE, ATTRS_RE, NODE, decode_entities, html_text, let, mark_tags,
-                                      strip_ws)
+from presslake.functions.text import (ATTR_VALUE_RE, ATTRS_RE, NODE, decode_entities, decode_value, html_text, join_nodes, let,
+                                      mark_tags, strip_ws)
 
 _TAGNAME = r"[A-Za-z][A-Za-z0-9]*"
 
@@ -26,6 +26,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _extract(text: Column, pattern: Column, group: int) -> Column:
+    """``regexp_extract`` with a pattern that is a column."""
+    return F.call_function("regexp_extract", text, pattern, F.lit(group))
+
+
 def _value_eq(value: str) -> str:
     """Regex for an attribute value equal to ``value`` (case-sensitive), quoted or not."""
     v = "(?-i:" + re.escape(value) + ")"
@@ -81,73 +86,108 @@ class Selector:
 
 
 def element(html, sel: Selector, finish: bool = True) -> tuple[Column, Column]:
-    """(exists, text) of the first element matching ``sel``.
+    """(exists, text) of the first element matching ``sel``, see :func:`first_element`."""
+    text = first_element(html, [sel])
+    return text.isNotNull(), (html_text(text) if finish else mark_tags(text))
+
+
+def _found(pattern: str):
+    return lambda h: F.when(h.rlike(pattern), F.struct(h.alias("html"), F.lit(pattern).alias("pattern")))
 
-    Existence and text come from one match: the element's text runs to the
+
+def first_element(html, selectors: Sequence[Selector]) -> Column:
+    """Inner html of the first element of the first selector that matches; NULL if none does.
+
+    The selector is chosen first, by one search each; its element's text is then taken once: it runs to the
     first closing tag of its name, or is empty if there is none (a void
-    element). When that span contains another start tag of the same name, the
-    page goes to :func:`balanced_element` (an Arrow-batched helper that balances the
-    tags) and all other pages pass it NULL. For a descendant selector the
-    helper :func:`inner_html` gives the inside of the enclosing elements first.
+    element). Where that span contains another start tag of the same name, the
+    page's tags are balanced (:func:`inside`); other pages never get there. For a descendant selector
+    :func:`inner_html` gives the inside of the enclosing elements first.
     """
-    html = _c(html)
-    if sel.within:
-        html = inner_html(html, start_tag(None, sel.within), sel.guard)
-    pat = sel.pattern()
-    exists = F.coalesce(html.rlike(pat), F.lit(False))
-    if sel.guard:
-        # a byte search on the UTF-8 page skips the regex on pages that
-        # cannot match (And short-circuits)
-        exists = F.coalesce(F.instr(html, sel.guard) > 0, F.lit(False)) & exists
-    # the optional tail keeps the match at the first start tag, closed or not
-    full = pat + r"(?:(.*?)</\1\s*>)?"
-    lazy = F.regexp_extract(html, full, 2)
-    name = F.lower(F.regexp_extract(html, pat, 1))
-    nested = exists & (F.instr(F.lower(lazy), F.concat(F.lit("<"), name)) > 0)
-    inner = F.coalesce(balanced_element(sel)(F.when(nested, html)), lazy)
-    return exists, (html_text(inner) if finish else mark_tags(inner))
-
-
-def balanced_element(sel: Selector):
-    """Pandas UDF: inner html of the first element matching ``sel``, with
-    nested same-name tags balanced (NULL when unclosed). Self-contained, so
-    it is shipped by value."""
-    py_pat = sel.pattern()[len("(?is)"):]
-    attrs = ATTRS_RE
-
-    @F.pandas_udf(T.StringType())
-    def _balanced(s: pd.Series) -> pd.Series:
-        import re as _re
-
-        start_re = _re.compile(py_pat, _re.I | _re.S)
-
-        def inner_of(h):
-            if h is None:
-                return None
-            m = start_re.search(h)
-            if not m:
-                return None
-            tok = _re.compile(r"<(/?)" + _re.escape(m.group(1)) + r"(?=[\s/>])" + attrs + ">", _re.I)
-            depth, pos = 1, m.end()
-            for t in tok.finditer(h, pos):
-                if t.group(1):
-                    depth -= 1
-                elif not t.group(0).endswith("/>"):
-                    depth += 1
-                if depth == 0:
-                    return h[pos:t.start()]
-            return None
-
-        return s.map(inner_of)
-
-    return _balanced
+    html, chosen = _c(html), F.lit(None).cast("struct<html:string,pattern:string>")
+    for sel in selectors:
+        found = _found(sel.pattern())
+        # a byte search on the UTF-8 page skips the regex on pages that cannot match
+        match = let(inner_html(html, start_tag(None, sel.within), sel.guard), found) if sel.within else found(html)
+        if sel.guard:
+            match = F.when(F.instr(html, sel.guard) > 0, match)
+        chosen = F.coalesce(chosen, match)
+
+    def text(at: Column) -> Column:
+        page, pat = at["html"], at["pattern"]
+        # the optional tail keeps the match at the first start tag, closed or not
+        lazy = _extract(page, F.concat(pat, F.lit(r"(?:(.*?)</\1\s*>)?")), 2)
+        name = F.lower(_extract(page, pat, 1))
+        return let(lazy, lambda t: F.coalesce(
+            F.when(F.instr(F.lower(t), F.concat(F.lit("<"), name)) > 0, inside(page, pat, first=True)), t))
+    return let(chosen, lambda at: F.when(at.isNotNull(), text(at)))
+
+
+# A start or end tag of any name.
+TAG_EVENT_RE = r"(?is)</?" + _TAGNAME + r"(?=[\s/>])" + ATTRS_RE + ">"
+_TAG_OF = "^</?(" + _TAGNAME + ")"
+
+
+def inside(html, start_pattern: str | Column, first: bool = False) -> Column:
+    """What stands inside the outermost elements whose start tag matches ``start_pattern`` (group 1 its name), tags of an
+    element's own name balanced; NULL without any.
+
+    The page's tags are an array of events, and one pass over it keeps the open element's name and depth and notes where
+    each element begins and ends. Of all of them joined by a node border, an unclosed one runs to the end of the page;
+    with ``first``, only the first one counts, if it is closed, and a self-closed tag opens nothing.
+    """
+    if isinstance(start_pattern, str):
+        start_pattern = F.lit(start_pattern)
+    pattern = F.concat(F.lit("^"), start_pattern)
+    span = "struct<a:int,b:int>"
+
+    def spans(tags: Column) -> Column:
+        start = F.struct(F.lit(0).alias("i"), F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("a"),
+                         F.array().cast(f"array<{span}>").alias("spans"))
+
+        def step(s: Column, tag: Column) -> Column:
+            def moved(name: Column) -> Column:
+                closes = tag.startswith("</")
+                # a match has a name; unlike a search, extraction keeps the compiled pattern of the last row
+                opens = (s["depth"] == 0) & ~closes & (_extract(tag, pattern, 1) != "")
+                if first:
+                    opens = opens & (F.size(s["spans"]) == 0)
+                same = (s["depth"] > 0) & (name == s["name"])
+                deeper = same & ~closes & (~tag.endswith("/>") if first else F.lit(True))
+                ends = same & closes & (s["depth"] == 1)
+                depth = F.when(opens, 1).when(same & closes, s["depth"] - 1).when(deeper, s["depth"] + 1).otherwise(s["depth"])
+                done = F.struct(s["a"].alias("a"), s["i"].alias("b"))
+                return F.struct((s["i"] + 1).alias("i"), F.when(opens, name).otherwise(s["name"]).alias("name"), depth.alias("depth"),
+                                F.when(opens, s["i"]).otherwise(s["a"]).alias("a"),
+                                F.when(ends, F.array_append(s["spans"], done)).otherwise(s["spans"]).alias("spans"))
+            return let(F.lower(F.regexp_extract(tag, _TAG_OF, 1)), moved)
+
+        def finish(s: Column) -> Column:
+            if first:
+                return s["spans"]
+            rest = F.struct(s["a"].alias("a"), s["i"].alias("b"))
+            return F.when(s["depth"] > 0, F.array_append(s["spans"], rest)).otherwise(s["spans"])
+        return F.aggregate(tags, start, step, finish)
+
+    def content(page: Column) -> Column:
+        tags, between = page["tags"], page["between"]
+
+        def joined(x: Column) -> Column:
+            n = x["b"] - x["a"]
+            return F.array_join(F.zip_with(F.slice(between, x["a"] + 2, n), F.slice(tags, x["a"] + 2, n - 1),
+                                           lambda t, tag: F.concat(t, F.coalesce(tag, F.lit("")))), "")
+        found = F.transform(spans(tags), joined)
+        return F.when(F.size(found) > 0, F.array_join(found, NODE))
+    return let(let(_c(html), lambda h: F.struct(F.regexp_extract_all(h, F.lit(TAG_EVENT_RE), 0).alias("tags"),
+                                                F.split(h, TAG_EVENT_RE, -1).alias("between"))), content)
 
 
 # ---------------------------------------------------------------- page parts
 
 # Content a parser never reads as markup: script and style bodies and
 # comments (an unclosed one runs to the end of the page, as in a parser).
-HIDDEN_RE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
+# A name ends at white space, "/" or ">": a custom element such as script-x is an element like any other.
+HIDDEN_RE = r"(?is)<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\z)|<!--.*?(?:-->|\z)"
 META_TAG_RE = start_tag("meta")
 H1_RE = start_tag("h1") + r"(.*?)(?:</h1\s*>|\z)"
 TIME_TAG_RE = start_tag("time")
@@ -319,56 +359,23 @@ def paragraph_raws(html) -> Column:
     return F.transform(body, lambda x: mark_tags(F.regexp_replace(x, P_END_RE, "")))
 
 
-def body_text(html, container: Column | None = None) -> Column:
-    """Paragraphs of the content container if it has any, else all
-    paragraphs; joined with one space."""
-    all_p = paragraphs(html)
+def body_raws(html, container: Column | None = None) -> Column:
+    """Paragraphs of the content container if it has any, else all paragraphs, before they are decoded."""
+    all_p = paragraph_raws(html)
     if container is None:
-        return F.array_join(all_p, " ")
-    in_box = paragraphs(container)
-    return F.array_join(F.when(F.coalesce(F.size(in_box), F.lit(0)) > 0, in_box).otherwise(all_p), " ")
+        return all_p
+    return let(paragraph_raws(container), lambda box: F.when(F.size(box) > 0, box).otherwise(all_p))
 
 
-# Balanced-<div> scan for the content container: regular expressions cannot
-# match nested divs, so this one step runs as an Arrow-batched helper and only
-# on pages that mention the container class (others pass NULL through). The
-# helper is fully nested so it is shipped by value: executors need nothing
-# but the standard library and pandas.
-def inner_html(html, start_pattern: str, guard: str | None) -> Column:
-    """Inner html of every outermost element whose start tag matches ``start_pattern``
-    (group 1 its name), tags balanced, joined; NULL without one. Pages
-    without the literal ``guard`` pass NULL through."""
-    py_pat, attrs, border = start_pattern[len("(?is)"):], ATTRS_RE, NODE
-
-    @F.pandas_udf(T.StringType())
-    def _inner(s: pd.Series) -> pd.Series:
-        import re as _re
-
-        start_re = _re.compile(py_pat, _re.I | _re.S)
-
-        def inner_of(h):
-            if h is None:
-                return None
-            out, pos = [], 0
-            while True:
-                m = start_re.search(h, pos)
-                if not m:
-                    break
-                token = _re.compile(r"<(/?)" + _re.escape(m.group(1)) + r"(?=[\s/>])" + attrs + ">", _re.I)
-                depth, end = 1, len(h)
-                for t in token.finditer(h, m.end()):
-                    depth += -1 if t.group(1) else 1
-                    if depth == 0:
-                        end = t.start()
-                        break
-                out.append(h[m.end():end])
-                pos = end
-            return border.join(out) if out else None
-
-        return s.map(inner_of)
+def body_text(html, container: Column | None = None) -> Column:
+    """The paragraphs of :func:`body_raws` as text, joined with one space."""
+    return F.array_join(F.transform(body_raws(html, container), lambda x: join_nodes(decode_value(x))), " ")
+
 
+def inner_html(html, start_pattern: str, guard: str | None) -> Column:
+    """:func:`inside`, only for pages that hold the literal ``guard``; NULL for others."""
     html = _c(html)
-    return _inner(html if guard is None else F.when(F.instr(html, guard) > 0, html))
+    return inside(html, start_pattern) if guard is None else F.when(F.instr(html, guard) > 0, inside(html, start_pattern))
 
 
 def container_html(html, class_token: str) -> Column:

@@ -93,10 +93,9 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), EDGE_WS_RE, "")
 
 
-# The named table as two string literals (a handful of expression nodes
-# instead of a 2,231-entry map at every call site): "\x01name\x01name...\x01"
-# and the values in the same order, each padded to two code points with
-# \x01 (values are one or two code points; neither string uses \x01).
+# The named table as two string literals: "\x01name\x01name...\x01" and the values in the same order, each padded to two
+# code points with \x01 (values are one or two code points; neither string uses \x01). They stand in a plan once for each
+# decoder, bound by ``let``.
 _DELIM = "\x01"
 
 
@@ -106,36 +105,41 @@ def _table_strings(table: dict) -> tuple[str, str]:
     return names, values
 
 
-_NAME_DIRECTORY, _NAME_VALUES = _table_strings(NAMED_ENTITIES)
-# A proper prefix of a reference never contains ";", so the longest-prefix
-# rule only ever matches the legacy names written without it (a small table).
-_LEGACY_DIRECTORY, _LEGACY_VALUES = _table_strings({k: v for k, v in NAMED_ENTITIES.items() if not k.endswith(";")})
+# Names that need their ";" are listed without it. A proper prefix of a reference never contains ";", so the longest-prefix
+# rule only ever matches the legacy names, which a parser accepts without one (a small table).
+_LEGACY = {k: v for k, v in NAMED_ENTITIES.items() if not k.endswith(";")}
+_TABLES = (*_table_strings({k[:-1]: v for k, v in NAMED_ENTITIES.items() if k.endswith(";")}), *_table_strings(_LEGACY))
 
 
-def _named_char(tok: Column, directory: str = None, values: str = None) -> Column:
-    """Value of a named reference, NULL for an unknown name."""
-    directory = F.lit(directory or _NAME_DIRECTORY)
-    pos = F.instr(directory, F.concat(F.lit(_DELIM), tok, F.lit(_DELIM)))
-    prefix = F.substring(directory, 1, pos)
-    index = F.length(prefix) - F.length(F.replace(prefix, F.lit(_DELIM), F.lit("")))   # 1-based
-    value = F.lit(values or _NAME_VALUES).substr((index * 2 - 1).cast("int"), F.lit(2))
-    return F.when(pos > 0, F.replace(value, F.lit(_DELIM), F.lit("")))
+def _tables() -> Column:
+    return F.struct(*[F.lit(t).alias(n) for n, t in zip(("names", "values", "legacy", "legacy_values"), _TABLES)])
 
 
-def _named_ref(tok: Column) -> Column:
+def _named_char(name: Column, names: Column, values: Column) -> Column:
+    """Value of a name in a directory, NULL for an unknown one."""
+    def found(at: Column) -> Column:
+        prefix = F.substring(names, F.lit(1), at)
+        index = F.length(prefix) - F.length(F.replace(prefix, F.lit(_DELIM), F.lit("")))   # 1-based
+        return F.when(at > 0, F.replace(values.substr((index * 2 - 1).cast("int"), F.lit(2)), F.lit(_DELIM), F.lit("")))
+    return let(F.instr(names, F.concat(F.lit(_DELIM), name, F.lit(_DELIM))), found)
+
+
+def _named_ref(tok: Column, tables: Column) -> Column:
     """A named reference body (after ``&``, with its ``;`` if any): the
     exact name; else the longest name that is a proper prefix (at least two
     characters), followed by the rest as text; else the text unchanged."""
     n = F.length(tok)
+    legacy, legacy_values = tables["legacy"], tables["legacy_values"]
     cands = F.transform(F.when(n >= 3, F.sequence(n - 1, F.lit(2), F.lit(-1))),
-                        lambda x: F.struct(x.alias("x"), _named_char(tok.substr(F.lit(1), x), _LEGACY_DIRECTORY,
-                                                                     _LEGACY_VALUES).alias("v")))
+                        lambda x: F.struct(x.alias("x"), _named_char(tok.substr(F.lit(1), x), legacy, legacy_values).alias("v")))
     hit = F.get(F.filter(cands, lambda c: c.getField("v").isNotNull()), 0)
     by_prefix = F.concat(hit.getField("v"), tok.substr(hit.getField("x") + 1, F.lit(64)))
-    return F.coalesce(_named_char(tok), by_prefix, F.concat(F.lit("&"), tok))
+    exact = F.when(tok.endswith(";"), _named_char(tok.substr(F.lit(1), n - 1), tables["names"], tables["values"])) \
+        .otherwise(_named_char(tok, legacy, legacy_values))
+    return F.coalesce(exact, by_prefix, F.concat(F.lit("&"), tok))
 
 
-def _entity_char(tok: Column) -> Column:
+def _entity_char(tok: Column, tables: Column) -> Column:
     """One reference body (after ``&``, with its ``;`` if any) -> its text:
     numeric references by the parser's code point rules (code 0,
     surrogates and values beyond U+10FFFF give U+FFFD), names by
@@ -159,7 +163,7 @@ def _entity_char(tok: Column) -> Column:
             .when(cp.between(0xD800, 0xDFFF) | (cp > 0x10FFFF), F.lit(REPLACEMENT_CHAR))
             .when(dropped, F.lit(""))
             .otherwise(F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")))
-    return F.when(is_num, char).otherwise(_named_ref(tok))
+    return F.when(is_num, char).otherwise(_named_ref(tok, tables))
 
 
 def decode_value(c: Column) -> Column:
@@ -169,9 +173,12 @@ def decode_value(c: Column) -> Column:
 
 
 def _decode_value(c: Column) -> Column:
-    toks = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), 1), _entity_char)
     pieces = F.split(c, ENTITY_RE, -1)
-    joined = F.array_join(F.zip_with(pieces, toks, lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), "")
+
+    def replaced(tables: Column) -> Column:
+        toks = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), 1), lambda t: _entity_char(t, tables))
+        return F.array_join(F.zip_with(pieces, toks, lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), "")
+    joined = let(_tables(), replaced)
     # Fast path: with only the basic references present, ordered replaces
     # (ampersand last, so "&amp;lt;" stays "&lt;") equal the single pass.
     basic = c

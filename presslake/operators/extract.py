@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from presslake.functions import html as H
 from presslake.functions.dates import normalize_date, now_text
 from presslake.functions.scalars import split_part, url_host
-from presslake.functions.text import decode_entities, decode_value, html_text, join_nodes, let
+from presslake.functions.text import decode_entities, decode_value, html_text, join_nodes, let, mark_tags
 from presslake.schemas import ARTICLE_FIELDS  # noqa: F401  (the article record, re-exported)
 
 
@@ -131,14 +131,13 @@ def author_choice(html: Column, profile: Profile, parts: H.Parts | None = None)
         return F.struct(F.lit(kind).alias("k"), v.alias("v"))
 
     m_exists, m_raw = H.meta_of(p, "name", "author", decode=False)
-    stages = [(m_exists & (m_raw != ""), tagged(1, m_raw))]
-    for sel in profile.author_selectors:
-        e, raw = H.element(p.html, sel, finish=False)
-        stages.append((e, tagged(2, raw)))
+    rest = tagged(0, F.lit(profile.author_default))
     if profile.author_from_jsonld:
         ld_exists, ld_body = H.ld_first_of(p)
-        stages.append((ld_exists, tagged(0, H.ld_author(ld_body, profile.author_default))))
-    return H.first_existing(stages, tagged(0, F.lit(profile.author_default)))
+        rest = F.when(ld_exists, tagged(0, H.ld_author(ld_body, profile.author_default))).otherwise(rest)
+    element = H.first_element(p.html, profile.author_selectors)
+    by_page = let(element, lambda raw: F.when(raw.isNotNull(), tagged(2, mark_tags(raw))).otherwise(rest))
+    return let(F.when(m_exists & (m_raw != ""), m_raw), lambda m: F.when(m.isNotNull(), tagged(1, m)).otherwise(by_page))
 
 
 def _author_finish(kind: Column, raw: Column, decoded: Column) -> Column:
@@ -243,12 +242,8 @@ def _stage_columns(profile: Profile, source: str | None, as_of: str | None, with
     html, url = F.col("html"), F.col("url")
     parts = H.column_parts()
     t_exists, t_inner = H.title_of(parts)
-    if with_container and profile.container_class:
-        in_box = H.paragraph_raws(H.container_html(parts.html, profile.container_class))
-        all_p = H.paragraph_raws(parts.html)
-        body = F.when(F.coalesce(F.size(in_box), F.lit(0)) > 0, in_box).otherwise(all_p)
-    else:
-        body = H.paragraph_raws(parts.html)
+    boxed = with_container and profile.container_class
+    body = H.body_raws(parts.html, H.container_html(parts.html, profile.container_class) if boxed else None)
     date_attr, ld_date = raw_date_parts(html, profile, parts)
     raw_cols = (
         # the title is decoded on its own: it is often the only field read

@@ -26,7 +26,7 @@ def date_text_of(id_col: str) -> str:
 # ---------------------------------------------------------------- pages + head
 
 def page_head(id_col: str = "page_id") -> str:
-    """Head fragment injected before a page, one of sixteen shapes: metas,
+    """Head fragment injected before a page, one of eighteen shapes: metas,
     selectors, JSON-LD object / list / @graph, malformed script, none, and what a
     parser reads otherwise than a plain search does."""
     i = id_col
@@ -34,7 +34,7 @@ def page_head(id_col: str = "page_id") -> str:
     n = f"cast({i} as string)"
     ld = """<script type="application/ld+json">"""
     return (
-        f"CASE {i} % 16 "
+        f"CASE {i} % 18 "
         f"WHEN 0 THEN concat('<meta name=\"author\" content=\"Auth &amp; Co ', {n}, '\">"
         f"<meta property=\"article:published_time\" content=\"', {iso}, '\">') "
         f"WHEN 1 THEN concat('<meta name=\"author\" content=\"\"><span class=\"byline article-author-name\">  Writer ', "
@@ -68,6 +68,10 @@ def page_head(id_col: str = "page_id") -> str:
         # authors that are not objects
         f"WHEN 13 THEN '{ld}{{\"author\":[\"Jane\",\"Bob\"]}}</script>' "
         f"WHEN 14 THEN '{ld}{{\"author\":[{{\"name\":\"A\"}},\"Bob\"]}}</script>' "
+        # custom elements whose names begin like hidden ones
+        f"WHEN 15 THEN concat('<h1>T</h1><script-x>kept</script-x><p>one</p><style-guide><p>two ', {n}, '</p></style-guide>') "
+        # a byline that holds elements of its own name
+        f"WHEN 16 THEN concat('<div class=\"byline__name author-link\"> By <div>Ann <div>', {n}, '</div></div> and co</div><div>rest</div>') "
         # a content container
         f"ELSE concat('<p>before</p><div class=\"x article__content\"><p>In&nbsp;<i> box</i></p><p class=q>two ', {n}, '</p></div>"
         f"<span class=''story AUTHOR-name''>Case</span>') END"

@@ -1,7 +1,11 @@
 """X1-X8 on hand-written pages (FIXTURES.md section 3, HTML)."""
 
+from html.parser import HTMLParser
+
+import pytest
 from pyspark.sql import functions as F
 
+from presslake.functions import html as H
 from presslake.operators.extract import PROFILE_SEG3, PROFILE_SEG6, extract_articles
 
 AS_OF = "2026-01-01 00:00:00"
@@ -143,3 +147,62 @@ def test_nested_same_name_byline_is_balanced(spark):
     ]
     got = [r["auteur"] for r in _extract(spark, pages, PROFILE_SEG3)]
     assert got == ["ByJaneDoe", "PlainName"]
+
+
+class _Paragraphs(HTMLParser):
+    """Paragraph texts as the standard library's parser sees the page: a paragraph ends at the next one, or at its own or a block's end tag."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.open, self.hidden = [], False, False
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden = tag in ("script", "style")
+        if tag == "p":
+            self.out.append([])
+            self.open = True
+
+    def handle_endtag(self, tag):
+        self.hidden = False
+        if tag in H.P_CLOSERS:
+            self.open = False
+
+    def handle_data(self, data):
+        if self.open and not self.hidden:
+            self.out[-1].append(data.strip())
+
+    def texts(self):
+        return ["".join(x) for x in self.out]
+
+
+SHAPES = [
+    "<h1>T</h1><script-x>kept</script-x><p>one</p><p>two</p>", "<style-guide><p>a</p></style-guide><p>b</p>",
+    "<script>var s = '<p>no</p>'</script><p>yes</p>", "<STYLE media=x>p{}</STYLE ><p>a</p>", "<script type='a>b'>no</script><p>q</p>",
+    "<p>a<script>x</script>b</p>", "<p>one<p>two</div><p>three", "<scripty><p>in</p></scripty>", "<p>a<!-- <p>no</p> -->b</p>",
+    "<styled-p>x</styled-p><p>1 &lt; 2</p>"]
+
+
+@pytest.mark.parametrize("page", SHAPES)
+def test_body_is_what_the_library_parser_reads(spark, page):
+    parser = _Paragraphs()
+    parser.feed(page)
+    parser.close()
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert extract_articles(df).first().contenu == " ".join(parser.texts())
+
+
+@pytest.mark.parametrize("page, inside", [
+    ("<div class=k>a<div>b</div>c</div>d", "a<div>b</div>c"), ("<div class=k>a<div>b</div>", "a<div>b</div>"), ("<p>x</p>", None),
+    ("<DIV class=k>a</DIV><div class=k>b<br/>c</div>", "a﷐b<br/>c"), ("<div>x<div class=k>y<div class=k>z</div></div></div>", "y<div class=k>z</div>"),
+    ("<div class=k></div>", ""), (None, None), ("", None), ("<div class=k>" + "<div>" * 300 + "</div>" * 300 + "e</div>x", "<div>" * 300 + "</div>" * 300 + "e")])
+def test_inside_balances_tags(spark, page, inside):
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(H.container_html("html", "k").alias("x")).first().x == inside
+
+
+def test_a_page_of_many_tags_takes_linear_time(spark):
+    import time
+    start = time.time()
+    df = spark.createDataFrame([("<div class=article__content>" + "<div>a</div>" * 60_000 + "<p>end</p></div>",)], "html string")
+    assert df.select(H.container_html("html", "article__content").alias("x")).first().x.endswith("<p>end</p>")
+    assert time.time() - start < 30

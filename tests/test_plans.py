@@ -54,9 +54,11 @@ def test_metric_windows_are_bucketed(spark):
     _assert_windows_are_bucketed(p)
 
 
-def test_extraction_python_helpers_share_one_node(spark):
-    p = _plan(E.queries()["extract_articles"](spark, SF))
-    assert p.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in p
+def test_extraction_has_no_python_and_no_shuffle(spark):
+    for name in [q for q in E.queries() if q.startswith("extract_")]:
+        p = _plan(E.queries()[name](spark, SF))
+        assert not re.search(r"EvalPython|MapIn|Exchange", p), name
+        assert len(p) < 140_000, (name, len(p))
 
 
 def test_title_only_consumer_prunes_author_body_and_python(spark):
