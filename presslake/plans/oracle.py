@@ -498,6 +498,14 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT i.job, i.instance, make_timestamp(i.te) AS eval_ts, round(sum(e.delta), 2) AS increase "
         f"FROM inst i JOIN e ON e.metric = i.metric AND e.job = i.job AND e.instance = i.instance "
         f"AND e.t > i.te - 300000000 AND e.t <= i.te GROUP BY i.job, i.instance, i.te")
+    for name, frame, step in (("metric_increase_rollup", 172_800_000_000, 21_600_000_000),
+                              ("metric_increase_rollup_cut", 90_420_000_000, 5_400_000_000)):
+        q[name] = (f"WITH {_deltas_cte()}, "
+                   f"inst AS (SELECT DISTINCT metric, job, instance, unnest(generate_series(((t + {step - 1}) // {step}) "
+                   f"* {step}, t + {frame - 1}, {step})) AS te FROM e) "
+                   f"SELECT i.job, i.instance, make_timestamp(i.te) AS eval_ts, round(sum(e.delta), 2) AS increase "
+                   f"FROM inst i JOIN e ON e.metric = i.metric AND e.job = i.job AND e.instance = i.instance "
+                   f"AND e.t > i.te - {frame} AND e.t <= i.te GROUP BY i.job, i.instance, i.te")
     q["metric_sum_lookback"] = (
         f"SELECT metric, job, round(sum(v), 2) AS value FROM (SELECT metric, job, instance, arg_max(value, (ts, sample_id)) AS v "
         f"FROM {SAMPLES} s WHERE ts <= TIMESTAMP '{FX.EVAL_AT}' AND ts > TIMESTAMP '{FX.EVAL_AT}' - INTERVAL 2 HOUR "

@@ -20,6 +20,7 @@ from presslake.operators import gold as G
 from presslake.operators import incremental as I
 from presslake.operators import listing as L
 from presslake.operators import metrics as M
+from presslake.operators import rollups as R
 from presslake.operators.messages import decode_messages, encode_messages, message_rejects, to_bronze
 from presslake.operators.quality import latest_rows, profile
 from presslake.operators.ranking import global_row_number
@@ -406,6 +407,25 @@ def q_metric_increase_grid(spark, sf):
     return g.select(*_series_out(), "eval_ts", F.round("increase", 2).alias("increase"))
 
 
+def _kept_rollup(spark, sf):
+    """The records of one-hour buckets, kept as a table."""
+    path = new_path(spark, "rollup")
+    R.rollup(samples(spark, sf), "1 hour").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_metric_increase_rollup(spark, sf):
+    """``increase(m[2d])`` every 6 hours, from records alone: from those of six hours, merged from those of one."""
+    inc = R.increase_from_rollup(R.merge_rollup(_kept_rollup(spark, sf), 6), "48 hours", "6 hours", "6 hours")
+    return inc.select(*_series_out(), "eval_ts", F.round("increase", 2).alias("increase"))
+
+
+def q_metric_increase_rollup_cut(spark, sf):
+    """Frames and steps that cut buckets: records, and the samples of the buckets that are cut."""
+    inc = R.increase_from_rollup(_kept_rollup(spark, sf), "1507 minutes", "90 minutes", "1 hour", samples(spark, sf))
+    return inc.select(*_series_out(), "eval_ts", F.round("increase", 2).alias("increase"))
+
+
 def q_metric_sum_lookback(spark, sf):
     """An instant query: series silent for longer than the lookback do not count."""
     out = M.sum_latest(samples(spark, sf), by=("job",), at=FX.EVAL_AT, lookback="2 hours")
@@ -507,6 +527,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_rate": q_metric_rate,
     "metric_rate_extrapolated": q_metric_rate_extrapolated,
     "metric_increase_grid": q_metric_increase_grid,
+    "metric_increase_rollup": q_metric_increase_rollup,
+    "metric_increase_rollup_cut": q_metric_increase_rollup_cut,
     "metric_sum_lookback": q_metric_sum_lookback,
     "metric_rate_grid_extrapolated": q_metric_rate_grid_extrapolated,
     "metric_articles_per_minute": q_metric_articles_per_minute,
