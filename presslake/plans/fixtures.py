@@ -101,9 +101,8 @@ def article_cols() -> dict[str, str]:
 
 
 def arrival_cols() -> dict[str, str]:
-    """Documents as they arrive: keyed by their text, one a second."""
-    return {"url": "md5(text)", "position": "doc_id", "source": "source", "lang": "lang",
-            "arrived": "timestamp_seconds(1704067200 + doc_id)"}
+    """Documents as they arrive: keyed by their text, all with the stamp of the run that reads them."""
+    return {"url": "md5(text)", "position": "doc_id", "source": "source", "lang": "lang", "arrived": f"TIMESTAMP '{AS_OF}'"}
 
 
 def raw_message_cols() -> dict[str, str]:
