@@ -372,6 +372,8 @@ def oracle_sql() -> dict[str, str]:
                            f"FROM (SELECT {sel(FX.event_date_text_cols())} FROM events) e")
     q["extract_title"] = (f"SELECT page_id, {d_title('vis', '')} AS titre, "
                           f"{d_title('vis', 'Sans titre')} AS titre_seg6 FROM {PAGES_VIS} p")
+    q["extract_title_captured"] = (f"SELECT page_id, {d_host('url')} AS source, {d_title('vis', '')} AS titre "
+                                   f"FROM {PAGES_VIS} p")
     q["extract_category"] = (f"SELECT page_id, {seg3_cat} AS categorie, {d_category('url', 6)} AS categorie_seg6 "
                              f"FROM pages")
     q["extract_source"] = f"SELECT page_id, {d_host('url')} AS source FROM pages"

@@ -27,7 +27,9 @@ from presslake.operators.ranking import global_row_number
 from presslake.operators.silver import dedup_first, project_silver, to_silver, valid_articles
 from presslake.plans import fixtures as FX
 from presslake.session import new_path, use_rocksdb
+from presslake.sinks.pages import write_pages
 from presslake.sinks.seen import SeenTable
+from presslake.sources.pages import read_pages
 from presslake.sources.sitemap import entry_columns, parse_entry
 from presslake.sources.tables import table, table_stream
 from presslake.streaming.dedup import first_arrivals
@@ -39,13 +41,20 @@ def _derive(df: DataFrame, cols: dict[str, str]) -> DataFrame:
 
 # ---------------------------------------------------------------- fixtures as DataFrames
 
+def spread_table(spark, sf, name):
+    """A table of texts, spread over ``spark.presslake.scan.partitions`` tasks if the session sets that (for files of
+    one row group, which a scan cannot split); unset, the scan's own splits decide."""
+    df, n = table(spark, sf, name), spark.conf.get("spark.presslake.scan.partitions", None)
+    return df.repartition(int(n)) if n else df
+
+
 def pages_with_head(spark, sf):
-    return _derive(table(spark, sf, "pages"), FX.pages_with_head_cols())
+    return _derive(spread_table(spark, sf, "pages"), FX.pages_with_head_cols())
 
 
 def article_messages(spark, sf) -> DataFrame:
     """Documents -> article records -> encoded messages (value, timestamp, offset)."""
-    arts = _derive(table(spark, sf, "documents"), FX.article_cols())
+    arts = _derive(spread_table(spark, sf, "documents"), FX.article_cols())
     arts = (arts.withColumnRenamed("msg_offset", "offset")
             .withColumn("timestamp", F.timestamp_seconds(F.lit(1704067200) + F.col("offset"))))
     return encode_messages(arts, timestamp_col="timestamp", keep=("offset",))
@@ -72,7 +81,7 @@ def _series_out() -> list:
 # ---------------------------------------------------------------- text / dates
 
 def q_clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
+    return spread_table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text_clean"))
 
 
 def q_clean_html(spark, sf):
@@ -96,12 +105,21 @@ def q_date_normalize(spark, sf):
 # ---------------------------------------------------------------- extraction
 
 def q_extract_title(spark, sf):
-    p = H.with_parts(table(spark, sf, "pages"))
+    p = H.with_parts(spread_table(spark, sf, "pages"))
     parts = H.column_parts()
     return p.select("page_id", X.title_expr(F.col("html"), X.PROFILE_SEG3, parts).alias("titre"),
                     X.title_expr(F.col("html"), X.PROFILE_SEG6, parts).alias("titre_seg6"))
 
 
+def q_extract_title_captured(spark, sf):
+    """Titles of all pages, from a capture laid out by host in bounded row groups."""
+    path = new_path(spark, "capture")
+    write_pages(table(spark, sf, "pages"), path)
+    p = H.with_parts(read_pages(spark, path))
+    return p.select("page_id", url_host("url").alias("source"),
+                    X.title_expr(F.col("html"), X.PROFILE_SEG3, H.column_parts()).alias("titre"))
+
+
 def q_extract_category(spark, sf):
     p = table(spark, sf, "pages")
     return p.select("page_id", X.category_expr(F.col("url"), X.PROFILE_SEG3).alias("categorie"),
@@ -113,7 +131,7 @@ def q_extract_source(spark, sf):
 
 
 def q_extract_body(spark, sf):
-    p = H.with_parts(table(spark, sf, "pages"))
+    p = H.with_parts(spread_table(spark, sf, "pages"))
     return p.select("page_id", X.body_expr(F.col("html"), X.PROFILE_SEG3, parts=H.column_parts()).alias("contenu"))
 
 
@@ -255,7 +273,7 @@ def q_gold_top_categories_ranked(spark, sf):
 
 def q_top_categories_pages(spark, sf):
     """Flagship: top categories of cleaned, de-duplicated articles from pages."""
-    p = table(spark, sf, "pages")
+    p = spread_table(spark, sf, "pages")
     arts = X.extract_articles(p, X.PROFILE_SEG3, source="pages", as_of=FX.AS_OF)
     arts = arts.withColumn("kafka_timestamp", F.lit(None).cast("timestamp")).withColumnRenamed("page_id", "offset")
     silver = to_silver(arts.filter(F.col("error").isNull()), with_ingestion=False)
@@ -477,6 +495,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_parse": q_date_parse,
     "date_normalize": q_date_normalize,
     "extract_title": q_extract_title,
+    "extract_title_captured": q_extract_title_captured,
     "extract_category": q_extract_category,
     "extract_source": q_extract_source,
     "extract_body": q_extract_body,
