@@ -34,14 +34,14 @@ _HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){32,}(?![0-9A-Za-z])|(?<!
 _SSH_MAGIC = b"openssh-key-v1\x00"
 # Wrapped base64, either alphabet: where a key may start, its pieces, what may stand between them (white space, escaped
 # line ends, quoting marks, the seam of two string literals), and its padding.
-_HEAD = re.compile(r"M(?:(?<![A-Za-z0-9+/]M)|(?<=\\[nrt]M))[A-P]|b(?:(?<![A-Za-z0-9+/]b)|(?<=\\[nrt]b))3Bl")
+_HEAD = re.compile(r"""M(?:(?<![A-Za-z0-9+/]M)|(?<=\\[nrt]M))(?=[A-P\s\\"'])|"""
+                   r"""b(?:(?<![A-Za-z0-9+/]b)|(?<=\\[nrt]b))(?=3(?:B[l\s\\"']|[\s\\"'])|[\s\\"'])""")
 _PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 _SEAM = re.compile(r"""(?:\s|\\+(?:[nrt]|(?=[\s/]))|(?<=\n)[>#*|]+|["'][ \t]*(?:[+,.&][ \t]*)?\\?\r?\n\s*["'])+""")
 _PAD = re.compile(r"(?:(?:\s|\\+[nrt])*(?:=|\\+u003[dD])){0,2}(?![A-Za-z0-9+/=])")
 # A sequence that starts with the integer 0 or 1, by the size of its length; the magic of an OpenSSH key.
 _DER_HEAD = re.compile(rb"M(?:[A-H].CAQ[A-H]|I(?:[E-H].AgE[AB]|[I-L]..[AQgw]IBA|[M-P]....CAQ[A-H]|[Q-T].{5}AgE[AB]))")
 _SSH_HEAD = b"b3BlbnNzaC1rZXktdjE"
-_LOOK = 160
 _STANDARD = bytes.maketrans(b"-_", b"+/")
 
 
@@ -262,13 +262,26 @@ def _ssh_size(data: _Bytes) -> int | None:
     return at if at <= len(data) else None
 
 
+def _head(text: str, at: int) -> bytes:
+    """The first characters of a run, as many as the longest head has, however much stands between them."""
+    chars = ""
+    while len(chars) < len(_SSH_HEAD):
+        piece = _PIECE.match(text, at, at + len(_SSH_HEAD) - len(chars))
+        if piece is None:
+            break
+        chars += piece[0]
+        seam = _SEAM.match(text, piece.end())
+        at = seam.end() if seam else piece.end()
+    return chars.encode().translate(_STANDARD)
+
+
 def _wrapped(text: str) -> list[tuple[str, int, int]]:
     """Keys in base64 of either alphabet, on one line or several. Their own lengths say where
     they end, so words around them do not matter; only lengths are read on the way."""
     out, run = [], None
     for m in _HEAD.finditer(text):
         at = m.start()
-        look = _SEAM.sub("", text[at:at + _LOOK]).encode("ascii", "replace").translate(_STANDARD)
+        look = _head(text, at)
         ssh = look.startswith(_SSH_HEAD)
         if not ssh and not _DER_HEAD.match(look):
             continue

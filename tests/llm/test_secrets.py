@@ -203,3 +203,16 @@ def test_wrapped_candidates_take_linear_time():
     assert confirmed_spans((b64(bytes.fromhex("3083010000020100")) [:10] + " ") * 50_000) == []
     assert confirmed_spans("b3BlbnNzaC1rZXktdjEA\n" * 20_000) == []
     assert confirmed_spans("-----BEGIN PRIVATE KEY-----\n" * 5_000 + "-----END PRIVATE KEY-----" * 5_000) == []
+
+
+@pytest.mark.parametrize("width,indent", [(4, 80), (3, 500), (1, 20_000)])
+@pytest.mark.parametrize("key", [PKCS8, ED25519, SSH])
+def test_heads_are_read_through_any_indentation(key, width, indent):
+    key = key if width > 1 else ED25519
+    body = wrapped(key, width, "\n" + " " * indent)
+    assert confirmed_spans(f"k: {body}\n.") == [("sshkey" if key is SSH else "der", 3, 3 + len(body))]
+
+
+def test_heads_far_apart_take_linear_time():
+    assert confirmed_spans(("MA" + " " * 2_000) * 1_000) == [] and confirmed_spans("-MA" * 200_000) == []
+    assert confirmed_spans(("b3Bl" + "\n" * 3_000) * 500) == []
