@@ -11,12 +11,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslake.llm.common import give_back, read, slices
+from presslake.llm.common import give_back, read, slices, written
 from presslake.llm.tokens import ENCODE_BYTES, END_ID, encoder, ended
 
 WINDOW = 1024
 #: Rests a task gathers before it packs them (a partition's last gathering may be smaller).
 GATHERED = 1 << 14
+#: A window with more room than this share of it is opened again and its pieces are packed with other tasks'.
+LOOSE = 1 / 128
+#: Marks the sequences of that second round.
+SECOND = 1 << 62
 
 
 class CapacityTree:
@@ -75,8 +79,23 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
     return where, offset
 
 
+def _batch(pieces: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(zip(*pieces), [pa.int64()] * 7 + [pa.binary()])], _NAMES)
+
+
+def _packed(rests: list[tuple], first: int, window: int) -> tuple[list[tuple], int, np.ndarray]:
+    """The rests' rows with sequences from ``first`` on and offsets, how many sequences, and the room left in each."""
+    lengths = np.array([r[2] for r in rests])
+    where, offset = best_fit_decreasing(lengths, window)
+    used = np.bincount(where, weights=lengths).astype(np.int64)
+    rows = [(*r[:5], first + w, o, r[-1]) for r, w, o in zip(rests, where.tolist(), offset.tolist())]
+    return rows, len(used), window - used
+
+
 _SCHEMA = ("id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
            "offset long, ids binary")
+_NAMES = [c.split()[0] for c in _SCHEMA.split(", ")]
 
 
 def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
@@ -86,28 +105,27 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "
     also the ids themselves (unsigned 32-bit little endian).
 
     Documents longer than a window are cut into full windows; the rests, and the
-    shorter documents whole, are packed by best-fit decreasing. Each task packs
-    what it reads, 16,384 rests at a time, so nothing is shuffled, and
-    only the last windows of a gathering can be poorly filled. A sequence's id is
-    its task's number and its number there. A NULL text is empty (one id), NULL
+    shorter documents whole, are packed by best-fit decreasing in two rounds. First each task packs
+    what it reads, 16,384 rests at a time; then the pieces of windows left with more room than
+    ``LOOSE`` of theirs, and no others, are shuffled into groups of about as many and packed again, so padding does not
+    grow with the number of tasks. The first round's rows are written once to the shared folder. A sequence's id is
+    its task's number and its number there, of the second round with ``SECOND`` added. A NULL text is empty (one id), NULL
     and repeated ids are documents of their own, no rows give none; other columns
     are not read.
     """
+    room = int(window * LOOSE)
+
     def run(batches: Iterator[pa.RecordBatch]):
         enc, next_id = encoder(vocabulary), TaskContext.get().partitionId() << 40
         rests: list[tuple] = []
 
-        def rows(pieces):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(zip(*pieces), [pa.int64()] * 7 + [pa.binary()])], names)
-
         def packed():
             nonlocal rests, next_id
-            where, offset = best_fit_decreasing(np.array([r[2] for r in rests]), window)
-            out = rows([(*r[:5], next_id + w, o, r[5]) for r, w, o in zip(rests, where.tolist(), offset.tolist())])
-            next_id += int(where.max()) + 1
-            rests = []
-            return out
+            rows, n, left = _packed(rests, next_id, window)
+            loose = left[np.array([r[5] for r in rows]) - next_id] > room
+            rests, next_id = [], next_id + n
+            # a piece to be packed again keeps its window's number, negative: no two pieces share it and the offset
+            return _batch([(*r[:5], -1 - r[5], *r[6:]) if again else r for r, again in zip(rows, loose.tolist())])
         for batch in batches:
             for part in slices(batch, limit=ENCODE_BYTES // 2):
                 ids, bounds = ended(*enc.encode(part.column(1)), end_id)
@@ -123,17 +141,35 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "
                         else:
                             rests.append((*row, piece if with_ids else None))
                 if full:
-                    yield rows(full)
+                    yield _batch(full)
                 if len(rests) >= GATHERED:
                     yield packed()
             give_back()
         if rests:
             yield packed()
 
-    names = [c.split()[0] for c in _SCHEMA.split(", ")]
+    def again(batches: Iterator[pa.RecordBatch]):
+        next_id, rests = SECOND + (TaskContext.get().partitionId() << 40), []
+        for batch in batches:
+            rests += [(*r.values(),) for r in batch.to_pylist()]
+            while len(rests) >= 2 * GATHERED:
+                rows, n, _ = _packed(rests[:GATHERED], next_id, window)
+                next_id, rests = next_id + n, rests[GATHERED:]
+                yield _batch(rows)
+        if rests:
+            yield _batch(_packed(rests, next_id, window)[0])
+
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     out = out.mapInArrow(run, _SCHEMA)
-    return out if with_ids else out.drop("ids")
+    out = written(out if with_ids else out.drop("ids"), "packed")
+    loose = out.where("sequence_id < 0")
+    groups = max(1, loose.count() // GATHERED)
+    if not with_ids:
+        loose = loose.withColumn("ids", F.lit(None).cast("binary"))
+    # windows fall to groups by their number and come in its order, so a task run again packs alike
+    loose = loose.repartition(groups, F.xxhash64("sequence_id")).sortWithinPartitions("sequence_id", "offset")
+    loose = loose.mapInArrow(again, _SCHEMA)
+    return out.where("sequence_id >= 0").unionByName(loose if with_ids else loose.drop("ids"))
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -182,3 +182,22 @@ def test_packing_query(spark, sf, enc):
     check_pieces(rows, docs, enc, 1024)
     total = sum(x.length for x in rows)
     assert len({x.sequence_id for x in rows}) <= total / 1024 * 1.03 + 2
+
+
+def test_padding_does_not_grow_with_the_number_of_tasks(spark, vocabulary, enc):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    plain = [(x.doc_id, x.text) for x in docs.collect()]
+    for tasks in (1, 200):
+        rows = pack(docs.repartition(tasks), vocabulary, with_ids=True).withColumnRenamed("id", "doc_id")
+        found = rows.collect()
+        check_pieces(found, plain, enc, 1024)
+        total, n = sum(x.length for x in found), len({x.sequence_id for x in found})
+        assert 1024 * n - total <= 0.005 * total + 1024, (tasks, n, total)
+
+
+def test_second_round_in_several_groups(spark, vocabulary, enc, monkeypatch):
+    import presslake.llm.packing as packing
+    monkeypatch.setattr(packing, "GATHERED", 16)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(40)
+    rows = pack(docs, vocabulary).withColumnRenamed("id", "doc_id")
+    check_pieces(rows.collect(), [(x.doc_id, x.text) for x in docs.collect()], enc, 1024)
