@@ -17,6 +17,8 @@ SEED = 20
 #: Documents of a source that one task rounds, on average, and residuals that one node of the tree combines.
 BUCKET_DOCS = 2_000
 FAN_IN = 64
+#: A document with more than a LONG_PARTS-th of a bucket's mean words is dealt to no bucket of the others.
+LONG_PARTS = 64
 _EPS = 1e-9
 
 
@@ -115,19 +117,64 @@ def pivot(size: np.ndarray, p: np.ndarray, draw: np.random.Generator, last: bool
     return p
 
 
-def _rounded(items: DataFrame, level: int) -> DataFrame:
-    """Round each (source, bucket); ``p`` of its one residual stays fractional unless the
-    source is down to one bucket, whatever other sources have."""
+def _rounded(items: DataFrame, level: str, last: bool) -> DataFrame:
+    """Round each (source, bucket); ``p`` of its one residual stays fractional unless this is
+    the ``last`` pass and the source is down to one bucket, whatever other sources have."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # largest first: the residual ends up among the small documents
         pdf = pdf.sort_values(["size", "id", "rep"], ascending=[False, True, True], na_position="last", kind="stable")
         name = "\0".join(map(str, (SEED, level, key[0], key[1])))
         draw = np.random.default_rng(int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big"))
-        last = bool(pdf["buckets"].iloc[0] <= 1)
-        return pdf.assign(p=pivot(pdf["size"].to_numpy(np.float64), pdf["p"].to_numpy(np.float64), draw, last))
+        ends = last and bool(pdf["buckets"].iloc[0] <= 1)
+        return pdf.assign(p=pivot(pdf["size"].to_numpy(np.float64), pdf["p"].to_numpy(np.float64), draw, ends))
     return items.groupBy("source", "bucket").applyInPandas(run, items.schema)
 
 
+def _tree(items: DataFrame, most_buckets: int, name: str = "", last: bool = True) -> DataFrame:
+    """``items`` with ``p`` rounded up the tree of buckets; not ``last``, one document of a source may stay fractional."""
+    fractional = F.col("p").between(_EPS, 1 - _EPS)
+    level, out = 0, None
+    while True:
+        rounded = written(_rounded(items, f"{name}{level}", last), "rounded")
+        done = rounded if most_buckets <= 1 else rounded.where(~fractional)
+        out = done if out is None else out.unionByName(done)
+        if most_buckets <= 1:
+            return out
+        items = rounded.where(fractional).withColumns({"bucket": F.floor(F.col("bucket") / FAN_IN),
+                                                       "buckets": F.ceil(F.col("buckets") / FAN_IN)})
+        most_buckets, level = -(-most_buckets // FAN_IN), level + 1
+
+
+def _long_first(items: DataFrame, most_buckets: int) -> tuple[DataFrame, DataFrame]:
+    """(long documents decided, the others with ``p`` shifted for them).
+
+    Long documents of a source are rounded among themselves up a tree of their own. The
+    one that stays fractional is drawn by its odds, and the words it gains or loses go
+    from or to all other documents of the source alike, as far as these can give and
+    take in the proportion that keeps their own expectation: one number a source.
+    """
+    is_long = (F.col("p") > 0) & (F.col("buckets") > 1) & (
+        F.col("size") * F.col("buckets") * LONG_PARTS > F.col("source_size"))
+    long, rest = items.where(is_long), items.where(~is_long)
+    decided = _tree(long, most_buckets, "long", last=False)
+    odds = F.pmod(F.xxhash64("id", "rep", "source", F.lit(SEED + 1)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    up = odds < F.col("p")
+    fractional = F.col("p").between(_EPS, 1 - _EPS)
+    drawn = decided.withColumn("p", F.when(fractional, up.cast("double")).otherwise(F.col("p")))
+    # the other documents of a source share one fraction, the source's
+    held = long.groupBy("source").agg(F.sum("size").alias("_held"))
+    mass = F.col("source_size") - F.col("_held")
+    f, o = F.col("rate") - F.col("whole"), F.col("p")
+    part = F.least(F.col("size").cast("double"), mass * F.least(f / (1 - o), (1 - f) / o))
+    moved = F.when(up, -part * (1 - o)).otherwise(part * o)
+    single = decided.where(fractional).withColumnRenamed("source", "_source")
+    single = single.join(held, F.col("_source").eqNullSafe(F.col("source"))).where(mass > 0)
+    shift = written(single.select("_source", (moved / mass).alias("_shift")), "shifts")
+    rest = rest.join(shift, rest["source"].eqNullSafe(shift["_source"]), "left")
+    moved_p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("p") + F.coalesce("_shift", F.lit(0.0))))
+    return drawn, rest.withColumn("p", F.when(F.col("p") > 0, moved_p).otherwise(0.0)).drop("_source", "_shift")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_COPIES, id_col: str = "doc_id",
         source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``(id, rep, source, size, source_size, target, copies)`` for every row of ``docs``.
@@ -138,7 +185,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_C
     for one document. Documents of a source are dealt to buckets by a hash of id
     and repetition; each bucket leaves one fractional document, and these meet
     in a tree until the source is down to one bucket, whose rounding draws it; the size of
-    other sources changes nothing for it. Draws depend on the rows alone, so reruns
+    other sources changes nothing for it. Documents that a bucket could not make up
+    for are decided before, among themselves, and the whole source makes up for the
+    last of them. Draws depend on the rows alone, so reruns
     agree. Rows of equal id, source and size are told apart by ``rep``; NULL
     sources are one source, NULL ids ids like others, NULL and empty texts have
     size 0 and take part with their whole copies only; no rows give none; other
@@ -157,22 +206,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_C
     items = items.withColumn("whole", F.floor("rate"))
     items = items.withColumn("p", F.when(F.col("size") > 0, F.col("rate") - F.col("whole")).otherwise(0.0))
     items = items.withColumn("bucket", F.pmod(F.xxhash64("id", "rep", F.lit(SEED)), F.col("buckets")))
-    items = items.select("id", "rep", "source", "size", "source_size", "target", "whole", "p", "bucket", "buckets")
+    items = items.select("id", "rep", "source", "size", "source_size", "target", "rate", "whole", "p", "bucket", "buckets")
     most_buckets = goals.agg(F.max(buckets)).first()[0] or 1
-    level, done = 0, []
-    while True:
-        rounded = written(_rounded(items, level), "rounded")
-        if most_buckets <= 1:
-            done.append(rounded)
-            break
-        fractional = F.col("p").between(_EPS, 1 - _EPS)
-        done.append(rounded.where(~fractional))
-        items = rounded.where(fractional).withColumns({"bucket": F.floor(F.col("bucket") / FAN_IN),
-                                                       "buckets": F.ceil(F.col("buckets") / FAN_IN)})
-        most_buckets, level = -(-most_buckets // FAN_IN), level + 1
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
+    if most_buckets > 1:  # a single bucket decides its own long documents first
+        long, items = _long_first(items, most_buckets)
+        out = long.unionByName(_tree(items, most_buckets))
+    else:
+        out = _tree(items, most_buckets)
     copies = F.col("whole") + F.round("p").cast("long")
     return out.select("id", "rep", "source", "size", "source_size", "target", copies.alias("copies"))
 

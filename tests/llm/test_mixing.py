@@ -100,6 +100,33 @@ def test_long_document_beside_a_larger_source(spark, monkeypatch):
         assert abs(sum(x.copies * x.size for x in mine) - 4_950) <= 150
 
 
+@pytest.mark.parametrize("n", [2_000, 2_001, 6_000])
+def test_long_document_in_a_source_of_several_buckets(spark, n):
+    # one document as long as 30 % of all others
+    rows = [(i, 40) for i in range(n - 1)] + [(n, 12 * (n - 1))]
+    docs = spark.createDataFrame([(i, "w " * k, "en", "a", 0) for i, k in rows] + [(-1, "w " * 40 * n, "en", "b", 0)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = mix(docs, weights=(1, 2)).where("source = 'a'").collect()
+    assert len(got) == n
+    target = got[0].target
+    assert abs(sum(x.copies * x.size for x in got) - target) <= 0.001 * target
+
+
+def test_long_documents_keep_their_expectations(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", 20)
+    # 400 sources alike in all but their draws: two long documents and 40 short ones of one third each
+    rows = [(1_000 * s + i, "w " * (90 if i < 2 else 3), "en", f"{s:03}", 0) for s in range(400) for i in range(42)]
+    docs = spark.createDataFrame(rows + [(-1, "w " * 400 * 300, "en", "z", 0)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = mix(docs, weights=(1,) * 400 + (800,)).where("source <> 'z'").collect()
+    rate = got[0].target / got[0].source_size
+    long, short = [x.copies for x in got if x.size == 90], [x.copies for x in got if x.size == 3]
+    assert np.mean(long) == pytest.approx(rate, abs=0.07)
+    assert np.mean(short) == pytest.approx(rate, abs=0.05)
+    for s in {x.source for x in got}:
+        assert abs(sum(x.copies * x.size for x in got if x.source == s) - got[0].target) <= 90
+
+
 def test_mixed_rows_are_the_copies(spark, edge, empty):
     out = mixed(edge)
     assert out.dtypes == edge.dtypes and mixed(empty).count() == 0
@@ -125,5 +152,15 @@ def test_query(spark, sf):
         d = docs[x.doc_id]
         assert (x.size, x.source_size) == (len(WORD.findall(d.text)), sizes[d.source])
         assert x.target == pytest.approx(goal[d.source]) and x.taken <= 3 * x.size
+    for s, words in goal.items():  # some twenty documents a source: the last drawn is one of them
+        longest = max(x.size for x in rows if x.source == s)
+        assert abs(sum(x.taken for x in rows if x.source == s) - words) <= longest
     again = sorted((x.doc_id, x.taken) for x in QUERIES["op9_mixing"](spark, sf).collect())
     assert again == sorted((x.doc_id, x.taken) for x in rows)
+
+
+def test_taken_words_come_near_the_targets(spark):
+    rows = QUERIES["op9_mixing"](spark, "/root/testdata/sf0.1").collect()
+    goal = {x.source: x.target for x in rows}
+    for s, words in goal.items():
+        assert sum(x.taken for x in rows if x.source == s) == pytest.approx(words, rel=0.002)
