@@ -399,6 +399,9 @@ def oracle_sql() -> dict[str, str]:
     q["silver_articles"] = _silver_select(
         f"(SELECT * FROM {ARTICLES} a WHERE titre IS NOT NULL AND url IS NOT NULL "
         f"QUALIFY row_number() OVER (PARTITION BY url ORDER BY msg_offset) = 1) d")
+    q["stream_silver"] = q["stream_silver_table"] = q["silver_articles"]
+    q["stream_counts"] = (f"SELECT 'bronze' AS query, count(*) AS n FROM {ARTICLES} a UNION ALL SELECT 'silver', "
+                          f"count(DISTINCT url) FROM {ARTICLES} a WHERE titre IS NOT NULL AND url IS NOT NULL")
     q["dedup_first"] = ("SELECT event_id, ts, user_id, event_type, value, props FROM events "
                         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1")
     q["stream_first_arrivals"] = ("SELECT md5(text) AS url, doc_id AS position, source, lang FROM documents "
@@ -430,6 +433,12 @@ def oracle_sql() -> dict[str, str]:
     q["gold_one_pass"] = (f"SELECT date_parsed, source, categorie_clean, count(*) AS n, "
                           f"grouping(date_parsed, source, categorie_clean) AS gid FROM {EV_SILVER} s "
                           f"GROUP BY GROUPING SETS ((date_parsed), (source), (categorie_clean), (source, date_parsed))")
+    golds = (("articles_par_jour", ["date_parsed"]), ("articles_par_source", ["source"]), ("top_categories", ["categorie_clean"]),
+             ("articles_par_source_jour", ["source", "date_parsed"]))
+    null = {"date_parsed": "CAST(NULL AS DATE)", "source": "CAST(NULL AS VARCHAR)", "categorie_clean": "CAST(NULL AS VARCHAR)"}
+    q["job_gold"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS gold_table, {', '.join((c if c in keys else n) + ' AS ' + c for c, n in null.items())}, n, "
+        f"{lit(FX.AS_OF)} AS stamp FROM ({_gold(keys, 'n')}) g" for name, keys in golds)
     q["listing_valid"] = _listing()
     q["listing_media_filter"] = _listing(media=True)
     q["listing_newest"] = _listing() + " ORDER BY pub_date DESC, position"
@@ -466,6 +475,10 @@ def oracle_sql() -> dict[str, str]:
                               f"{later} AS last_date FROM m FULL OUTER JOIN summary s ON m.source = s.source")
     q["incremental_failures"] = (f"WITH {_incremental_ctes()} SELECT position, url, source, "
                                  f"'page not captured' AS error FROM j WHERE html IS NULL")
+    q["job_ingest"] = (f"WITH {_incremental_ctes()}, marks AS (SELECT coalesce(m.source, s.source) AS source, {later} AS last_date "
+                       f"FROM m FULL OUTER JOIN summary s ON m.source = s.source) SELECT kind, source, value, count(*) AS n FROM ("
+                       f"SELECT CASE WHEN html IS NULL THEN 'failure' ELSE 'message' END AS kind, source, url AS value FROM j "
+                       f"UNION ALL SELECT 'mark', source, last_date FROM marks) r GROUP BY ALL")
     q["articles_per_minute"] = ("SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, event_type, "
                                 "count(*) AS n FROM events GROUP BY 1, 2")
     q["metric_latest"] = f"SELECT metric, job, instance, ts, value FROM {LATEST} l"

@@ -5,7 +5,10 @@ import sys
 import textwrap
 
 import __spark_entry__ as E
-from presslake.plans.queries import QUERIES
+from presslake.plans.job_queries import JOB_QUERIES
+from presslake.plans.queries import QUERIES as TABLE_QUERIES
+
+QUERIES = {**TABLE_QUERIES, **JOB_QUERIES}
 
 
 def test_queries_without_the_subpackage():

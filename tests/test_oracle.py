@@ -3,7 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
-from presslake.plans.queries import QUERIES
+from presslake.plans.job_queries import JOB_QUERIES
+from presslake.plans.queries import QUERIES as TABLE_QUERIES
+
+QUERIES = {**TABLE_QUERIES, **JOB_QUERIES}
 from tools.compare import compare
 
 SF = "/root/testdata/sf0.001"
