@@ -8,7 +8,8 @@ a series can hold a large share of all rows, so they never run as one
 window per series: rows are split into (series, time bucket) partitions and
 each bucket gets *halo* copies of the few rows its frame reaches back to.
 Every partition is bounded by the rows of one bucket plus its halo, and
-the result is exact.
+the result is exact. Frames are put together from running aggregates, so
+the work follows the rows, however many of them a frame holds.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def _bucketed(samples: DataFrame, b_us: int, f_us: int, step_us: int | None = No
     can hold a sample (``_halo=3``, no value). Carry and instants come from a
     per-(series, bucket) aggregate (head = last sample outside the tail, last =
     last sample) and windows over that table: one row a bucket of a series,
-    never the samples of a whole series.
+    never the samples of a whole series. With ``f_us`` rows name their ``_block``, a frame's length of time.
     """
     s = with_series(samples).withColumn("_b", floor_div(F.col("_t"), b_us))
     in_tail = F.col("_t") > (F.col("_b") + 1) * F.lit(b_us) - F.lit(f_us)
@@ -147,7 +148,11 @@ def _bucketed(samples: DataFrame, b_us: int, f_us: int, step_us: int | None = No
                                            .otherwise(F.array(F.lit(0)))))
            .withColumn("_b", F.col("_b") + F.col("_halo")))
     u = own.unionByName(extra, allowMissingColumns=True)
-    wp = Window.partitionBy("metric", "_series", "_b").orderBy("_t", "sample_id")
+    by = ["_t", "sample_id"]
+    if f_us:
+        # in the order that the frames' windows need too
+        u, by = u.withColumn("_block", floor_div(F.col("_t"), f_us)), ["_block", *by]
+    wp = Window.partitionBy("metric", "_series", "_b").orderBy(*by)
     prev = F.last("value", ignorenulls=True).over(wp.rowsBetween(Window.unboundedPreceding, -1))
     delta = (F.when(prev.isNull(), F.lit(0.0))
              .when(F.col("value") >= prev, F.col("value") - prev)
@@ -155,6 +160,42 @@ def _bucketed(samples: DataFrame, b_us: int, f_us: int, step_us: int | None = No
     return u.withColumn("delta", delta)
 
 
+def _framed(u: DataFrame, f_us: int, halo: int, ends: bool) -> DataFrame:
+    """The rows of kind ``halo`` with what the samples in their frame ``(t - f_us, t]`` come to: ``_sum`` of deltas, number
+    ``_n``, and with ``ends`` the ``_first`` sample and the time ``_last_t`` of the last.
+
+    A frame is the head of its instant's block up to ``t``, and the tail of the block before from behind ``t - f_us``. Both are
+    running aggregates, one forward and one backward, so a row is added twice, where a sliding window adds up each
+    frame anew. A tail reaches the instants that it belongs to as a mark, ``f_us`` later: from the back, the
+    last mark met before ``t`` is that of the earliest sample behind ``t - f_us``.
+    """
+    real = F.col("_halo") < 2
+    aggs = {"sum": F.sum(F.when(real, F.col("delta"))), "n": F.count(F.when(real, F.lit(1)))}
+    if ends:
+        aggs |= {"first": F.min_by(F.struct("_t", "value", "delta"), F.when(real, F.struct("_t", "sample_id"))),
+                 "last_t": F.max(F.when(real, F.col("_t")))}
+    block, back = Window.partitionBy("metric", "_series", "_b", "_block"), F.col("_t").desc()
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    head, tail = block.orderBy("_t").rangeBetween(*so_far), block.orderBy(back).rangeBetween(*so_far)
+    names = [c for c in u.columns if c not in ("metric", "_series", "_b", "_block", "_t")]
+    u = u.filter(F.col("_halo") != 2).withColumns({"_head": F.struct(*[a.over(head).alias(k) for k, a in aggs.items()]),
+                                                   "_tail": F.struct(*[a.over(tail).alias(k) for k, a in aggs.items()])})
+    here, mark = F.col("_halo") == halo, F.col("_mark")
+    kinds = (F.when(here & real, F.array(F.lit(0), F.lit(1))).when(here, F.array(F.lit(0))).when(real, F.array(F.lit(1))))
+    u = u.withColumn("_mark", F.explode(kinds))
+    u = u.select("metric", "_series", "_b", (F.col("_block") + mark).alias("_block"), (F.col("_t") + mark * F.lit(f_us)).alias("_t"),
+                 "_mark", *[F.when(mark == 0, F.col(c)).alias(c) for c in [*names, "_head"]],
+                 F.when(mark == 1, F.col("_tail")).alias("_tail"))
+    met = block.orderBy(back, "_mark").rowsBetween(*so_far)
+    u = u.withColumn("_tail", F.last("_tail", ignorenulls=True).over(met)).filter(mark == 0)
+    out = {"_sum": F.coalesce(F.col("_tail.sum") + F.col("_head.sum"), F.col("_tail.sum"), F.col("_head.sum")),
+           "_n": F.coalesce(F.col("_tail.n"), F.lit(0)) + F.col("_head.n")}
+    if ends:
+        out |= {"_first": F.when(F.col("_tail").isNotNull(), F.col("_tail.first")).otherwise(F.col("_head.first")),
+                "_last_t": F.when(F.col("_head.n") > 0, F.col("_head.last_t")).otherwise(F.col("_tail.last_t"))}
+    return u.withColumns(out).drop("_head", "_tail", "_mark", "_block")
+
+
 def deltas(samples: DataFrame, bucket: str | int = "1 hour") -> DataFrame:
     """Reset-aware per-sample delta: 0 for a series' first sample, ``v - prev``
     when the counter grew, ``v`` after a reset (``v < prev``)."""
@@ -179,29 +220,19 @@ def increase(samples: DataFrame, frame: str | int = "5 minutes", bucket: str | i
     """
     f_us = _interval_us(frame)
     b_us = max(_interval_us(bucket), f_us)
-    u = _bucketed(samples, b_us, f_us)
-    w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
-    real = F.col("_halo") < 2
-    inc = F.sum(F.when(real, F.col("delta"))).over(w)
+    u = _framed(_bucketed(samples, b_us, f_us), f_us, 0, ends=extrapolate).drop("_halo")
     if not extrapolate:
-        return u.withColumn("increase", inc).filter(F.col("_halo") == 0).drop("_halo")
-    first_key = F.when(real, F.struct("_t", "sample_id"))
-    u = u.withColumns({
-        "_sum": inc,
-        "_n": F.count(F.when(real, F.lit(1))).over(w),
-        "_first_t": F.min_by(F.col("_t"), first_key).over(w),
-        "_first_v": F.min_by(F.col("value"), first_key).over(w),
-        "_first_d": F.min_by(F.col("delta"), first_key).over(w),
-    }).filter(F.col("_halo") == 0)
-    result = F.col("_sum") - F.col("_first_d")                       # increase inside the frame
-    sampled = (F.col("_t") - F.col("_first_t")) / F.lit(float(US))   # seconds first -> last
+        return u.withColumn("increase", F.col("_sum")).drop("_sum", "_n")
+    first_t, first_v = F.col("_first._t"), F.col("_first.value")
+    result = F.col("_sum") - F.col("_first.delta")             # increase inside the frame
+    sampled = (F.col("_t") - first_t) / F.lit(float(US))       # seconds first -> last
     avg = sampled / (F.col("_n") - 1)
-    to_start = (F.col("_first_t") - (F.col("_t") - F.lit(f_us))) / F.lit(float(US))
-    to_zero = F.when((result > 0) & (F.col("_first_v") >= 0), sampled * (F.col("_first_v") / result))
+    to_start = (first_t - (F.col("_t") - F.lit(f_us))) / F.lit(float(US))
+    to_zero = F.when((result > 0) & (first_v >= 0), sampled * (first_v / result))
     to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
     extended = sampled + F.when(to_start < avg * 1.1, to_start).otherwise(avg / 2)
     value = F.when((F.col("_n") >= 2) & (sampled > 0), result * (extended / sampled))
-    return u.withColumn("increase", value).drop("_halo", "_sum", "_n", "_first_t", "_first_v", "_first_d")
+    return u.withColumn("increase", value).drop("_sum", "_n", "_first", "_last_t")
 
 
 def rate(samples: DataFrame, frame: str | int = "1 minute", bucket: str | int = "1 hour",
@@ -231,25 +262,15 @@ def increase_at(samples: DataFrame, frame: str | int = "5 minutes", step: str |
     """
     f_us, st_us = _interval_us(frame), _interval_us(step)
     b_us = max(_interval_us(bucket), f_us)
-    u = _bucketed(samples, b_us, f_us, st_us)
-    w = Window.partitionBy("metric", "_series", "_b").orderBy("_t").rangeBetween(-(f_us - 1), 0)
-    real = F.col("_halo") < 2
-    u = u.withColumns({"_sum": F.sum(F.when(real, F.col("delta"))).over(w),
-                       "_n": F.count(F.when(real, F.lit(1))).over(w)})
-    if extrapolate:
-        key = F.when(real, F.struct("_t", "sample_id"))
-        u = u.withColumns({"_first_t": F.min_by(F.col("_t"), key).over(w),
-                           "_first_v": F.min_by(F.col("value"), key).over(w),
-                           "_first_d": F.min_by(F.col("delta"), key).over(w),
-                           "_last_t": F.max_by(F.col("_t"), key).over(w)})
-    u = u.filter((F.col("_halo") == 3) & (F.col("_n") > 0))
+    u = _framed(_bucketed(samples, b_us, f_us, st_us), f_us, 3, ends=extrapolate).filter(F.col("_n") > 0)
     if extrapolate:
-        result = F.col("_sum") - F.col("_first_d")
-        sampled = (F.col("_last_t") - F.col("_first_t")) / F.lit(float(US))
+        first_t, first_v = F.col("_first._t"), F.col("_first.value")
+        result = F.col("_sum") - F.col("_first.delta")
+        sampled = (F.col("_last_t") - first_t) / F.lit(float(US))
         avg = sampled / (F.col("_n") - 1)
-        to_start = (F.col("_first_t") - (F.col("_t") - F.lit(f_us))) / F.lit(float(US))
+        to_start = (first_t - (F.col("_t") - F.lit(f_us))) / F.lit(float(US))
         to_end = (F.col("_t") - F.col("_last_t")) / F.lit(float(US))
-        to_zero = F.when((result > 0) & (F.col("_first_v") >= 0), sampled * (F.col("_first_v") / result))
+        to_zero = F.when((result > 0) & (first_v >= 0), sampled * (first_v / result))
         to_start = F.when(to_zero.isNotNull() & (to_zero < to_start), to_zero).otherwise(to_start)
         extended = (sampled + F.when(to_start < avg * 1.1, to_start).otherwise(avg / 2)
                     + F.when(to_end < avg * 1.1, to_end).otherwise(avg / 2))

@@ -119,6 +119,31 @@ def test_range_windows_partition_by_series_and_bucket(spark):
         assert sum("_b#" in x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)) == 2
 
 
+def test_frames_are_running_aggregates(spark):
+    """A sliding window adds up every frame anew, which grows with the square of the samples in a frame."""
+    s = _samples(spark, _random_rows(n=20))
+    for df in (M.increase(s, "5 minutes"), M.increase(s, "5 minutes", extrapolate=True), M.increase_at(s, "5 minutes"),
+               M.increase_at(s, "5 minutes", extrapolate=True), M.sum_rate_at(s)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]*), ([^)]*)", plan)
+        assert any(kind == "RangeFrame" for kind, _, _ in frames)
+        assert all(start == "unboundedpreceding$(" or kind == "RowFrame" for kind, start, _ in
+                   [(k, a.rstrip(")"), b) for k, a, b in frames]), frames
+
+
+def test_frames_of_many_samples_of_one_instant_and_missing_values(spark):
+    rnd = random.Random(3)
+    rows = [("c", "j", rnd.choice("xy"), T0 + dt.timedelta(seconds=rnd.randint(0, 90) * 10), float(rnd.randint(0, 9))) for _ in range(600)]
+    for bucket in ("1 minute", "4 minutes", "1 hour"):
+        got = {r.sample_id: r.increase for r in M.increase(_samples(spark, rows), "1 minute", bucket).collect()}
+        assert got == _brute_increase(rows, 60), bucket
+    # a sample without value counts as a sample, and gains nothing
+    rows = [("c", "j", "x", T0, 1.0), ("c", "j", "x", T0 + dt.timedelta(seconds=20), None), ("c", "j", "x", T0 + dt.timedelta(seconds=40), 4.0),
+            ("c", "j", "x", None, 9.0)]
+    got = {r.sample_id: r.increase for r in M.increase(_samples(spark, rows), "30 seconds").collect()}
+    assert got == {0: 0.0, 1: 0.0, 2: 3.0, 3: 0.0}
+
+
 def test_instant_query_forgets_silent_series(spark):
     t = "2026-01-01 {}"
     rows = [("up", "a", "x", t.format("00:00:00"), 1.0), ("up", "b", "x", t.format("00:58:00"), 1.0),
