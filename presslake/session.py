@@ -59,6 +59,15 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
 
+BATCH_BYTES = 4 << 20
+
+
+def use_small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of ``BATCH_BYTES`` at most, in queries that start from here on. By number alone a batch
+    holds 10,000 rows, however long they are, and a worker holds a batch several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A new folder's path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from presslake.operators.metrics import _interval_us
+from presslake.session import use_small_batches
 
-#: Rows, and bytes of rows, that a task's first pass holds before it hands them on.
-HELD_ROWS, HELD_BYTES = 50_000, 64 << 20
+#: Rows, and bytes of rows, that a task's first pass holds before it hands them on; a worker's memory is a few times as much.
+HELD_ROWS, HELD_BYTES = 50_000, 8 << 20
 COPIES, LATE = "copies", "late"
 _AT = "_at"
 
@@ -50,6 +51,7 @@ def first_pass(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
             rows, size = rows + b.num_rows, size + b.nbytes
             if rows > HELD_ROWS or size > HELD_BYTES:
                 kept = earliest(pa.Table.from_batches(held), keys, order)
+                held = b = None  # the rows behind what is handed on are not kept beside it
                 # what did not shrink by half is handed on: its keys hardly repeat
                 if kept.num_rows * 2 > HELD_ROWS or kept.nbytes * 2 > HELD_BYTES:
                     yield from kept.to_batches()
@@ -112,7 +114,11 @@ def first_arrivals(sdf: DataFrame, key: str = "url", order: Sequence[str] = ("ka
     * Late: behind the watermark that the state runs under. Late rows come out whether their key is known or not, those
       of one key and event time as one row; ``copies`` says how many each task's row stands for.
     * A NULL key is a key; a NULL event time is not late. Needs the RocksDB state store.
+
+    Rows pass through Python whole, in batches of bounded size (:func:`presslake.session.use_small_batches`), so start the
+    stream before any setting of these is changed.
     """
+    use_small_batches(sdf.sparkSession)
     names, first_by = sdf.columns, [c for c in order if c in sdf.columns]
     timed = mode in ("bounded", "global")
     if timed:

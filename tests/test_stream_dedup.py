@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import time
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -101,6 +102,36 @@ def test_a_hot_key_reaches_the_state_about_once_a_task(spark, scratch):
     assert out.where("url <> 'hot'").count() == 100_000 and out.agg(F.sum("copies")).first()[0] == 400_000
 
 
+def test_a_task_holds_little_however_many_long_rows_it_gets(spark, scratch):
+    class Captured:
+        schema = None
+
+        def withColumn(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+    run = first_pass(Captured(), ["url"], ["offset"])
+    before, peak, rows = pa.total_allocated_bytes(), 0, 0
+
+    def batches():
+        nonlocal peak
+        for k in range(150):
+            peak = max(peak, pa.total_allocated_bytes() - before)
+            # a megabyte each
+            yield pa.record_batch({"url": [f"{k}-{i}" for i in range(20)], "offset": list(range(20)), "body": ["x" * 50_000] * 20, "copies": [1] * 20})
+    for b in run(batches()):
+        rows += b.num_rows
+        peak = max(peak, pa.total_allocated_bytes() - before)
+    assert rows == 3_000 and peak < 48 << 20, peak
+    # and Spark hands them over in batches of few bytes
+    _write(spark, scratch, [("a", 0, 1, "", 0)])
+    first_arrivals(spark.readStream.schema(SCHEMA).parquet(f"{scratch}/in"))
+    long = spark.range(0, 2_000, numPartitions=1).select(F.repeat(F.lit("x"), 20_000).alias("body"), "id")
+    sizes = long.mapInArrow(lambda bs: (pa.record_batch({"n": [b.nbytes]}) for b in bs), "n long").collect()
+    assert max(r.n for r in sizes) < 8 << 20 and len(sizes) > 4
+
+
 def test_hot_key_through_the_stream(spark, scratch):
     (spark.range(0, 60_000, numPartitions=4).select(F.when(F.col("id") % 60 > 0, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("url"),
      F.lit(T0).alias("kafka_timestamp"), F.col("id").alias("offset"), F.lit("b").alias("body"), F.lit(T0).alias("ingestion_time"))
