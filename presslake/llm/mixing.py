@@ -197,12 +197,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_C
                         word_count(F.col(text_col)).alias("size"))
     # equal rows are counted before the shuffle and dealt apart after it
     counted = written(sizes.groupBy("id", "source", "size").count(), "sizes")
-    items = counted.withColumn("rep", F.explode(F.sequence(F.lit(1).cast("long"), "count"))).drop("count")
-    goals = written(targets(items.select("source", "size"), weights, most), "targets")
+    reps = F.explode(F.sequence(F.lit(1).cast("long"), "count"))
+    goals = written(targets(counted.select("source", "size", reps.alias("rep")), weights, most), "targets")
     buckets = F.ceil(F.col("docs") / BUCKET_DOCS)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goal = goals.select(F.col("source").alias("_source"), "source_size", "target", rate.alias("rate"), buckets.alias("buckets"))
-    items = items.join(goal, items["source"].eqNullSafe(goal["_source"])).drop("_source")
+    # joined before equal rows are dealt apart: Spark sizes what ``explode`` makes as one row of each, and might broadcast it
+    items = counted.join(goal, counted["source"].eqNullSafe(goal["_source"])).withColumn("rep", reps)
     items = items.withColumn("whole", F.floor("rate"))
     items = items.withColumn("p", F.when(F.col("size") > 0, F.col("rate") - F.col("whole")).otherwise(0.0))
     items = items.withColumn("bucket", F.pmod(F.xxhash64("id", "rep", F.lit(SEED)), F.col("buckets")))
@@ -236,7 +237,8 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX
     rows = rows.withColumn("_size", word_count(F.col("_row.text")))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("_row")))
     copies = F.col("_least") + (F.col("_place") <= F.col("_all") - F.col("_least") * F.col("_rows")).cast("long")
-    return (rows.withColumn("_place", place).join(per, keys)
+    # a sort-merge join: a row of ``per`` takes many times its size in the file, by which Spark would broadcast it
+    return (rows.withColumn("_place", place).join(per.hint("merge"), keys)
             .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("_row.*"))
 
 

@@ -118,7 +118,8 @@ def links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
                       .where("value & mask & -mask = 0")
                       .select("fp", F.expr("mask = 0").alias("equal"),
                               F.col("value").bitwiseXOR(F.col("mask")).bitwiseOR(F.lit(k << 32)).alias("key")))
-    met = reduce(DataFrame.union, probes).join(reduce(DataFrame.union, tables), "key")
+    # a sort-merge join: Spark sizes the probes as if ``explode`` made one row of each, and would broadcast them
+    met = reduce(DataFrame.union, probes).hint("merge").join(reduce(DataFrame.union, tables), "key")
     near = met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits).where("NOT equal OR fp < other")
     return near.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import presslake.llm.mixing as mixing
+from presslake.llm.common import written
 from presslake.llm.mixing import mix, mixed, pivot, targets
 from presslake.llm.queries import QUERIES
 
@@ -164,3 +165,38 @@ def test_taken_words_come_near_the_targets(spark):
     goal = {x.source: x.target for x in rows}
     for s, words in goal.items():
         assert sum(x.taken for x in rows if x.source == s) == pytest.approx(words, rel=0.002)
+
+
+def _broadcast(plan):
+    """The nodes below broadcasts of a plan's text, which draws a tree by its indentation."""
+    depth, out = None, []
+    for line in plan.split("\n"):
+        at = len(line) - len(line.lstrip(" :+-"))
+        depth = None if depth is not None and at <= depth else depth
+        if depth is not None:
+            out.append(line)
+        elif "BroadcastExchange" in line:
+            depth = at
+    return out
+
+
+def test_neither_repeated_rows_nor_copies_are_broadcast(spark, scratch, monkeypatch):
+    # 3,000 equal rows of one source are one row of sizes until they are dealt apart
+    rows = [(1, "a", "w x")] * 3000 + [(i, f"s{i}", "w") for i in range(2, 9)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1).write.parquet(f"{scratch}/docs")
+    docs, plans = spark.read.parquet(f"{scratch}/docs"), []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df.coalesce(1) if name == "sizes" else df, name)
+    monkeypatch.setattr(mixing, "written", seen)
+    out = mixed(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    below = [x for p in plans for x in _broadcast(p)]
+    assert below and not [x for x in below if "Generate" in x]
+    copies = mix(docs).groupBy("source").agg({"copies": "sum", "*": "count"})
+    found = {x.source: (x["count(1)"], x["sum(copies)"]) for x in copies.collect()}
+    assert found["a"][0] == 3000 and [found[f"s{i}"][0] for i in range(2, 9)] == [1] * 7
+    kept = {x.source: x["count"] for x in out.groupBy("source").count().collect()}
+    assert kept == {s: n for s, (_, n) in found.items() if n}

@@ -2,7 +2,9 @@ from itertools import combinations
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from presslake.llm.common import written
 from presslake.llm.components import components
 from presslake.llm.queries import QUERIES
 from presslake.llm.simhash import _segments, fingerprint, fingerprints, keep_one, links, simhash_components
@@ -115,3 +117,10 @@ def test_query_against_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     rows = [(d.doc_id, brute_fingerprint(d.text, 3)) for d in docs]
     assert got == {i: (f"{fp:016x}", c) for (i, fp), c in zip(rows, brute_components(rows, 3))}
+
+
+def test_links_do_not_broadcast_exploded_probes(spark):
+    # a fingerprint has 17 probes for each segment, which Spark sizes as one
+    fps = written(spark.range(2000).select(F.xxhash64("id").alias("fp")), "fps")
+    plan = links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
