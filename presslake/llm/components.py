@@ -17,6 +17,8 @@ def components(links: DataFrame) -> DataFrame:
     node keeps its own name, so the last name left is the smallest. The rounds
     grow with the logarithm of the longest chain; each is written to the shared
     folder. NULL ends and links of a node with itself say nothing and are left out.
+    All joins are sort-merge joins: names that are alike make small files, and by
+    these Spark would broadcast millions of rows.
     """
     links = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     links = written(links.distinct(), "links")
@@ -27,9 +29,9 @@ def components(links: DataFrame) -> DataFrame:
         p = ends.groupBy("a").agg(F.least("a", F.min("b")).alias("p"))
         p = written(p, "pointers")
         for _ in range(2):
-            q = p.select(F.col("a").alias("p"), F.col("p").alias("next"))
+            q = p.select(F.col("a").alias("p"), F.col("p").alias("next")).hint("merge")
             p = written(p.join(q, "p").select("a", F.col("next").alias("p")), "pointers")
-        to = p.select(F.col("a").alias("x"), F.col("p").alias("to"))
+        to = p.select(F.col("a").alias("x"), F.col("p").alias("to")).hint("merge")
         renamed = (links.join(to, links["a"] == to["x"]).select(F.col("to").alias("a"), "b")
                    .join(to, F.col("b") == to["x"]).select("a", F.col("to").alias("b")))
         # a pointer's target may itself point on: that link stays

@@ -130,11 +130,12 @@ def _components(docs: DataFrame, size: int, max_bits: int, segments: int, id_col
     rows = written(fingerprints(docs, size, id_col, text_col, mark), "fingerprints")
     groups = written(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
     roots = components(links(groups.select("fp"), max_bits, segments))
-    groups = written(groups.join(roots, groups["fp"] == roots["node"], "left")
+    # sort-merge joins from here on: Spark sizes a table by its compressed files, which may be a small part of what it would broadcast
+    groups = written(groups.join(roots.hint("merge"), groups["fp"] == roots["node"], "left")
                      .select("fp", "first", F.coalesce("root", "fp").alias("root")), "groups")
     least = groups.groupBy("root").agg(F.min("first").alias("component"))
-    named = written(groups.join(least, "root").select("fp", "root", "component"), "components")
-    return rows.join(named, "fp")
+    named = written(groups.join(least.hint("merge"), "root").select("fp", "root", "component"), "components")
+    return rows.join(named.hint("merge"), "fp")
 
 
 def simhash_components(docs: DataFrame, size: int = 3, max_bits: int = 3, segments: int = 2,

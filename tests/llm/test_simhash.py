@@ -124,3 +124,22 @@ def test_links_do_not_broadcast_exploded_probes(spark):
     fps = written(spark.range(2000).select(F.xxhash64("id").alias("fp")), "fps")
     plan = links(fps)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_tables_of_documents_and_links_are_not_broadcast(spark, monkeypatch):
+    import presslake.llm.components as parts
+    import presslake.llm.simhash as simhash
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+    monkeypatch.setattr(parts, "written", seen)
+    monkeypatch.setattr(simhash, "written", seen)
+    docs = spark.createDataFrame([(i, f"text number {i // 2}") for i in range(20)], "doc_id long, text string")
+    found = simhash_components(docs)
+    assert {(x.id, x.component) for x in found.collect()} == {(i, i - i % 2) for i in range(20)}
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    stars = written(spark.range(2000).selectExpr("id - id % 8 AS a", "id AS b"), "stars")
+    assert {(x.node, x.root) for x in components(stars).collect()} == {(i, i - i % 8) for i in range(2000)}
+    assert sum("Join" in p for p in plans) >= 7 and not [p for p in plans if "Broadcast" in p]
